@@ -43,6 +43,15 @@ def running_count(condition: Column | None = None) -> Running:
     )
 
 
+def running_sum(value: Column) -> Running:
+    return Running(
+        local=F.sum(value),
+        total=lambda order: F.sum(value),
+        over_totals=F.sum,
+        combine=lambda before, here: F.coalesce(before + here, here, before),
+    )
+
+
 def running_max(value: Column) -> Running:
     return Running(
         local=F.max(value),

@@ -89,6 +89,25 @@ def supplier_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return renamed.unionByName(added)
 
 
+def route_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every nation as new details of a route, and every region as a route without an id yet."""
+    def change(names: DataFrame, key: str, name: str, route_id: Column) -> DataFrame:
+        operator = F.concat(F.lit("Operator"), F.substring(F.lit("ABC"), (F.col(key) % 3 + 1).cast("int"), F.lit(1)))
+        return names.select(
+            route_id.cast("bigint").alias("route_id"),
+            F.col(name).alias("origin"),
+            F.col(name).alias("destination"),
+            _type_of(F.col(key)).alias("type"),
+            operator.alias("operator"),
+            (F.col(key) + 1).cast("int").alias("capacity"),
+            F.col(key).cast("bigint").alias("position"),
+        )
+
+    nations = change(table(spark, sf_dir, "nation"), "n_nationkey", "n_name", F.col("n_nationkey"))
+    regions = change(table(spark, sf_dir, "region"), "r_regionkey", "r_name", F.lit(None))
+    return nations.unionByName(regions)
+
+
 def shipments_as_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as a larger, unordered trip log. No single column orders it; SHIPMENT_ORDER does."""
     lineitem = table(spark, sf_dir, "lineitem")
