@@ -58,24 +58,28 @@ def lookup_current(
 
 
 def with_route_as_of(
-    trips: DataFrame, routes: DataFrame, fields: Sequence[str], rows_per_task: int = ROWS_PER_TASK
+    trips: DataFrame,
+    routes: DataFrame,
+    fields: Sequence[str],
+    keep: Sequence[str] = (),
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Trips in event time, each with its running count and the route version valid at that time.
 
     Both logs are merged per route; at equal times a route comes before a trip, and a later
     version after an earlier one. The version is null for a trip before the first one.
+    ``fields`` of the version and ``keep`` of the trip's own columns are passed through.
     """
+    def absent(df: DataFrame, names: Sequence[str]) -> list:
+        return [F.lit(None).cast(df.schema[name].dataType).alias(name) for name in names]
+
     # the kind of a row: 0 for a route, 1 for a trip
-    version = F.struct("seq", *fields)
     versions = routes.select(
         "route_id", F.col("effective_ts").alias("ts"), F.lit(0).alias("kind"), F.col("seq").alias("event_id"),
-        version.alias("version"), F.lit(None).cast("string").alias("passenger_name"),
-        F.lit(None).cast("string").alias("transport_type"),
+        F.struct("seq", *fields).alias("version"), *absent(trips, keep),
     )
     events = trips.filter(F.col("route_id").isNotNull()).select(
-        "route_id", "ts", F.lit(1).alias("kind"), "event_id",
-        F.lit(None).cast(versions.schema["version"].dataType).alias("version"),
-        "passenger_name", "transport_type",
+        "route_id", "ts", F.lit(1).alias("kind"), "event_id", *absent(versions, ["version"]), *keep,
     )
     merged = running(
         versions.unionByName(events),
@@ -85,15 +89,17 @@ def with_route_as_of(
         rows_per_task,
     )
     return merged.filter("kind = 1").select(
-        "event_id", "ts", "route_id", "passenger_name", "transport_type", "trips_so_far",
+        "event_id", "ts", "route_id", *keep, "trips_so_far",
         *[F.col("valid")[name].alias(name) for name in ("seq", *fields)],
     )
 
 
 def lookup_asof(
-    trips: DataFrame, routes: DataFrame, fields: Sequence[str], rows_per_task: int = ROWS_PER_TASK
+    trips: DataFrame,
+    routes: DataFrame,
+    fields: Sequence[str],
+    keep: Sequence[str] = (),
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """As :func:`with_route_as_of`, without the trips that no route version covers."""
-    return with_route_as_of(trips, routes, fields, rows_per_task).filter(F.col("seq").isNotNull())
-
-
+    return with_route_as_of(trips, routes, fields, keep, rows_per_task).filter(F.col("seq").isNotNull())

@@ -6,13 +6,14 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.group import GroupedData
 
-from wayfare.operators.ordered import group_sizes, running, running_count, sliced
-from wayfare.operators.rollups import ARRIVAL
+from wayfare.operators.ordered import ROWS_PER_TASK, running, running_count, sliced, split_hot
+from wayfare.operators.rollups import ARRIVAL, at
 
-# A list of names this long is a few megabytes of text; longer lists go on in further rows.
-NAMES_PER_PART = 100_000
-ROWS_PER_FOLD = 250_000
+# A list of names this long is about a megabyte of text; longer lists go on in further rows.
+NAMES_PER_PART = 50_000
+ROWS_PER_FOLD = 50_000
 
 
 def joined_names(
@@ -22,7 +23,7 @@ def joined_names(
     order: Sequence[str] = ARRIVAL,
     separator: str = ", ",
     names_per_part: int = NAMES_PER_PART,
-    rows_per_task: int | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Names per key in log order, as one text, duplicates kept: (key, part, names).
 
@@ -31,21 +32,13 @@ def joined_names(
     which as one cell could outgrow a task or the limit of a string.
     """
     keyed = trips.filter(F.col(key).isNotNull()).select(key, name, *order)
-    largest, _ = group_sizes(keyed, [key])
-    if largest <= names_per_part:
-        rows = keyed.withColumn("part", F.lit(0).cast("bigint"))
-    else:
-        options = {"rows_per_task": rows_per_task} if rows_per_task else {}
-        numbered = running(keyed, [key], order, {"n": running_count()}, **options)
-        rows = numbered.withColumn("part", F.floor((F.col("n") - 1) / names_per_part))
-    ordering = ", ".join(f"`{c}`" for c in order)
-    text = F.expr(f"listagg(`{name}`, '{separator}') WITHIN GROUP (ORDER BY {ordering})")
-    if len(order) > 1:
-        # listagg takes several order columns only as one value
-        place = F.struct(*order)
-        rows = rows.withColumn("place", place)
-        text = F.expr(f"listagg(`{name}`, '{separator}') WITHIN GROUP (ORDER BY place)")
-    return rows.groupBy(key, "part").agg(text.alias("names"))
+    moderate, hot, _ = split_hot(keyed, [key], names_per_part)
+    rows = moderate.withColumn("part", F.lit(0).cast("bigint"))
+    if hot is not None:
+        numbered = running(hot, [key], order, {"n": running_count()}, rows_per_task)
+        rows = rows.unionByName(numbered.withColumn("part", F.floor((F.col("n") - 1) / names_per_part)).drop("n"))
+    text = F.expr(f"listagg(`{name}`, '{separator}') WITHIN GROUP (ORDER BY place)")
+    return rows.withColumn("place", at(order)).groupBy(key, "part").agg(text.alias("names"))
 
 
 def keyed_fold(
@@ -64,15 +57,15 @@ def keyed_fold(
     more than ``rows_per_fold`` rows be folded in slices, so no array outgrows a task.
     ``init`` must be neutral for ``merge``.
     """
-    rows = df.filter(F.col(key).isNotNull()).select(key, *order, value.alias("value"))
-    largest, count = group_sizes(rows, [key])
-
-    def folded(grouped, columns: list[str], item: str, function) -> DataFrame:
+    def folded(groups: GroupedData, columns: Sequence[str], item: str, function) -> DataFrame:
         items = F.array_sort(F.collect_list(F.struct(*columns, item)))
-        return grouped.agg(F.aggregate(items, init, lambda acc, x: function(acc, x[item])).alias("state"))
+        return groups.agg(F.aggregate(items, init, lambda acc, x: function(acc, x[item])).alias("state"))
 
-    if largest <= rows_per_fold:
-        return folded(rows.groupBy(key), list(order), "value", step)
-    slices = sliced(rows, [key], order, count, rows_per_fold)
-    partial = folded(slices.groupBy(key, "slice"), list(order), "value", step)
-    return folded(partial.groupBy(key), ["slice"], "state", merge)
+    rows = df.filter(F.col(key).isNotNull()).select(key, *order, value.alias("value"))
+    moderate, hot, hot_rows = split_hot(rows, [key], rows_per_fold)
+    states = folded(moderate.groupBy(key), order, "value", step)
+    if hot is None:
+        return states
+    slices = sliced(hot, [key], order, hot_rows, rows_per_fold)
+    partial = folded(slices.groupBy(key, "slice"), order, "value", step)
+    return states.unionByName(folded(partial.groupBy(key), ["slice"], "state", merge))

@@ -1,11 +1,11 @@
 """Running values along a log, also where one key holds much of it.
 
-A window partitioned by key sorts a whole key in one task. That is the plan here only
-while the largest key is known to be small. Beyond that the rows are range-partitioned
-by key and order, which cuts a hot key into slices of about equal size; each slice gets
-its local running value, and the totals of the slices before it are carried in. The
-table of totals has one row per key and slice, so the carry is cheap, and the result is
-the same to the last row.
+A window partitioned by key sorts a whole key in one task. That is the plan for keys of
+known, moderate size. The rows of larger keys are set apart and range-partitioned by key
+and order, which cuts them into slices of about equal size; each slice gets its local
+running value, and the totals of the slices before it are carried in. The table of
+totals has one row per key and slice, so the carry is cheap, and no row is lost or
+approximated on either way.
 """
 
 from __future__ import annotations
@@ -71,14 +71,21 @@ def running_last(value: Column) -> Running:
     )
 
 
-def group_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
-    """(rows of the largest group, all rows): one hash aggregate over the key columns."""
-    row = (
-        df.groupBy(*keys).agg(F.count("*").alias("n"))
-        .agg(F.coalesce(F.max("n"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0)))
-        .first()
-    )
-    return row[0], row[1]
+def split_hot(df: DataFrame, keys: Sequence[str], limit: int) -> tuple[DataFrame, DataFrame | None, int]:
+    """(rows of keys up to ``limit`` rows, rows of larger keys, number of the latter).
+
+    One hash aggregate over the key columns decides. The hot rows are None if there are
+    none, the usual case, and ``df`` is then returned as it is. At most rows / limit keys
+    can be hot, which bounds the table of them that is broadcast.
+    """
+    sizes = df.groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") > limit)
+    n_hot, rows = sizes.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    if n_hot == 0:
+        return df, None, 0
+    if not keys:
+        return df.limit(0), df, rows
+    hot = F.broadcast(written(sizes.select(*keys), "hot_keys"))
+    return df.join(hot, list(keys), "left_anti"), df.join(hot, list(keys), "left_semi"), rows
 
 
 def sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: int, rows_per_slice: int) -> DataFrame:
@@ -104,11 +111,18 @@ def running(
 
     ``order`` must be unique within a key, and keys not null. No keys means one log.
     """
-    largest, rows = group_sizes(df, keys)
-    if largest <= rows_per_task:
-        window = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
-        return df.select("*", *[c.local.over(window).alias(name) for name, c in columns.items()])
+    moderate, hot, hot_rows = split_hot(df, keys, rows_per_task)
+    window = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    result = moderate.select("*", *[c.local.over(window).alias(name) for name, c in columns.items()])
+    if hot is None:
+        return result
+    return result.unionByName(_running_sliced(hot, keys, order, columns, hot_rows, rows_per_task))
 
+
+def _running_sliced(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Mapping[str, Running],
+    rows: int, rows_per_task: int,
+) -> DataFrame:
     rows_in = sliced(df, keys, order, rows, rows_per_task)
     window = W.partitionBy("slice", *keys).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
     local = rows_in.select("*", *[c.local.over(window).alias(name) for name, c in columns.items()])
@@ -116,7 +130,9 @@ def running(
     totals = rows_in.groupBy("slice", *keys).agg(*[c.total(order).alias(name) for name, c in columns.items()])
     earlier = W.partitionBy(*keys).orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
     carried = totals.select(
-        "slice", *keys, *[c.over_totals(F.col(name)).over(earlier).alias(f"{name}_before") for name, c in columns.items()]
+        "slice",
+        *keys,
+        *[c.over_totals(F.col(name)).over(earlier).alias(f"{name}_before") for name, c in columns.items()],
     )
     joined = local.join(carried, ["slice", *keys])
     return joined.select(

@@ -79,7 +79,7 @@ GROUP BY {key} ORDER BY count(*) DESC, max(%s) LIMIT 1"""
 
 Q = {
     4: _with(TRIPS) + """SELECT route_id, part, string_agg(passenger_name, ', ' ORDER BY event_id) AS passengers
-FROM (SELECT *, (row_number() OVER (PARTITION BY route_id ORDER BY event_id) - 1) // 100000 AS part FROM trips)
+FROM (SELECT *, (row_number() OVER (PARTITION BY route_id ORDER BY event_id) - 1) // 50000 AS part FROM trips)
 GROUP BY route_id, part""",
     5: _with(ROUTES) + "SELECT route_id, CAST(sum(capacity) AS BIGINT) AS seats FROM routes GROUP BY route_id",
     6: _with(TRIPS, ROUTES) + f"""SELECT route_id, passengers, seats, {_percent('passengers', 'seats')} AS occupancy_pct

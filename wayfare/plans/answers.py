@@ -141,7 +141,7 @@ def q12_least_occupied_route_asof(
     trips: DataFrame, routes: DataFrame, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
     """As the changelog form, with the capacity and type that were valid at each trip's time."""
-    updates = lookup_asof(trips, routes, ["type", "capacity"], rows_per_task)
+    updates = lookup_asof(trips, routes, ["type", "capacity"], rows_per_task=rows_per_task)
     # the least update per route version is its first; numbers only, so this stays a hash aggregate
     firsts = updates.groupBy("route_id", "seq", "type", "capacity").agg(
         F.min("trips_so_far").alias("n"),

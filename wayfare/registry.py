@@ -107,7 +107,7 @@ def _avg_per_group(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _lookup_current(spark: SparkSession, sf: str) -> DataFrame:
-    updates = trip_count_changelog(tables.trips(spark, sf)).select("event_id", "route_id", "trips_so_far")
+    updates = trip_count_changelog(tables.trips(spark, sf).select("event_id", "route_id"))
     table = route_table(tables.routes(spark, sf)).select("route_id", "type", "operator", "capacity")
     looked_up = lookup_current(updates, table, "route_id")
     return looked_up.withColumn("occupancy", occupancy(F.col("trips_so_far"), F.col("capacity")))
@@ -119,7 +119,7 @@ def _lookup_asof(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _changelog(trips: DataFrame, **options) -> DataFrame:
-    return trip_count_changelog(trips, **options).select("event_id", "ts", "route_id", "trips_so_far")
+    return trip_count_changelog(trips.select("event_id", "ts", "route_id"), **options)
 
 
 def _hourly_type_occupancy(trips: DataFrame, routes: DataFrame) -> DataFrame:

@@ -79,3 +79,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = shared_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_shared(spark: SparkSession) -> None:
+    """Delete what this application wrote to the shared folder; call it when no result is in use any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
+        f"{shared_dir(spark)}/wayfare/{spark.sparkContext.applicationId}"
+    )
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
