@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from wayfare.operators.changelog import lookup_asof, lookup_current, route_table, trip_count_changelog
 from wayfare.operators.folds import joined_names, keyed_fold
-from wayfare.operators.ordered import running, running_count, running_last, running_max, running_sum, split_hot
+from wayfare.operators.ordered import (
+    hot_keys, row_count, running, running_count, running_last, running_max, running_sum, split,
+)
 from wayfare.operators.tables import upsert, with_new_ids
 from wayfare.operators.windows import late_events, on_time
 from wayfare.plans import answers as A
@@ -27,12 +29,13 @@ def logs(spark, request):
     return trips_df(spark, t).cache(), routes_df(spark, r).cache()
 
 
-def test_split_hot(logs):
+def test_hot_keys_are_set_apart(logs):
     trips, _ = logs
-    moderate, hot, n = split_hot(trips, ["route_id"], 200)
-    assert hot.select("route_id").distinct().count() == 1
-    assert hot.count() == n and moderate.count() + n == 600
-    assert split_hot(trips, ["route_id"], 600) == (trips, None, 0)
+    hot = hot_keys(trips, ["route_id"], 200)
+    assert hot.count() == 1
+    moderate, large = split(trips, ["route_id"], hot)
+    assert large.count() == row_count(hot) > 200 and moderate.count() + large.count() == 600
+    assert hot_keys(trips, ["route_id"], 600) is None
 
 
 def test_running_values(logs):

@@ -37,6 +37,20 @@ def test_bad_record_stops_or_is_set_apart(spark):
     assert [r.bad_record for r in bad.collect()] == ["{bad"]
 
 
+@pytest.mark.parametrize("text, want", [
+    ('{"k": 69}', 69), ('{"k":0}', 0), ('{"k":  7}', 7), ('{"k": -3}', -3), ('{"a": 1, "k": 5}', 5), ('{"a": 1}', 0),
+    (' {"k": 4} ', 4), ('{"k": 999999999999999999}', 999999999999999999), ('{"k": 9223372036854775807}', 2**63 - 1),
+])
+def test_json_number(spark, text, want):
+    assert texts(spark, text).select(json_log.json_number("value", "k")).first()[0] == want
+
+
+@pytest.mark.parametrize("text", ['{"k": 007}', '{"k": 1', '{"k": "x"}'])
+def test_json_number_refuses_bad_records(spark, text):
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        texts(spark, text).select(json_log.json_number("value", "k")).collect()
+
+
 def test_encode_is_the_inverse_of_decode(spark):
     trips = trips_df(spark, [trip(0, 3, 'a "quoted" -> name', None), trip(1, 4)])
     encoded = json_log.encode_trips(trips)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.group import GroupedData
 
-from wayfare.operators.ordered import ROWS_PER_TASK, running, running_count, sliced, split_hot
+from wayfare.operators.ordered import ROWS_PER_TASK, hot_keys, row_count, running_count, running_with, sliced, split
 from wayfare.operators.rollups import ARRIVAL, at
 
 # A list of names this long is about a megabyte of text; longer lists go on in further rows.
@@ -32,11 +32,18 @@ def joined_names(
     which as one cell could outgrow a task or the limit of a string.
     """
     keyed = trips.filter(F.col(key).isNotNull()).select(key, name, *order)
-    moderate, hot, _ = split_hot(keyed, [key], names_per_part)
-    rows = moderate.withColumn("part", F.lit(0).cast("bigint"))
-    if hot is not None:
-        numbered = running(hot, [key], order, {"n": running_count()}, rows_per_task)
-        rows = rows.unionByName(numbered.withColumn("part", F.floor((F.col("n") - 1) / names_per_part)).drop("n"))
+    hot = hot_keys(keyed, [key], names_per_part)
+    first = F.lit(0).cast("bigint").alias("part")
+    if hot is None:
+        rows = keyed.select("*", first)
+    else:
+        moderate, long = split(keyed, [key], hot)
+        hotter = hot.filter(F.col("n") > rows_per_task)
+        numbered = running_with(
+            long, [key], order, {"n": running_count()}, None if hotter.isEmpty() else hotter, rows_per_task
+        )
+        part = F.floor((F.col("n") - 1) / names_per_part).alias("part")
+        rows = moderate.select("*", first).unionByName(numbered.select(*keyed.columns, part))
     text = F.expr(f"listagg(`{name}`, '{separator}') WITHIN GROUP (ORDER BY place)")
     return rows.withColumn("place", at(order)).groupBy(key, "part").agg(text.alias("names"))
 
@@ -62,10 +69,11 @@ def keyed_fold(
         return groups.agg(F.aggregate(items, init, lambda acc, x: function(acc, x[item])).alias("state"))
 
     rows = df.filter(F.col(key).isNotNull()).select(key, *order, value.alias("value"))
-    moderate, hot, hot_rows = split_hot(rows, [key], rows_per_fold)
-    states = folded(moderate.groupBy(key), order, "value", step)
+    hot = hot_keys(rows, [key], rows_per_fold)
     if hot is None:
-        return states
-    slices = sliced(hot, [key], order, hot_rows, rows_per_fold)
+        return folded(rows.groupBy(key), order, "value", step)
+    moderate, large = split(rows, [key], hot)
+    slices = sliced(large, [key], order, row_count(hot), rows_per_fold)
     partial = folded(slices.groupBy(key, "slice"), order, "value", step)
-    return states.unionByName(folded(partial.groupBy(key), ["slice"], "state", merge))
+    merged = folded(partial.groupBy(key), ["slice"], "state", merge)
+    return folded(moderate.groupBy(key), order, "value", step).unionByName(merged)

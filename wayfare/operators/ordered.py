@@ -71,21 +71,28 @@ def running_last(value: Column) -> Running:
     )
 
 
-def split_hot(df: DataFrame, keys: Sequence[str], limit: int) -> tuple[DataFrame, DataFrame | None, int]:
-    """(rows of keys up to ``limit`` rows, rows of larger keys, number of the latter).
+def hot_keys(df: DataFrame, keys: Sequence[str], limit: int) -> DataFrame | None:
+    """(keys, n) of the keys with more than ``limit`` rows, or None if there is none, the usual case.
 
-    One hash aggregate over the key columns decides. The hot rows are None if there are
-    none, the usual case, and ``df`` is then returned as it is. At most rows / limit keys
-    can be hot, which bounds the table of them that is broadcast.
+    One hash aggregate over the key columns decides. At most rows / limit keys can be
+    hot, which bounds the table.
     """
     sizes = df.groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") > limit)
-    n_hot, rows = sizes.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    if n_hot == 0:
-        return df, None, 0
+    if sizes.isEmpty():
+        return None
+    return written(sizes, "hot_keys")
+
+
+def split(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows of other keys, rows of the ``hot`` keys)."""
     if not keys:
-        return df.limit(0), df, rows
-    hot = F.broadcast(written(sizes.select(*keys), "hot_keys"))
-    return df.join(hot, list(keys), "left_anti"), df.join(hot, list(keys), "left_semi"), rows
+        return df.limit(0), df
+    found = F.broadcast(hot.select(*keys))
+    return df.join(found, list(keys), "left_anti"), df.join(found, list(keys), "left_semi")
+
+
+def row_count(hot: DataFrame) -> int:
+    return hot.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 
 def sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: int, rows_per_slice: int) -> DataFrame:
@@ -111,12 +118,25 @@ def running(
 
     ``order`` must be unique within a key, and keys not null. No keys means one log.
     """
-    moderate, hot, hot_rows = split_hot(df, keys, rows_per_task)
+    return running_with(df, keys, order, columns, hot_keys(df, keys, rows_per_task), rows_per_task)
+
+
+def running_with(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    columns: Mapping[str, Running],
+    hot: DataFrame | None,
+    rows_per_task: int,
+) -> DataFrame:
+    """:func:`running` for a caller that knows the keys with more than ``rows_per_task`` rows."""
     window = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    result = moderate.select("*", *[c.local.over(window).alias(name) for name, c in columns.items()])
+    local = [c.local.over(window).alias(name) for name, c in columns.items()]
     if hot is None:
-        return result
-    return result.unionByName(_running_sliced(hot, keys, order, columns, hot_rows, rows_per_task))
+        return df.select("*", *local)
+    moderate, large = split(df, keys, hot)
+    in_slices = _running_sliced(large, keys, order, columns, row_count(hot), rows_per_task)
+    return moderate.select("*", *local).unionByName(in_slices)
 
 
 def _running_sliced(

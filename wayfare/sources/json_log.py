@@ -57,6 +57,20 @@ def split_bad(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, decoded.filter(F.col(BAD_RECORD).isNotNull())
 
 
+def json_number(text: str, name: str) -> Column:
+    """The integer field ``name`` of JSON records, 0 where it is missing.
+
+    A record that is nothing but this field is read by a pattern, which takes a quarter
+    of the time of the JSON parser; any other record goes to the parser, and stops the
+    query if it is bad.
+    """
+    prefix = f'{{"{name}":'
+    alone = F.col(text).rlike(rf'^\{{"{name}": ?(0|[1-9][0-9]{{0,17}})\}}$')
+    digits = F.substring(F.col(text), F.lit(len(prefix) + 1), F.length(text) - len(prefix) - 1)
+    parsed = F.from_json(text, f"{name} BIGINT", {"mode": "FAILFAST"})[name]
+    return F.when(alone, digits.cast("bigint")).otherwise(F.coalesce(parsed, F.lit(0).cast("bigint")))
+
+
 def _encode(df: DataFrame, payload: T.StructType, names: list[str], keep: list[str]) -> DataFrame:
     fields = [F.col(f.name).alias(n) for f, n in zip(payload.fields, names)]
     return df.select(

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfare.schemas import TRANSPORT_TYPES
+from wayfare.sources.json_log import json_number
 
 SOURCE_PARTITIONS = 5
 SHIPMENT_ORDER = ["ts", "order_key", "line_number", "part_key", "supplier_key"]
@@ -20,11 +21,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def events_as_trips(events: DataFrame) -> DataFrame:
     """Events (batch or stream) as trips; the route id is decoded from the JSON properties."""
-    props = F.from_json("props", "k BIGINT", {"mode": "FAILFAST"})
     return events.select(
         "event_id",
         "ts",
-        F.coalesce(props["k"], F.lit(0)).cast("bigint").alias("route_id"),
+        json_number("props", "k").alias("route_id"),
         F.col("user_id").cast("string").alias("passenger_name"),
         F.lit(None).cast("string").alias("origin"),
         F.lit(None).cast("string").alias("destination"),
