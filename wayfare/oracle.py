@@ -16,8 +16,11 @@ ROUTES = """routes AS (
          TIMESTAMP '2024-01-01 00:00:00' + to_minutes((p_partkey // 100) * 60 + p_partkey % 100) AS effective_ts
   FROM part)"""
 
-# every trip with the running count of its route, and the latest version of every route
+# every trip with the running count of its route, in log order and in event time, and the latest
+# version of every route
 CHANGELOG = """u AS (
+  SELECT *, row_number() OVER (PARTITION BY route_id ORDER BY event_id) AS n FROM trips)"""
+TIMELINE = """u AS (
   SELECT *, row_number() OVER (PARTITION BY route_id ORDER BY ts, event_id) AS n FROM trips)"""
 LATEST = "lc AS (SELECT * FROM routes QUALIFY row_number() OVER (PARTITION BY route_id ORDER BY seq DESC) = 1)"
 UPDATES = """o AS (
@@ -96,15 +99,15 @@ FROM (SELECT count(*) AS total_passengers FROM trips HAVING count(*) > 0),
 FROM trips WHERE transport_type IS NOT NULL GROUP BY transport_type""",
     11: _with(TRIPS) + _top("trips", "transport_type", "passengers") % "event_id",
     12: _with(TRIPS, ROUTES, CHANGELOG, LATEST, UPDATES) + """SELECT type, route_id, occ AS occupancy FROM o
-QUALIFY row_number() OVER (PARTITION BY type ORDER BY occ, ts, event_id) = 1""",
+QUALIFY row_number() OVER (PARTITION BY type ORDER BY occ, event_id) = 1""",
     13: _with(TRIPS) + """SELECT date_trunc('hour', ts) AS window_start, transport_type, count(*) AS trips
 FROM trips GROUP BY ALL ORDER BY trips DESC, max(event_id) LIMIT 1""",
     14: _with(TRIPS, ROUTES, CHANGELOG, LATEST, UPDATES, """w AS (
-  SELECT date_trunc('hour', ts) AS window_start, type, ts, event_id,
-         sum(occ) OVER (PARTITION BY type, date_trunc('hour', ts) ORDER BY ts, event_id) AS total
-  FROM o)""") + "SELECT window_start, type, total AS occupancy FROM w ORDER BY total, ts, event_id LIMIT 1",
+  SELECT date_trunc('hour', ts) AS window_start, type, event_id,
+         sum(occ) OVER (PARTITION BY type, date_trunc('hour', ts) ORDER BY event_id) AS total
+  FROM o)""") + "SELECT window_start, type, total AS occupancy FROM w ORDER BY total, event_id LIMIT 1",
     15: _with(TRIPS, ROUTES, CHANGELOG, LATEST, UPDATES) + """SELECT operator, route_id, occ AS occupancy FROM o
-WHERE operator IS NOT NULL ORDER BY occ DESC, ts, event_id LIMIT 1""",
+WHERE operator IS NOT NULL ORDER BY occ DESC, event_id LIMIT 1""",
     16: _with(TRIPS) + _top("trips", "passenger_name") % "event_id",
 }
 
@@ -148,7 +151,7 @@ SQL = {
   FROM (SELECT route_id, count(*) AS n FROM trips GROUP BY route_id) JOIN lc USING (route_id))
 QUALIFY row_number() OVER (PARTITION BY type ORDER BY occupancy, route_id) = 1""",
     "q12_least_occupied_route_changelog": Q[12],
-    "q12_least_occupied_route_asof": _with(TRIPS, ROUTES, CHANGELOG, ASOF)
+    "q12_least_occupied_route_asof": _with(TRIPS, ROUTES, TIMELINE, ASOF)
     + """SELECT type, route_id, CAST(n AS DOUBLE) / capacity AS occupancy FROM a
 QUALIFY row_number() OVER (PARTITION BY type ORDER BY CAST(n AS DOUBLE) / capacity, ts, event_id) = 1""",
     "q13_top_hourly_type_all": Q[13],
@@ -234,7 +237,7 @@ FROM (SELECT id, name, type FROM suppliers
     "trip_count_changelog": _with(TRIPS, CHANGELOG) + "SELECT event_id, ts, route_id, n AS trips_so_far FROM u",
     "lookup_current": _with(TRIPS, ROUTES, CHANGELOG, LATEST, UPDATES) + """SELECT event_id, route_id,
   n AS trips_so_far, type, operator, capacity, occ AS occupancy FROM o""",
-    "lookup_asof": _with(TRIPS, ROUTES, CHANGELOG, ASOF) + """SELECT event_id, route_id, n AS trips_so_far, seq, type,
+    "lookup_asof": _with(TRIPS, ROUTES, TIMELINE, ASOF) + """SELECT event_id, route_id, n AS trips_so_far, seq, type,
   operator, capacity FROM a""",
     "hourly_type_counts": _with(TRIPS) + """SELECT date_trunc('hour', ts) AS window_start, transport_type,
   count(*) AS trips, max(event_id) AS last_at FROM trips GROUP BY ALL""",

@@ -38,7 +38,8 @@ ROUTE = T.StructType(ROUTE_PAYLOAD.fields + [
     T.StructField("seq", T.LongType()),
 ])
 
-RESULT = T.StructType([
+RESULT_ROW = T.StructType([
+    T.StructField("result_table", T.StringType()),
     T.StructField("id", T.StringType()),
     T.StructField("result", T.StringType()),
 ])

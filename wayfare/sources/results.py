@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.schemas import RESULT_TABLES
+from wayfare.schemas import RESULT_ROW, RESULT_TABLES
 
 
 def write_result_tables(rows: DataFrame, path: str) -> None:
@@ -15,7 +15,7 @@ def write_result_tables(rows: DataFrame, path: str) -> None:
 
 def results_scan(spark: SparkSession, path: str, query: int | None = None) -> DataFrame:
     """All result tables, or the one of a question; only its folder is read then."""
-    rows = spark.read.schema("id STRING, result STRING, result_table STRING").parquet(path)
+    rows = spark.read.schema(RESULT_ROW).parquet(path)
     if query is None:
-        return rows.select("result_table", "id", "result")
+        return rows.select(*RESULT_ROW.names)
     return rows.filter(F.col("result_table") == RESULT_TABLES[query]).select("id", "result")

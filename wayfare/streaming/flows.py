@@ -9,7 +9,7 @@ one per trip.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +21,7 @@ from wayfare.operators.extremes import least_per
 from wayfare.operators.results import with_result_table
 from wayfare.operators.windows import hourly_type_occupancy, window_start
 from wayfare.plans import answers as A
-from wayfare.schemas import RESULT_TABLES
+from wayfare.schemas import RESULT_ROW, RESULT_TABLES
 from wayfare.session import shared_path, stream_session
 from wayfare.sources.tables import events_as_trips, parts_as_routes
 from wayfare.streaming.keyed import KeyedTable
@@ -83,8 +83,8 @@ FLOWS = {
     "route_seats": Flow("routes", ("route_id",), _seats),
     "route_latest": Flow("routes", ("route_id",), _latest),
     "seat_total": Flow("routes", ("id",), _total("total_seats", lambda: F.sum("capacity"))),
-    # the list of passengers grows with every trip, so its trips are kept as rows and joined on reading
-    "passenger_rows": Flow("trips", ("event_id",), lambda trips: trips.select("event_id", "route_id", "passenger_name")),
+    # a list of passengers grows with every trip, so the trips are kept as rows and put together on reading
+    "passenger_rows": Flow("trips", (), lambda trips: trips.select("event_id", "route_id", "passenger_name")),
 }
 
 Handler = Callable[[DataFrame, int], None]
@@ -98,14 +98,24 @@ class Flows:
     root: str
     trips: DataFrame
     routes: DataFrame
-    tables: dict[str, KeyedTable] = field(default_factory=dict)
+
+    def _log(self, name: str) -> DataFrame:
+        return self.trips if FLOWS[name].log == "trips" else self.routes
+
+    def table(self, name: str) -> KeyedTable:
+        flow = FLOWS[name]
+        return KeyedTable(f"{self.root}/tables/{name}", flow.rows(self._log(name)).schema, flow.keys)
+
+    def results(self) -> KeyedTable:
+        """The result tables, a folder each."""
+        return KeyedTable(
+            f"{self.root}/tables/results", RESULT_ROW, ("result_table", "id"), partition_by=("result_table",)
+        )
 
     def start(self, name: str, then: Handler | None = None) -> StreamingQuery:
         """Process what the log holds by now. ``then`` sees each batch after its rows are stored."""
-        flow = FLOWS[name]
-        log = self.trips if flow.log == "trips" else self.routes
-        rows = flow.rows(log.observe(name, F.count("*").alias("rows_in")))
-        table = self.tables[name] = KeyedTable(self.spark, f"{self.root}/tables/{name}", rows.schema, flow.keys)
+        table = self.table(name)
+        rows = FLOWS[name].rows(self._log(name).observe(name, F.count("*").alias("rows_in")))
 
         def store(changes: DataFrame, batch_id: int) -> None:
             if then is None:
@@ -131,7 +141,7 @@ class Flows:
             query.awaitTermination()
 
     def read(self, name: str, spark: SparkSession | None = None) -> DataFrame:
-        return self.tables[name].read(spark or self.spark)
+        return self.table(name).read(spark or self.spark)
 
 
 def least_occupied_updates(flows: Flows) -> KeyedTable:
@@ -140,9 +150,8 @@ def least_occupied_updates(flows: Flows) -> KeyedTable:
     Each changed count looks up the route version known at that moment; a count without one
     is dropped for good. Updates within one batch are seen as one.
     """
-    spark = flows.spark
-    schema = "type STRING, occupancy DOUBLE, first_at LONG, route_id LONG"
-    table = KeyedTable(spark, f"{flows.root}/tables/least_occupied", StructType.fromDDL(schema), ["type"])
+    schema = StructType().add("type", "string").add("occupancy", "double").add("at", "long").add("route_id", "long")
+    table = KeyedTable(f"{flows.root}/tables/least_occupied", schema, ["type"])
 
     def fold(changes: DataFrame, batch_id: int) -> None:
         session = changes.sparkSession
@@ -150,10 +159,10 @@ def least_occupied_updates(flows: Flows) -> KeyedTable:
         updates = changes.join(known, "route_id").select(
             F.coalesce("type", F.lit(A.UNKNOWN)).alias("type"),
             occupancy(F.col("trips"), F.col("capacity")).alias("occupancy"),
-            F.col("last_at").alias("first_at"),
+            F.col("last_at").alias("at"),
             "route_id",
         )
-        best = least_per(table.read(session, before=batch_id).unionByName(updates), "type", "occupancy", "first_at")
+        best = least_per(table.read(session, before=batch_id).unionByName(updates), "type", "occupancy", "at")
         table.write(best, batch_id)
 
     flows.start("route_trips", fold).awaitTermination()
@@ -218,6 +227,20 @@ def results_from(flows: Flows, spark: SparkSession, queries: Sequence[int] = tup
     return rows
 
 
+def publish(
+    flows: Flows, spark: SparkSession, version: int, queries: Sequence[int] = tuple(RESULT_TABLES)
+) -> DataFrame:
+    """Put the present answers into the result tables, as the state of ``version``, and read them back.
+
+    Versions must rise. Only rows that differ from what the tables hold are written.
+    """
+    table = flows.results()
+    rows = results_from(flows, spark, queries)
+    changed = rows.join(table.read(spark, before=version), RESULT_ROW.names, "left_anti")
+    table.write(changed, version)
+    return table.read(spark)
+
+
 def hourly_type_counts_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     flows = flows_over(spark, sf_dir)
     flows.run("type_hours")
@@ -245,4 +268,4 @@ def least_occupied_route_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 def results_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     flows = flows_over(spark, sf_dir)
     flows.run(*FLOWS)
-    return results_from(flows, spark)
+    return publish(flows, spark, version=0)

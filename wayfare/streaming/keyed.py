@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,54 +20,68 @@ from wayfare.operators.tables import latest_per_key
 
 SNAPSHOT_EVERY = 100
 BATCH = "batch"
+MARK = T.StructType([T.StructField("upto", T.LongType())])
 
 
 class KeyedTable:
-    """Latest row per key, written by one stream and read by any session."""
+    """Latest row per key, written by one stream and read by any session.
+
+    Without keys it is a plain log, in which every row of every batch counts.
+    ``partition_by`` names key columns that get a folder per value.
+    """
 
     def __init__(
-        self, spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str],
-        snapshot_every: int = SNAPSHOT_EVERY,
+        self, path: str, schema: T.StructType, keys: Sequence[str],
+        partition_by: Sequence[str] = (), snapshot_every: int = SNAPSHOT_EVERY,
     ):
-        self.path, self.schema, self.keys, self.snapshot_every = path, schema, list(keys), snapshot_every
-        self._with_batch = T.StructType(schema.fields + [T.StructField(BATCH, T.LongType())])
-        self._mark_schema = T.StructType([T.StructField("upto", T.LongType())])
-        # empty first folders, so that reading needs no special case
-        spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{path}/changes/{BATCH}=-1")
-        spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{path}/snapshots/{BATCH}=-1")
-        spark.createDataFrame([], self._mark_schema).write.mode("ignore").parquet(f"{path}/marks")
-
-    def _snapshot(self, spark: SparkSession, before: int | None) -> int:
+        self.path, self.schema, self.keys = path, schema, list(keys)
+        self.partition_by, self.snapshot_every = list(partition_by), snapshot_every
+
+    def _folder(self, spark: SparkSession, name: str, schema: T.StructType) -> DataFrame:
+        try:
+            return spark.read.schema(schema).parquet(f"{self.path}/{name}")
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return spark.createDataFrame([], schema)
+
+    def _rows(self, spark: SparkSession, name: str) -> DataFrame:
+        return self._folder(spark, name, T.StructType(self.schema.fields + [T.StructField(BATCH, T.LongType())]))
+
+    def _snapshot(self, spark: SparkSession, before: int | None) -> int | None:
         """The newest finished snapshot; a mark is written only after its snapshot."""
-        marks = spark.read.schema(self._mark_schema).parquet(f"{self.path}/marks")
+        marks = self._folder(spark, "marks", MARK)
         if before is not None:
             marks = marks.filter(F.col("upto") < before)
-        return marks.agg(F.coalesce(F.max("upto"), F.lit(-1))).first()[0]
+        return marks.agg(F.max("upto")).first()[0]
 
     def read(self, spark: SparkSession, before: int | None = None) -> DataFrame:
         """The table as it was ``before`` a batch, or as it is now."""
-        upto = self._snapshot(spark, before)
-
-        def folder(name: str) -> DataFrame:
-            return spark.read.schema(self._with_batch).parquet(f"{self.path}/{name}")
-
-        rows = folder("snapshots").filter(F.col(BATCH) == upto).unionByName(
-            folder("changes").filter(F.col(BATCH) > upto)
-        )
+        rows = self._rows(spark, "changes")
         if before is not None:
             rows = rows.filter(F.col(BATCH) < before)
+        if not self.keys:
+            return rows.select(*self.schema.names)
+        upto = self._snapshot(spark, before)
+        if upto is not None:
+            snapshot = self._rows(spark, "snapshots").filter(F.col(BATCH) == upto)
+            rows = snapshot.unionByName(rows.filter(F.col(BATCH) > upto))
         return latest_per_key(rows, self.keys, [BATCH]).select(*self.schema.names)
 
     def write(self, changes: DataFrame, batch_id: int) -> None:
         """The changed rows of a batch; a key occurs at most once in them."""
-        rows = changes.select(*self.schema.names)
-        # few files of a good size, whatever the number of shuffle partitions
-        rows.hint("rebalance").write.mode("overwrite").parquet(f"{self.path}/changes/{BATCH}={batch_id}")
-        if batch_id and batch_id % self.snapshot_every == 0:
+        self._store(changes.select(*self.schema.names), "changes", batch_id)
+        if self.keys and batch_id and batch_id % self.snapshot_every == 0:
             self.take_snapshot(changes.sparkSession, batch_id)
 
+    def _store(self, rows: DataFrame, name: str, batch_id: int) -> None:
+        if self.keys:
+            # few files of a good size, whatever the number of shuffle partitions
+            rows = rows.hint("rebalance", *self.partition_by)
+        writer = rows.write.mode("overwrite").partitionBy(*self.partition_by)
+        writer.parquet(f"{self.path}/{name}/{BATCH}={batch_id}")
+
     def take_snapshot(self, spark: SparkSession, batch_id: int) -> None:
-        rows = self.read(spark, before=batch_id + 1)
-        rows.hint("rebalance").write.mode("overwrite").parquet(f"{self.path}/snapshots/{BATCH}={batch_id}")
+        self._store(self.read(spark, before=batch_id + 1), "snapshots", batch_id)
         mark = spark.range(1).select(F.lit(batch_id).cast("bigint").alias("upto"))
         mark.write.mode("append").parquet(f"{self.path}/marks")
