@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from wayfare.operators.changelog import lookup_asof, lookup_current, route_table, trip_count_changelog
 from wayfare.operators.folds import joined_names, keyed_fold
 from wayfare.operators.ordered import (
-    hot_keys, row_count, running, running_count, running_last, running_max, running_sum, split,
+    hot_keys, row_count, running, running_count, running_last, running_max, running_sum, slice_number, split,
 )
 from wayfare.operators.tables import upsert, with_new_ids
 from wayfare.operators.windows import late_events, on_time
@@ -81,6 +81,14 @@ def test_long_lists_of_names_go_on_in_further_parts(logs):
     assert {k: ", ".join(v) for k, v in joined.items()} == whole
 
 
+@pytest.mark.parametrize("rows, per_slice, parallel, want", [
+    (0, 10, 8, 1), (5, 10, 8, 4), (25, 10, 8, 8), (25, 10, 2, 3), (10**12, 4_000_000, 4000, 10_000),
+    (10**12, 4_000_000, 50_000, 50_000), (10**10, 4_000_000, 400, 2500),
+])
+def test_slice_number(rows, per_slice, parallel, want):
+    assert slice_number(rows, per_slice, parallel) == want
+
+
 def test_keyed_fold_in_order(logs):
     trips, _ = logs
     text = dict(

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.group import GroupedData
 
-from wayfare.operators.ordered import ROWS_PER_TASK, hot_keys, row_count, running_count, running_with, sliced, split
+from wayfare.operators.ordered import ROWS_PER_TASK, hot_keys, row_count, running_count, running_sliced, running_with, sliced, split
 from wayfare.operators.rollups import ARRIVAL, at
 
 # A list of names this long is about a megabyte of text; longer lists go on in further rows.
@@ -32,20 +33,31 @@ def joined_names(
     which as one cell could outgrow a task or the limit of a string.
     """
     keyed = trips.filter(F.col(key).isNotNull()).select(key, name, *order)
+    text = F.expr(f"listagg(`{name}`, '{separator}') WITHIN GROUP (ORDER BY place)").alias("names")
+
+    def joined(rows: DataFrame, part: Column) -> DataFrame:
+        return rows.select(key, name, at(order).alias("place"), part.alias("part")).groupBy(key, "part").agg(text)
+
+    whole = F.lit(0).cast("bigint")
     hot = hot_keys(keyed, [key], names_per_part)
-    first = F.lit(0).cast("bigint").alias("part")
     if hot is None:
-        rows = keyed.select("*", first)
-    else:
-        moderate, long = split(keyed, [key], hot)
-        hotter = hot.filter(F.col("n") > rows_per_task)
-        numbered = running_with(
-            long, [key], order, {"n": running_count()}, None if hotter.isEmpty() else hotter, rows_per_task
+        return joined(keyed, whole)
+    # one branch per size of key, each put together before the union: rows numbered in a window by
+    # key are in place for grouping by key and part, and need no second shuffle
+    short, long = split(keyed, [key], hot)
+    numbered_part = F.floor((F.col("n") - 1) / names_per_part)
+    number = {"n": running_count()}
+    hotter = hot.filter(F.col("n") > rows_per_task)
+    if hotter.isEmpty():
+        return joined(short, whole).unionByName(
+            joined(running_with(long, [key], order, number, None, rows_per_task), numbered_part)
         )
-        part = F.floor((F.col("n") - 1) / names_per_part).alias("part")
-        rows = moderate.select("*", first).unionByName(numbered.select(*keyed.columns, part))
-    text = F.expr(f"listagg(`{name}`, '{separator}') WITHIN GROUP (ORDER BY place)")
-    return rows.withColumn("place", at(order)).groupBy(key, "part").agg(text.alias("names"))
+    long, huge = split(long, [key], hotter)
+    return (
+        joined(short, whole)
+        .unionByName(joined(running_with(long, [key], order, number, None, rows_per_task), numbered_part))
+        .unionByName(joined(running_sliced(huge, [key], order, number, row_count(hotter), rows_per_task), numbered_part))
+    )
 
 
 def keyed_fold(
@@ -61,7 +73,7 @@ def keyed_fold(
     """(key, state): ``step`` folded over the values of a key in order, from ``init``.
 
     ``merge`` joins the states of two neighbouring stretches of a key. It lets a key with
-    more than ``rows_per_fold`` rows be folded in slices, so no array outgrows a task.
+    more than ``rows_per_fold`` rows be folded in chunks, so no array outgrows a task.
     ``init`` must be neutral for ``merge``.
     """
     def folded(groups: GroupedData, columns: Sequence[str], item: str, function) -> DataFrame:
@@ -73,7 +85,11 @@ def keyed_fold(
     if hot is None:
         return folded(rows.groupBy(key), order, "value", step)
     moderate, large = split(rows, [key], hot)
-    slices = sliced(large, [key], order, row_count(hot), rows_per_fold)
-    partial = folded(slices.groupBy(key, "slice"), order, "value", step)
-    merged = folded(partial.groupBy(key), ["slice"], "state", merge)
-    return folded(moderate.groupBy(key), order, "value", step).unionByName(merged)
+    slices = sliced(large, [key], order, row_count(hot), ROWS_PER_TASK)
+    place = F.row_number().over(W.partitionBy("slice", key).orderBy(*order))
+    chunks = slices.withColumn("chunk", F.floor((place - 1) / rows_per_fold))
+    # rows to chunks, chunks to slices, slices to keys: no array holds more than one level of one group
+    by_chunk = folded(chunks.groupBy(key, "slice", "chunk"), order, "value", step)
+    by_slice = folded(by_chunk.groupBy(key, "slice"), ["chunk"], "state", merge)
+    by_key = folded(by_slice.groupBy(key), ["slice"], "state", merge)
+    return folded(moderate.groupBy(key), order, "value", step).unionByName(by_key)

@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from wayfare.session import written
 
 ROWS_PER_TASK = 4_000_000
+# More slices than this make the shuffle itself the bottleneck; slices then grow instead, and spill.
+MOST_SLICES = 10_000
 
 
 @dataclass(frozen=True)
@@ -78,9 +80,8 @@ def hot_keys(df: DataFrame, keys: Sequence[str], limit: int) -> DataFrame | None
     hot, which bounds the table.
     """
     sizes = df.groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") > limit)
-    if sizes.isEmpty():
-        return None
-    return written(sizes, "hot_keys")
+    hot = written(sizes, "hot_keys")
+    return None if hot.isEmpty() else hot
 
 
 def split(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -95,6 +96,13 @@ def row_count(hot: DataFrame) -> int:
     return hot.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 
+def slice_number(rows: int, rows_per_slice: int, parallel: int) -> int:
+    """Slices of at most ``rows_per_slice`` rows; smaller ones as long as tasks would be idle otherwise."""
+    needed = math.ceil(rows / rows_per_slice)
+    useful = min(parallel, math.ceil(8 * rows / rows_per_slice))
+    return max(1, min(max(needed, useful), max(MOST_SLICES, parallel)))
+
+
 def sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: int, rows_per_slice: int) -> DataFrame:
     """``df`` with a column ``slice`` that rises with (keys, order), written to the shared folder.
 
@@ -102,7 +110,7 @@ def sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: int,
     bounds come from a sample, so a second evaluation could draw them differently.
     """
     parallel = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    n = max(math.ceil(rows / rows_per_slice), parallel)
+    n = slice_number(rows, rows_per_slice, parallel)
     ranged = df.repartitionByRange(n, *keys, *order).withColumn("slice", F.spark_partition_id())
     return written(ranged, "slices")
 
@@ -135,14 +143,15 @@ def running_with(
     if hot is None:
         return df.select("*", *local)
     moderate, large = split(df, keys, hot)
-    in_slices = _running_sliced(large, keys, order, columns, row_count(hot), rows_per_task)
+    in_slices = running_sliced(large, keys, order, columns, row_count(hot), rows_per_task)
     return moderate.select("*", *local).unionByName(in_slices)
 
 
-def _running_sliced(
+def running_sliced(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Mapping[str, Running],
     rows: int, rows_per_task: int,
 ) -> DataFrame:
+    """:func:`running` for ``rows`` rows of hot keys: slice by slice, with the totals before carried in."""
     rows_in = sliced(df, keys, order, rows, rows_per_task)
     window = W.partitionBy("slice", *keys).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
     local = rows_in.select("*", *[c.local.over(window).alias(name) for name, c in columns.items()])

@@ -25,11 +25,11 @@ def window_start(ts: str = "ts", size: str = HOUR) -> Column:
 
 
 def hourly_type_counts(trips: DataFrame, order: Sequence[str] = ARRIVAL, size: str = HOUR) -> DataFrame:
-    """Trips per window and transport type, with the place of the last one."""
+    """Trips per window and transport type, with the places of the first and last one."""
     return (
         trips.filter(F.col("transport_type").isNotNull())
         .groupBy(window_start(size=size).alias("window_start"), "transport_type")
-        .agg(F.count("*").alias("trips"), F.max(at(order)).alias("last_at"))
+        .agg(F.count("*").alias("trips"), F.min(at(order)).alias("first_at"), F.max(at(order)).alias("last_at"))
     )
 
 

@@ -240,7 +240,7 @@ FROM (SELECT id, name, type FROM suppliers
     "lookup_asof": _with(TRIPS, ROUTES, TIMELINE, ASOF) + """SELECT event_id, route_id, n AS trips_so_far, seq, type,
   operator, capacity FROM a""",
     "hourly_type_counts": _with(TRIPS) + """SELECT date_trunc('hour', ts) AS window_start, transport_type,
-  count(*) AS trips, max(event_id) AS last_at FROM trips GROUP BY ALL""",
+  count(*) AS trips, min(event_id) AS first_at, max(event_id) AS last_at FROM trips GROUP BY ALL""",
     "hourly_type_occupancy": _with(TRIPS, ROUTES, CHANGELOG, LATEST, UPDATES, HOURS) + """SELECT window_start, type,
   round(total, 6) AS occupancy, updates, first_occ AS first_occupancy FROM h""",
     "late_events": _with(TRIPS, """t AS (

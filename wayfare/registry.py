@@ -17,6 +17,7 @@ from wayfare.operators.rollups import avg_per_group, trip_counts
 from wayfare.operators.tables import checked, latest_per_key, upsert, with_new_ids
 from wayfare.operators.windows import hourly_route_counts, hourly_type_counts, hourly_type_occupancy, late_events
 from wayfare.plans import answers as A
+from wayfare.plans.report import all_answers, result_table_rows
 from wayfare.schemas import OPERATORS, TRANSPORT_TYPES
 from wayfare.session import shared_path
 from wayfare.sources import dimensions, json_log, tables
@@ -45,32 +46,8 @@ def _shipments(answer: Callable[..., DataFrame], **options) -> Query:
     return lambda spark, sf: answer(tables.shipment_log(spark, sf), order=tables.SHIPMENT_ORDER, **options)
 
 
-def answer_of(query: int, spark: SparkSession, sf: str) -> DataFrame:
-    """The typed answer to a question; where several forms exist, the one over the full changelog."""
-    trips, routes = tables.trips(spark, sf), tables.routes(spark, sf)
-    return {
-        4: lambda: A.q04_passengers_per_route(trips),
-        5: lambda: A.q05_seats_per_route(routes),
-        6: lambda: A.q06_occupancy_per_route(trips, routes),
-        7: lambda: A.q07_total_passengers(trips),
-        8: lambda: A.q08_total_seats(routes),
-        9: lambda: A.q09_total_occupancy(trips, routes),
-        10: lambda: A.q10_avg_passengers_per_type(trips),
-        11: lambda: A.q11_top_type(trips),
-        12: lambda: A.q12_least_occupied_route_changelog(trips, routes),
-        13: lambda: A.q13_top_hourly_type(trips),
-        14: lambda: A.q14_least_occupied_type_changelog(trips, routes),
-        15: lambda: A.q15_top_operator(trips, routes),
-        16: lambda: A.q16_top_passenger(trips),
-    }[query]()
-
-
 def all_result_rows(spark: SparkSession, sf: str) -> DataFrame:
-    rows = None
-    for query in R.RESULT_TABLES:
-        part = R.with_result_table(answer_of(query, spark, sf), query)
-        rows = part if rows is None else rows.unionByName(part)
-    return rows
+    return result_table_rows(all_answers(tables.trips(spark, sf), tables.routes(spark, sf)))
 
 
 def _results_scan(spark: SparkSession, sf: str) -> DataFrame:
@@ -80,7 +57,7 @@ def _results_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _result_envelope(spark: SparkSession, sf: str) -> DataFrame:
-    return R.result_envelope(R.result_rows(answer_of(5, spark, sf), 5), 5)
+    return R.result_envelope(R.result_rows(A.q05_seats_per_route(tables.routes(spark, sf)), 5), 5)
 
 
 def _decoded(spark: SparkSession, sf: str) -> DataFrame:

@@ -18,9 +18,9 @@ from pyspark.sql.types import StructType
 
 from wayfare.functions.ratios import occupancy
 from wayfare.operators.extremes import least_per
-from wayfare.operators.results import with_result_table
 from wayfare.operators.windows import hourly_type_occupancy, window_start
 from wayfare.plans import answers as A
+from wayfare.plans.report import result_table_rows
 from wayfare.schemas import RESULT_ROW, RESULT_TABLES
 from wayfare.session import shared_path, stream_session
 from wayfare.sources.tables import events_as_trips, parts_as_routes
@@ -220,11 +220,7 @@ def answers_from(flows: Flows, spark: SparkSession) -> dict[int, DataFrame]:
 def results_from(flows: Flows, spark: SparkSession, queries: Sequence[int] = tuple(RESULT_TABLES)) -> DataFrame:
     """(result_table, id, result) rows of the given questions."""
     answers = answers_from(flows, spark)
-    rows = None
-    for query in queries:
-        part = with_result_table(answers[query], query)
-        rows = part if rows is None else rows.unionByName(part)
-    return rows
+    return result_table_rows({query: answers[query] for query in queries})
 
 
 def publish(
