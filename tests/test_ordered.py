@@ -33,8 +33,12 @@ def test_hot_keys_are_set_apart(logs):
     trips, _ = logs
     hot = hot_keys(trips, ["route_id"], 200)
     assert hot.count() == 1
-    moderate, large = split(trips, ["route_id"], hot)
-    assert large.count() == row_count(hot) > 200 and moderate.count() + large.count() == 600
+    for limits in ({}, {"broadcast_bytes": 0, "salts": 4}):
+        moderate, large = split(trips, ["route_id"], hot, ["event_id"], **limits)
+        assert large.count() == row_count(hot) > 200 and moderate.count() + large.count() == 600
+        assert large.columns == moderate.columns == trips.columns
+        hot_id = hot.first().route_id
+        assert moderate.filter(F.col("route_id") == hot_id).isEmpty()
     assert hot_keys(trips, ["route_id"], 600) is None
 
 

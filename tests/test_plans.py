@@ -39,6 +39,8 @@ def test_windows_have_a_key(spark, name):
     ("q11_top_type", {"struct<event_id:bigint,event_type:string>"}),
     ("q13_top_hourly_type_all", {"struct<event_id:bigint,ts:timestamp_ntz,event_type:string>"}),
     ("q16_top_passenger", {"struct<event_id:bigint,user_id:bigint>"}),
+    ("q12_least_occupied_route", {"struct<props:string>", "struct<p_partkey:bigint,p_type:string,p_size:int>"}),
+    ("q15_top_operator", {"struct<event_id:bigint,props:string>", "struct<p_partkey:bigint,p_brand:string,p_size:int>"}),
     ("capacity_snapshot", {"struct<p_size:int>"}),
 ])
 def test_only_needed_columns_are_read(spark, name, columns):
@@ -52,6 +54,11 @@ def test_the_log_is_grouped_by_hash(spark, name):
     assert "HashAggregate" in text and "SortAggregate" not in text and "ObjectHashAggregate" not in text
 
 
+def test_json_is_decoded_once_per_row(spark):
+    text = plan(entry_module.queries()["trip_counts"](spark, SF))
+    assert sum("from_json" in line for line in text.splitlines()) == 1
+
+
 def test_lookup_is_pushed_to_the_scan(spark):
     assert "EqualTo(s_suppkey,7)" in plan(entry_module.queries()["lookup_supplier"](spark, SF))
 

@@ -7,15 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wayfare.operators.joins import join_by_key
 from wayfare.operators.ordered import ROWS_PER_TASK, running, running_count, running_last
 from wayfare.operators.rollups import ARRIVAL
 from wayfare.operators.tables import latest_per_key
 
-# A table of routes up to this size is sent to every task; it is measured, not guessed.
-BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 32
-
-
 def trip_count_changelog(
     trips: DataFrame, key: str = "route_id", order: Sequence[str] = ARRIVAL, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
@@ -24,37 +20,19 @@ def trip_count_changelog(
     return running(keyed, [key], order, {"trips_so_far": running_count()}, rows_per_task)
 
 
-def route_table(routes: DataFrame) -> DataFrame:
-    """The latest version of each route."""
-    return latest_per_key(routes, ["route_id"], ["seq"])
-
-
-def measured_bytes(df: DataFrame) -> int:
-    """Size of a table as rows of text and 8-byte fields, by one aggregate over it."""
-    text = [F.coalesce(F.octet_length(F.col(f.name).cast("string")), F.lit(0)) for f in df.schema.fields]
-    width = sum((t + 16 for t in text), F.lit(0).cast("bigint"))
-    return df.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
+def route_table(routes: DataFrame, *fields: str) -> DataFrame:
+    """The latest version of each route: all of it, or the given fields beside the id, which alone are then read."""
+    if not fields:
+        return latest_per_key(routes, ["route_id"], ["seq"])
+    versions = routes.select("route_id", "seq", *fields)
+    return latest_per_key(versions, ["route_id"], ["seq"]).drop("seq")
 
 
 def lookup_current(
-    rows: DataFrame,
-    dimension: DataFrame,
-    key: str,
-    spread_by: Sequence[str] = ARRIVAL,
-    broadcast_bytes: int = BROADCAST_BYTES,
-    salts: int = SALTS,
+    rows: DataFrame, dimension: DataFrame, key: str, spread_by: Sequence[str] = ARRIVAL, **limits: int
 ) -> DataFrame:
-    """Inner join of a log with a table that is unique by ``key``.
-
-    A small table is broadcast once its size is known. A larger one is joined on (key,
-    salt): the log spreads each key over ``salts`` by the hash of ``spread_by``, and
-    the table carries a copy per salt, so that a hot key is shared by many tasks.
-    """
-    if measured_bytes(dimension) <= broadcast_bytes:
-        return rows.join(F.broadcast(dimension), key)
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
-    copies = dimension.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return rows.withColumn("salt", salt).join(copies, [key, "salt"]).drop("salt")
+    """Each row with the latest row of its key; rows whose key is unknown are dropped."""
+    return join_by_key(rows, dimension, [key], "inner", spread_by, **limits)
 
 
 def with_route_as_of(

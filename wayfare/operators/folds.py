@@ -44,7 +44,7 @@ def joined_names(
         return joined(keyed, whole)
     # one branch per size of key, each put together before the union: rows numbered in a window by
     # key are in place for grouping by key and part, and need no second shuffle
-    short, long = split(keyed, [key], hot)
+    short, long = split(keyed, [key], hot, order)
     numbered_part = F.floor((F.col("n") - 1) / names_per_part)
     number = {"n": running_count()}
     hotter = hot.filter(F.col("n") > rows_per_task)
@@ -52,7 +52,7 @@ def joined_names(
         return joined(short, whole).unionByName(
             joined(running_with(long, [key], order, number, None, rows_per_task), numbered_part)
         )
-    long, huge = split(long, [key], hotter)
+    long, huge = split(long, [key], hotter, order)
     return (
         joined(short, whole)
         .unionByName(joined(running_with(long, [key], order, number, None, rows_per_task), numbered_part))
@@ -84,7 +84,7 @@ def keyed_fold(
     hot = hot_keys(rows, [key], rows_per_fold)
     if hot is None:
         return folded(rows.groupBy(key), order, "value", step)
-    moderate, large = split(rows, [key], hot)
+    moderate, large = split(rows, [key], hot, order)
     slices = sliced(large, [key], order, row_count(hot), ROWS_PER_TASK)
     place = F.row_number().over(W.partitionBy("slice", key).orderBy(*order))
     chunks = slices.withColumn("chunk", F.floor((place - 1) / rows_per_fold))

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from wayfare.operators.joins import joiner
 from wayfare.session import written
 
 ROWS_PER_TASK = 4_000_000
@@ -76,20 +77,21 @@ def running_last(value: Column) -> Running:
 def hot_keys(df: DataFrame, keys: Sequence[str], limit: int) -> DataFrame | None:
     """(keys, n) of the keys with more than ``limit`` rows, or None if there is none, the usual case.
 
-    One hash aggregate over the key columns decides. At most rows / limit keys can be
-    hot, which bounds the table.
+    One hash aggregate over the key columns decides. At most rows / limit keys can be hot.
     """
     sizes = df.groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") > limit)
     hot = written(sizes, "hot_keys")
     return None if hot.isEmpty() else hot
 
 
-def split(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+def split(
+    df: DataFrame, keys: Sequence[str], hot: DataFrame, spread_by: Sequence[str], **limits: int
+) -> tuple[DataFrame, DataFrame]:
     """(rows of other keys, rows of the ``hot`` keys)."""
     if not keys:
         return df.limit(0), df
-    found = F.broadcast(hot.select(*keys))
-    return df.join(found, list(keys), "left_anti"), df.join(found, list(keys), "left_semi")
+    join = joiner(hot.select(*keys), keys, spread_by, **limits)
+    return join(df, "left_anti"), join(df, "left_semi")
 
 
 def row_count(hot: DataFrame) -> int:
@@ -142,7 +144,7 @@ def running_with(
     local = [c.local.over(window).alias(name) for name, c in columns.items()]
     if hot is None:
         return df.select("*", *local)
-    moderate, large = split(df, keys, hot)
+    moderate, large = split(df, keys, hot, order)
     in_slices = running_sliced(large, keys, order, columns, row_count(hot), rows_per_task)
     return moderate.select("*", *local).unionByName(in_slices)
 

@@ -261,6 +261,9 @@ FROM trips GROUP BY route_id""",
 FROM (SELECT route_id, count(*) AS n FROM trips GROUP BY route_id) JOIN lc USING (route_id)""",
     "stream_hourly_type_counts": _with(TRIPS) + """SELECT date_trunc('hour', ts) AS window_start, transport_type,
   count(*) AS trips FROM trips GROUP BY ALL""",
+    "stream_closed_hours": _with(TRIPS) + """SELECT date_trunc('hour', ts) AS window_start, transport_type,
+  count(*) AS trips FROM trips WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM trips)
+GROUP BY ALL""",
     "stream_occupancy_per_route": Q[6],
     "stream_top_type": Q[11],
     "stream_results": RESULT_ROWS,

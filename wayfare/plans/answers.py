@@ -98,18 +98,14 @@ def q11_from(type_trips: DataFrame) -> DataFrame:
     return top.select("transport_type", F.col("trips").alias("passengers"))
 
 
-def _route_occupancy(route_trips: DataFrame, table: DataFrame) -> DataFrame:
-    return route_trips.join(table.select("route_id", "type", "operator", "capacity"), "route_id")
-
-
 def q12_least_occupied_route(trips: DataFrame, routes: DataFrame, order: Sequence[str] = ARRIVAL) -> DataFrame:
     """Per route type the route that is least full now; ties go to the smaller id."""
     counts = trip_counts(trips, "route_id", order).select("route_id", "trips")
-    return q12_from(counts, route_table(routes))
+    return q12_from(counts, route_table(routes, "type", "capacity"))
 
 
 def q12_from(route_trips: DataFrame, table: DataFrame) -> DataFrame:
-    rows = _route_occupancy(route_trips, table).select(
+    rows = route_trips.join(table, "route_id").select(
         F.coalesce("type", F.lit(UNKNOWN)).alias("type"),
         "route_id",
         occupancy(F.col("trips"), F.col("capacity")).alias("occupancy"),
@@ -124,11 +120,11 @@ def q12_least_occupied_route_changelog(
 
     Occupancy grows with each trip, so the least update of a route is that of its first trip.
     """
-    return q12_changelog_from(trip_counts(trips, "route_id", order), route_table(routes))
+    return q12_changelog_from(trip_counts(trips, "route_id", order), route_table(routes, "type", "capacity"))
 
 
 def q12_changelog_from(route_trips: DataFrame, table: DataFrame) -> DataFrame:
-    rows = _route_occupancy(route_trips, table).select(
+    rows = route_trips.join(table, "route_id").select(
         F.coalesce("type", F.lit(UNKNOWN)).alias("type"),
         "route_id",
         occupancy(F.lit(1), F.col("capacity")).alias("occupancy"),
@@ -174,7 +170,8 @@ def q13_from(type_hours: DataFrame, scope: str = "all") -> DataFrame:
 def q14_least_occupied_type(
     trips: DataFrame, routes: DataFrame, scope: str = "all", order: Sequence[str] = ARRIVAL
 ) -> DataFrame:
-    return q14_from(hourly_type_occupancy(hourly_route_counts(trips, order), route_table(routes)), scope)
+    table = route_table(routes, "type", "capacity")
+    return q14_from(hourly_type_occupancy(hourly_route_counts(trips, order), table), scope)
 
 
 def q14_from(type_hours: DataFrame, scope: str = "all") -> DataFrame:
@@ -190,8 +187,8 @@ def q14_least_occupied_type_changelog(
     trips: DataFrame, routes: DataFrame, order: Sequence[str] = ARRIVAL
 ) -> DataFrame:
     """The least total that any update ever showed. Totals grow, so only the first of each hour counts."""
-    hours = hourly_type_occupancy(hourly_route_counts(trips, order), route_table(routes))
-    return q14_changelog_from(hours)
+    table = route_table(routes, "type", "capacity")
+    return q14_changelog_from(hourly_type_occupancy(hourly_route_counts(trips, order), table))
 
 
 def q14_changelog_from(type_hours: DataFrame) -> DataFrame:
@@ -206,13 +203,13 @@ def _of_scope(scope: str) -> list:
 
 
 def q15_top_operator(trips: DataFrame, routes: DataFrame, order: Sequence[str] = ARRIVAL) -> DataFrame:
-    return q15_from(trip_counts(trips, "route_id", order), route_table(routes))
+    return q15_from(trip_counts(trips, "route_id", order), route_table(routes, "operator", "capacity"))
 
 
 def operator_peaks(route_trips: DataFrame, table: DataFrame) -> DataFrame:
     """Per operator the fullest of its routes; on a tie the one that got there first."""
     full = occupancy(F.col("trips"), F.col("capacity"))
-    rows = _route_occupancy(route_trips, table).filter(F.col("operator").isNotNull()).select(
+    rows = route_trips.join(table, "route_id").filter(F.col("operator").isNotNull()).select(
         "operator",
         "route_id",
         full.alias("occupancy"),

@@ -32,7 +32,7 @@ def all_answers(trips: DataFrame, routes: DataFrame) -> dict[int, DataFrame]:
     route_hours = written(hourly_route_counts(trips), "route_hours")
     type_hours = written(hourly_type_counts(trips), "type_hours")
     seats = written(seats_per_route(routes), "route_seats")
-    table = written(route_table(routes).select("route_id", "type", "operator", "capacity"), "route_table")
+    table = written(route_table(routes, "type", "operator", "capacity"), "route_table")
     route_trips = over_all_hours(route_hours, "route_id")
     type_trips = over_all_hours(type_hours, "transport_type")
     total_trips = A.q07_total_passengers(trips)

@@ -85,7 +85,7 @@ def _avg_per_group(spark: SparkSession, sf: str) -> DataFrame:
 
 def _lookup_current(spark: SparkSession, sf: str) -> DataFrame:
     updates = trip_count_changelog(tables.trips(spark, sf).select("event_id", "route_id"))
-    table = route_table(tables.routes(spark, sf)).select("route_id", "type", "operator", "capacity")
+    table = route_table(tables.routes(spark, sf), "type", "operator", "capacity")
     looked_up = lookup_current(updates, table, "route_id")
     return looked_up.withColumn("occupancy", occupancy(F.col("trips_so_far"), F.col("capacity")))
 
@@ -100,7 +100,7 @@ def _changelog(trips: DataFrame, **options) -> DataFrame:
 
 
 def _hourly_type_occupancy(trips: DataFrame, routes: DataFrame) -> DataFrame:
-    hours = hourly_type_occupancy(hourly_route_counts(trips), route_table(routes))
+    hours = hourly_type_occupancy(hourly_route_counts(trips), route_table(routes, "type", "capacity"))
     return hours.select(
         "window_start", "type", F.round("occupancy", 6).alias("occupancy"), "updates", "first_occupancy"
     )
@@ -140,7 +140,7 @@ def _keyed_fold(spark: SparkSession, sf: str) -> DataFrame:
 
 def _parsed(spark: SparkSession, sf: str) -> DataFrame:
     counts = trip_counts(tables.trips(spark, sf), "route_id").select("route_id", "trips")
-    rows = counts.join(route_table(tables.routes(spark, sf)).select("route_id", "type", "capacity"), "route_id")
+    rows = counts.join(route_table(tables.routes(spark, sf), "type", "capacity"), "route_id")
     text = occupancy_text(F.col("route_id"), F.col("type"), occupancy(F.col("trips"), F.col("capacity")))
     return rows.select(parse_occupancy_text(text).alias("parsed")).select("parsed.*")
 
@@ -156,7 +156,7 @@ def _upsert_results(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _upsert_routes(spark: SparkSession, sf: str) -> DataFrame:
-    base = route_table(tables.routes(spark, sf)).drop("seq", "effective_ts")
+    base = route_table(tables.routes(spark, sf), "origin", "destination", "type", "operator", "capacity")
     changes = with_new_ids(base, tables.route_changes(spark, sf), "route_id", ["position"])
     return upsert(base, changes, ["route_id"], ["position"])
 
@@ -263,6 +263,7 @@ OPERATOR_QUERIES: dict[str, Query] = {
 
 STREAMS: dict[str, Query] = {
     "stream_hourly_type_counts": flows.hourly_type_counts_of,
+    "stream_closed_hours": flows.closed_hours_of,
     "stream_occupancy_per_route": flows.occupancy_per_route_of,
     "stream_top_type": flows.top_type_of,
     "stream_least_occupied_route": flows.least_occupied_route_of,

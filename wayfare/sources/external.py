@@ -39,6 +39,11 @@ def kafka_routes(spark: SparkSession, servers: str, topic: str = "Routes", parti
     return log.withColumnsRenamed({"ts": "effective_ts", "event_id": "seq"})
 
 
+def write_topic(envelopes: DataFrame, servers: str, topic: str) -> None:
+    """(key, value) records, such as result envelopes, to a topic; for use in a batch or a micro-batch."""
+    envelopes.write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save()
+
+
 def jdbc_options(url: str, query: str, **extra: str) -> dict[str, str]:
     """Options of a pushed-down query; columns not selected never leave the database."""
     return {"url": url, "dbtable": f"({query}) AS snapshot", **extra}

@@ -68,7 +68,8 @@ def json_number(text: str, name: str) -> Column:
     alone = F.col(text).rlike(rf'^\{{"{name}": ?(0|[1-9][0-9]{{0,17}})\}}$')
     digits = F.substring(F.col(text), F.lit(len(prefix) + 1), F.length(text) - len(prefix) - 1)
     parsed = F.from_json(text, f"{name} BIGINT", {"mode": "FAILFAST"})[name]
-    return F.when(alone, digits.cast("bigint")).otherwise(F.coalesce(parsed, F.lit(0).cast("bigint")))
+    # the default comes last, so that Spark knows the result is never null and drops such filters
+    return F.coalesce(F.when(alone, digits.cast("bigint")).otherwise(parsed), F.lit(0).cast("bigint"))
 
 
 def _encode(df: DataFrame, payload: T.StructType, names: list[str], keep: list[str]) -> DataFrame:

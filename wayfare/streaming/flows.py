@@ -1,6 +1,6 @@
 """The continuous form of the queries.
 
-A flow is one streaming aggregate in update mode whose changed rows go to a keyed table.
+A flow is one streaming aggregate, mostly in update mode, whose changed rows go to a keyed table.
 Aggregates of aggregates, which update mode does not allow, are batch plans over those
 tables and share their code with the batch answers; they handle one row per key, not
 one per trip.
@@ -38,6 +38,8 @@ class Flow:
     log: str
     keys: tuple[str, ...]
     rows: Callable[[DataFrame], DataFrame]
+    # update: every change as it comes; append: a row once, when it can no longer change
+    mode: str = "update"
 
 
 def _counts(key: str) -> Callable[[DataFrame], DataFrame]:
@@ -78,6 +80,7 @@ FLOWS = {
     "type_trips": Flow("trips", ("transport_type",), _counts("transport_type")),
     "passenger_trips": Flow("trips", ("passenger_name",), _counts("passenger_name")),
     "type_hours": Flow("trips", ("window_start", "transport_type"), _hourly("transport_type")),
+    "closed_type_hours": Flow("trips", ("window_start", "transport_type"), _hourly("transport_type"), "append"),
     "route_hours": Flow("trips", ("window_start", "route_id"), _hourly("route_id")),
     "trip_total": Flow("trips", ("id",), _total("total_passengers", lambda: F.count("*"))),
     "route_seats": Flow("routes", ("route_id",), _seats),
@@ -128,7 +131,7 @@ class Flows:
 
         return (
             rows.writeStream.queryName(name)
-            .outputMode("update")
+            .outputMode(FLOWS[name].mode)
             .option("checkpointLocation", f"{self.root}/checkpoints/{name}")
             .foreachBatch(store)
             .trigger(availableNow=True)
@@ -243,6 +246,13 @@ def hourly_type_counts_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flows.read("type_hours", spark).select("window_start", "transport_type", "trips")
 
 
+def closed_hours_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only the hours that the log has passed, each written once."""
+    flows = flows_over(spark, sf_dir)
+    flows.run("closed_type_hours")
+    return flows.read("closed_type_hours", spark).select("window_start", "transport_type", "trips")
+
+
 def occupancy_per_route_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     flows = flows_over(spark, sf_dir)
     flows.run("route_trips", "route_seats")
@@ -263,5 +273,5 @@ def least_occupied_route_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def results_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     flows = flows_over(spark, sf_dir)
-    flows.run(*FLOWS)
+    flows.run(*(name for name in FLOWS if name != "closed_type_hours"))
     return publish(flows, spark, version=0)
