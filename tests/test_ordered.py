@@ -10,7 +10,7 @@ from wayfare.operators.ordered import (
     hot_keys, row_count, running, running_count, running_last, running_max, running_sum, slice_number, split,
 )
 from wayfare.operators.tables import upsert, with_new_ids
-from wayfare.operators.windows import late_events, on_time
+from wayfare.operators.windows import late_events, on_time, with_update_time
 from wayfare.plans import answers as A
 
 FEW = 25
@@ -122,6 +122,14 @@ def test_late_records_of_a_hot_partition(logs):
     same(late_events(shuffled, partition, rows_per_task=FEW), late_events(shuffled, partition))
 
 
+def test_update_time_is_the_latest_so_far(spark, logs):
+    trips = trips_df(spark, [trip(0, 1, minute=10), trip(1, 1, minute=65), trip(2, 1, minute=50), trip(3, 2, minute=50)])
+    times = {r.event_id: r.update_ts for r in with_update_time(trips).collect()}
+    assert times[2] == times[1] == trip(1, 1, minute=65)[5] and times[3] == trip(3, 2, minute=50)[5]
+    shuffled = logs[0].withColumn("event_id", F.xxhash64("event_id"))
+    same(with_update_time(shuffled, rows_per_task=FEW), with_update_time(shuffled))
+
+
 def test_new_ids_have_no_gaps(spark, logs):
     trips, _ = logs
     base = spark.createDataFrame([(7, "x")], "id LONG, name STRING")

@@ -7,6 +7,7 @@ from logs import random_logs, route, routes_df, trip, trips_df
 from pyspark.sql import functions as F
 
 from wayfare.operators.results import with_result_table
+from wayfare.operators.rollups import trip_counts
 from wayfare.plans import answers as A
 from wayfare.schemas import RESULT_TABLES
 from wayfare.session import stream_session
@@ -123,6 +124,25 @@ def test_late_trip_is_dropped_once_the_watermark_has_passed(spark, tmp_path):
     assert [r.trips for r in flows.read("type_trips").collect()] == [4]
 
 
+def test_a_failure_within_a_batch_loses_and_repeats_nothing(spark, tmp_path):
+    t, r = random_logs(4, n_trips=120)
+    folder = str(tmp_path / "logs")
+    write_files(spark, trips_df, t, f"{folder}/trips", 3)
+    write_files(spark, routes_df, r, f"{folder}/routes", 1)
+    flows = flows_on(spark, tmp_path / "state", folder)
+
+    def fail_on_second(changes, batch_id):
+        if batch_id == 1:
+            raise RuntimeError("lost")
+
+    with pytest.raises(Exception, match="lost"):
+        flows.start("route_trips", fail_on_second).awaitTermination()
+    again = flows_on(spark, tmp_path / "state", folder)
+    again.run("route_trips")
+    want = {x.route_id: (x.trips, x.first_at, x.last_at) for x in trip_counts(trips_df(spark, t), "route_id").collect()}
+    assert {x.route_id: (x.trips, x.first_at, x.last_at) for x in again.read("route_trips").collect()} == want
+
+
 def test_rows_are_observed(spark, tmp_path):
     folder = str(tmp_path / "logs")
     write_files(spark, trips_df, [trip(i, 1) for i in range(7)], f"{folder}/trips", 1)

@@ -31,6 +31,13 @@ def trip_counts(trips: DataFrame, key: str, order: Sequence[str] = ARRIVAL) -> D
     )
 
 
+def regrouped(totals: DataFrame, key: str) -> DataFrame:
+    """Totals of :func:`trip_counts`, made for finer groups, per ``key``."""
+    return totals.groupBy(key).agg(
+        F.sum("trips").alias("trips"), F.min("first_at").alias("first_at"), F.max("last_at").alias("last_at")
+    )
+
+
 def seats_per_route(routes: DataFrame) -> DataFrame:
     """Seats summed over every version of a route."""
     return routes.groupBy("route_id").agg(F.coalesce(F.sum("capacity"), F.lit(0)).cast("bigint").alias("seats"))

@@ -88,6 +88,19 @@ def hourly_type_occupancy(route_hours: DataFrame, route_table: DataFrame) -> Dat
     )
 
 
+def with_update_time(
+    trips: DataFrame, key: str = "route_id", order: Sequence[str] = ARRIVAL, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    """Adds ``update_ts``, the latest time of the key so far.
+
+    A running total carries this time on. It differs from ``ts`` only where the log is out of
+    time order; with it in place of ``ts`` the hourly answers count an update in the hour
+    that its key has reached.
+    """
+    keyed = trips.filter(F.col(key).isNotNull())
+    return running(keyed, [key], order, {"update_ts": running_max(F.col("ts"))}, rows_per_task)
+
+
 def late_events(
     trips: DataFrame,
     source_partition: Column,

@@ -40,6 +40,14 @@ SHIPMENTS = """s AS (
          row_number() OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey) AS place
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
+LATE_SHIPMENTS = """l AS (
+  SELECT *, date_trunc('hour', ts) + INTERVAL 1 HOUR <= stream_time AS late FROM (
+    SELECT l_shipdate AS ts, l_partkey % 5 AS source_partition, l_orderkey AS order_key, l_linenumber AS line_number,
+           l_partkey AS part_key, l_suppkey AS supplier_key, l_returnflag AS transport_type,
+           max(l_shipdate) OVER (PARTITION BY l_partkey % 5
+                                 ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) AS stream_time
+    FROM lineitem))"""
+
 _TYPE = ("CASE {0} % 5 WHEN 0 THEN 'Bus' WHEN 1 THEN 'Taxi' WHEN 2 THEN 'Train' WHEN 3 THEN 'Metro' "
          "ELSE 'Scooter' END")
 SUPPLIERS = f"""suppliers AS (
@@ -247,12 +255,14 @@ FROM (SELECT id, name, type FROM suppliers
   SELECT event_id, ts, route_id, transport_type, route_id % 5 AS source_partition,
          max(ts) OVER (PARTITION BY route_id % 5 ORDER BY event_id) AS stream_time FROM trips)""")
     + "SELECT *, date_trunc('hour', ts) + INTERVAL 1 HOUR <= stream_time AS late FROM t",
-    "late_shipments": """SELECT *, date_trunc('hour', ts) + INTERVAL 1 HOUR <= stream_time AS late FROM (
-  SELECT l_shipdate AS ts, l_partkey % 5 AS source_partition, l_orderkey AS order_key, l_linenumber AS line_number,
-         l_partkey AS part_key, l_suppkey AS supplier_key,
-         max(l_shipdate) OVER (PARTITION BY l_partkey % 5
-                               ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) AS stream_time
-  FROM lineitem)""",
+    "late_shipments": _with(LATE_SHIPMENTS)
+    + "SELECT ts, source_partition, order_key, line_number, part_key, supplier_key, stream_time, late FROM l",
+    "hourly_on_time_shipments": _with(LATE_SHIPMENTS) + """SELECT date_trunc('hour', ts) AS window_start,
+  transport_type, count(*) AS trips FROM l WHERE NOT late GROUP BY ALL""",
+    "update_times": """SELECT l_partkey AS route_id, l_orderkey AS order_key, l_linenumber AS line_number,
+  l_partkey AS part_key, l_suppkey AS supplier_key, l_shipdate AS ts,
+  max(l_shipdate) OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) AS update_ts
+FROM lineitem""",
     "keyed_fold": _with(TRIPS) + """SELECT route_id, count(*) AS trips,
   arg_min(passenger_name, event_id) AS first_passenger, arg_max(passenger_name, event_id) AS last_passenger
 FROM trips GROUP BY route_id""",

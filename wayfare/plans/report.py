@@ -10,31 +10,23 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from wayfare.operators.changelog import route_table
 from wayfare.operators.results import with_result_table
-from wayfare.operators.rollups import seats_per_route, trip_counts
+from wayfare.operators.rollups import regrouped, seats_per_route, trip_counts
 from wayfare.operators.windows import hourly_route_counts, hourly_type_counts, hourly_type_occupancy
 from wayfare.plans import answers as A
 from wayfare.session import written
 
 
-def over_all_hours(hours: DataFrame, key: str) -> DataFrame:
-    """Counts per key and hour as counts per key."""
-    return hours.groupBy(key).agg(
-        F.sum("trips").alias("trips"), F.min("first_at").alias("first_at"), F.max("last_at").alias("last_at")
-    )
-
-
 def all_answers(trips: DataFrame, routes: DataFrame) -> dict[int, DataFrame]:
     """Typed answers by number; 12 and 14 in the form over the full changelog. Every trip must have a time."""
     route_hours = written(hourly_route_counts(trips), "route_hours")
     type_hours = written(hourly_type_counts(trips), "type_hours")
     seats = written(seats_per_route(routes), "route_seats")
     table = written(route_table(routes, "type", "operator", "capacity"), "route_table")
-    route_trips = over_all_hours(route_hours, "route_id")
-    type_trips = over_all_hours(type_hours, "transport_type")
+    route_trips = regrouped(route_hours, "route_id")
+    type_trips = regrouped(type_hours, "transport_type")
     total_trips = A.q07_total_passengers(trips)
     total_seats = A.q08_total_seats(seats.withColumnRenamed("seats", "capacity"))
     return {

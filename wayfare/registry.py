@@ -13,9 +13,11 @@ from wayfare.operators import results as R
 from wayfare.operators.changelog import lookup_asof, lookup_current, route_table, trip_count_changelog
 from wayfare.operators.folds import keyed_fold
 from wayfare.operators.ordered import running, running_sum
-from wayfare.operators.rollups import avg_per_group, trip_counts
+from wayfare.operators.rollups import avg_per_group, regrouped, trip_counts
 from wayfare.operators.tables import checked, latest_per_key, upsert, with_new_ids
-from wayfare.operators.windows import hourly_route_counts, hourly_type_counts, hourly_type_occupancy, late_events
+from wayfare.operators.windows import (
+    hourly_route_counts, hourly_type_counts, hourly_type_occupancy, late_events, on_time, with_update_time,
+)
 from wayfare.plans import answers as A
 from wayfare.plans.report import all_answers, result_table_rows
 from wayfare.schemas import OPERATORS, TRANSPORT_TYPES
@@ -113,12 +115,28 @@ def _late_events(spark: SparkSession, sf: str) -> DataFrame:
 
 def _late_shipments(spark: SparkSession, sf: str) -> DataFrame:
     """Shipments arrive by order number, hence out of time order: most windows have closed before."""
-    arrival = [c for c in tables.SHIPMENT_ORDER if c != "ts"]
-    log = tables.shipment_log(spark, sf).select("ts", "route_id", *arrival)
-    flagged = late_events(log, tables.source_partition(F.col("route_id")), order=arrival)
+    log, arrival = _shipments_by_arrival(spark, sf)
+    flagged = late_events(log.drop("transport_type"), tables.source_partition(F.col("route_id")), order=arrival)
     return flagged.select("ts", "source_partition", *arrival, "stream_time", "late")
 
 
+def _shipments_by_arrival(spark: SparkSession, sf: str) -> tuple[DataFrame, list[str]]:
+    arrival = [c for c in tables.SHIPMENT_ORDER if c != "ts"]
+    return tables.shipment_log(spark, sf).select("ts", "route_id", "transport_type", *arrival), arrival
+
+
+def _hourly_on_time_shipments(spark: SparkSession, sf: str) -> DataFrame:
+    """Hourly counts without grace: shipments that arrive after their hour has closed do not count."""
+    log, arrival = _shipments_by_arrival(spark, sf)
+    accepted = on_time(log, tables.source_partition(F.col("route_id")), order=arrival)
+    return hourly_type_counts(accepted, arrival).select("window_start", "transport_type", "trips")
+
+
+def _update_times(spark: SparkSession, sf: str) -> DataFrame:
+    log, arrival = _shipments_by_arrival(spark, sf)
+    return with_update_time(log, order=arrival).select("route_id", *arrival, "ts", "update_ts")
+
+
 def _keyed_fold(spark: SparkSession, sf: str) -> DataFrame:
     """Per route: trips, first passenger and last passenger, as one fold in log order."""
     def state(trips, first, last):
@@ -193,7 +211,10 @@ def _q15_shipments(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _q16_shipments(spark: SparkSession, sf: str) -> DataFrame:
-    return A.q16_top_passenger(tables.shipments_as_trips(spark, sf), order=tables.SHIPMENT_ORDER)
+    # counted per order before the join, so that an order with many shipments joins as one row
+    per_order = trip_counts(tables.shipment_log(spark, sf), "order_key", tables.SHIPMENT_ORDER)
+    with_passenger = per_order.join(tables.order_passengers(spark, sf), "order_key")
+    return A.q16_from(regrouped(with_passenger, "passenger_name"))
 
 
 ANSWERS: dict[str, Query] = {
@@ -257,6 +278,8 @@ OPERATOR_QUERIES: dict[str, Query] = {
     "hourly_type_occupancy": _both(_hourly_type_occupancy),
     "late_events": _late_events,
     "late_shipments": _late_shipments,
+    "hourly_on_time_shipments": _hourly_on_time_shipments,
+    "update_times": _update_times,
     "keyed_fold": _keyed_fold,
     "parse_occupancy_text": _parsed,
 }

@@ -108,23 +108,16 @@ def route_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nations.unionByName(regions)
 
 
-def shipments_as_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items as a larger, unordered trip log. No single column orders it; SHIPMENT_ORDER does."""
-    lineitem = table(spark, sf_dir, "lineitem")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey).select(
-        *_shipment_columns(),
-        F.col("o_custkey").cast("string").alias("passenger_name"),
+def order_passengers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The passenger of each order's shipments."""
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("order_key"), F.col("o_custkey").cast("string").alias("passenger_name")
     )
 
 
 def shipment_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same log without its passengers, hence without the join."""
-    return table(spark, sf_dir, "lineitem").select(*_shipment_columns())
-
-
-def _shipment_columns() -> list[Column]:
-    return [
+    """Line items as a larger, unordered trip log. No single column orders it; SHIPMENT_ORDER does."""
+    return table(spark, sf_dir, "lineitem").select(
         F.col("l_shipdate").alias("ts"),
         F.col("l_orderkey").alias("order_key"),
         F.col("l_linenumber").alias("line_number"),
@@ -132,7 +125,7 @@ def _shipment_columns() -> list[Column]:
         F.col("l_suppkey").alias("supplier_key"),
         F.col("l_partkey").alias("route_id"),
         F.col("l_returnflag").alias("transport_type"),
-    ]
+    )
 
 
 def parts_as_single_routes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -198,10 +198,9 @@ def flows_over(spark: SparkSession, sf_dir: str, root: str | None = None, max_fi
 
 
 def answers_from(flows: Flows, spark: SparkSession) -> dict[int, DataFrame]:
-    """All answers from the tables as they are now."""
-    def read(name: str) -> DataFrame:
-        return flows.read(name, spark)
-
+    """All answers from the tables as they are now; each table is looked up once."""
+    tables = {name: flows.read(name, spark) for name in FLOWS if name != "closed_type_hours"}
+    read = tables.__getitem__
     occupancy_hours = hourly_type_occupancy(read("route_hours"), read("route_latest"))
     return {
         4: A.q04_passengers_per_route(read("passenger_rows")),

@@ -37,20 +37,22 @@ class KeyedTable:
         self.path, self.schema, self.keys = path, schema, list(keys)
         self.partition_by, self.snapshot_every = list(partition_by), snapshot_every
 
-    def _folder(self, spark: SparkSession, name: str, schema: T.StructType) -> DataFrame:
+    def _folder(self, spark: SparkSession, name: str, schema: T.StructType) -> DataFrame | None:
         try:
             return spark.read.schema(schema).parquet(f"{self.path}/{name}")
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return spark.createDataFrame([], schema)
+            return None
 
-    def _rows(self, spark: SparkSession, name: str) -> DataFrame:
+    def _rows(self, spark: SparkSession, name: str) -> DataFrame | None:
         return self._folder(spark, name, T.StructType(self.schema.fields + [T.StructField(BATCH, T.LongType())]))
 
     def _snapshot(self, spark: SparkSession, before: int | None) -> int | None:
         """The newest finished snapshot; a mark is written only after its snapshot."""
         marks = self._folder(spark, "marks", MARK)
+        if marks is None:
+            return None
         if before is not None:
             marks = marks.filter(F.col("upto") < before)
         return marks.agg(F.max("upto")).first()[0]
@@ -58,6 +60,8 @@ class KeyedTable:
     def read(self, spark: SparkSession, before: int | None = None) -> DataFrame:
         """The table as it was ``before`` a batch, or as it is now."""
         rows = self._rows(spark, "changes")
+        if rows is None:
+            return spark.createDataFrame([], self.schema)
         if before is not None:
             rows = rows.filter(F.col(BATCH) < before)
         if not self.keys:
