@@ -23,6 +23,10 @@ def same(a, b):
     assert left and left == sorted(map(str, b.select(*columns).collect()))
 
 
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
 @pytest.fixture(scope="module", params=[0, 1])
 def logs(spark, request):
     t, r = random_logs(request.param, n_trips=600, n_versions=40)
@@ -59,7 +63,8 @@ def test_changelog_and_lookups(logs):
     trips, routes = logs
     same(trip_count_changelog(trips, rows_per_task=FEW), trip_count_changelog(trips))
     fields = ["type", "operator", "capacity"]
-    same(lookup_asof(trips, routes, fields, ["passenger_name"], FEW), lookup_asof(trips, routes, fields, ["passenger_name"]))
+    keep = ["passenger_name"]
+    same(lookup_asof(trips, routes, fields, keep, FEW), lookup_asof(trips, routes, fields, keep))
     same(A.q12_least_occupied_route_asof(trips, routes, FEW), A.q12_least_occupied_route_asof(trips, routes))
 
 
@@ -68,9 +73,8 @@ def test_lookup_current_without_broadcast(logs):
     table = route_table(routes).select("route_id", "type", "capacity")
     salted = lookup_current(trips, table, "route_id", broadcast_bytes=0, salts=4)
     same(salted, lookup_current(trips, table, "route_id"))
-    plan = salted._jdf.queryExecution().optimizedPlan().toString()
-    assert "strategy=broadcast" not in plan and "salt" in plan
-    assert "strategy=broadcast" in lookup_current(trips, table, "route_id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" not in optimized(salted) and "salt" in optimized(salted)
+    assert "strategy=broadcast" in optimized(lookup_current(trips, table, "route_id"))
 
 
 def test_long_lists_of_names_go_on_in_further_parts(logs):
@@ -106,8 +110,12 @@ def test_keyed_fold_in_order(logs):
     assert dict(keyed_fold(trips, **text).collect()) == want
 
 
+def late_log():
+    return [trip(0, 1, minute=10), trip(1, 1, minute=65), trip(2, 1, minute=50), trip(3, 2, minute=50)]
+
+
 def test_late_record(spark):
-    trips = trips_df(spark, [trip(0, 1, minute=10), trip(1, 1, minute=65), trip(2, 1, minute=50), trip(3, 2, minute=50)])
+    trips = trips_df(spark, late_log())
     partition = F.col("route_id") % 5
     flags = {r.event_id: r.late for r in late_events(trips, partition).collect()}
     assert flags == {0: False, 1: False, 2: True, 3: False}
@@ -123,7 +131,7 @@ def test_late_records_of_a_hot_partition(logs):
 
 
 def test_update_time_is_the_latest_so_far(spark, logs):
-    trips = trips_df(spark, [trip(0, 1, minute=10), trip(1, 1, minute=65), trip(2, 1, minute=50), trip(3, 2, minute=50)])
+    trips = trips_df(spark, late_log())
     times = {r.event_id: r.update_ts for r in with_update_time(trips).collect()}
     assert times[2] == times[1] == trip(1, 1, minute=65)[5] and times[3] == trip(3, 2, minute=50)[5]
     shuffled = logs[0].withColumn("event_id", F.xxhash64("event_id"))

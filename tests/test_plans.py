@@ -40,15 +40,18 @@ def test_windows_have_a_key(spark, name):
     ("q13_top_hourly_type_all", {"struct<event_id:bigint,ts:timestamp_ntz,event_type:string>"}),
     ("q16_top_passenger", {"struct<event_id:bigint,user_id:bigint>"}),
     ("q12_least_occupied_route", {"struct<props:string>", "struct<p_partkey:bigint,p_type:string,p_size:int>"}),
-    ("q15_top_operator", {"struct<event_id:bigint,props:string>", "struct<p_partkey:bigint,p_brand:string,p_size:int>"}),
+    ("q15_top_operator",
+     {"struct<event_id:bigint,props:string>", "struct<p_partkey:bigint,p_brand:string,p_size:int>"}),
     ("capacity_snapshot", {"struct<p_size:int>"}),
 ])
 def test_only_needed_columns_are_read(spark, name, columns):
     assert set(read_columns(plan(entry_module.queries()[name](spark, SF)))) == columns
 
 
-@pytest.mark.parametrize("name", ["q06_occupancy_per_route", "q07_total_passengers", "q11_top_type", "q13_top_hourly_type_all",
-                                  "q16_top_passenger", "trip_counts", "hourly_type_counts"])
+@pytest.mark.parametrize("name", [
+    "q06_occupancy_per_route", "q07_total_passengers", "q11_top_type", "q13_top_hourly_type_all",
+    "q16_top_passenger", "trip_counts", "hourly_type_counts",
+])
 def test_the_log_is_grouped_by_hash(spark, name):
     text = plan(entry_module.queries()[name](spark, SF))
     assert "HashAggregate" in text and "SortAggregate" not in text and "ObjectHashAggregate" not in text

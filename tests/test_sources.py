@@ -11,8 +11,8 @@ from wayfare.functions.text import occupancy_text, parse_occupancy_text, percent
 from wayfare.operators import results as R
 from wayfare.operators.rollups import avg_per_group
 from wayfare.operators.tables import checked, split_checked
-from wayfare.schemas import OPERATORS, RESULT_TABLES, TRANSPORT_TYPES
-from wayfare.sources import dimensions, external, json_log
+from wayfare.schemas import OPERATORS, RESULT_ROW, RESULT_TABLES, ROUTE, SUPPLIER, TRANSPORT_TYPES, TRIP
+from wayfare.sources import dimensions, external, json_log, tables
 from wayfare.sources.results import results_scan, write_result_tables
 
 
@@ -114,7 +114,7 @@ def test_over_long_lists_have_an_id_per_part(spark):
 
 def test_result_tables(spark, tmp_path):
     rows = spark.createDataFrame(
-        [(RESULT_TABLES[5], "1", "17"), (RESULT_TABLES[7], "total", "10")], "result_table STRING, id STRING, result STRING"
+        [(RESULT_TABLES[5], "1", "17"), (RESULT_TABLES[7], "total", "10")], RESULT_ROW
     )
     path = str(tmp_path / "results")
     write_result_tables(rows, path)
@@ -130,6 +130,12 @@ def test_average_of_a_measure(spark):
     assert got == {"a": (5.0, 2, 2.5), "b": (None, 0, 0.0)}
 
 
+@pytest.mark.parametrize("reader, schema", [(tables.trips, TRIP), (tables.routes, ROUTE), (tables.suppliers, SUPPLIER)])
+def test_given_tables_have_the_record_types(spark, reader, schema):
+    types = {f.name: f.dataType for f in reader(spark, "/root/testdata/sf0.001").schema}
+    assert types == {f.name: f.dataType for f in schema}
+
+
 def test_options_of_external_systems():
     assert external.kafka_options("broker:9092", "Trips") == {
         "kafka.bootstrap.servers": "broker:9092", "subscribe": "Trips", "startingOffsets": "earliest",

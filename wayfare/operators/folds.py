@@ -9,7 +9,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.group import GroupedData
 
-from wayfare.operators.ordered import ROWS_PER_TASK, hot_keys, row_count, running_count, running_sliced, running_with, sliced, split
+from wayfare.operators.ordered import (
+    ROWS_PER_TASK, hot_keys, row_count, running_count, running_sliced, running_with, sliced, split,
+)
 from wayfare.operators.rollups import ARRIVAL, at
 
 # A list of names this long is about a megabyte of text; longer lists go on in further rows.
@@ -45,19 +47,14 @@ def joined_names(
     # one branch per size of key, each put together before the union: rows numbered in a window by
     # key are in place for grouping by key and part, and need no second shuffle
     short, long = split(keyed, [key], hot, order)
-    numbered_part = F.floor((F.col("n") - 1) / names_per_part)
-    number = {"n": running_count()}
+    number, part = {"n": running_count()}, F.floor((F.col("n") - 1) / names_per_part)
+    names = joined(short, whole)
     hotter = hot.filter(F.col("n") > rows_per_task)
-    if hotter.isEmpty():
-        return joined(short, whole).unionByName(
-            joined(running_with(long, [key], order, number, None, rows_per_task), numbered_part)
-        )
-    long, huge = split(long, [key], hotter, order)
-    return (
-        joined(short, whole)
-        .unionByName(joined(running_with(long, [key], order, number, None, rows_per_task), numbered_part))
-        .unionByName(joined(running_sliced(huge, [key], order, number, row_count(hotter), rows_per_task), numbered_part))
-    )
+    if not hotter.isEmpty():
+        long, huge = split(long, [key], hotter, order)
+        numbered = running_sliced(huge, [key], order, number, row_count(hotter), rows_per_task)
+        names = names.unionByName(joined(numbered, part))
+    return names.unionByName(joined(running_with(long, [key], order, number, None, rows_per_task), part))
 
 
 def keyed_fold(

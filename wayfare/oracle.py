@@ -221,7 +221,8 @@ WHERE id NOT IN (SELECT id FROM supplier_changes)
 UNION ALL SELECT id, name, type FROM supplier_changes""",
     "latest_per_key": _with(TRIPS) + """SELECT passenger_name, event_id, ts, route_id, transport_type FROM trips
 QUALIFY row_number() OVER (PARTITION BY passenger_name ORDER BY event_id DESC) = 1""",
-    "route_table": _with(ROUTES, LATEST) + "SELECT seq, route_id, origin, destination, type, operator, capacity FROM lc",
+    "route_table": _with(ROUTES, LATEST)
+    + "SELECT seq, route_id, origin, destination, type, operator, capacity FROM lc",
     "validate_routes": _with(ROUTES, ROUTE_CHANGES) + f"""SELECT *, CASE
   WHEN route_id IS NULL THEN 'route_id is null' WHEN origin IS NULL THEN 'origin is null'
   WHEN destination IS NULL THEN 'destination is null' WHEN type IS NULL THEN 'type is null'

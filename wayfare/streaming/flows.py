@@ -18,7 +18,7 @@ from pyspark.sql.types import StructType
 
 from wayfare.functions.ratios import occupancy
 from wayfare.operators.extremes import least_per
-from wayfare.operators.windows import hourly_type_occupancy, window_start
+from wayfare.operators.windows import hourly_type_occupancy
 from wayfare.plans import answers as A
 from wayfare.plans.report import result_table_rows
 from wayfare.schemas import RESULT_ROW, RESULT_TABLES
