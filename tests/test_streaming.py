@@ -11,7 +11,7 @@ from wayfare.operators.rollups import trip_counts
 from wayfare.plans import answers as A
 from wayfare.schemas import RESULT_TABLES
 from wayfare.session import stream_session
-from wayfare.streaming.flows import FLOWS, Flows, file_stream, least_occupied_updates, publish
+from wayfare.streaming.flows import FLOWS, Flows, file_stream, keep_publishing, least_occupied_updates, publish
 from wayfare.streaming.keyed import KeyedTable
 
 Q = {
@@ -64,6 +64,26 @@ def test_all_results_over_many_batches_and_a_restart(spark, tmp_path):
     assert sorted(tuple(x) for x in publish(again, spark, 1).collect()) == second
 
 
+def test_results_are_published_until_the_flows_end(spark, tmp_path):
+    t, r = random_logs(5, n_trips=100)
+    folder = str(tmp_path / "logs")
+    write_files(spark, trips_df, t, f"{folder}/trips", 2)
+    write_files(spark, routes_df, r, f"{folder}/routes", 1)
+    flows = flows_on(spark, tmp_path / "state", folder)
+    keep_publishing(flows, spark, pause=1.0)
+    published = sorted(tuple(x) for x in flows.results().read(spark).collect())
+    assert published == batch_results(trips_df(spark, t), routes_df(spark, r))
+    # a running service, stopped after a round and started again for the rest
+    write_files(spark, trips_df, [trip(100, 1, "Zoe")], f"{folder}/trips", 1)
+    again = flows_on(spark, tmp_path / "state", folder)
+    again.trigger = {"processingTime": "1 second"}
+    first = keep_publishing(again, spark, pause=0.1, rounds=1)
+    assert not again.spark.streams.active
+    again.trigger = {"availableNow": True}
+    assert keep_publishing(again, spark, pause=0.1) > first
+    assert again.read("trip_total").first().total_passengers == 101
+
+
 def test_repeated_batch_counts_once(spark, tmp_path):
     table = KeyedTable(str(tmp_path / "t"), spark.createDataFrame([], "k LONG, n LONG").schema, ["k"])
 

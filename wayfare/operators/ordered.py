@@ -34,6 +34,8 @@ class Running:
     total: Callable[[Sequence[str]], Column]
     over_totals: Callable[[Column], Column]
     combine: Callable[[Column, Column], Column]
+    # the rows that the total depends on, if not all
+    only: Column | None = None
 
 
 def running_count(condition: Column | None = None) -> Running:
@@ -71,6 +73,7 @@ def running_last(value: Column) -> Running:
         total=lambda order: F.max_by(value, F.when(value.isNotNull(), F.struct(*order))),
         over_totals=lambda total: F.last(total, ignorenulls=True),
         combine=lambda before, here: F.coalesce(here, before),
+        only=value.isNotNull(),
     )
 
 
@@ -158,14 +161,19 @@ def running_sliced(
     window = W.partitionBy("slice", *keys).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
     local = rows_in.select("*", *[c.local.over(window).alias(name) for name, c in columns.items()])
 
-    totals = rows_in.groupBy("slice", *keys).agg(*[c.total(order).alias(name) for name, c in columns.items()])
+    on = ["slice", *keys]
+    of_all = [c.total(order).alias(name) for name, c in columns.items() if c.only is None]
+    totals = rows_in.groupBy(*on).agg(F.count("*").alias("slice_rows"), *of_all)
+    for name, c in columns.items():
+        # a total over few rows, such as the last route version, is aggregated from these alone
+        if c.only is not None:
+            totals = totals.join(rows_in.filter(c.only).groupBy(*on).agg(c.total(order).alias(name)), on, "left")
     earlier = W.partitionBy(*keys).orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
     carried = totals.select(
-        "slice",
-        *keys,
+        *on,
         *[c.over_totals(F.col(name)).over(earlier).alias(f"{name}_before") for name, c in columns.items()],
     )
-    joined = local.join(carried, ["slice", *keys])
+    joined = local.join(carried, on)
     return joined.select(
         *df.columns, *[c.combine(F.col(f"{name}_before"), F.col(name)).alias(name) for name, c in columns.items()]
     )

@@ -15,6 +15,15 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+# A start for thousands of cores: long scan tasks, and many shuffle partitions of which AQE joins the
+# small ones up to a size that one task sorts in memory.
+LARGE_CLUSTER = {
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+}
+
 # Streams keep their state in RocksDB, off the JVM heap, and write changelogs instead of full snapshots.
 STREAM_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -27,12 +36,16 @@ STREAM_SETTINGS = {
 _local_dirs: dict[str, str] = {}
 
 
-def build_session(app: str, master: str | None = None, **settings: str) -> SparkSession:
-    """A session with this package's settings; ``settings`` uses ``__`` for the dots of a key."""
+def build_session(app: str, master: str | None = None, large: bool = False, **settings: str) -> SparkSession:
+    """A session with this package's settings, and those for a ``large`` cluster.
+
+    ``settings`` come on top and use ``__`` for the dots of a key.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **{k.replace("__", "."): v for k, v in settings.items()}}.items():
+    basic = {**SETTINGS, **(LARGE_CLUSTER if large else {})}
+    for key, value in {**basic, **{k.replace("__", "."): v for k, v in settings.items()}}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -8,8 +8,9 @@ one per trip.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+import time
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -90,6 +91,9 @@ FLOWS = {
     "passenger_rows": Flow("trips", (), lambda trips: trips.select("event_id", "route_id", "passenger_name")),
 }
 
+# the flows that the answers need
+RESULT_FLOWS = tuple(name for name in FLOWS if name != "closed_type_hours")
+
 Handler = Callable[[DataFrame, int], None]
 
 
@@ -101,6 +105,8 @@ class Flows:
     root: str
     trips: DataFrame
     routes: DataFrame
+    # work off what the logs hold by now and stop; {"processingTime": "10 seconds"} goes on
+    trigger: Mapping[str, object] = field(default_factory=lambda: {"availableNow": True})
 
     def _log(self, name: str) -> DataFrame:
         return self.trips if FLOWS[name].log == "trips" else self.routes
@@ -116,7 +122,7 @@ class Flows:
         )
 
     def start(self, name: str, then: Handler | None = None) -> StreamingQuery:
-        """Process what the log holds by now. ``then`` sees each batch after its rows are stored."""
+        """Start a flow. ``then`` sees each batch after its rows are stored."""
         table = self.table(name)
         rows = FLOWS[name].rows(self._log(name).observe(name, F.count("*").alias("rows_in")))
 
@@ -134,12 +140,12 @@ class Flows:
             .outputMode(FLOWS[name].mode)
             .option("checkpointLocation", f"{self.root}/checkpoints/{name}")
             .foreachBatch(store)
-            .trigger(availableNow=True)
+            .trigger(**self.trigger)
             .start()
         )
 
     def run(self, *names: str) -> None:
-        """Run flows side by side until the log's present end."""
+        """Run flows side by side until they end."""
         for query in [self.start(name) for name in names]:
             query.awaitTermination()
 
@@ -199,7 +205,7 @@ def flows_over(spark: SparkSession, sf_dir: str, root: str | None = None, max_fi
 
 def answers_from(flows: Flows, spark: SparkSession) -> dict[int, DataFrame]:
     """All answers from the tables as they are now; each table is looked up once."""
-    tables = {name: flows.read(name, spark) for name in FLOWS if name != "closed_type_hours"}
+    tables = {name: flows.read(name, spark) for name in RESULT_FLOWS}
     read = tables.__getitem__
     occupancy_hours = hourly_type_occupancy(read("route_hours"), read("route_latest"))
     return {
@@ -239,6 +245,29 @@ def publish(
     return table.read(spark)
 
 
+def keep_publishing(flows: Flows, spark: SparkSession, pause: float, rounds: int | None = None) -> int:
+    """Start all flows and publish again and again until they have ended; returns the last version.
+
+    A version is a time in seconds, so that versions rise across restarts.
+    """
+    running = [flows.start(name) for name in RESULT_FLOWS]
+    version = done = 0
+    while True:
+        ended = not any(query.isActive for query in running)
+        for query in running:
+            if query.exception() is not None:
+                raise query.exception()
+        version = max(version + 1, int(time.time()))
+        publish(flows, spark, version)
+        done += 1
+        if ended or done == rounds:
+            break
+        time.sleep(pause)
+    for query in running:
+        query.stop()
+    return version
+
+
 def hourly_type_counts_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     flows = flows_over(spark, sf_dir)
     flows.run("type_hours")
@@ -272,5 +301,5 @@ def least_occupied_route_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def results_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     flows = flows_over(spark, sf_dir)
-    flows.run(*(name for name in FLOWS if name != "closed_type_hours"))
+    flows.run(*RESULT_FLOWS)
     return publish(flows, spark, version=0)
