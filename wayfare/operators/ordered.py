@@ -92,7 +92,7 @@ def split(
 ) -> tuple[DataFrame, DataFrame]:
     """(rows of other keys, rows of the ``hot`` keys)."""
     if not keys:
-        return df.limit(0), df
+        return df.filter(F.lit(False)), df
     join = joiner(hot.select(*keys), keys, spread_by, **limits)
     return join(df, "left_anti"), join(df, "left_semi")
 

@@ -5,6 +5,9 @@ batch that runs again after a failure replaces its folder, so no change counts t
 reader takes the latest row per key. The cost of a batch follows the number of
 changed keys, not the size of the table; a snapshot every so often bounds what a reader
 has to go through.
+
+A reader beside a running stream may meet a batch that is half in place; what it publishes is
+then put right by its next round, as publishing compares with what the tables hold.
 """
 
 from __future__ import annotations
