@@ -5,27 +5,52 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-OCCUPANCY_PATTERN = r"^RouteId:\s*(\d+)\s+Type:\s*(.*?)\s+Occupancy:\s*(\S+)$"
+# --- fixed values: labels, arrows and number formats of the text forms --------------------------
+ROUTE_LABEL = "RouteId: "
+TYPE_LABEL = " Type: "
+OCCUPANCY_LABEL = " Occupancy: "
+ROUTE_ARROW = " -> Occupancy: "
+COUNT_ARROW = "->"
+OCCUPANCY_ARROW = " -> "
+NAME_SEPARATOR = ", "
+UNKNOWN_TYPE = "UNKNOWN"
+TWO_DECIMALS = "%.2f"
+PERCENT = "%.2f%%"
+# --- end of fixed values ------------------------------------------------------------------------
+
+OCCUPANCY_PATTERN = rf"^{ROUTE_LABEL}(\d+){TYPE_LABEL}(.*){OCCUPANCY_LABEL}(\S+)$"
 
 
 def two_decimals(x: Column) -> Column:
-    return F.format_string("%.2f", x)
+    return F.format_string(TWO_DECIMALS, x)
 
 
 def percent_text(x: Column) -> Column:
-    return F.format_string("%.2f%%", x)
+    return F.format_string(PERCENT, x)
 
 
-def pair_text(left: Column, arrow: str, right: Column) -> Column:
-    return F.concat(left.cast("string"), F.lit(arrow), right.cast("string"))
+def _text(*parts: Column | str) -> Column:
+    return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+
+
+def count_text(name: Column, n: Column) -> Column:
+    return _text(name, COUNT_ARROW, n)
+
+
+def name_occupancy_text(name: Column, occupancy: Column) -> Column:
+    return _text(name, OCCUPANCY_ARROW, occupancy)
+
+
+def route_occupancy_text(route_id: Column, occupancy: Column) -> Column:
+    return _text(ROUTE_LABEL, route_id, ROUTE_ARROW, occupancy)
+
+
+def known_type(transport_type: Column) -> Column:
+    return F.coalesce(transport_type, F.lit(UNKNOWN_TYPE))
 
 
 def occupancy_text(route_id: Column, transport_type: Column, occupancy: Column) -> Column:
-    return F.concat(
-        F.lit("RouteId: "), route_id.cast("string"),
-        F.lit(" Type: "), F.coalesce(transport_type, F.lit("UNKNOWN")),
-        F.lit(" Occupancy: "), occupancy.cast("string"),
-    )
+    return _text(ROUTE_LABEL, route_id, TYPE_LABEL, known_type(transport_type), OCCUPANCY_LABEL, occupancy)
 
 
 def parse_occupancy_text(text: Column) -> Column:
@@ -35,12 +60,6 @@ def parse_occupancy_text(text: Column) -> Column:
 
     return F.struct(
         part(1).cast("bigint").alias("route_id"),
-        F.coalesce(part(2), F.lit("UNKNOWN")).alias("type"),
+        known_type(part(2)).alias("type"),
         part(3).cast("double").alias("occupancy"),
     )
-
-
-def route_occupancy_text(route_id: Column, occupancy: Column) -> Column:
-    return F.concat(
-        F.lit("RouteId: "), route_id.cast("string"), F.lit(" -> Occupancy: "), occupancy.cast("string")
-    )

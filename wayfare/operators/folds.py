@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.group import GroupedData
 
+from wayfare.functions.text import NAME_SEPARATOR
 from wayfare.operators.ordered import (
     ROWS_PER_TASK, hot_keys, row_count, running_count, running_sliced, running_with, sliced, split,
 )
@@ -24,7 +25,7 @@ def joined_names(
     key: str,
     name: str,
     order: Sequence[str] = ARRIVAL,
-    separator: str = ", ",
+    separator: str = NAME_SEPARATOR,
     names_per_part: int = NAMES_PER_PART,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.functions.text import pair_text, percent_text, route_occupancy_text, two_decimals
+from wayfare.functions.text import count_text, name_occupancy_text, percent_text, route_occupancy_text, two_decimals
 from wayfare.schemas import ENVELOPE_NAMES, RESULT_IDS, RESULT_TABLES
 
 
@@ -38,12 +38,12 @@ _RESULT: dict[int, Callable[[], Column]] = {
     8: lambda: F.col("total_seats"),
     9: lambda: percent_text(F.col("occupancy_pct")),
     10: lambda: two_decimals(F.col("avg_passengers")),
-    11: lambda: pair_text(F.col("transport_type"), "->", F.col("passengers")),
+    11: lambda: count_text(F.col("transport_type"), F.col("passengers")),
     12: lambda: route_occupancy_text(F.col("route_id"), F.col("occupancy")),
-    13: lambda: pair_text(F.col("transport_type"), "->", F.col("trips")),
-    14: lambda: pair_text(F.col("type"), " -> ", F.col("occupancy")),
-    15: lambda: pair_text(F.col("operator"), " -> ", F.col("occupancy")),
-    16: lambda: pair_text(F.col("passenger_name"), "->", F.col("trips")),
+    13: lambda: count_text(F.col("transport_type"), F.col("trips")),
+    14: lambda: name_occupancy_text(F.col("type"), F.col("occupancy")),
+    15: lambda: name_occupancy_text(F.col("operator"), F.col("occupancy")),
+    16: lambda: count_text(F.col("passenger_name"), F.col("trips")),
 }
 
 

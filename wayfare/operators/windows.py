@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wayfare.functions.ratios import occupancy
+from wayfare.functions.text import known_type
 from wayfare.operators.ordered import ROWS_PER_TASK, running, running_max
 from wayfare.operators.rollups import ARRIVAL, at
 
@@ -64,7 +65,7 @@ def hourly_type_occupancy(route_hours: DataFrame, route_table: DataFrame) -> Dat
     added = F.when(seated, (counts / F.col("capacity")).cast(EXACT))
     first = occupancy(F.col("before") + 1, F.col("capacity"))
     return (
-        hours.groupBy("window_start", F.coalesce("type", F.lit("UNKNOWN")).alias("type"))
+        hours.groupBy("window_start", known_type(F.col("type")).alias("type"))
         .agg(
             F.sum(added).cast(EXACT).alias("seated_occupancy"),
             F.max(~seated).alias("has_unseated"),

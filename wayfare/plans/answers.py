@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayfare.functions.ratios import mean, occupancy, occupancy_percent
+from wayfare.functions.text import known_type
 from wayfare.operators.changelog import lookup_asof, route_table
 from wayfare.operators.extremes import best, least_per
 from wayfare.operators.folds import joined_names
@@ -25,8 +26,6 @@ from wayfare.operators.ordered import ROWS_PER_TASK
 from wayfare.operators.rollups import ARRIVAL, seats_per_route, total_seats, total_trips, trip_counts
 from wayfare.operators.windows import hourly_route_counts, hourly_type_counts, hourly_type_occupancy
 
-UNKNOWN = "UNKNOWN"
-
 
 def q04_passengers_per_route(trips: DataFrame, order: Sequence[str] = ARRIVAL, **limits: int) -> DataFrame:
     names = joined_names(trips, "route_id", "passenger_name", order, **limits)
@@ -106,7 +105,7 @@ def q12_least_occupied_route(trips: DataFrame, routes: DataFrame, order: Sequenc
 
 def q12_from(route_trips: DataFrame, table: DataFrame) -> DataFrame:
     rows = route_trips.join(table, "route_id").select(
-        F.coalesce("type", F.lit(UNKNOWN)).alias("type"),
+        known_type(F.col("type")).alias("type"),
         "route_id",
         occupancy(F.col("trips"), F.col("capacity")).alias("occupancy"),
     )
@@ -125,7 +124,7 @@ def q12_least_occupied_route_changelog(
 
 def q12_changelog_from(route_trips: DataFrame, table: DataFrame) -> DataFrame:
     rows = route_trips.join(table, "route_id").select(
-        F.coalesce("type", F.lit(UNKNOWN)).alias("type"),
+        known_type(F.col("type")).alias("type"),
         "route_id",
         occupancy(F.lit(1), F.col("capacity")).alias("occupancy"),
         "first_at",
@@ -145,7 +144,7 @@ def q12_least_occupied_route_asof(
         F.min_by("event_id", "trips_so_far").alias("event_id"),
     )
     rows = firsts.select(
-        F.coalesce("type", F.lit(UNKNOWN)).alias("type"),
+        known_type(F.col("type")).alias("type"),
         "route_id",
         occupancy(F.col("n"), F.col("capacity")).alias("occupancy"),
         "ts",

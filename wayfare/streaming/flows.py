@@ -11,6 +11,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from wayfare.functions.ratios import occupancy
+from wayfare.functions.text import known_type
 from wayfare.operators.extremes import least_per
 from wayfare.operators.windows import hourly_type_occupancy
 from wayfare.plans import answers as A
@@ -64,11 +66,15 @@ def _hourly(key: str) -> Callable[[DataFrame], DataFrame]:
 
 
 def _total(total: str, value: Callable[[], Column]) -> Callable[[DataFrame], DataFrame]:
-    return lambda log: log.groupBy(F.lit("total").alias("id")).agg(value().cast("bigint").alias(total))
+    return lambda log: log.groupBy(F.lit("total").alias("id")).agg(value().alias(total))
+
+
+def _seat_sum() -> Column:
+    return F.coalesce(F.sum("capacity"), F.lit(0)).cast("bigint")
 
 
 def _seats(routes: DataFrame) -> DataFrame:
-    return routes.groupBy("route_id").agg(F.sum("capacity").cast("bigint").alias("seats"))
+    return routes.groupBy("route_id").agg(_seat_sum().alias("seats"))
 
 
 def _latest(routes: DataFrame) -> DataFrame:
@@ -86,7 +92,7 @@ FLOWS = {
     "trip_total": Flow("trips", ("id",), _total("total_passengers", lambda: F.count("*"))),
     "route_seats": Flow("routes", ("route_id",), _seats),
     "route_latest": Flow("routes", ("route_id",), _latest),
-    "seat_total": Flow("routes", ("id",), _total("total_seats", lambda: F.sum("capacity"))),
+    "seat_total": Flow("routes", ("id",), _total("total_seats", _seat_sum)),
     # a list of passengers grows with every trip, so the trips are kept as rows and put together on reading
     "passenger_rows": Flow("trips", (), lambda trips: trips.select("event_id", "route_id", "passenger_name")),
 }
@@ -166,7 +172,7 @@ def least_occupied_updates(flows: Flows) -> KeyedTable:
         session = changes.sparkSession
         known = flows.read("route_latest", session)
         updates = changes.join(known, "route_id").select(
-            F.coalesce("type", F.lit(A.UNKNOWN)).alias("type"),
+            known_type(F.col("type")).alias("type"),
             occupancy(F.col("trips"), F.col("capacity")).alias("occupancy"),
             F.col("last_at").alias("at"),
             "route_id",
@@ -203,32 +209,30 @@ def flows_over(spark: SparkSession, sf_dir: str, root: str | None = None, max_fi
     )
 
 
-def answers_from(flows: Flows, spark: SparkSession) -> dict[int, DataFrame]:
-    """All answers from the tables as they are now; each table is looked up once."""
-    tables = {name: flows.read(name, spark) for name in RESULT_FLOWS}
-    read = tables.__getitem__
-    occupancy_hours = hourly_type_occupancy(read("route_hours"), read("route_latest"))
-    return {
-        4: A.q04_passengers_per_route(read("passenger_rows")),
-        5: read("route_seats"),
-        6: A.q06_from(read("route_trips"), read("route_seats")),
-        7: read("trip_total").select("total_passengers"),
-        8: read("seat_total").select("total_seats"),
-        9: A.q09_from(read("trip_total").drop("id"), read("seat_total").drop("id")),
-        10: A.q10_from(read("type_trips")),
-        11: A.q11_from(read("type_trips")),
-        12: A.q12_changelog_from(read("route_trips"), read("route_latest")),
-        13: A.q13_from(read("type_hours")),
-        14: A.q14_changelog_from(occupancy_hours),
-        15: A.q15_from(read("route_trips"), read("route_latest")),
-        16: A.q16_from(read("passenger_trips")),
+def answers_from(
+    flows: Flows, spark: SparkSession, queries: Sequence[int] = tuple(RESULT_TABLES)
+) -> dict[int, DataFrame]:
+    """The answers from the tables as they are now; each table is looked up once."""
+    @cache
+    def read(name: str) -> DataFrame:
+        return flows.read(name, spark)
+
+    answers = {
+        4: lambda: A.q04_passengers_per_route(read("passenger_rows")),
+        5: lambda: read("route_seats"),
+        6: lambda: A.q06_from(read("route_trips"), read("route_seats")),
+        7: lambda: read("trip_total").select("total_passengers"),
+        8: lambda: read("seat_total").select("total_seats"),
+        9: lambda: A.q09_from(read("trip_total").drop("id"), read("seat_total").drop("id")),
+        10: lambda: A.q10_from(read("type_trips")),
+        11: lambda: A.q11_from(read("type_trips")),
+        12: lambda: A.q12_changelog_from(read("route_trips"), read("route_latest")),
+        13: lambda: A.q13_from(read("type_hours")),
+        14: lambda: A.q14_changelog_from(hourly_type_occupancy(read("route_hours"), read("route_latest"))),
+        15: lambda: A.q15_from(read("route_trips"), read("route_latest")),
+        16: lambda: A.q16_from(read("passenger_trips")),
     }
-
-
-def results_from(flows: Flows, spark: SparkSession, queries: Sequence[int] = tuple(RESULT_TABLES)) -> DataFrame:
-    """(result_table, id, result) rows of the given questions."""
-    answers = answers_from(flows, spark)
-    return result_table_rows({query: answers[query] for query in queries})
+    return {query: answers[query]() for query in queries}
 
 
 def publish(
@@ -239,7 +243,7 @@ def publish(
     Versions must rise. Only rows that differ from what the tables hold are written.
     """
     table = flows.results()
-    rows = results_from(flows, spark, queries)
+    rows = result_table_rows(answers_from(flows, spark, queries))
     changed = rows.join(table.read(spark, before=version), RESULT_ROW.names, "left_anti")
     table.write(changed, version)
     return table.read(spark)
@@ -252,20 +256,21 @@ def keep_publishing(flows: Flows, spark: SparkSession, pause: float, rounds: int
     """
     running = [flows.start(name) for name in RESULT_FLOWS]
     version = done = 0
-    while True:
-        ended = not any(query.isActive for query in running)
+    try:
+        while True:
+            ended = not any(query.isActive for query in running)
+            for query in running:
+                if query.exception() is not None:
+                    raise query.exception()
+            version = max(version + 1, int(time.time()))
+            publish(flows, spark, version)
+            done += 1
+            if ended or done == rounds:
+                return version
+            time.sleep(pause)
+    finally:
         for query in running:
-            if query.exception() is not None:
-                raise query.exception()
-        version = max(version + 1, int(time.time()))
-        publish(flows, spark, version)
-        done += 1
-        if ended or done == rounds:
-            break
-        time.sleep(pause)
-    for query in running:
-        query.stop()
-    return version
+            query.stop()
 
 
 def hourly_type_counts_of(spark: SparkSession, sf_dir: str) -> DataFrame:
