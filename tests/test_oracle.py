@@ -4,6 +4,7 @@ import pytest
 from compare import TESTDATA, duckdb_over, duckdb_rows, spark_rows
 
 import __spark_entry__ as entry_module
+from wayfare import oracle, registry
 
 SF = f"{TESTDATA}/sf0.01"
 
@@ -14,7 +15,9 @@ def duck():
 
 
 def test_each_query_has_an_oracle():
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
+    assert set(registry.QUERIES) == set(oracle.SQL)
+    assert set(registry.QUERIES) <= set(entry_module.queries())
+    assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
 
 
 def test_entry(spark):
@@ -23,9 +26,9 @@ def test_entry(spark):
     assert df.count() == 100
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query_matches_oracle(spark, duck, name):
-    columns, rows = spark_rows(entry_module.queries()[name](spark, SF))
-    expected_columns, expected = duckdb_rows(duck, entry_module.oracle_sql()[name])
+    columns, rows = spark_rows(registry.QUERIES[name](spark, SF))
+    expected_columns, expected = duckdb_rows(duck, oracle.SQL[name])
     assert columns == expected_columns
     assert rows == expected
