@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -34,6 +36,7 @@ STREAM_SETTINGS = {
 
 
 _local_dirs: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def build_session(app: str, master: str | None = None, large: bool = False, **settings: str) -> SparkSession:
@@ -100,3 +103,15 @@ def clear_shared(spark: SparkSession) -> None:
         f"{shared_dir(spark)}/wayfare/{spark.sparkContext.applicationId}"
     )
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers of the application, once, so that they can import it anywhere."""
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="wayfare-")), "wayfare")
+    shutil.make_archive(archive, "zip", os.path.dirname(package), os.path.basename(package))
+    spark.sparkContext.addPyFile(f"{archive}.zip")
+    _shipped.add(application)
