@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm import histogram_packing, minhash_dedup, quality_model, rule_cascade
-from wayfare.session import ship_package
+from wayfare.llm import (
+    backoff_scoring, chat_rotation, embedding_join, histogram_packing, lattice_sampling, minhash_dedup, packed_ids,
+    quality_model, ring_sharding, rule_cascade,
+)
+from wayfare.session import shared_path, ship_package
 from wayfare.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,19 +24,59 @@ def public_tokenizer(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_pivot_join(spark: SparkSession, sf: str) -> DataFrame:
+    return embedding_join.linked(table(spark, sf, "embeddings"), cosine=0.95)
+
+
+def op2_chat_rotation(spark: SparkSession, sf: str) -> DataFrame:
+    rotated = chat_rotation.perspectives(table(spark, sf, "conversations"))
+    mask = F.transform("spans", lambda s: F.concat_ws("-", s["start"], s["end"]))
+    return rotated.select("conv_id", "speaker", "part", "start", "text", F.array_join(mask, " ").alias("mask"))
+
+
+def op3_packed_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """Matrices are written to the shared folder and read back; ids and positions are returned as checksums."""
+    path = shared_path(spark, "matrices")
+    packed = packed_ids.packed(table(spark, sf, "documents"), public_tokenizer("word_bpe_49k.json"))
+    packed_ids.write_matrices(packed, path)
+    return spark.read.schema(packed_ids.SCHEMA).parquet(path).select(
+        "matrix", "n_rows", "row_length", F.crc32("ids").alias("ids_crc32"), "cu_seqlens", "resets", "doc_ids",
+        "starts", "lengths", "rows",
+    )
+
+
 def op4_minhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, sf, "documents"), size=3, percent=85)
 
 
+def op5_ring_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    return ring_sharding.sharded(table(spark, sf, "documents"), shards=8)
+
+
 def op6_histogram_packing(spark: SparkSession, sf: str) -> DataFrame:
     tokenizer = public_tokenizer("word_bpe_49k.json")
     return histogram_packing.pack_documents(table(spark, sf, "documents"), tokenizer, capacity=2048)
 
 
+def op7_backoff_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    return backoff_scoring.scored(table(spark, sf, "documents"))
+
+
 def op8_quality_model(spark: SparkSession, sf: str) -> DataFrame:
     return quality_model.score_documents(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op9_lattice_sampling(spark: SparkSession, sf: str) -> DataFrame:
+    """Ids are returned as number and checksum; round_trip says whether they decode to the normalised text."""
+    model = public_tokenizer("piece_bpe_32k.model")
+    sampled = lattice_sampling.segmentations(table(spark, sf, "documents"), model)
+    back = F.col("decoded_crc32") == F.col("text_crc32")
+    return sampled.withColumn("decoded_crc32", F.crc32(lattice_sampling.decoded(F.col("ids"), model).cast("binary"))).select(
+        "doc_id", "sample", (F.octet_length("ids") / 4).cast("long").alias("n_ids"), F.crc32("ids").alias("ids_crc32"),
+        "logp", "value", "inclusion", back.alias("round_trip"),
+    )
+
+
 def op10_rule_cascade(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     text = F.col("text")
@@ -62,13 +105,58 @@ def _shipped(query: Query) -> Query:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_pivot_join": _shipped(op1_pivot_join),
+    "op2_chat_rotation": op2_chat_rotation,
+    "op3_packed_ids": _shipped(op3_packed_ids),
     "op4_minhash_dedup": _shipped(op4_minhash_dedup),
+    "op5_ring_sharding": op5_ring_sharding,
     "op6_histogram_packing": _shipped(op6_histogram_packing),
+    "op7_backoff_scoring": _shipped(op7_backoff_scoring),
     "op8_quality_model": _shipped(op8_quality_model),
+    "op9_lattice_sampling": _shipped(op9_lattice_sampling),
     "op10_rule_cascade": op10_rule_cascade,
 }
 
 SQL: dict[str, str] = {
+    "op1_pivot_join": """
+        WITH RECURSIVE
+        v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+        links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id
+            WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+        reach(node, label) AS (
+            SELECT a, a FROM links
+            UNION SELECT links.b, reach.label FROM reach JOIN links ON links.a = reach.node),
+        lowest AS (SELECT node, min(label) AS component FROM reach GROUP BY node),
+        counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+        SELECT v.vec_id, coalesce(n, 0) AS n_links, coalesce(component, v.vec_id) AS component_id,
+            coalesce(component, v.vec_id) = v.vec_id AS kept
+        FROM v LEFT JOIN counts ON counts.a = v.vec_id LEFT JOIN lowest ON lowest.node = v.vec_id
+    """,
+    "op2_chat_rotation": """
+        WITH m AS (
+            SELECT conv_id, coalesce(role, 'unknown') AS role, coalesce(text, '') || '<|end|>' || chr(10) AS body,
+                row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS place
+            FROM conversations),
+        speakers AS (SELECT DISTINCT conv_id, role AS speaker FROM m WHERE role <> 'system'),
+        pieces AS (
+            SELECT m.conv_id, speaker, place, (place - 1) // 256 AS part, role = speaker AS learned, body,
+                CASE role WHEN 'system' THEN '<|system|>' WHEN speaker THEN '<|assistant|>'
+                    ELSE '<|user name=' || role || '|>' END || chr(10) AS head
+            FROM m JOIN speakers ON m.conv_id IS NOT DISTINCT FROM speakers.conv_id),
+        ends AS (
+            SELECT *, sum(length(head) + length(body)) OVER (
+                PARTITION BY conv_id, speaker, part ORDER BY place) AS upto
+            FROM pieces),
+        parts AS (
+            SELECT conv_id, speaker, part, string_agg(head || body, '' ORDER BY place) AS text,
+                coalesce(string_agg(CASE WHEN learned THEN (upto - length(body))::BIGINT || '-' || upto::BIGINT END,
+                    ' ' ORDER BY place), '') AS mask
+            FROM ends GROUP BY ALL)
+        SELECT conv_id, speaker, part, text, mask, coalesce(sum(length(text)) OVER (
+            PARTITION BY conv_id, speaker ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
+        FROM parts
+    """,
     "op4_minhash_dedup": r"""
         WITH RECURSIVE
         split AS (
