@@ -34,7 +34,7 @@ from wayfare.session import written
 ROWS = 3
 MISSED = 3e-5
 SEED = 5
-MOST_WORDS = 1_000_000
+MOST_WORDS = 200_000
 CHUNK = 2_048
 
 FIRST, SECOND, THIRD = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xBF58476D1CE4E5B9))
