@@ -92,14 +92,14 @@ class Lattices:
         self.units: dict[str, int] = {}
         self.n_nodes = self.n_arcs = 0
         # per node, and per arc in the order of nodes
-        self.first = np.zeros(1 << 16, dtype=np.int64)
-        self.leaving = np.zeros(1 << 16, dtype=np.int64)
+        self.first = np.zeros(1 << 16, dtype=np.int32)
+        self.leaving = np.zeros(1 << 16, dtype=np.int32)
         self.stop = np.zeros(1 << 16, dtype=bool)
-        self.source = np.zeros(1 << 16, dtype=np.int64)
-        self.to = np.zeros(1 << 16, dtype=np.int64)
-        self.piece = np.zeros(1 << 16, dtype=np.int64)
+        self.source = np.zeros(1 << 16, dtype=np.int32)
+        self.to = np.zeros(1 << 16, dtype=np.int32)
+        self.piece = np.zeros(1 << 16, dtype=np.int32)
         self.logp = np.zeros(1 << 16)
-        self.upto = np.zeros(1 << 16)
+        self.upto = np.zeros(1 << 16, dtype=np.float32)
 
     def _room(self, names: tuple[str, ...], needed: int) -> None:
         for name in names:
@@ -135,7 +135,8 @@ class Lattices:
         lone = np.nonzero(alone)[0]
         # a character without a piece is one arc for its bytes, kept as minus its code
         source.append(lone), span.append(np.ones(len(lone), dtype=np.int64)), piece.append(-code[lone].astype(np.int64))
-        source, span, piece = map(np.concatenate, (source, span, piece))
+        # long pieces first: they mostly weigh more, which shortens the search for a draw
+        source, span, piece = (np.concatenate(x[::-1]) for x in (source, span, piece))
         size = np.where(-piece < 128, 1, np.where(-piece < 2048, 2, np.where(-piece < 65536, 3, 4)))
         weight = np.where(piece >= 0, self.weights[np.maximum(piece, 0)], size * self.byte_weight)
         order = np.argsort(source, kind="stable")
@@ -157,9 +158,9 @@ class Lattices:
         logp = weight + mass[target] - mass[node[source]]
         share = np.exp(logp)
         whole = np.cumsum(share)
-        before = np.concatenate([[0], whole])[first]
-        upto = np.minimum(whole - before[source], 1.0)
-        upto[first + n_arcs - 1] = 1.0
+        upto = whole - np.concatenate([[0], whole])[first][source]
+        # above any draw, so that the last arc always ends a search
+        upto[first + n_arcs - 1] = 2.0
 
         at, arc_at = self.n_nodes, self.n_arcs
         self._room(("first", "leaving", "stop"), at + len(mass))
@@ -170,7 +171,7 @@ class Lattices:
         self.stop[at + last] = True
         new = slice(arc_at, arc_at + len(source))
         self.source[new], self.to[new] = at + node[source], at + target
-        self.piece[new], self.logp[new], self.upto[new] = piece, np.minimum(logp, 0.0), at + node[source] + upto
+        self.piece[new], self.logp[new], self.upto[new] = piece, np.minimum(logp, 0.0), upto
         for unit, begin in zip(units, (at + starts + np.arange(len(units))).tolist()):
             self.units[unit] = begin
         self.n_nodes += len(mass)
@@ -183,14 +184,18 @@ class Lattices:
 
     def drawn(self, nodes: np.ndarray, uniform: np.ndarray) -> np.ndarray:
         """An arc that leaves each of ``nodes``, by weight."""
-        arcs = np.searchsorted(self.upto[: self.n_arcs], nodes + uniform, side="right")
-        return np.clip(arcs, self.first[nodes], self.first[nodes] + self.leaving[nodes] - 1)
+        arcs = self.first[nodes]
+        beyond = np.nonzero(self.upto[arcs] <= uniform)[0]
+        while len(beyond):
+            arcs[beyond] += 1
+            beyond = beyond[self.upto[arcs[beyond]] <= uniform[beyond]]
+        return arcs
 
     def ids(self, arcs: np.ndarray) -> np.ndarray:
         """Piece ids of a path, with bytes in place of characters without a piece."""
         pieces = self.piece[arcs]
-        if (pieces >= 0).all():
-            return pieces.astype(np.uint32)
+        if (pieces > -128).all():
+            return np.where(pieces >= 0, pieces, self.bytes_at - pieces).astype(np.uint32)
         out: list[int] = []
         for p in pieces.tolist():
             out += [p] if p >= 0 else [self.bytes_at + b for b in chr(-p).encode()]
