@@ -157,8 +157,11 @@ class Lattices:
                 mass[own[begins]] = np.logaddexp.reduceat(weight[arcs] + mass[target[arcs]], begins)
         logp = weight + mass[target] - mass[node[source]]
         share = np.exp(logp)
-        whole = np.cumsum(share)
-        upto = whole - np.concatenate([[0], whole])[first][source]
+        # node by node, so that rounding does not depend on the other units of the call
+        upto = share.copy()
+        for k in range(1, n_arcs.max()):
+            at = (first + k)[n_arcs > k]
+            upto[at] += upto[at - 1]
         # above any draw, so that the last arc always ends a search
         upto[first + n_arcs - 1] = 2.0
 
@@ -231,9 +234,11 @@ class _Path:
     def __init__(self, arcs: np.ndarray, unit: np.ndarray, offsets: np.ndarray, logp: np.ndarray):
         self.arcs, self.unit, self.offsets = arcs, unit, offsets
         each = logp[arcs]
-        total = np.concatenate([[0.0], np.cumsum(each)])
-        self.before = total[:-1] - np.repeat(total[offsets[:-1]], np.diff(offsets))
-        self.total = total[offsets[1:]] - total[offsets[:-1]]
+        upto = np.empty(len(arcs))
+        for begin, end in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+            np.cumsum(each[begin:end], out=upto[begin:end])
+        self.before = upto - each
+        self.total = np.where(np.diff(offsets) > 0, np.append(upto, 0.0)[offsets[1:] - 1], 0.0)
         with np.errstate(divide="ignore"):
             self.aside = self.before + np.log(np.maximum(-np.expm1(each), 0.0))
         self.aside[each > -1e-12] = -np.inf

@@ -270,9 +270,15 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 def deduplicated(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs``, in all their columns, without those that are copies of a kept document.
 
-    Rows that repeat a kept doc_id with an equal text are thinned to one; with another text they stay.
+    Rows that repeat a kept doc_id with an equal text are thinned to one; with another text they stay, as
+    do all rows with a null doc_id.
     """
-    dropped = written(
-        near_duplicates(docs, size, percent).filter(~F.col("kept")).select("doc_id").distinct(), "dropped"
-    )
-    return join_by_key(docs, dropped, ["doc_id"], "left_anti", ["text"])
+    found = written(near_duplicates(docs, size, percent), "duplicates")
+    dropped = found.filter(~F.col("kept")).select("doc_id").distinct()
+    kept = join_by_key(docs, dropped, ["doc_id"], "left_anti", ["text"])
+    repeated = found.filter("kept and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1")
+    repeated = written(repeated.select("doc_id"), "repeated")
+    if repeated.isEmpty():
+        return kept
+    again = join_by_key(kept, repeated, ["doc_id"], "left_semi", ["text"])
+    return join_by_key(kept, repeated, ["doc_id"], "left_anti", ["text"]).union(again.dropDuplicates(["doc_id", "text"]))
