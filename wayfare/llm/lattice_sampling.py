@@ -328,7 +328,7 @@ class _Batch:
                 own = paths[p][1]
                 o = int(own.offsets[index[p][text]])
                 out = left_out.setdefault((text, p, at), [int(own.arcs[o + at])])
-                choice, rest = self._other(text, own, o + at, out, sample)
+                choice, rest = self._other(text, own, o, at, out, sample)
                 out.append(choice)
                 draw = _uniform(self.keys[text], (1 << 42) + sample, at)
                 own.waiting[o + at] = _below(best[text], rest, draw)[0]
@@ -350,16 +350,16 @@ class _Batch:
             offsets = np.cumsum(sizes)
         return []
 
-    def _other(self, text: int, own: _Path, at: int, out: list[int], sample: int) -> tuple[int, float]:
+    def _other(self, text: int, own: _Path, begin: int, step: int, out: list[int], sample: int) -> tuple[int, float]:
         """An arc besides those ``out`` at a step, drawn by weight, and the log-mass of what stays aside."""
         store = self.store
-        arcs = store.arcs_between(int(own.arcs[at]))
+        arcs = store.arcs_between(int(own.arcs[begin + step]))
         arcs = arcs[~np.isin(arcs, out)]
         share = np.exp(store.logp[arcs])
-        u = _uniform(self.keys[text], (1 << 43) + sample, at)[0]
+        u = _uniform(self.keys[text], (1 << 43) + sample, step)[0]
         chosen = min(int(np.searchsorted(np.cumsum(share), u * share.sum())), len(arcs) - 1)
         rest = share.sum() - share[chosen] if len(arcs) > 1 else 0.0
-        return int(arcs[chosen]), float(own.before[at] + np.log(rest)) if rest > 0 else -np.inf
+        return int(arcs[chosen]), float(own.before[begin + step] + np.log(rest)) if rest > 0 else -np.inf
 
 
 def _inclusion(logp: float, threshold: float) -> float:

@@ -4,36 +4,52 @@ from __future__ import annotations
 
 import array
 import os
-import re
 
-BLANKS = re.compile(r"[ \t\n\r]+")
+# a run of these after letters is a token of its own; not the apostrophe, which may go with letters
+MARKS = '!"#$%&()*+,-./:;<=>?@[]^_`{|}~'
 
 
 class WordIds:
     """Ids of texts by a ``tokenizers`` file whose tokens never span white space, as with word_bpe_49k.
 
-    Then a text's ids are those of its words one after another, and each distinct word is encoded once.
-    Ids are little-endian unsigned 32-bit bytes. The table of words is emptied at ``most_words``, which
-    bounds memory and changes no result.
+    Then a text's ids are those of its words one after another. Words of letters with marks behind are two
+    parts, and case does not matter, so each distinct part is encoded once. Ids are little-endian unsigned
+    32-bit bytes. Tables are emptied at ``most_words``, which bounds memory and changes no result.
     """
 
-    def __init__(self, path: str, most_words: int = 200_000):
+    def __init__(self, path: str, most_words: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.most_words = most_words
-        self.ids: dict[str, bytes] = {"": b""}
+        self.words: dict[str, bytes] = {"": b""}
+        self.parts: dict[str, bytes] = {"": b""}
 
     def encode(self, text: str | None) -> bytes:
-        words = BLANKS.split(text or "")
-        if len(self.ids) > self.most_words:
-            self.ids = {"": b""}
-        new = list({w for w in words if w not in self.ids})
+        words = (text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+        if len(self.words) > self.most_words:
+            self.words = {"": b""}
+        new = set(words).difference(self.words)
         if new:
-            for word, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                self.ids[word] = array.array("I", found.ids).tobytes()
-        return b"".join(map(self.ids.__getitem__, words))
+            self._learn(new)
+        return b"".join(map(self.words.__getitem__, words))
+
+    def _learn(self, words: set[str]) -> None:
+        if len(self.parts) > self.most_words:
+            self.parts = {"": b""}
+        split = {}
+        for word in words:
+            stem = word.rstrip(MARKS)
+            if stem.isalpha() and "\u03a3" not in stem:  # a capital sigma has two small letters
+                split[word] = stem.lower(), word[len(stem):]
+            else:
+                split[word] = word, ""
+        new = list({p for parts in split.values() for p in parts}.difference(self.parts))
+        for part, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+            self.parts[part] = array.array("I", found.ids).tobytes()
+        for word, (first, second) in split.items():
+            self.words[word] = self.parts[first] + self.parts[second]
 
 
 _kept: dict[str, WordIds] = {}
