@@ -106,9 +106,9 @@ def test_null_groups_and_texts_with_separators(spark):
     assert rows(A.q16_top_passenger(trips)) == [("a->b", 2)]
     assert rows(A.q10_avg_passengers_per_type(trips)) == [("Bus", 2, 2, 1.0)]
     assert rows(A.q07_total_passengers(trips)) == [(3,)]
-    assert rows(R.result_rows(A.q15_top_operator(trips, routes), 15)) == [("MostOccupiedOperator", "Op X -> 3.0")]
+    assert rows(R.result_rows(A.q15_top_operator(trips, routes), 15)) == [("MostOccupiedOperator", 0, "Op X -> 3.0")]
     assert rows(R.result_rows(A.q12_least_occupied_route(trips, routes), 12)) == [
-        ("Night Bus", "RouteId: 1 -> Occupancy: 3.0")
+        ("Night Bus", 0, "RouteId: 1 -> Occupancy: 3.0")
     ]
 
 

@@ -37,7 +37,7 @@ def test_hot_keys_are_set_apart(logs):
     trips, _ = logs
     hot = hot_keys(trips, ["route_id"], 200)
     assert hot.count() == 1
-    for limits in ({}, {"broadcast_bytes": 0, "salts": 4}):
+    for limits in ({}, {"broadcast_bytes": 0, "rows_per_salt": FEW}):
         moderate, large = split(trips, ["route_id"], hot, ["event_id"], **limits)
         assert large.count() == row_count(hot) > 200 and moderate.count() + large.count() == 600
         assert large.columns == moderate.columns == trips.columns
@@ -71,7 +71,7 @@ def test_changelog_and_lookups(logs):
 def test_lookup_current_without_broadcast(logs):
     trips, routes = logs
     table = route_table(routes).select("route_id", "type", "capacity")
-    salted = lookup_current(trips, table, "route_id", broadcast_bytes=0, salts=4)
+    salted = lookup_current(trips, table, "route_id", broadcast_bytes=0, rows_per_salt=FEW)
     same(salted, lookup_current(trips, table, "route_id"))
     assert "strategy=broadcast" not in optimized(salted) and "salt" in optimized(salted)
     assert "strategy=broadcast" in optimized(lookup_current(trips, table, "route_id"))
@@ -90,8 +90,8 @@ def test_long_lists_of_names_go_on_in_further_parts(logs):
 
 
 @pytest.mark.parametrize("rows, per_slice, parallel, want", [
-    (0, 10, 8, 1), (5, 10, 8, 4), (25, 10, 8, 8), (25, 10, 2, 3), (10**12, 4_000_000, 4000, 10_000),
-    (10**12, 4_000_000, 50_000, 50_000), (10**10, 4_000_000, 400, 2500),
+    (0, 10, 8, 1), (5, 10, 8, 4), (25, 10, 8, 8), (25, 10, 2, 3), (10**12, 4_000_000, 4000, 250_000),
+    (10**12, 4_000_000, 500_000, 500_000), (10**10, 4_000_000, 400, 2500),
 ])
 def test_slice_number(rows, per_slice, parallel, want):
     assert slice_number(rows, per_slice, parallel) == want

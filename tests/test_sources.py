@@ -107,20 +107,42 @@ def test_envelope(spark):
     }
 
 
-def test_over_long_lists_have_an_id_per_part(spark):
+def test_over_long_lists_keep_their_id_in_every_part(spark):
     rows = spark.createDataFrame([(3, 0, "a, b"), (3, 1, "c")], "route_id LONG, part LONG, passengers STRING")
-    assert [tuple(r) for r in R.result_rows(rows, 4).collect()] == [("3", "a, b"), ("3#1", "c")]
+    assert [tuple(r) for r in R.result_rows(rows, 4).collect()] == [("3", 0, "a, b"), ("3", 1, "c")]
+    envelopes = [json.loads(r.value) for r in R.result_envelope(R.result_rows(rows, 4), 4).collect()]
+    assert [e["payload"] for e in envelopes] == [
+        {"id": "3", "result": "a, b", "part": 0}, {"id": "3", "result": "c", "part": 1}]
+
+
+def test_null_records_are_no_trips(spark):
+    log = spark.createDataFrame([(1, None), (2, '{"routeId":7}'), (3, '{"passengerName":"a"}'), (4, "{bad")], "event_id LONG, value STRING")
+    good, bad = json_log.split_bad(json_log.decode_trips(log, mode="PERMISSIVE"))
+    assert [(r.event_id, r.route_id) for r in good.orderBy("event_id").collect()] == [(2, 7), (3, 0)]
+    assert [(r.event_id, r.route_id) for r in bad.collect()] == [(4, None)]
+    whole = json_log.decode_trips(log.filter("event_id < 4"))
+    assert [(r.event_id, r.route_id) for r in whole.orderBy("event_id").collect()] == [(2, 7), (3, 0)]
+
+
+def test_topic_positions_are_unique_over_any_number_of_partitions(spark):
+    records = spark.range(50).crossJoin(spark.range(9).toDF("partition")).withColumnRenamed("id", "offset")
+    placed = records.select("offset", "partition", external.position().alias("event_id"))
+    assert placed.select("event_id").distinct().count() == 450
+    last = {}
+    for r in placed.orderBy("partition", "offset").collect():
+        assert r.event_id > last.get(r.partition, -1)
+        last[r.partition] = r.event_id
 
 
 def test_result_tables(spark, tmp_path):
     rows = spark.createDataFrame(
-        [(RESULT_TABLES[5], "1", "17"), (RESULT_TABLES[7], "total", "10")], RESULT_ROW
+        [(RESULT_TABLES[5], "1", 0, "17"), (RESULT_TABLES[7], "total", 0, "10")], RESULT_ROW
     )
     path = str(tmp_path / "results")
     write_result_tables(rows, path)
     assert results_scan(spark, path).count() == 2
     one = results_scan(spark, path, 7)
-    assert [tuple(r) for r in one.collect()] == [("total", "10")]
+    assert [tuple(r) for r in one.collect()] == [("total", 0, "10")]
     assert "PartitionFilters: [isnotnull(result_table" in one._jdf.queryExecution().executedPlan().toString()
 
 

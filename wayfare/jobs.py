@@ -3,6 +3,7 @@
     spark-submit wayfare/jobs.py report --data /data --out /results
     spark-submit wayfare/jobs.py stream --data /data --root /state
     spark-submit wayfare/jobs.py stream --kafka broker:9092 --root /state --every 30
+    spark-submit wayfare/jobs.py stream --kafka broker:9092 --root /state --skip-bad --large
     spark-submit wayfare/jobs.py show --out /results --query 6
 """
 
@@ -32,11 +33,15 @@ def report(spark: SparkSession, data: str, out: str) -> None:
     write_result_tables(result_table_rows(answers), out)
 
 
-def stream(spark: SparkSession, root: str, data: str | None, kafka: str | None, every: float | None) -> None:
+def stream(
+    spark: SparkSession, root: str, data: str | None, kafka: str | None, every: float | None, skip_bad: bool = False
+) -> None:
     """Result tables below ``root`` from files or topics: once over what has arrived, or ``every`` so many seconds."""
     if kafka:
         session = stream_session(spark)
-        flows = Flows(session, root, external.kafka_trips(session, kafka), external.kafka_routes(session, kafka))
+        mode = "PERMISSIVE" if skip_bad else "FAILFAST"
+        trips, routes = (read(session, kafka, mode=mode) for read in (external.kafka_trips, external.kafka_routes))
+        flows = Flows(session, root, trips, routes)
     else:
         flows = flows_over(spark, data, root)
     if every:
@@ -61,20 +66,23 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     source.add_argument("--kafka")
     command.add_argument("--root", required=True)
     command.add_argument("--every", type=float)
+    command.add_argument("--skip-bad", action="store_true", help="pass over records of topics that are not JSON")
     command = commands.add_parser("show")
     command.add_argument("--out", required=True)
     command.add_argument("--query", type=int, required=True, choices=sorted(RESULT_TABLES))
+    for command in commands.choices.values():
+        command.add_argument("--large", action="store_true", help="settings for thousands of cores")
     return parser.parse_args(argv)
 
 
 def main(argv: Sequence[str] | None = None) -> None:
     options = arguments(argv)
-    spark = build_session(f"wayfare {options.command}")
+    spark = build_session(f"wayfare {options.command}", large=options.large)
     if options.command == "report":
         report(spark, options.data, options.out)
         clear_shared(spark)
     elif options.command == "stream":
-        stream(spark, options.root, options.data, options.kafka, options.every)
+        stream(spark, options.root, options.data, options.kafka, options.every, options.skip_bad)
     else:
         show(spark, options.out, options.query).show(truncate=False)
 

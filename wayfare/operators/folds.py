@@ -5,17 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.group import GroupedData
 
 from wayfare.functions.text import NAME_SEPARATOR
 from wayfare.operators.ordered import (
-    ROWS_PER_TASK, hot_keys, row_count, running_count, running_sliced, running_with, sliced, split,
+    ROWS_PER_TASK, hot_keys, row_count, running, running_count, running_sliced, running_with, split,
 )
 from wayfare.operators.rollups import ARRIVAL, at
 
-# A list of names this long is about a megabyte of text; longer lists go on in further rows.
+# A list of names this long is about a megabyte of text; longer lists go on in further parts.
 NAMES_PER_PART = 50_000
 ROWS_PER_FOLD = 50_000
 
@@ -67,27 +66,22 @@ def keyed_fold(
     step: Callable[[Column, Column], Column],
     merge: Callable[[Column, Column], Column],
     rows_per_fold: int = ROWS_PER_FOLD,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """(key, state): ``step`` folded over the values of a key in order, from ``init``.
 
-    ``merge`` joins the states of two neighbouring stretches of a key. It lets a key with
-    more than ``rows_per_fold`` rows be folded in chunks, so no array outgrows a task.
-    ``init`` must be neutral for ``merge``.
+    A key's rows are folded ``rows_per_fold`` at a time, and ``merge`` joins the states of neighbouring
+    stretches, so that no array outgrows a task. All keys go this way, whatever their number of rows.
+    ``init`` must be neutral for ``merge``, and ``order`` unique within a key.
     """
     def folded(groups: GroupedData, columns: Sequence[str], item: str, function) -> DataFrame:
         items = F.array_sort(F.collect_list(F.struct(*columns, item)))
         return groups.agg(F.aggregate(items, init, lambda acc, x: function(acc, x[item])).alias("state"))
 
     rows = df.filter(F.col(key).isNotNull()).select(key, *order, value.alias("value"))
-    hot = hot_keys(rows, [key], rows_per_fold)
-    if hot is None:
-        return folded(rows.groupBy(key), order, "value", step)
-    moderate, large = split(rows, [key], hot, order)
-    slices = sliced(large, [key], order, row_count(hot), ROWS_PER_TASK)
-    place = F.row_number().over(W.partitionBy("slice", key).orderBy(*order))
-    chunks = slices.withColumn("chunk", F.floor((place - 1) / rows_per_fold))
-    # rows to chunks, chunks to slices, slices to keys: no array holds more than one level of one group
-    by_chunk = folded(chunks.groupBy(key, "slice", "chunk"), order, "value", step)
-    by_slice = folded(by_chunk.groupBy(key, "slice"), ["chunk"], "state", merge)
-    by_key = folded(by_slice.groupBy(key), ["slice"], "state", merge)
-    return folded(moderate.groupBy(key), order, "value", step).unionByName(by_key)
+    placed = running(rows, [key], order, {"n": running_count()}, rows_per_task)
+    chunks = placed.withColumn("chunk", F.floor((F.col("n") - 1) / rows_per_fold))
+    by_chunk = folded(chunks.groupBy(key, "chunk"), order, "value", step)
+    stretches = by_chunk.withColumn("stretch", F.floor(F.col("chunk") / rows_per_fold))
+    by_stretch = folded(stretches.groupBy(key, "stretch"), ["chunk"], "state", merge)
+    return folded(by_stretch.groupBy(key), ["stretch"], "state", merge)

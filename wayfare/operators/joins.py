@@ -7,9 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wayfare.session import written
+
 # A table up to this size is sent to every task; it is measured, not guessed.
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 32
+# Rows of one key that one task joins; a key with more is spread over as many tasks as that takes.
+ROWS_PER_SALT = 4_000_000
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -26,15 +29,16 @@ def join_by_key(
     how: str,
     spread_by: Sequence[str],
     broadcast_bytes: int = BROADCAST_BYTES,
-    salts: int = SALTS,
+    rows_per_salt: int = ROWS_PER_SALT,
 ) -> DataFrame:
     """``rows`` joined with a ``table`` that has at most one row per key.
 
-    A table of a moderate size is broadcast. A larger one is joined on (key, salt): the log
-    spreads each key over ``salts`` by the hash of ``spread_by``, and the table carries a
-    copy per salt, so that a hot key is shared by many tasks.
+    A table of a moderate size is broadcast. A larger one is joined by key, and where a key has more
+    than ``rows_per_salt`` of the ``rows``, on (key, salt): its rows are spread over as many salts as
+    that takes by the hash of ``spread_by``, and its row of the table is copied for each. Other keys
+    are not copied.
     """
-    return joiner(table, keys, spread_by, broadcast_bytes, salts)(rows, how)
+    return joiner(table, keys, spread_by, broadcast_bytes, rows_per_salt)(rows, how)
 
 
 def joiner(
@@ -42,11 +46,23 @@ def joiner(
     keys: Sequence[str],
     spread_by: Sequence[str],
     broadcast_bytes: int = BROADCAST_BYTES,
-    salts: int = SALTS,
+    rows_per_salt: int = ROWS_PER_SALT,
 ):
     """:func:`join_by_key` with one table for several joins, whose size is measured once."""
     if measured_bytes(table) <= broadcast_bytes:
         return lambda rows, how: rows.join(F.broadcast(table), list(keys), how)
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
-    copies = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return lambda rows, how: rows.withColumn("salt", salt).join(copies, [*keys, "salt"], how).drop("salt")
+
+    def salted(rows: DataFrame, how: str) -> DataFrame:
+        counts = rows.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > rows_per_salt)
+        # at most one key per rows_per_salt rows, hence small beside either side
+        hot = written(counts.select(*keys, F.ceil(F.col("_n") / rows_per_salt).cast("int").alias("_salts")), "hot_keys")
+        if hot.isEmpty():
+            return rows.join(table, list(keys), how)
+        spread = F.pmod(F.xxhash64(*spread_by), F.coalesce("_salts", F.lit(1))).cast("int")
+        left = rows.join(hot, list(keys), "left").withColumn("_salt", spread).drop("_salts")
+        copies = table.join(hot, list(keys), "left").withColumn(
+            "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
+        ).drop("_salts")
+        return left.join(copies, [*keys, "_salt"], how).drop("_salt")
+
+    return salted

@@ -22,8 +22,6 @@ from wayfare.operators.joins import joiner
 from wayfare.session import written
 
 ROWS_PER_TASK = 4_000_000
-# More slices than this make the shuffle itself the bottleneck; slices then grow instead, and spill.
-MOST_SLICES = 10_000
 
 
 @dataclass(frozen=True)
@@ -105,7 +103,7 @@ def slice_number(rows: int, rows_per_slice: int, parallel: int) -> int:
     """Slices of at most ``rows_per_slice`` rows; smaller ones as long as tasks would be idle otherwise."""
     needed = math.ceil(rows / rows_per_slice)
     useful = min(parallel, math.ceil(8 * rows / rows_per_slice))
-    return max(1, min(max(needed, useful), max(MOST_SLICES, parallel)))
+    return max(1, needed, useful)
 
 
 def sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: int, rows_per_slice: int) -> DataFrame:

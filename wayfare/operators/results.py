@@ -1,4 +1,7 @@
-"""Answers in the shape of the result tables: (id, result) as text, and the JSON envelope around it."""
+"""Answers in the shape of the result tables: (id, part, result), and the JSON envelope around it.
+
+Only the name lists of question 4 have parts beyond 0; id and part together are the key of every table.
+"""
 
 from __future__ import annotations
 
@@ -10,11 +13,8 @@ from pyspark.sql import functions as F
 from wayfare.functions.text import count_text, name_occupancy_text, percent_text, route_occupancy_text, two_decimals
 from wayfare.schemas import ENVELOPE_NAMES, RESULT_IDS, RESULT_TABLES
 
-
-def _route_part_id() -> Column:
-    """The route id; further parts of an over-long list carry their number."""
-    route = F.col("route_id").cast("string")
-    return F.when(F.col("part") == 0, route).otherwise(F.concat(route, F.lit("#"), F.col("part").cast("string")))
+# Questions whose answer can be longer than a cell should be.
+IN_PARTS = (4,)
 
 
 def _fixed(query: int) -> Callable[[], Column]:
@@ -22,7 +22,7 @@ def _fixed(query: int) -> Callable[[], Column]:
 
 
 _ID: dict[int, Callable[[], Column]] = {
-    4: _route_part_id,
+    4: lambda: F.col("route_id"),
     5: lambda: F.col("route_id"),
     6: lambda: F.col("route_id"),
     10: lambda: F.col("transport_type"),
@@ -48,26 +48,32 @@ _RESULT: dict[int, Callable[[], Column]] = {
 
 
 def result_rows(answer: DataFrame, query: int) -> DataFrame:
-    """(id, result) of the typed answer to question ``query``."""
-    return answer.select(_ID[query]().cast("string").alias("id"), _RESULT[query]().cast("string").alias("result"))
+    """(id, part, result) of the typed answer to question ``query``."""
+    part = F.col("part") if query in IN_PARTS else F.lit(0)
+    return answer.select(
+        _ID[query]().cast("string").alias("id"), part.cast("bigint").alias("part"),
+        _RESULT[query]().cast("string").alias("result"),
+    )
 
 
 def with_result_table(answer: DataFrame, query: int) -> DataFrame:
-    return result_rows(answer, query).select(F.lit(RESULT_TABLES[query]).alias("result_table"), "id", "result")
+    return result_rows(answer, query).select(F.lit(RESULT_TABLES[query]).alias("result_table"), "id", "part", "result")
 
 
 def result_envelope(rows: DataFrame, query: int) -> DataFrame:
-    """(key, value): each result row as JSON with its schema beside it."""
+    """(key, value): each result row as JSON with its schema beside it. Answers in parts carry the part too."""
+    kinds = {"id": "string", "result": "string", **({"part": "int64"} if query in IN_PARTS else {})}
+
     def field(name: str) -> Column:
-        return F.struct(F.lit(name).alias("field"), F.lit("string").alias("type"))
+        return F.struct(F.lit(name).alias("field"), F.lit(kinds[name]).alias("type"))
 
     schema = F.struct(
         F.lit("struct").alias("type"),
-        F.array(field("id"), field("result")).alias("fields"),
+        F.array(*map(field, kinds)).alias("fields"),
         F.lit(False).alias("optional"),
         F.lit(ENVELOPE_NAMES[query]).alias("name"),
     )
     return rows.select(
         F.col("id").alias("key"),
-        F.to_json(F.struct(schema.alias("schema"), F.struct("id", "result").alias("payload"))).alias("value"),
+        F.to_json(F.struct(schema.alias("schema"), F.struct(*kinds).alias("payload"))).alias("value"),
     )

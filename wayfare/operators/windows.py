@@ -110,8 +110,12 @@ def late_events(
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Every trip with the stream time of its log partition on arrival, and whether its window had closed by then."""
-    keyed = trips.withColumn("source_partition", source_partition)
-    timed = running(keyed, ["source_partition"], order, {"stream_time": running_max(F.col("ts"))}, rows_per_task)
+    # trips without a partition are one log of their own, which takes a key that can be compared
+    keyed = trips.withColumn("source_partition", source_partition).withColumns({
+        "_none": F.col("source_partition").isNull(), "_partition": F.coalesce("source_partition", F.lit(0)),
+    })
+    running_time = {"stream_time": running_max(F.col("ts"))}
+    timed = running(keyed, ["_none", "_partition"], order, running_time, rows_per_task).drop("_none", "_partition")
     return timed.withColumn("late", F.window("ts", size)["end"] <= F.col("stream_time"))
 
 

@@ -3,6 +3,8 @@ the Spark form takes a shorter way."""
 
 from __future__ import annotations
 
+from wayfare.operators.folds import NAMES_PER_PART
+
 TRIPS = """trips AS (
   SELECT event_id, ts, CAST(json_extract(props, '$.k') AS BIGINT) AS route_id,
          CAST(user_id AS VARCHAR) AS passenger_name,
@@ -88,10 +90,14 @@ def _top(table: str, key: str, count: str = "trips") -> str:
 GROUP BY {key} ORDER BY count(*) DESC, max(%s) LIMIT 1"""
 
 
+def _names(per_part: int) -> str:
+    return _with(TRIPS) + f"""SELECT route_id, part, string_agg(passenger_name, ', ' ORDER BY event_id) AS passengers
+FROM (SELECT *, (row_number() OVER (PARTITION BY route_id ORDER BY event_id) - 1) // {per_part} AS part FROM trips)
+GROUP BY route_id, part"""
+
+
 Q = {
-    4: _with(TRIPS) + """SELECT route_id, part, string_agg(passenger_name, ', ' ORDER BY event_id) AS passengers
-FROM (SELECT *, (row_number() OVER (PARTITION BY route_id ORDER BY event_id) - 1) // 50000 AS part FROM trips)
-GROUP BY route_id, part""",
+    4: _names(NAMES_PER_PART),
     5: _with(ROUTES) + "SELECT route_id, CAST(sum(capacity) AS BIGINT) AS seats FROM routes GROUP BY route_id",
     6: _with(TRIPS, ROUTES) + f"""SELECT route_id, passengers, seats, {_percent('passengers', 'seats')} AS occupancy_pct
 FROM (SELECT route_id, count(*) AS passengers FROM trips GROUP BY route_id)
@@ -138,7 +144,8 @@ _RESULT_ROWS = {
 }
 
 RESULT_ROWS = "\nUNION ALL\n".join(
-    f"SELECT '{table}' AS result_table, {key} AS id, {text} AS result FROM ({Q[query]})"
+    f"SELECT '{table}' AS result_table, {key} AS id, {'part' if query == 4 else 'CAST(0 AS BIGINT)'} AS part, "
+    f"{text} AS result FROM ({Q[query]})"
     for query, (table, key, text) in _RESULT_ROWS.items()
 )
 
@@ -280,3 +287,16 @@ GROUP BY ALL""",
     "stream_results": RESULT_ROWS,
 }
 SQL["stream_least_occupied_route"] = SQL["q12_least_occupied_route"]
+
+SQL |= {
+    "q04_passengers_per_route_in_parts": _names(40),
+    "trip_count_changelog_sliced": SQL["trip_count_changelog"],
+    "lookup_current_salted": SQL["lookup_current"],
+    "lookup_asof_sliced": SQL["lookup_asof"],
+    "late_events_sliced": SQL["late_events"],
+    "keyed_fold_in_chunks": SQL["keyed_fold"],
+    "decode_json_log": SQL["decode_json_events"],
+    "stream_occupancy_per_route_in_batches": SQL["stream_occupancy_per_route"],
+    "stream_top_type_in_batches": SQL["stream_top_type"],
+    "stream_hourly_type_counts_in_batches": SQL["stream_hourly_type_counts"],
+}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,6 +68,15 @@ def _decoded(spark: SparkSession, sf: str) -> DataFrame:
     return json_log.decode_trips(encoded.drop("key")).select(*_TRIP_COLUMNS)
 
 
+def _decoded_log(spark: SparkSession, sf: str) -> DataFrame:
+    """A log that holds a tombstone and a record that is not JSON beside each event; only events are trips."""
+    encoded = json_log.encode_trips(tables.trips(spark, sf), keep=["event_id", "ts"])
+    value = F.explode(F.array("value", F.lit(None), F.concat(F.lit("{bad"), F.col("value"))))
+    log = encoded.select("event_id", "ts", value.alias("value"))
+    good, _ = json_log.split_bad(json_log.decode_trips(log, mode="PERMISSIVE"))
+    return good.select(*_TRIP_COLUMNS)
+
+
 def _encoded(spark: SparkSession, sf: str) -> DataFrame:
     return json_log.encode_routes(tables.routes(spark, sf), keep=["seq"])
 
@@ -85,15 +95,16 @@ def _avg_per_group(spark: SparkSession, sf: str) -> DataFrame:
     return avg_per_group(tables.table(spark, sf, "lineitem"), "l_returnflag", "l_quantity")
 
 
-def _lookup_current(spark: SparkSession, sf: str) -> DataFrame:
+def _lookup_current(spark: SparkSession, sf: str, **limits: int) -> DataFrame:
     updates = trip_count_changelog(tables.trips(spark, sf).select("event_id", "route_id"))
     table = route_table(tables.routes(spark, sf), "type", "operator", "capacity")
-    looked_up = lookup_current(updates, table, "route_id")
+    looked_up = lookup_current(updates, table, "route_id", **limits)
     return looked_up.withColumn("occupancy", occupancy(F.col("trips_so_far"), F.col("capacity")))
 
 
-def _lookup_asof(spark: SparkSession, sf: str) -> DataFrame:
-    found = lookup_asof(tables.trips(spark, sf), tables.routes(spark, sf), ["type", "operator", "capacity"])
+def _lookup_asof(spark: SparkSession, sf: str, **limits: int) -> DataFrame:
+    fields = ["type", "operator", "capacity"]
+    found = lookup_asof(tables.trips(spark, sf), tables.routes(spark, sf), fields, **limits)
     return found.select("event_id", "route_id", "trips_so_far", "seq", "type", "operator", "capacity")
 
 
@@ -108,9 +119,9 @@ def _hourly_type_occupancy(trips: DataFrame, routes: DataFrame) -> DataFrame:
     )
 
 
-def _late_events(spark: SparkSession, sf: str) -> DataFrame:
+def _late_events(spark: SparkSession, sf: str, **limits: int) -> DataFrame:
     log = tables.trips(spark, sf).select("event_id", "ts", "route_id", "transport_type")
-    return late_events(log, tables.source_partition(F.col("route_id")))
+    return late_events(log, tables.source_partition(F.col("route_id")), **limits)
 
 
 def _late_shipments(spark: SparkSession, sf: str) -> DataFrame:
@@ -137,7 +148,7 @@ def _update_times(spark: SparkSession, sf: str) -> DataFrame:
     return with_update_time(log, order=arrival).select("route_id", *arrival, "ts", "update_ts")
 
 
-def _keyed_fold(spark: SparkSession, sf: str) -> DataFrame:
+def _keyed_fold(spark: SparkSession, sf: str, **limits: int) -> DataFrame:
     """Per route: trips, first passenger and last passenger, as one fold in log order."""
     def state(trips, first, last):
         return F.struct(trips.alias("trips"), first.alias("first_passenger"), last.alias("last_passenger"))
@@ -152,6 +163,7 @@ def _keyed_fold(spark: SparkSession, sf: str) -> DataFrame:
             F.coalesce(a["first_passenger"], b["first_passenger"]),
             F.coalesce(b["last_passenger"], a["last_passenger"]),
         ),
+        **limits,
     )
     return folded.select("route_id", "state.*")
 
@@ -170,7 +182,8 @@ def _upsert_results(spark: SparkSession, sf: str) -> DataFrame:
     changes = updates.select(
         F.col("route_id").cast("string").alias("id"), F.col("seats").cast("string").alias("result"), "seq"
     )
-    return upsert(R.result_rows(A.q08_total_seats(routes), 8), changes, ["id"], ["seq"])
+    base = R.result_rows(A.q08_total_seats(routes), 8).select("id", "result")
+    return upsert(base, changes, ["id"], ["seq"])
 
 
 def _upsert_routes(spark: SparkSession, sf: str) -> DataFrame:
@@ -284,6 +297,18 @@ OPERATOR_QUERIES: dict[str, Query] = {
     "parse_occupancy_text": _parsed,
 }
 
+# The same operators with limits so low that keys count as hot: sliced, salted, in chunks and in parts.
+FEW = 60
+SMALL_LIMITS: dict[str, Query] = {
+    "q04_passengers_per_route_in_parts": _trips(A.q04_passengers_per_route, names_per_part=40, rows_per_task=FEW),
+    "trip_count_changelog_sliced": _trips(_changelog, rows_per_task=FEW),
+    "lookup_current_salted": partial(_lookup_current, broadcast_bytes=0, rows_per_salt=FEW),
+    "lookup_asof_sliced": partial(_lookup_asof, rows_per_task=FEW),
+    "late_events_sliced": partial(_late_events, rows_per_task=10 * FEW),
+    "keyed_fold_in_chunks": partial(_keyed_fold, rows_per_fold=7, rows_per_task=FEW),
+    "decode_json_log": _decoded_log,
+}
+
 STREAMS: dict[str, Query] = {
     "stream_hourly_type_counts": flows.hourly_type_counts_of,
     "stream_closed_hours": flows.closed_hours_of,
@@ -293,4 +318,11 @@ STREAMS: dict[str, Query] = {
     "stream_results": flows.results_of,
 }
 
-QUERIES: dict[str, Query] = {**ANSWERS, **OPERATOR_QUERIES, **STREAMS}
+# Streams that take the events in several batches.
+BATCHED_STREAMS: dict[str, Query] = {
+    "stream_occupancy_per_route_in_batches": flows.in_batches(flows.occupancy_per_route_of),
+    "stream_top_type_in_batches": flows.in_batches(flows.top_type_of),
+    "stream_hourly_type_counts_in_batches": flows.in_batches(flows.hourly_type_counts_of),
+}
+
+QUERIES: dict[str, Query] = {**ANSWERS, **OPERATOR_QUERIES, **SMALL_LIMITS, **STREAMS, **BATCHED_STREAMS}

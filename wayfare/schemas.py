@@ -41,6 +41,7 @@ ROUTE = T.StructType(ROUTE_PAYLOAD.fields + [
 RESULT_ROW = T.StructType([
     T.StructField("result_table", T.StringType()),
     T.StructField("id", T.StringType()),
+    T.StructField("part", T.LongType()),
     T.StructField("result", T.StringType()),
 ])
 

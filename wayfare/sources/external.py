@@ -5,10 +5,10 @@ Both need a connector jar on the cluster's class path; neither is needed for fil
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.sources.json_log import decode_routes, decode_trips
+from wayfare.sources.json_log import BAD_RECORD, decode_routes, decode_trips, split_bad
 
 
 def kafka_options(servers: str, topic: str) -> dict[str, str]:
@@ -16,29 +16,42 @@ def kafka_options(servers: str, topic: str) -> dict[str, str]:
     return {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": "earliest"}
 
 
-def kafka_log(spark: SparkSession, servers: str, topic: str, partitions: int) -> DataFrame:
-    """A topic as (value, ts, event_id).
+# Low bits of a position that hold the partition; the offset has the 47 above them.
+PARTITION_BITS = 16
 
-    ``event_id`` interleaves the offsets of the topic's ``partitions``: unique, and in
-    offset order within each partition.
+
+def position(offset: str = "offset", partition: str = "partition") -> Column:
+    """A record's place as one number: unique over all partitions of a topic, rising within each.
+
+    Topics grow by partitions, so no number of them is assumed, but for a limit that stops the query.
     """
+    known = F.col(partition).between(0, (1 << PARTITION_BITS) - 1) & (F.col(offset) < F.lit(1 << (63 - PARTITION_BITS)))
+    number = F.shiftleft(F.col(offset).cast("bigint"), PARTITION_BITS).bitwiseOR(F.col(partition).cast("bigint"))
+    return F.when(known, number).otherwise(F.raise_error(F.lit("partition or offset beyond a position's bits")))
+
+
+def kafka_log(spark: SparkSession, servers: str, topic: str) -> DataFrame:
+    """A topic as (value, ts, event_id); ``event_id`` is the record's :func:`position`."""
     raw = spark.readStream.format("kafka").options(**kafka_options(servers, topic)).load()
     return raw.select(
-        F.col("value").cast("string").alias("value"),
-        F.col("timestamp").alias("ts"),
-        (F.col("offset") * partitions + F.col("partition")).alias("event_id"),
+        F.col("value").cast("string").alias("value"), F.col("timestamp").alias("ts"), position().alias("event_id")
     )
 
 
-def kafka_trips(spark: SparkSession, servers: str, topic: str = "Trips", partitions: int = 5) -> DataFrame:
-    return decode_trips(kafka_log(spark, servers, topic, partitions))
+def kafka_trips(spark: SparkSession, servers: str, topic: str = "Trips", mode: str = "FAILFAST") -> DataFrame:
+    """``mode`` as in :func:`decode_trips`; with ``PERMISSIVE`` bad records are passed over."""
+    return _good(decode_trips(kafka_log(spark, servers, topic), mode=mode))
 
 
-def kafka_routes(spark: SparkSession, servers: str, topic: str = "Routes", partitions: int = 5) -> DataFrame:
-    log = decode_routes(kafka_log(spark, servers, topic, partitions))
+def kafka_routes(spark: SparkSession, servers: str, topic: str = "Routes", mode: str = "FAILFAST") -> DataFrame:
+    log = _good(decode_routes(kafka_log(spark, servers, topic), mode=mode))
     return log.withColumnsRenamed({"ts": "effective_ts", "event_id": "seq"})
 
 
+def _good(decoded: DataFrame) -> DataFrame:
+    return split_bad(decoded)[0] if BAD_RECORD in decoded.columns else decoded
+
+
 def write_topic(envelopes: DataFrame, servers: str, topic: str) -> None:
     """(key, value) records, such as result envelopes, to a topic; for use in a batch or a micro-batch."""
     envelopes.write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save()

@@ -20,21 +20,25 @@ ROUTE_WIRE = _wire(ROUTE_PAYLOAD, ROUTE_FIELDS)
 
 
 def _decode(df: DataFrame, value: str, payload: T.StructType, wire: T.StructType, mode: str) -> DataFrame:
-    """Columns of ``df`` without ``value``, plus the typed fields. A missing number becomes 0.
+    """Columns of ``df`` without ``value``, plus the typed fields. A number missing in a record becomes 0.
 
-    ``FAILFAST`` stops at the first bad record. ``PERMISSIVE`` keeps it: the text goes
+    A null value is a tombstone, which a compacted topic holds for a removed key: it is no record and
+    gives no row. ``FAILFAST`` stops at the first bad record. ``PERMISSIVE`` keeps it: the text goes
     to the column ``bad_record``, which is null on every good row.
     """
     schema = wire
     if mode == "PERMISSIVE":
         schema = T.StructType(wire.fields + [T.StructField(BAD_RECORD, T.StringType())])
     options = {"mode": mode, "columnNameOfCorruptRecord": BAD_RECORD}
-    rows = df.withColumn("_row", F.from_json(value, schema, options))
+    rows = df.filter(F.col(value).isNotNull()).withColumn("_row", F.from_json(value, schema, options))
 
     def typed(field: T.StructField, name: str) -> Column:
         column = F.col("_row")[name]
         if isinstance(field.dataType, (T.LongType, T.IntegerType)):
-            column = F.coalesce(column, F.lit(0).cast(field.dataType))
+            found = F.col("_row").isNotNull()
+            if mode == "PERMISSIVE":
+                found &= F.col("_row")[BAD_RECORD].isNull()
+            column = F.when(found, F.coalesce(column, F.lit(0).cast(field.dataType)))
         return column.alias(field.name)
 
     fields = [typed(f, w.name) for f, w in zip(payload.fields, wire.fields)]
@@ -58,7 +62,7 @@ def split_bad(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def json_number(text: str, name: str) -> Column:
-    """The integer field ``name`` of JSON records, 0 where it is missing.
+    """The integer field ``name`` of JSON records, 0 where a record lacks it, null where there is no record.
 
     A record that is nothing but this field is read by a pattern, which takes a quarter
     of the time of the JSON parser; any other record goes to the parser, and stops the
@@ -67,9 +71,9 @@ def json_number(text: str, name: str) -> Column:
     prefix = f'{{"{name}":'
     alone = F.col(text).rlike(rf'^\{{"{name}": ?(0|[1-9][0-9]{{0,17}})\}}$')
     digits = F.substring(F.col(text), F.lit(len(prefix) + 1), F.length(text) - len(prefix) - 1)
-    parsed = F.from_json(text, f"{name} BIGINT", {"mode": "FAILFAST"})[name]
-    # the default comes last, so that Spark knows the result is never null and drops such filters
-    return F.coalesce(F.when(alone, digits.cast("bigint")).otherwise(parsed), F.lit(0).cast("bigint"))
+    parsed = F.from_json(text, f"{name} BIGINT", {"mode": "FAILFAST"})
+    zero = F.lit(0).cast("bigint")
+    return F.when(alone, digits.cast("bigint")).when(parsed.isNotNull(), F.coalesce(parsed[name], zero))
 
 
 def _encode(df: DataFrame, payload: T.StructType, names: list[str], keep: list[str]) -> DataFrame:

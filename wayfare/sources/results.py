@@ -18,4 +18,4 @@ def results_scan(spark: SparkSession, path: str, query: int | None = None) -> Da
     rows = spark.read.schema(RESULT_ROW).parquet(path)
     if query is None:
         return rows.select(*RESULT_ROW.names)
-    return rows.filter(F.col("result_table") == RESULT_TABLES[query]).select("id", "result")
+    return rows.filter(F.col("result_table") == RESULT_TABLES[query]).select("id", "part", "result")

@@ -124,7 +124,7 @@ class Flows:
     def results(self) -> KeyedTable:
         """The result tables, a folder each."""
         return KeyedTable(
-            f"{self.root}/tables/results", RESULT_ROW, ("result_table", "id"), partition_by=("result_table",)
+            f"{self.root}/tables/results", RESULT_ROW, ("result_table", "id", "part"), partition_by=("result_table",)
         )
 
     def start(self, name: str, then: Handler | None = None) -> StreamingQuery:
@@ -273,8 +273,8 @@ def keep_publishing(flows: Flows, spark: SparkSession, pause: float, rounds: int
             query.stop()
 
 
-def hourly_type_counts_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flows = flows_over(spark, sf_dir)
+def hourly_type_counts_of(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
+    flows = flows_over(spark, sf_dir, max_files=max_files)
     flows.run("type_hours")
     return flows.read("type_hours", spark).select("window_start", "transport_type", "trips")
 
@@ -286,14 +286,14 @@ def closed_hours_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flows.read("closed_type_hours", spark).select("window_start", "transport_type", "trips")
 
 
-def occupancy_per_route_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flows = flows_over(spark, sf_dir)
+def occupancy_per_route_of(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
+    flows = flows_over(spark, sf_dir, max_files=max_files)
     flows.run("route_trips", "route_seats")
     return A.q06_from(flows.read("route_trips", spark), flows.read("route_seats", spark))
 
 
-def top_type_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flows = flows_over(spark, sf_dir)
+def top_type_of(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
+    flows = flows_over(spark, sf_dir, max_files=max_files)
     flows.run("type_trips")
     return A.q11_from(flows.read("type_trips", spark))
 
@@ -308,3 +308,21 @@ def results_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     flows = flows_over(spark, sf_dir)
     flows.run(*RESULT_FLOWS)
     return publish(flows, spark, version=0)
+
+
+BATCHES = 4
+
+
+def in_batches(answer: Callable[..., DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """``answer`` over the same events in ``BATCHES`` files in log order, of which each batch takes one."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = shared_path(spark, "batches")
+        events = spark.read.parquet(f"{sf_dir}/events.parquet")
+        last = events.agg(F.max("event_id")).first()[0] or 0
+        for number in range(BATCHES):
+            part = events.filter(F.floor(F.col("event_id") * BATCHES / (last + 1)) == number)
+            part.coalesce(1).write.mode("append").parquet(f"{folder}/events.parquet")
+        spark.read.parquet(f"{sf_dir}/part.parquet").coalesce(1).write.parquet(f"{folder}/part.parquet")
+        return answer(spark, folder, max_files=1)
+
+    return run
