@@ -50,3 +50,12 @@ def test_a_stream_session_leaves_the_callers_settings(spark):
     assert "RocksDB" in sibling.conf.get("spark.sql.streaming.stateStore.providerClass")
     assert "RocksDB" not in spark.conf.get("spark.sql.streaming.stateStore.providerClass", "")
     assert sibling.conf.get("spark.sql.shuffle.partitions") == spark.conf.get("spark.sql.shuffle.partitions")
+
+
+def test_scratch_goes_with_its_round(spark):
+    with session.scratch(spark):
+        path = session.shared_path(spark, "t")
+        spark.range(3).write.parquet(path)
+        assert spark.read.parquet(path).count() == 3
+    assert not os.path.exists(path.removeprefix("file:"))
+    assert "round-" not in session.shared_path(spark, "t")

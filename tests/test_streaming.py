@@ -109,10 +109,24 @@ def test_snapshots_keep_the_table(spark, tmp_path):
     assert sorted(map(tuple, reopened.read(spark, before=4).collect())) == [(0, 3), (1, 1), (2, 2), (9, 3)]
     # the snapshot of a batch that runs again, and a stray one without its mark, change nothing
     table.take_snapshot(spark, 4)
-    spark.createDataFrame([(7, 7)], schema).write.parquet(str(tmp_path / "t" / "snapshots" / "batch=5"))
+    for name in ("snapshots", "changes"):
+        stray = tmp_path / "t" / name / "batch=6"
+        spark.createDataFrame([(7, 7)], schema).write.parquet(str(stray))
+        (stray / "_SUCCESS").unlink()
     assert sorted(map(tuple, reopened.read(spark).collect())) == want
 
 
+def test_folders_of_a_long_stream_stay_few(spark, tmp_path):
+    schema = spark.createDataFrame([], "k LONG, n LONG").schema
+    seconds = 1_700_000_000  # versions may be times, never divisible by anything in particular
+    for batch in range(40):
+        table = KeyedTable(str(tmp_path / "t"), schema, ["k"], snapshot_every=5)  # as after a restart
+        table.write(spark.createDataFrame([(batch % 7, batch)], schema), seconds + 30 * batch + 1)
+        folders = [list((tmp_path / "t" / n).glob("batch=*")) for n in ("changes", "snapshots")]
+        assert len(folders[0]) <= 10 and len(folders[1]) <= 2
+    assert sorted(map(tuple, table.read(spark).collect())) == sorted((b % 7, b) for b in range(33, 40))
+
+
 def test_stream_lookup_sees_the_route_known_at_the_time(spark, tmp_path):
     folder = str(tmp_path / "logs")
     write_files(spark, trips_df, [trip(0, 1), trip(1, 2), trip(2, 1), trip(3, 1)], f"{folder}/trips", 2)

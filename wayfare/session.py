@@ -5,7 +5,10 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -80,9 +83,34 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[application]
 
 
+class _Scratch(threading.local):
+    """Folder below the application's, per thread, that :func:`scratch` has opened."""
+
+    name = ""
+
+
+_scratch = _Scratch()
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder, grouped by application so that it can be cleared later."""
-    return f"{shared_dir(spark)}/wayfare/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{shared_dir(spark)}/wayfare/{spark.sparkContext.applicationId}/{_scratch.name}{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes at the end what this thread has put to shared paths inside; for rounds of a service."""
+    before, _scratch.name = _scratch.name, f"{_scratch.name}round-{uuid.uuid4().hex[:12]}/"
+    try:
+        yield
+    finally:
+        _delete(spark, f"{shared_dir(spark)}/wayfare/{spark.sparkContext.applicationId}/{_scratch.name}")
+        _scratch.name = before
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -99,10 +127,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def clear_shared(spark: SparkSession) -> None:
     """Delete what this application wrote to the shared folder; call it when no result is in use any more."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
-        f"{shared_dir(spark)}/wayfare/{spark.sparkContext.applicationId}"
-    )
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, f"{shared_dir(spark)}/wayfare/{spark.sparkContext.applicationId}")
 
 
 def ship_package(spark: SparkSession) -> None:

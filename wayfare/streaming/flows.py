@@ -25,7 +25,7 @@ from wayfare.operators.windows import hourly_type_occupancy
 from wayfare.plans import answers as A
 from wayfare.plans.report import result_table_rows
 from wayfare.schemas import RESULT_ROW, RESULT_TABLES
-from wayfare.session import shared_path, stream_session
+from wayfare.session import scratch, shared_path, stream_session
 from wayfare.sources.tables import events_as_trips, parts_as_routes
 from wayfare.streaming.keyed import KeyedTable
 
@@ -263,7 +263,8 @@ def keep_publishing(flows: Flows, spark: SparkSession, pause: float, rounds: int
                 if query.exception() is not None:
                     raise query.exception()
             version = max(version + 1, int(time.time()))
-            publish(flows, spark, version)
+            with scratch(spark):
+                publish(flows, spark, version)
             done += 1
             if ended or done == rounds:
                 return version

@@ -3,27 +3,27 @@
 Each micro-batch writes its changed rows to a folder of its own, named by the batch id: a
 batch that runs again after a failure replaces its folder, so no change counts twice. A
 reader takes the latest row per key. The cost of a batch follows the number of
-changed keys, not the size of the table; a snapshot every so often bounds what a reader
-has to go through.
+changed keys, not the size of the table. After so many batches a snapshot is taken; it bounds what
+a reader goes through, and what it makes needless is removed, but for the snapshot before it
+and what came since, from which a batch that is run again reads.
 
-A reader beside a running stream may meet a batch that is half in place; what it publishes is
-then put right by its next round, as publishing compares with what the tables hold.
+Spark marks a folder when all its files are in place. Readers pass over folders without the mark, so a
+batch is seen whole or not at all.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wayfare.operators.tables import latest_per_key
 
 SNAPSHOT_EVERY = 100
 BATCH = "batch"
-MARK = T.StructType([T.StructField("upto", T.LongType())])
+# Spark's own mark of a folder that is complete.
+FINISHED = "_SUCCESS"
 
 
 class KeyedTable:
@@ -40,46 +40,50 @@ class KeyedTable:
         self.path, self.schema, self.keys = path, schema, list(keys)
         self.partition_by, self.snapshot_every = list(partition_by), snapshot_every
 
-    def _folder(self, spark: SparkSession, name: str, schema: T.StructType) -> DataFrame | None:
-        try:
-            return spark.read.schema(schema).parquet(f"{self.path}/{name}")
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None
-
-    def _rows(self, spark: SparkSession, name: str) -> DataFrame | None:
-        return self._folder(spark, name, T.StructType(self.schema.fields + [T.StructField(BATCH, T.LongType())]))
-
-    def _snapshot(self, spark: SparkSession, before: int | None) -> int | None:
-        """The newest finished snapshot; a mark is written only after its snapshot."""
-        marks = self._folder(spark, "marks", MARK)
-        if marks is None:
-            return None
-        if before is not None:
-            marks = marks.filter(F.col("upto") < before)
-        return marks.agg(F.max("upto")).first()[0]
+    def _batches(self, spark: SparkSession, name: str) -> list[int]:
+        """The finished batches among the folders ``name``, of which there are at most two snapshots' worth."""
+        path = self._path(spark, name)
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if not files.exists(path):
+            return []
+        folders = [s.getPath() for s in files.listStatus(path) if s.getPath().getName().startswith(f"{BATCH}=")]
+        new = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        return sorted(int(f.getName().split("=")[1]) for f in folders if files.exists(new(f, FINISHED)))
+
+    def _path(self, spark: SparkSession, name: str):
+        return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+
+    def _rows(self, spark: SparkSession, name: str, batches: Sequence[int]) -> DataFrame:
+        schema = T.StructType(self.schema.fields + [T.StructField(BATCH, T.LongType())])
+        if not batches:
+            return spark.createDataFrame([], schema)
+        paths = [f"{self.path}/{name}/{BATCH}={batch}" for batch in batches]
+        return spark.read.schema(schema).option("basePath", f"{self.path}/{name}").parquet(*paths)
 
     def read(self, spark: SparkSession, before: int | None = None) -> DataFrame:
         """The table as it was ``before`` a batch, or as it is now."""
-        rows = self._rows(spark, "changes")
-        if rows is None:
-            return spark.createDataFrame([], self.schema)
-        if before is not None:
-            rows = rows.filter(F.col(BATCH) < before)
+        def earlier(name: str) -> list[int]:
+            return [b for b in self._batches(spark, name) if before is None or b < before]
+
+        upto = earlier("snapshots")[-1:] if self.keys else []
+        changes = [b for b in earlier("changes") if not upto or b > upto[0]]
+        rows = self._rows(spark, "changes", changes)
         if not self.keys:
             return rows.select(*self.schema.names)
-        upto = self._snapshot(spark, before)
-        if upto is not None:
-            snapshot = self._rows(spark, "snapshots").filter(F.col(BATCH) == upto)
-            rows = snapshot.unionByName(rows.filter(F.col(BATCH) > upto))
+        if upto:
+            rows = self._rows(spark, "snapshots", upto).unionByName(rows)
         return latest_per_key(rows, self.keys, [BATCH]).select(*self.schema.names)
 
     def write(self, changes: DataFrame, batch_id: int) -> None:
         """The changed rows of a batch; a key occurs at most once in them."""
         self._store(changes.select(*self.schema.names), "changes", batch_id)
-        if self.keys and batch_id and batch_id % self.snapshot_every == 0:
-            self.take_snapshot(changes.sparkSession, batch_id)
+        if not self.keys:
+            return
+        spark = changes.sparkSession
+        taken = self._batches(spark, "snapshots")
+        since = [b for b in self._batches(spark, "changes") if not taken or b > taken[-1]]
+        if len(since) >= self.snapshot_every:
+            self.take_snapshot(spark, batch_id)
 
     def _store(self, rows: DataFrame, name: str, batch_id: int) -> None:
         if self.keys:
@@ -90,5 +94,12 @@ class KeyedTable:
 
     def take_snapshot(self, spark: SparkSession, batch_id: int) -> None:
         self._store(self.read(spark, before=batch_id + 1), "snapshots", batch_id)
-        mark = spark.range(1).select(F.lit(batch_id).cast("bigint").alias("upto"))
-        mark.write.mode("append").parquet(f"{self.path}/marks")
+        kept = [b for b in self._batches(spark, "snapshots") if b < batch_id][-1:]
+        for name in ("snapshots", "changes") if kept else ():
+            for batch in self._batches(spark, name):
+                if batch < kept[0] or (batch == kept[0] and name == "changes"):
+                    self._remove(spark, f"{name}/{BATCH}={batch}")
+
+    def _remove(self, spark: SparkSession, name: str) -> None:
+        path = self._path(spark, name)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
