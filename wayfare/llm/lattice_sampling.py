@@ -367,18 +367,25 @@ def _inclusion(logp: float, threshold: float) -> float:
     return float(-np.expm1(-np.exp(min(logp - threshold, 700.0)))) if threshold > -np.inf else 1.0
 
 
+def plain(normal: str) -> str:
+    """A normalised text without word marks and without the space that encoding puts first."""
+    text = normal.replace(MARK, " ")
+    return text[1:] if text.startswith(" ") else text
+
+
 def key_of(doc_id) -> int:
     return xxhash.xxh64_intdigest(b"" if pd.isna(doc_id) else str(int(doc_id)).encode())
 
 
-SCHEMA = "doc_id long, sample int, ids binary, logp double, value double, inclusion double, n_chars long, normal_crc32 long"
+SCHEMA = "doc_id long, sample int, ids binary, logp double, value double, inclusion double, n_chars long, text_crc32 long"
 
 
 def segmentations(docs: DataFrame, model: str, k: int = SAMPLES) -> DataFrame:
     """Up to ``k`` distinct segmentations per row of ``docs`` (doc_id, text), by falling perturbed value.
 
     Rows: doc_id, sample from 0, ids as little-endian unsigned 32-bit numbers, logp of the segmentation,
-    its perturbed value, its inclusion score, the length and crc32 of the normalised text. A null or empty
+    its perturbed value, its inclusion score, the length of the normalised text and the crc32 of it as
+    :func:`decoded` gives it back. A null or empty
     text has one segmentation, without pieces; a text with fewer than ``k`` segmentations has all of them.
     Draws depend on doc_id and text alone, so repeated rows repeat their samples, and rows with a null doc_id
     share a key. An empty table gives no rows. Other columns are not looked at.
@@ -396,7 +403,7 @@ def segmentations(docs: DataFrame, model: str, k: int = SAMPLES) -> DataFrame:
         keys = np.array([key_of(d) for d, _ in texts], dtype=np.uint64)
         out = []
         for (doc_id, _), text, (samples, threshold) in zip(texts, normal, _Batch(store, keys, nodes).search(k)):
-            crc = zlib.crc32(text.encode())
+            crc = zlib.crc32(plain(text).encode())
             for number, (arcs, logp, value) in enumerate(samples):
                 out.append((doc_id, number, store.ids(arcs).astype("<u4").tobytes(), logp, value,
                             _inclusion(logp, threshold), len(text), crc))
