@@ -1,5 +1,8 @@
 """Every registered query against its SQL counterpart, on whole tables."""
 
+import importlib
+import sys
+
 import pytest
 from compare import TESTDATA, duckdb_over, duckdb_rows, spark_rows
 
@@ -20,6 +23,14 @@ def test_each_query_has_an_oracle():
     assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
 
 
+@pytest.mark.parametrize("missing", ["corpus_pipeline", "wayfare.llm"])
+def test_entry_points_do_without_the_optional_subpackage(monkeypatch, missing):
+    monkeypatch.setitem(sys.modules, missing, None)
+    monkeypatch.delitem(sys.modules, "__spark_entry__")
+    alone = importlib.import_module("__spark_entry__")
+    assert set(alone.queries()) == set(registry.QUERIES) == set(alone.oracle_sql())
+
+
 def test_entry(spark):
     df = entry_module.entry(spark)
     assert df.columns == ["route_id", "passengers", "seats", "occupancy_pct"]

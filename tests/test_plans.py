@@ -4,7 +4,7 @@ import pytest
 from compare import TESTDATA
 
 import __spark_entry__ as entry_module
-from wayfare.registry import ANSWERS
+from wayfare.registry import ANSWERS, BATCHED_STREAMS, QUERIES, STREAMS
 
 SF = f"{TESTDATA}/sf0.001"
 
@@ -17,7 +17,7 @@ def read_columns(text):
     return [line.split("ReadSchema: ")[1] for line in text.splitlines() if "ReadSchema: " in line]
 
 
-@pytest.mark.parametrize("name", sorted(n for n in entry_module.queries() if not n.startswith("stream_")))
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if n not in STREAMS and n not in BATCHED_STREAMS))
 def test_no_python_and_no_cross_join(spark, name):
     text = plan(entry_module.queries()[name](spark, SF))
     for node in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
@@ -50,13 +50,18 @@ def test_only_needed_columns_are_read(spark, name, columns):
 
 @pytest.mark.parametrize("name", [
     "q06_occupancy_per_route", "q07_total_passengers", "q11_top_type", "q13_top_hourly_type_all",
-    "q16_top_passenger", "trip_counts", "hourly_type_counts",
+    "q16_top_passenger", "trip_counts", "hourly_type_counts", "q06_shipments",
 ])
 def test_the_log_is_grouped_by_hash(spark, name):
     text = plan(entry_module.queries()[name](spark, SF))
     assert "HashAggregate" in text and "SortAggregate" not in text and "ObjectHashAggregate" not in text
 
 
+@pytest.mark.parametrize("name", ["q11_shipments", "q13_shipments"])
+def test_places_of_several_columns_are_looked_for_only_on_a_tie(spark, name):
+    assert "SortAggregate" not in plan(entry_module.queries()[name](spark, SF))
+
+
 def test_json_is_decoded_once_per_row(spark):
     text = plan(entry_module.queries()["trip_counts"](spark, SF))
     assert sum("from_json" in line for line in text.splitlines()) == 1

@@ -165,3 +165,9 @@ def test_options_of_external_systems():
     assert external.jdbc_options("jdbc:x", "SELECT capacity FROM Route", user="u") == {
         "url": "jdbc:x", "dbtable": "(SELECT capacity FROM Route) AS snapshot", "user": "u",
     }
+
+
+def test_an_event_without_record_stops_the_query(spark):
+    log = spark.createDataFrame([(None,)], "props STRING")
+    with pytest.raises(Exception, match="no record"):
+        log.select(json_log.json_number("props", "k")).collect()

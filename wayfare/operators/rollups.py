@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayfare.functions.ratios import mean
+from wayfare.operators.joins import join_by_key
+from wayfare.session import written
 
 ARRIVAL = ("event_id",)
 
@@ -31,6 +33,24 @@ def trip_counts(trips: DataFrame, key: str, order: Sequence[str] = ARRIVAL) -> D
     )
 
 
+def leading_counts(trips: DataFrame, keys: Sequence[str], order: Sequence[str] = ARRIVAL) -> DataFrame:
+    """Trips per ``keys``, none null, with the place of the last one, at least for the groups with most trips.
+
+    A place of several columns would make the aggregate a sort of the log. Groups are then counted by
+    hash first, and the places are looked for only where several groups have the greatest number.
+    """
+    known = trips.dropna(subset=list(keys))
+    if len(order) == 1:
+        return known.groupBy(*keys).agg(F.count("*").alias("trips"), F.max(at(order)).alias("last_at"))
+    counts = written(known.groupBy(*keys).agg(F.count("*").alias("trips")), "counts")
+    most = counts.agg(F.max("trips")).first()[0]
+    leaders = counts.filter(F.col("trips") == F.lit(most))
+    if leaders.count() <= 1:
+        return leaders.withColumn("last_at", F.lit(None).cast("int"))
+    tied = join_by_key(known, leaders.select(*keys), list(keys), "left_semi", order)
+    return tied.groupBy(*keys).agg(F.count("*").alias("trips"), F.max(at(order)).alias("last_at"))
+
+
 def regrouped(totals: DataFrame, key: str) -> DataFrame:
     """Totals of :func:`trip_counts`, made for finer groups, per ``key``."""
     return totals.groupBy(key).agg(

@@ -23,8 +23,10 @@ from wayfare.operators.changelog import lookup_asof, route_table
 from wayfare.operators.extremes import best, least_per
 from wayfare.operators.folds import joined_names
 from wayfare.operators.ordered import ROWS_PER_TASK
-from wayfare.operators.rollups import ARRIVAL, seats_per_route, total_seats, total_trips, trip_counts
-from wayfare.operators.windows import hourly_route_counts, hourly_type_counts, hourly_type_occupancy
+from wayfare.operators.rollups import (
+    ARRIVAL, leading_counts, seats_per_route, total_seats, total_trips, trip_counts,
+)
+from wayfare.operators.windows import hourly_route_counts, hourly_type_counts, hourly_type_occupancy, window_start
 
 
 def q04_passengers_per_route(trips: DataFrame, order: Sequence[str] = ARRIVAL, **limits: int) -> DataFrame:
@@ -88,7 +90,7 @@ def q10_from(type_trips: DataFrame) -> DataFrame:
 
 
 def q11_top_type(trips: DataFrame, order: Sequence[str] = ARRIVAL) -> DataFrame:
-    return q11_from(trip_counts(trips, "transport_type", order))
+    return q11_from(leading_counts(trips, ["transport_type"], order))
 
 
 def q11_from(type_trips: DataFrame) -> DataFrame:
@@ -154,7 +156,10 @@ def q12_least_occupied_route_asof(
 
 
 def q13_top_hourly_type(trips: DataFrame, scope: str = "all", order: Sequence[str] = ARRIVAL) -> DataFrame:
-    return q13_from(hourly_type_counts(trips, order), scope)
+    if scope != "all":
+        return q13_from(hourly_type_counts(trips, order), scope)
+    hours = trips.withColumn("window_start", window_start())
+    return q13_from(leading_counts(hours, ["window_start", "transport_type"], order))
 
 
 def q13_from(type_hours: DataFrame, scope: str = "all") -> DataFrame:
@@ -226,7 +231,7 @@ def q15_from(route_trips: DataFrame, table: DataFrame) -> DataFrame:
 
 
 def q16_top_passenger(trips: DataFrame, order: Sequence[str] = ARRIVAL) -> DataFrame:
-    return q16_from(trip_counts(trips, "passenger_name", order))
+    return q16_from(leading_counts(trips, ["passenger_name"], order))
 
 
 def q16_from(passenger_trips: DataFrame) -> DataFrame:
