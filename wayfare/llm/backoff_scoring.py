@@ -30,8 +30,8 @@ from wayfare.session import written
 
 ORDER = 2
 PRIOR = 500.0
-BLOCK_TOKENS = 2_000_000
-SHARD_GRAMS = 4_000_000
+BLOCK_TOKENS = 1_200_000
+SHARD_GRAMS = 2_500_000
 FOLDS = 7
 HELD_OUT_FOLD = 2
 
