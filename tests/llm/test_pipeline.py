@@ -17,7 +17,7 @@ from wayfare.sources.tables import table
 
 def follows_the_rules(text):
     n, chars, symbols, dup, repeat, lines = plain_counts(text)
-    return (n >= 50 and 100 * repeat <= 50 * n and 100 * symbols <= 10 * chars and 100 * dup <= 50 * lines
+    return (n >= 50 and 100 * repeat <= 50 * n and 100 * symbols <= 5 * chars and 100 * dup <= 50 * lines
             and 2 * n <= chars <= 15 * n)
 
 

@@ -391,7 +391,7 @@ def test_counts_and_verdicts(spark, which):
     expected = []
     for doc, t in rows:
         n, chars, symbols, dup, repeat, lines = plain_counts(t)
-        kept = (n >= 50 and 100 * repeat <= 50 * n and 100 * symbols <= 10 * chars and 100 * dup <= 50 * lines
+        kept = (n >= 50 and 100 * repeat <= 50 * n and 100 * symbols <= 5 * chars and 100 * dup <= 50 * lines
                 and 2 * n <= chars <= 15 * n)
         expected.append((doc, n, chars, symbols, dup, repeat, kept))
     assert sorted((tuple(r) for r in got), key=str) == sorted(expected, key=str)

@@ -211,7 +211,7 @@ SQL: dict[str, str] = {
         judged AS (
             SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counts)
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-            NOT base_failed AND 100 * n_symbols <= 10 * word_chars AND 100 * n_dup_lines <= 50 * n_lines
+            NOT base_failed AND 100 * n_symbols <= 5 * word_chars AND 100 * n_dup_lines <= 50 * n_lines
                 AND word_chars >= 2 * n_words AND word_chars <= 15 * n_words AS kept
         FROM judged
     """,

@@ -122,7 +122,7 @@ def odd_word_length(least: int, most: int) -> Rule:
     return Rule("odd_word_length", rejects)
 
 
-RULES = (too_short(50), too_repetitive(50), too_many_symbols(10), too_many_dup_lines(50), odd_word_length(2, 15))
+RULES = (too_short(50), too_repetitive(50), too_many_symbols(5), too_many_dup_lines(50), odd_word_length(2, 15))
 
 
 def ordered_rules(docs: DataFrame, rules: Sequence[Rule], sample_rows: int = SAMPLE_ROWS, seed: int = 7) -> list[Rule]:
