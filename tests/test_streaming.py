@@ -1,5 +1,6 @@
 """Streams over many files: equal to batch, across restarts and repeated batches."""
 
+import json
 import os
 
 import pytest
@@ -192,3 +193,20 @@ def test_an_unknown_flow_is_refused(spark, tmp_path):
     flows = Flows(spark, str(tmp_path), None, None)
     with pytest.raises(KeyError):
         flows.start("nope")
+
+
+def test_changed_results_are_sent_as_envelopes(spark, tmp_path):
+    folder = str(tmp_path / "logs")
+    write_files(spark, trips_df, [trip(0, 1), trip(1, 1)], f"{folder}/trips", 1)
+    write_files(spark, routes_df, [route(0, 1, 4)], f"{folder}/routes", 1)
+    flows = flows_on(spark, tmp_path / "state", folder)
+    flows.run("route_seats", "trip_total")
+    sent = []
+
+    def send(envelopes, topic):
+        sent.extend((topic, r.key, json.loads(r.value)["payload"]["result"]) for r in envelopes.collect())
+
+    publish(flows, spark, 1, queries=(5, 7), send=send)
+    assert sorted(sent) == [(RESULT_TABLES[5], "1", "4"), (RESULT_TABLES[7], "total", "2")]
+    publish(flows, spark, 2, queries=(5, 7), send=send)
+    assert len(sent) == 2

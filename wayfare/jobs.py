@@ -13,6 +13,7 @@ import argparse
 import os
 import sys
 from collections.abc import Sequence
+from functools import partial
 
 if __package__ in (None, ""):
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -34,9 +35,13 @@ def report(spark: SparkSession, data: str, out: str) -> None:
 
 
 def stream(
-    spark: SparkSession, root: str, data: str | None, kafka: str | None, every: float | None, skip_bad: bool = False
+    spark: SparkSession, root: str, data: str | None, kafka: str | None, every: float | None, skip_bad: bool = False,
+    results_to: str | None = None,
 ) -> None:
-    """Result tables below ``root`` from files or topics: once over what has arrived, or ``every`` so many seconds."""
+    """Result tables below ``root`` from files or topics: once over what has arrived, or ``every`` so many seconds.
+
+    ``results_to`` names servers to whose topics, one per result table, changed rows go as envelopes.
+    """
     if kafka:
         session = stream_session(spark)
         mode = "PERMISSIVE" if skip_bad else "FAILFAST"
@@ -46,7 +51,12 @@ def stream(
         flows = flows_over(spark, data, root)
     if every:
         flows.trigger = {"processingTime": f"{every} seconds"}
-    keep_publishing(flows, spark, pause=every or 1.0)
+    send = partial(_to_topic, results_to) if results_to else None
+    keep_publishing(flows, spark, pause=every or 1.0, send=send)
+
+
+def _to_topic(servers: str, envelopes: DataFrame, topic: str) -> None:
+    external.write_topic(envelopes, servers, topic)
 
 
 def show(spark: SparkSession, out: str, query: int) -> DataFrame:
@@ -66,6 +76,7 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     source.add_argument("--kafka")
     command.add_argument("--root", required=True)
     command.add_argument("--every", type=float)
+    command.add_argument("--results-to", help="servers whose topics get changed result rows")
     command.add_argument("--skip-bad", action="store_true", help="pass over records of topics that are not JSON")
     command = commands.add_parser("show")
     command.add_argument("--out", required=True)
@@ -82,7 +93,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         report(spark, options.data, options.out)
         clear_shared(spark)
     elif options.command == "stream":
-        stream(spark, options.root, options.data, options.kafka, options.every, options.skip_bad)
+        stream(spark, options.root, options.data, options.kafka, options.every, options.skip_bad, options.results_to)
     else:
         show(spark, options.out, options.query).show(truncate=False)
 

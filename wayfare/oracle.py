@@ -300,3 +300,9 @@ SQL |= {
     "stream_top_type_in_batches": SQL["stream_top_type"],
     "stream_hourly_type_counts_in_batches": SQL["stream_hourly_type_counts"],
 }
+
+# the events are one file and so one batch, in which a route's updates are seen as one
+SQL["stream_least_occupied_updates"] = _with(TRIPS, ROUTES, LATEST) + """SELECT lc.type, CAST(n AS DOUBLE) / lc.capacity
+  AS occupancy, "at", route_id
+FROM (SELECT route_id, count(*) AS n, max(event_id) AS "at" FROM trips GROUP BY route_id) JOIN lc USING (route_id)
+QUALIFY row_number() OVER (PARTITION BY lc.type ORDER BY CAST(n AS DOUBLE) / lc.capacity, "at") = 1"""

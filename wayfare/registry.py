@@ -315,6 +315,7 @@ STREAMS: dict[str, Query] = {
     "stream_occupancy_per_route": flows.occupancy_per_route_of,
     "stream_top_type": flows.top_type_of,
     "stream_least_occupied_route": flows.least_occupied_route_of,
+    "stream_least_occupied_updates": flows.least_occupied_updates_of,
     "stream_results": flows.results_of,
 }
 

@@ -21,11 +21,12 @@ from pyspark.sql.types import StructType
 from wayfare.functions.ratios import occupancy
 from wayfare.functions.text import known_type
 from wayfare.operators.extremes import least_per
+from wayfare.operators.results import result_envelope
 from wayfare.operators.windows import hourly_type_occupancy
 from wayfare.plans import answers as A
 from wayfare.plans.report import result_table_rows
 from wayfare.schemas import RESULT_ROW, RESULT_TABLES
-from wayfare.session import scratch, shared_path, stream_session
+from wayfare.session import scratch, shared_path, stream_session, written
 from wayfare.sources.tables import events_as_trips, parts_as_routes
 from wayfare.streaming.keyed import KeyedTable
 
@@ -235,21 +236,34 @@ def answers_from(
     return {query: answers[query]() for query in queries}
 
 
+Sender = Callable[[DataFrame, str], None]
+
+
 def publish(
-    flows: Flows, spark: SparkSession, version: int, queries: Sequence[int] = tuple(RESULT_TABLES)
+    flows: Flows, spark: SparkSession, version: int, queries: Sequence[int] = tuple(RESULT_TABLES),
+    send: Sender | None = None,
 ) -> DataFrame:
     """Put the present answers into the result tables, as the state of ``version``, and read them back.
 
-    Versions must rise. Only rows that differ from what the tables hold are written.
+    Versions must rise. Only rows that differ from what the tables hold are written. ``send`` gets these
+    rows before, as envelopes, per result table, with the table's name, such as to put them to a topic; if
+    a round fails on the way, the next one sends them again.
     """
     table = flows.results()
     rows = result_table_rows(answers_from(flows, spark, queries))
     changed = rows.join(table.read(spark, before=version), RESULT_ROW.names, "left_anti")
+    if send:
+        changed = written(changed, "changed")
+        for query in queries:
+            rows = changed.filter(F.col("result_table") == RESULT_TABLES[query])
+            send(result_envelope(rows, query), RESULT_TABLES[query])
     table.write(changed, version)
     return table.read(spark)
 
 
-def keep_publishing(flows: Flows, spark: SparkSession, pause: float, rounds: int | None = None) -> int:
+def keep_publishing(
+    flows: Flows, spark: SparkSession, pause: float, rounds: int | None = None, send: Sender | None = None
+) -> int:
     """Start all flows and publish again and again until they have ended; returns the last version.
 
     A version is a time in seconds, so that versions rise across restarts.
@@ -264,7 +278,7 @@ def keep_publishing(flows: Flows, spark: SparkSession, pause: float, rounds: int
                     raise query.exception()
             version = max(version + 1, int(time.time()))
             with scratch(spark):
-                publish(flows, spark, version)
+                publish(flows, spark, version, send=send)
             done += 1
             if ended or done == rounds:
                 return version
@@ -305,6 +319,13 @@ def least_occupied_route_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.q12_from(flows.read("route_trips", spark), flows.read("route_latest", spark))
 
 
+def least_occupied_updates_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All routes first, then the trips, whose updates look them up as they arrive."""
+    flows = flows_over(spark, sf_dir)
+    flows.run("route_latest")
+    return least_occupied_updates(flows).read(spark)
+
+
 def results_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     flows = flows_over(spark, sf_dir)
     flows.run(*RESULT_FLOWS)
