@@ -11,7 +11,8 @@ What keeps the work in proportion to the input:
 - Of the texts in shared buckets the shingles that no other of them has are counted. They bound the
   similarity a pair can reach, exactly, and rule out nearly all pairs that are only somewhat alike.
 - A bucket's members are compared with one centre. Of what remains, only pairs whose texts are not
-  already connected are compared, so that a large group of copies costs a star, not all pairs.
+  already connected are compared, each in the first table where it meets, so that a large group of
+  copies costs a star, not all pairs.
 
 Nothing is capped. A pair at the limit of similarity shares no table with a chance below ``MISSED``.
 """
@@ -116,7 +117,10 @@ def described(docs: DataFrame, size: int, bands: int) -> DataFrame:
 
 
 def table_keys(texts: DataFrame, bands: int) -> DataFrame:
-    """(key, text_key) for every table in which a text may meet another; ``texts`` has text_key and bands."""
+    """(text_key, first, second, key) for every table in which a text may meet another.
+
+    ``texts`` has text_key and bands; first and second are the table's bands of either collection.
+    """
     each = written(texts.select("text_key", F.posexplode("bands").alias("band", "value")), "bands")
     shared = each.groupBy("band", "value").agg(F.count("*").alias("n")).filter("n > 1").select("band", "value")
     met = each.join(written(shared, "shared_bands"), ["band", "value"], "left_semi")
@@ -125,10 +129,13 @@ def table_keys(texts: DataFrame, bands: int) -> DataFrame:
     def collection(first: bool) -> Column:
         return F.filter("met", lambda b: (b["band"] < bands) if first else (b["band"] >= bands))
 
-    pairs = F.flatten(F.transform(collection(True), lambda a: F.transform(
-        collection(False), lambda b: F.xxhash64(a["band"], a["value"], b["band"], b["value"])
+    tables = F.flatten(F.transform(collection(True), lambda a: F.transform(
+        collection(False), lambda b: F.struct(
+            a["band"].alias("first"), b["band"].alias("second"),
+            F.xxhash64(a["band"], a["value"], b["band"], b["value"]).alias("key"),
+        )
     )))
-    return of_text.select("text_key", F.explode(pairs).alias("key"))
+    return of_text.select("text_key", F.inline(tables))
 
 
 def _in_company(keys: DataFrame) -> DataFrame:
@@ -176,6 +183,16 @@ def _may_link(a: Column, b: Column, percent: int) -> Column:
     return 100 * most >= percent * (a["n"] + b["n"] - most)
 
 
+def _meet_first(a: Column, b: Column, bands: int, first: Column, second: Column) -> Column:
+    """Whether a table is the first in which two texts, given their bands, meet; so a pair comes up once."""
+    def earliest(start: int) -> Column:
+        return F.array_position(
+            F.zip_with(F.slice(a, start, bands), F.slice(b, start, bands), lambda x, y: x == y), True
+        )
+
+    return (earliest(1) == first + 1) & (earliest(bands + 1) == second - bands + 1)
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The ``pairs`` (a, b) of text keys whose sets are similar enough."""
     of = lambda name: sets.select(F.col("text_key").alias(name), F.col("found").alias(f"found_{name}"))
@@ -191,13 +208,14 @@ def links_of(docs: DataFrame, texts: DataFrame, size: int, percent: int, bands:
     keys = _in_company(table_keys(texts, bands))
     candidates = texts.select("text_key", "doc_id").join(keys.select("text_key").distinct(), "text_key", "left_semi")
     sets = written(full_sets(docs, written(candidates, "candidates"), size), "sets")
-    bounds = written(
-        _shared_sizes(sets).filter(100 * F.col("shared") >= percent * F.col("n")), "bounds"
-    )
+    able = 100 * F.col("shared") >= percent * F.col("n")
+    bounds = written(_shared_sizes(sets).filter(able), "bounds")
+    # once more among those alone, as what they shared with the others does not count
+    bounds = written(_shared_sizes(sets.join(bounds.select("text_key"), "text_key", "left_semi")).filter(able), "bounds")
     entry = F.struct("text_key", "n", "shared")
     members = written(
         _in_company(keys.join(bounds.select("text_key"), "text_key", "left_semi")).join(bounds, "text_key")
-        .select("key", entry.alias("text")), "entries",
+        .select("key", "first", "second", entry.alias("text")), "entries",
     )
     # the text that has least of its own stands in the middle of a group of edited copies
     centres = written(
@@ -212,7 +230,7 @@ def links_of(docs: DataFrame, texts: DataFrame, size: int, percent: int, bands:
 
     group = written(components(first).withColumnRenamed("node", "text_key"), "groups")
     grouped = written(members.join(group, members["text.text_key"] == group["text_key"], "left").select(
-        "key", "text", F.coalesce("component", "text.text_key").alias("group")
+        "key", "first", "second", "text", F.coalesce("component", "text.text_key").alias("group")
     ), "grouped")
     mixed = written(
         grouped.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter("low < high"),
@@ -224,15 +242,17 @@ def links_of(docs: DataFrame, texts: DataFrame, size: int, percent: int, bands:
     )
     open_rows = written(
         grouped.join(mixed.select("key"), "key", "left_semi")
-        .join(written(centre_groups, "centre_groups"), "key"), "open",
+        .join(written(centre_groups, "centre_groups"), "key")
+        .join(texts.select(F.col("text_key").alias("_of"), "bands"), F.col("text.text_key") == F.col("_of")).drop("_of"),
+        "open",
     )
     rest = open_rows.filter(F.col("group") != F.col("main")).select(
-        "key", F.col("text").alias("one"), F.col("group").alias("one_group")
+        "key", F.col("text").alias("one"), F.col("group").alias("one_group"), F.col("bands").alias("one_bands")
     )
-    others = open_rows.select("key", "text", "group", "main")
-    more = rest.join(others, "key").filter(
+    more = rest.join(open_rows, "key").filter(
         (F.col("one_group") != F.col("group")) & _may_link(F.col("one"), F.col("text"), percent)
         & ((F.col("group") == F.col("main")) | (F.col("one.text_key") < F.col("text.text_key")))
+        & _meet_first(F.col("one_bands"), F.col("bands"), bands, F.col("first"), F.col("second"))
     ).select(F.col("one.text_key").alias("a"), F.col("text.text_key").alias("b")).distinct()
     untested = written(more, "more").join(
         written(star.select(F.col("a").alias("b"), F.col("b").alias("a")), "tested"), ["a", "b"], "left_anti"
