@@ -26,8 +26,8 @@ from pyspark.sql.functions import pandas_udf
 
 MARK = "▁"
 SAMPLES = 3
-BATCH_UNITS = 200_000
-MOST_ARCS = 3_000_000
+BATCH_UNITS = 100_000
+MOST_ARCS = 2_500_000
 # weight, as a score, of a byte where a character has no piece
 BYTE_SCORE = -40_000.0
 
