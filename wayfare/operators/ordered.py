@@ -88,11 +88,16 @@ def hot_keys(df: DataFrame, keys: Sequence[str], limit: int) -> DataFrame | None
 def split(
     df: DataFrame, keys: Sequence[str], hot: DataFrame, spread_by: Sequence[str], **limits: int
 ) -> tuple[DataFrame, DataFrame]:
-    """(rows of other keys, rows of the ``hot`` keys)."""
+    """(rows of other keys, rows of the ``hot`` keys).
+
+    ``df`` is read once for both, and for whatever reads them again, as sampling for slices does: its rows
+    are written with a flag, in the columns it has, which callers keep narrow.
+    """
     if not keys:
         return df.filter(F.lit(False)), df
-    join = joiner(hot.select(*keys), keys, spread_by, **limits)
-    return join(df, "left_anti"), join(df, "left_semi")
+    known = hot.select(*keys, F.lit(True).alias("_hot"))
+    flagged = written(joiner(known, keys, spread_by, **limits)(df, "left"), "flagged").select(*df.columns, "_hot")
+    return flagged.filter(F.col("_hot").isNull()).drop("_hot"), flagged.filter("_hot").drop("_hot")
 
 
 def row_count(hot: DataFrame) -> int:
