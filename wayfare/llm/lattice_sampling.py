@@ -14,6 +14,7 @@ the place, so a row's result depends on nothing else.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -26,6 +27,8 @@ from pyspark.sql.functions import pandas_udf
 
 MARK = "▁"
 SAMPLES = 3
+# sets of paths that leave the best one from this step on wait as one set, and are told apart if it is opened
+SINGLE_STEPS = 48
 BATCH_UNITS = 100_000
 MOST_ARCS = 2_500_000
 # weight, as a score, of a byte where a character has no piece
@@ -41,14 +44,35 @@ def _hashed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _uniform(*parts) -> np.ndarray:
-    """Numbers between 0 and 1, both excluded, from integers."""
-    x = np.zeros(1, dtype=np.uint64)
+def _seed(seed, *parts) -> np.ndarray:
+    """A seed that also depends on ``parts``, integers."""
+    x = np.atleast_1d(np.asarray(seed, dtype=np.uint64))
     for part in parts:
         x = _hashed((x + np.asarray(part).astype(np.uint64)) * FACTOR + np.uint64(1))
+    return x
+
+
+def _uniform(seed, *parts) -> np.ndarray:
+    """Numbers between 0 and 1, both excluded, from a seed and integers."""
+    x = _seed(seed, *parts)
     return ((x >> np.uint64(11)).astype(float) + 0.5) / 2.0**53
 
 
+def _is_text(model, i: int) -> bool:
+    return not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))
+
+
+def piece_texts(model) -> list[bytes]:
+    """What each id of a SentencePiece model stands for; control ids stand for nothing."""
+    def text(i: int) -> bytes:
+        piece = model.id_to_piece(i)
+        if model.is_byte(i):
+            return bytes([int(piece[3:-1], 16)])
+        return piece.replace(MARK, " ").encode() if _is_text(model, i) else b""
+
+    return [text(i) for i in range(model.get_piece_size())]
+
+
 class Lattices:
     """The vocabulary of a model file, and lattices of the units seen so far, as flat arrays of nodes and arcs."""
 
@@ -59,18 +83,12 @@ class Lattices:
         self.most_arcs = most_arcs
         size = self.model.get_piece_size()
         self.bytes_at = next(i for i in range(size) if self.model.is_byte(i))
-        self.text_of: list[bytes] = []
         prefixes: dict[str, int] = {}
         for i in range(size):
             piece = self.model.id_to_piece(i)
-            if self.model.is_byte(i):
-                self.text_of.append(bytes([int(piece[3:-1], 16)]))
-            elif self.model.is_control(i) or self.model.is_unknown(i) or self.model.is_unused(i):
-                self.text_of.append(b"")
-            else:
+            if _is_text(self.model, i):
                 if MARK in piece.lstrip(MARK) or "\n" in piece:
                     raise ValueError("a piece spans the border of a unit")
-                self.text_of.append(piece.replace(MARK, " ").encode())
                 for n in range(1, len(piece)):
                     prefixes.setdefault(piece[:n], -1)
                 prefixes[piece] = i
@@ -105,7 +123,7 @@ class Lattices:
         for name in names:
             old = getattr(self, name)
             if len(old) < needed:
-                new = np.zeros(max(needed, 2 * len(old)), dtype=old.dtype)
+                new = np.zeros(max(needed, len(old) * 5 // 4), dtype=old.dtype)
                 new[: len(old)] = old
                 setattr(self, name, new)
 
@@ -137,8 +155,9 @@ class Lattices:
         source.append(lone), span.append(np.ones(len(lone), dtype=np.int64)), piece.append(-code[lone].astype(np.int64))
         # long pieces first: they mostly weigh more, which shortens the search for a draw
         source, span, piece = (np.concatenate(x[::-1]) for x in (source, span, piece))
-        size = np.where(-piece < 128, 1, np.where(-piece < 2048, 2, np.where(-piece < 65536, 3, 4)))
-        weight = np.where(piece >= 0, self.weights[np.maximum(piece, 0)], size * self.byte_weight)
+        weight = self.weights[np.maximum(piece, 0)]
+        by_bytes = np.nonzero(piece < 0)[0]
+        weight[by_bytes] = (1 + np.searchsorted([128, 2048, 65536], -piece[by_bytes], side="right")) * self.byte_weight
         order = np.argsort(source, kind="stable")
         source, span, piece, weight = source[order], span[order], piece[order], weight[order]
 
@@ -159,9 +178,12 @@ class Lattices:
         share = np.exp(logp)
         # node by node, so that rounding does not depend on the other units of the call
         upto = share.copy()
-        for k in range(1, n_arcs.max()):
-            at = (first + k)[n_arcs > k]
+        open_nodes, k = np.nonzero(n_arcs > 1)[0], 1
+        while len(open_nodes):
+            at = first[open_nodes] + k
             upto[at] += upto[at - 1]
+            k += 1
+            open_nodes = open_nodes[n_arcs[open_nodes] > k]
         # above any draw, so that the last arc always ends a search
         upto[first + n_arcs - 1] = 2.0
 
@@ -180,10 +202,10 @@ class Lattices:
         self.n_nodes += len(mass)
         self.n_arcs += len(source)
 
-    def arcs_between(self, arc: int) -> np.ndarray:
+    def arcs_between(self, arc: int) -> range:
         """All arcs that leave the node of ``arc``."""
         node = self.source[arc]
-        return np.arange(self.first[node], self.first[node] + self.leaving[node])
+        return range(int(self.first[node]), int(self.first[node] + self.leaving[node]))
 
     def drawn(self, nodes: np.ndarray, uniform: np.ndarray) -> np.ndarray:
         """An arc that leaves each of ``nodes``, by weight."""
@@ -228,21 +250,63 @@ def units_of(normal: str) -> list[str]:
     return joined
 
 
+def _left_aside(before: np.ndarray, each: np.ndarray) -> np.ndarray:
+    """Log-mass of the paths that leave at steps of log-probability ``each``; steps without choice have none."""
+    with np.errstate(divide="ignore"):
+        aside = before + np.log(np.maximum(-np.expm1(each), 0.0))
+    return np.where(each > -1e-12, -np.inf, aside)
+
+
 class _Path:
-    """One path per text of a batch, flat: arcs with the log-probability before them and the waiting values."""
-
-    def __init__(self, arcs: np.ndarray, unit: np.ndarray, offsets: np.ndarray, logp: np.ndarray):
-        self.arcs, self.unit, self.offsets = arcs, unit, offsets
-        each = logp[arcs]
-        upto = np.empty(len(arcs))
-        for begin, end in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
-            np.cumsum(each[begin:end], out=upto[begin:end])
+    """A path of one text: arcs, their units, log-probabilities, and the values of the sets that wait along it.
+
+    Sets that leave at steps from ``tail`` on wait together with the value ``lump`` until it is opened.
+    """
+
+    def __init__(self, arcs: np.ndarray, unit: np.ndarray, each: np.ndarray, fresh: int, seed: int):
+        self.arcs, self.unit, self.each, self.seed, self.fresh = arcs, unit, each, seed, fresh
+        upto = np.cumsum(each)
         self.before = upto - each
-        self.total = np.where(np.diff(offsets) > 0, np.append(upto, 0.0)[offsets[1:] - 1], 0.0)
-        with np.errstate(divide="ignore"):
-            self.aside = self.before + np.log(np.maximum(-np.expm1(each), 0.0))
-        self.aside[each > -1e-12] = -np.inf
-        self.waiting = np.full(len(arcs), -np.inf)
+        self.total = float(upto[-1]) if len(arcs) else 0.0
+        self.tail = min(fresh + SINGLE_STEPS, len(arcs))
+        self.waiting: list[float] = []
+        self.lump = -np.inf
+
+    def best(self) -> float:
+        return max(max(self.waiting, default=-np.inf), self.lump)
+
+    def opened(self, value: float) -> int:
+        """The step at which the set with this greatest ``value`` leaves the path."""
+        if self.lump < value:
+            return self.fresh + self.waiting.index(value)
+        aside = _left_aside(self.before[self.tail:], self.each[self.tail:])
+        share = np.cumsum(np.exp(aside - aside.max()))
+        step = int(np.searchsorted(share, _uniform(self.seed, 1 << 31)[0] * share[-1], side="right"))
+        # the other sets of the tail wait on their own from here, below the value of the one that leaves
+        draws = _uniform(self.seed, np.arange(self.tail, len(self.arcs)))
+        self.waiting += _below(value, aside, draws).tolist()
+        step, self.tail, self.lump = self.tail + min(step, len(aside) - 1), len(self.arcs), -np.inf
+        return step
+
+
+def _wait(paths: list[_Path], limits: np.ndarray) -> None:
+    """Draw the values of the sets that wait along new ``paths``, below ``limits``: all paths at once."""
+    each = np.zeros((len(paths), SINGLE_STEPS))
+    before = np.zeros((len(paths), SINGLE_STEPS))
+    at_tail, in_tail = np.zeros(len(paths)), np.zeros(len(paths))
+    for i, path in enumerate(paths):
+        n = path.tail - path.fresh
+        each[i, :n], before[i, :n] = path.each[path.fresh:path.tail], path.before[path.fresh:path.tail]
+        if path.tail < len(path.arcs):
+            at_tail[i] = path.before[path.tail]
+            in_tail[i] = path.total - at_tail[i]
+    seeds = np.array([path.seed for path in paths], dtype=np.uint64)
+    steps = np.array([path.fresh for path in paths])[:, None] + np.arange(SINGLE_STEPS)
+    values = _below(limits[:, None], _left_aside(before, each), _uniform(seeds[:, None], steps)).tolist()
+    # the lump is all that shares the path up to the tail, but for the path itself
+    lumps = _below(limits, _left_aside(at_tail, in_tail), _uniform(seeds, 1 << 30)).tolist()
+    for path, row, lump in zip(paths, values, lumps):
+        path.waiting, path.lump = row[:path.tail - path.fresh], lump
 
 
 def _below(limit, place, uniform) -> np.ndarray:
@@ -270,12 +334,10 @@ class _Batch:
         now = self.nodes[self.unit_at[texts][rows] + ordinal]
         head = (np.cumsum(n) - n)[(n > 0) & (node >= 0)]
         now[head] = node[(n > 0) & (node >= 0)]
-        key = self.keys[texts][rows]
+        seed = _seed(_seed(self.keys[texts], sample)[rows], ordinal)
         active, steps = np.nonzero(~store.stop[now])[0], []
         while len(active):
-            place = now[active]
-            u = _uniform(key[active], sample, ordinal[active], len(steps))
-            arc = store.drawn(place, u)
+            arc = store.drawn(now[active], _uniform(seed[active], len(steps)))
             steps.append((active, arc))
             now[active] = store.to[arc]
             active = active[~store.stop[now[active]]]
@@ -292,74 +354,64 @@ class _Batch:
     def search(self, k: int) -> list[tuple[list, float]]:
         """Per text its samples (arcs, log-probability, perturbed value) by falling value, and the value after them."""
         store, n = self.store, len(self.counts)
-        everyone = np.arange(n)
-        arcs, unit, offsets = self._walk(everyone, np.zeros(n, dtype=np.int64), np.full(n, -1), 0)
-        value = -np.log(-np.log(_uniform(self.keys, 1 << 40)))
-        paths: list[tuple[np.ndarray, _Path]] = []
+        texts = np.arange(n)
+        arcs, unit, offsets = self._walk(texts, np.zeros(n, dtype=np.int64), np.full(n, -1), 0)
+        values = (-np.log(-np.log(_uniform(self.keys, 1 << 40)))).tolist()
+        heads = [(np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))] * n
+        paths: list[list[_Path]] = [[] for _ in range(n)]
         found: list[list[tuple]] = [[] for _ in range(n)]
+        after = [-np.inf] * n
         left_out: dict[tuple[int, int, int], list[int]] = {}
-        texts, fresh = everyone, np.zeros(n, dtype=np.int64)
         for sample in range(k):
-            path = _Path(arcs, unit, offsets, store.logp)
-            row_of = np.repeat(np.arange(len(texts)), np.diff(offsets))
-            step = np.arange(len(arcs)) - offsets[:-1][row_of]
-            open_steps = step >= fresh[row_of]
-            u = _uniform(self.keys[texts][row_of], (1 << 41) + sample, step)
-            path.waiting = np.where(open_steps, _below(value[row_of], path.aside, u), -np.inf)
-            paths.append((texts, path))
-            for row, text in enumerate(texts.tolist()):
-                found[text].append((arcs[offsets[row]:offsets[row + 1]], path.total[row], value[row]))
-            best = np.full(n, -np.inf)
-            where = np.zeros((n, 2), dtype=np.int64)
-            for p, (members, own) in enumerate(paths):
-                for row, text in enumerate(members.tolist()):
-                    cut = own.waiting[own.offsets[row]:own.offsets[row + 1]]
-                    if len(cut):
-                        at = int(cut.argmax())
-                        if cut[at] > best[text]:
-                            best[text], where[text] = cut[at], (p, at)
-            if sample == k - 1:
-                return [(f, b) for f, b in zip(found, best.tolist())]
-            texts = np.nonzero(~np.isneginf(best))[0]
-            prefixes, prefix_units, begin, node, fresh = [], [], [], [], np.zeros(len(texts), dtype=np.int64)
-            index = {p: {t: r for r, t in enumerate(m.tolist())} for p, (m, _) in enumerate(paths)}
+            seeds = _seed(self.keys, (1 << 41) + sample).tolist()
+            new = []
             for row, text in enumerate(texts.tolist()):
-                p, at = where[text].tolist()
-                own = paths[p][1]
-                o = int(own.offsets[index[p][text]])
-                out = left_out.setdefault((text, p, at), [int(own.arcs[o + at])])
-                choice, rest = self._other(text, own, o, at, out, sample)
+                cut = slice(offsets[row], offsets[row + 1])
+                head, head_unit = heads[row]
+                own, own_unit = np.concatenate([head, arcs[cut]]), np.concatenate([head_unit, unit[cut]])
+                new.append(_Path(own, own_unit, store.logp[own], len(head), seeds[text]))
+                paths[text].append(new[-1])
+                found[text].append((own, new[-1].total, values[row]))
+            _wait(new, np.array(values))
+            for text in texts.tolist():
+                after[text] = max(p.best() for p in paths[text])
+            texts = np.array([t for t in texts.tolist() if after[t] > -np.inf], dtype=np.int64)
+            if sample == k - 1 or not len(texts):
+                break
+            heads, begin, node, values, changed = [], [], [], [], []
+            draws = _uniform(self.keys, (1 << 43) + sample).tolist()
+            for text in texts.tolist():
+                value = after[text]
+                p = max(range(len(paths[text])), key=lambda i: paths[text][i].best())
+                own = paths[text][p]
+                step = own.opened(value)
+                out = left_out.setdefault((text, p, step), [int(own.arcs[step])])
+                choice, rest = self._other(own, step, out, draws[text])
                 out.append(choice)
-                draw = _uniform(self.keys[text], (1 << 42) + sample, at)
-                own.waiting[o + at] = _below(best[text], rest, draw)[0]
-                prefixes.append(np.append(own.arcs[o:o + at], choice))
-                ordinal = int(own.unit[o + at])
-                prefix_units.append(np.append(own.unit[o:o + at], ordinal))
-                begin.append(ordinal), node.append(int(store.to[choice]))
-                fresh[row] = at + 1
-            value = best[texts]
-            suffix, suffix_unit, suffix_at = self._walk(texts, np.array(begin, dtype=np.int64), np.array(node, dtype=np.int64), sample + 1)
-            parts, unit_parts, sizes = [], [], [0]
-            for row in range(len(texts)):
-                cut = slice(suffix_at[row], suffix_at[row + 1])
-                parts += [prefixes[row], suffix[cut]]
-                unit_parts += [prefix_units[row], suffix_unit[cut]]
-                sizes.append(len(prefixes[row]) + suffix_at[row + 1] - suffix_at[row])
-            arcs = np.concatenate(parts) if parts else np.zeros(0, dtype=np.int64)
-            unit = np.concatenate(unit_parts) if parts else np.zeros(0, dtype=np.int64)
-            offsets = np.cumsum(sizes)
-        return []
-
-    def _other(self, text: int, own: _Path, begin: int, step: int, out: list[int], sample: int) -> tuple[int, float]:
+                changed.append((own, step, rest))
+                heads.append((np.append(own.arcs[:step], choice), own.unit[:step + 1]))
+                begin.append(int(own.unit[step])), node.append(int(store.to[choice])), values.append(value)
+                after[text] = -np.inf
+            # what is still aside at the steps left from waits below the value that just left
+            rests = np.array([rest for _, _, rest in changed])
+            again = _below(np.array(values), rests, _uniform(self.keys[texts], (1 << 42) + sample)).tolist()
+            for (own, step, _), value in zip(changed, again):
+                own.waiting[step - own.fresh] = value
+            arcs, unit, offsets = self._walk(texts, np.array(begin, dtype=np.int64), np.array(node, dtype=np.int64), sample + 1)
+        return list(zip(found, after))
+
+    def _other(self, own: _Path, step: int, out: list[int], draw: float) -> tuple[int, float]:
         """An arc besides those ``out`` at a step, drawn by weight, and the log-mass of what stays aside."""
         store = self.store
-        arcs = store.arcs_between(int(own.arcs[begin + step]))
-        arcs = arcs[~np.isin(arcs, out)]
-        share = np.exp(store.logp[arcs])
-        u = _uniform(self.keys[text], (1 << 43) + sample, step)[0]
-        chosen = min(int(np.searchsorted(np.cumsum(share), u * share.sum())), len(arcs) - 1)
-        rest = share.sum() - share[chosen] if len(arcs) > 1 else 0.0
-        return int(arcs[chosen]), float(own.before[begin + step] + np.log(rest)) if rest > 0 else -np.inf
+        leaving = store.arcs_between(int(own.arcs[step]))
+        arcs = [a for a in leaving if a not in out]
+        share = [math.exp(x) for a, x in zip(leaving, store.logp[leaving.start:leaving.stop].tolist()) if a not in out]
+        left, chosen = draw * sum(share), 0
+        while chosen < len(arcs) - 1 and left >= share[chosen]:
+            left -= share[chosen]
+            chosen += 1
+        rest = sum(share[:chosen] + share[chosen + 1:])
+        return arcs[chosen], float(own.before[step]) + math.log(rest) if rest > 0 else -math.inf
 
 
 def _inclusion(logp: float, threshold: float) -> float:
@@ -396,7 +448,7 @@ def segmentations(docs: DataFrame, model: str, k: int = SAMPLES) -> DataFrame:
             store.reset()
         normal = [store.model.normalize(t) if t else "" for _, t in texts]
         split = [units_of(t) for t in normal]
-        new = list({u for units in split for u in units if u not in store.units})
+        new = list(set().union(*split).difference(store.units))
         if new:
             store.add(new)
         nodes = [np.fromiter(map(store.units.__getitem__, units), dtype=np.int64, count=len(units)) for units in split]
@@ -426,19 +478,38 @@ def segmentations(docs: DataFrame, model: str, k: int = SAMPLES) -> DataFrame:
     return narrow.mapInPandas(sample, SCHEMA)
 
 
+_texts: dict[str, list[bytes]] = {}
+
+
+def _piece_texts(path: str) -> list[bytes]:
+    """What each id stands for, without the lattices."""
+    if path not in _texts:
+        import sentencepiece
+
+        _texts[path] = piece_texts(sentencepiece.SentencePieceProcessor(model_file=path))
+    return _texts[path]
+
+
+def _decode(packed: bytes, texts: list[bytes]) -> bytes:
+    text = b"".join(map(texts.__getitem__, np.frombuffer(packed, dtype="<u4").tolist()))
+    return text[1:] if text.startswith(b" ") else text
+
+
 def decoded(ids: Column, model: str) -> Column:
     """Text of ``ids`` (little-endian unsigned 32-bit numbers) without the space that encoding puts first."""
     @pandas_udf("string")
     def decode(column: pd.Series) -> pd.Series:
-        text_of = lattices(model).text_of
-        out = []
-        for packed in column:
-            if packed is None:
-                out.append(None)
-                continue
-            pieces = np.frombuffer(packed, dtype="<u4").tolist()
-            text = b"".join(map(text_of.__getitem__, pieces)).decode(errors="replace")
-            out.append(text[1:] if text.startswith(" ") else text)
-        return pd.Series(out, dtype=object)
+        texts = _piece_texts(model)
+        return pd.Series([None if p is None else _decode(p, texts).decode(errors="replace") for p in column], dtype=object)
 
     return decode(ids)
+
+
+def decoded_crc32(ids: Column, model: str) -> Column:
+    """Unsigned crc32 of the UTF-8 bytes of :func:`decoded`, without sending the text."""
+    @pandas_udf("long")
+    def check(column: pd.Series) -> pd.Series:
+        texts = _piece_texts(model)
+        return pd.Series([zlib.crc32(_decode(p, texts)) for p in column], dtype="int64")
+
+    return check(ids)

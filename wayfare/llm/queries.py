@@ -71,7 +71,7 @@ def op9_lattice_sampling(spark: SparkSession, sf: str) -> DataFrame:
     model = public_tokenizer("piece_bpe_32k.model")
     sampled = lattice_sampling.segmentations(table(spark, sf, "documents"), model)
     back = F.col("decoded_crc32") == F.col("text_crc32")
-    return sampled.withColumn("decoded_crc32", F.crc32(lattice_sampling.decoded(F.col("ids"), model).cast("binary"))).select(
+    return sampled.withColumn("decoded_crc32", lattice_sampling.decoded_crc32(F.col("ids"), model)).select(
         "doc_id", "sample", (F.octet_length("ids") / 4).cast("long").alias("n_ids"), F.crc32("ids").alias("ids_crc32"),
         "logp", "value", "inclusion", back.alias("round_trip"),
     )
