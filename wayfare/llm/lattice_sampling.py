@@ -175,6 +175,7 @@ class Lattices:
                 begins = np.concatenate([[0], np.nonzero(own[1:] != own[:-1])[0] + 1])
                 mass[own[begins]] = np.logaddexp.reduceat(weight[arcs] + mass[target[arcs]], begins)
         logp = weight + mass[target] - mass[node[source]]
+        logp[first[n_arcs == 1]] = 0.0  # without choice, whatever rounding says
         share = np.exp(logp)
         # node by node, so that rounding does not depend on the other units of the call
         upto = share.copy()
