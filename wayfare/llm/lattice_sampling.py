@@ -254,8 +254,7 @@ def units_of(normal: str) -> list[str]:
 def _left_aside(before: np.ndarray, each: np.ndarray) -> np.ndarray:
     """Log-mass of the paths that leave at steps of log-probability ``each``; steps without choice have none."""
     with np.errstate(divide="ignore"):
-        aside = before + np.log(np.maximum(-np.expm1(each), 0.0))
-    return np.where(each > -1e-12, -np.inf, aside)
+        return before + np.log(-np.expm1(each))
 
 
 class _Path:
