@@ -91,7 +91,7 @@ def _signature(found: np.ndarray, factors: np.ndarray) -> np.ndarray:
 
 
 def described(docs: DataFrame, size: int, bands: int) -> DataFrame:
-    """(doc_id, text_key, n_shingles, bands): a digest of the words and the band hashes of both collections."""
+    """(doc_id, digest, n_shingles, bands): a digest of the words and the band hashes of both collections."""
     factors = np.random.default_rng(SEED).integers(0, 2**63, 2 * ROWS * bands, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -109,11 +109,11 @@ def described(docs: DataFrame, size: int, bands: int) -> DataFrame:
                     out.append((doc_id, key, len(found), band.view(np.int64)))
                 else:
                     out.append((doc_id, key, 0, None))
-            frame = pd.DataFrame(out, columns=["doc_id", "text_key", "n_shingles", "bands"])
+            frame = pd.DataFrame(out, columns=["doc_id", "digest", "n_shingles", "bands"])
             yield frame.assign(doc_id=pd.array(frame["doc_id"], dtype="Int64"))
 
     narrow = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return narrow.mapInPandas(describe, "doc_id long, text_key binary, n_shingles long, bands array<long>")
+    return narrow.mapInPandas(describe, "doc_id long, digest binary, n_shingles long, bands array<long>")
 
 
 def table_keys(texts: DataFrame, bands: int) -> DataFrame:
@@ -145,42 +145,57 @@ def _in_company(keys: DataFrame) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, candidates: DataFrame, size: int) -> DataFrame:
-    """(text_key, found) of the texts of the documents ``candidates`` (text_key, doc_id), one row per text."""
+    """(text_key, found) of ``candidates`` (text_key, digest, doc_id), one row each, from the documents' texts."""
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             words = [normal_words(t) for t in batch["text"]]
             yield pd.DataFrame({
                 "doc_id": batch["doc_id"],
-                "own_key": [xxhash.xxh3_128_digest(b" ".join(w)) for w in words],
+                "digest": [xxhash.xxh3_128_digest(b" ".join(w)) for w in words],
                 "found": [shingles(w, size).view(np.int64) for w in words],
             })
 
     narrow = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).filter("doc_id is not null")
     chosen = join_by_key(narrow, candidates.select("doc_id").distinct(), ["doc_id"], "left_semi", ["text"])
-    made = chosen.mapInPandas(sets, "doc_id long, own_key binary, found array<long>")
+    made = chosen.mapInPandas(sets, "doc_id long, digest binary, found array<long>")
     # where documents share an id, the digest tells their texts apart
-    wanted = candidates.select("doc_id", "text_key")
-    one = made.join(wanted, (made["doc_id"] == wanted["doc_id"]) & (made["own_key"] == wanted["text_key"]), "left_semi")
-    return one.select(F.col("own_key").alias("text_key"), "found").dropDuplicates(["text_key"])
+    of_text = join_by_key(made, candidates, ["doc_id", "digest"], "inner", ["found"])
+    found = written(of_text.select("text_key", "found"), "sets")
+    if found.groupBy("text_key").agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
+        return found
+    return written(found.dropDuplicates(["text_key"]), "sets")
 
 
 def _shared_sizes(sets: DataFrame) -> DataFrame:
     """(text_key, n, shared): size of each set, and how many of its shingles another set has too."""
     single = (
-        sets.select(F.xxhash64("text_key").alias("owner"), F.explode("found").alias("shingle"))
-        .groupBy("shingle").agg(F.count("*").alias("n"), F.min("owner").alias("owner")).filter("n = 1")
-        .groupBy("owner").agg(F.count("*").alias("alone"))
+        sets.select("text_key", F.explode("found").alias("shingle"))
+        .groupBy("shingle").agg(F.count("*").alias("n"), F.min("text_key").alias("text_key")).filter("n = 1")
+        .groupBy("text_key").agg(F.count("*").alias("alone"))
     )
-    sizes = sets.select("text_key", F.xxhash64("text_key").alias("owner"), F.size("found").cast("long").alias("n"))
-    return sizes.join(single, "owner", "left").select(
+    sizes = sets.select("text_key", F.size("found").cast("long").alias("n"))
+    return sizes.join(single, "text_key", "left").select(
         "text_key", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("shared")
     )
 
 
 def _may_link(a: Column, b: Column, percent: int) -> Column:
     """Whether two sets, given (n, shared) of each, can be similar enough: an exact bound."""
-    most = F.least(a["shared"], b["shared"])
-    return 100 * most >= percent * (a["n"] + b["n"] - most)
+    return _enough(F.least(a["shared"], b["shared"]), a, b, percent)
+
+
+def _may_link_beside(a: Column, a_within: Column, b: Column, b_within: Column, percent: int) -> Column:
+    """:func:`_may_link`, closer where it is known how much of either set is within a third one.
+
+    They have in common at most the lesser of what is within that set, and of what is not.
+    """
+    beside = F.least(a["shared"] - a_within, b["shared"] - b_within)
+    closer = F.least(a_within, b_within) + beside
+    return _enough(F.coalesce(closer, F.least(a["shared"], b["shared"])), a, b, percent)
+
+
+def _enough(common: Column, a: Column, b: Column, percent: int) -> Column:
+    return 100 * common >= percent * (a["n"] + b["n"] - common)
 
 
 def _meet_first(a: Column, b: Column, bands: int, first: Column, second: Column) -> Column:
@@ -193,21 +208,24 @@ def _meet_first(a: Column, b: Column, bands: int, first: Column, second: Column)
     return (earliest(1) == first + 1) & (earliest(bands + 1) == second - bands + 1)
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The ``pairs`` (a, b) of text keys whose sets are similar enough."""
+def measured(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The ``pairs`` (a, b) with the size of what their sets have in common, and whether that links them."""
     of = lambda name: sets.select(F.col("text_key").alias(name), F.col("found").alias(f"found_{name}"))
-    both = F.size(F.array_intersect("found_a", "found_b"))
-    joined = pairs.join(of("a"), "a").join(of("b"), "b").withColumn("both", both)
-    return joined.filter(
-        100 * F.col("both") >= percent * (F.size("found_a") + F.size("found_b") - F.col("both"))
-    ).select("a", "b")
+    joined = pairs.join(of("a"), "a").join(of("b"), "b").withColumn(
+        "both", F.size(F.array_intersect("found_a", "found_b")).cast("long")
+    )
+    union = F.size("found_a") + F.size("found_b") - F.col("both")
+    return joined.select("a", "b", "both", (100 * F.col("both") >= percent * union).alias("linked"))
 
 
 def links_of(docs: DataFrame, texts: DataFrame, size: int, percent: int, bands: int) -> DataFrame:
-    """Links (a, b) of text keys that connect what similar texts among ``texts`` (text_key, doc_id, bands) connect."""
+    """Links (a, b) of text keys that connect what similar ones of ``texts`` connect.
+
+    ``texts`` has text_key, digest, doc_id and bands.
+    """
     keys = _in_company(table_keys(texts, bands))
-    candidates = texts.select("text_key", "doc_id").join(keys.select("text_key").distinct(), "text_key", "left_semi")
-    sets = written(full_sets(docs, written(candidates, "candidates"), size), "sets")
+    candidates = texts.drop("bands").join(keys.select("text_key").distinct(), "text_key", "left_semi")
+    sets = full_sets(docs, written(candidates, "candidates"), size)
     able = 100 * F.col("shared") >= percent * F.col("n")
     bounds = written(_shared_sizes(sets).filter(able), "bounds")
     # once more among those alone, as what they shared with the others does not count
@@ -226,7 +244,8 @@ def links_of(docs: DataFrame, texts: DataFrame, size: int, percent: int, bands:
     star = members.join(centres, "key").filter(
         (F.col("text.text_key") != F.col("centre.text_key")) & _may_link(F.col("text"), F.col("centre"), percent)
     ).select(F.col("centre.text_key").alias("a"), F.col("text.text_key").alias("b")).distinct()
-    first = written(confirmed(written(star, "star"), sets, percent), "links")
+    spokes = written(measured(written(star, "star"), sets, percent), "spokes")
+    first = spokes.filter("linked").select("a", "b")
 
     group = written(components(first).withColumnRenamed("node", "text_key"), "groups")
     grouped = written(members.join(group, members["text.text_key"] == group["text_key"], "left").select(
@@ -238,7 +257,7 @@ def links_of(docs: DataFrame, texts: DataFrame, size: int, percent: int, bands:
     )
     # per bucket: the centre's group against the rest, and the rest among itself
     centre_groups = centres.join(group, F.col("centre.text_key") == group["text_key"], "left").select(
-        "key", F.coalesce("component", "centre.text_key").alias("main")
+        "key", F.coalesce("component", "centre.text_key").alias("main"), F.col("centre.text_key").alias("hub")
     )
     open_rows = written(
         grouped.join(mixed.select("key"), "key", "left_semi")
@@ -246,18 +265,29 @@ def links_of(docs: DataFrame, texts: DataFrame, size: int, percent: int, bands:
         .join(texts.select(F.col("text_key").alias("_of"), "bands"), F.col("text.text_key") == F.col("_of")).drop("_of"),
         "open",
     )
+    within = spokes.select(F.col("a").alias("hub"), F.col("b").alias("_of"), F.col("both").alias("within"))
+    open_rows = written(
+        open_rows.join(within, (open_rows["hub"] == within["hub"]) & (F.col("text.text_key") == F.col("_of")), "left")
+        .select(
+            "key", "first", "second", "text", "group", "main", "bands",
+            F.when(F.col("text.text_key") == open_rows["hub"], F.col("text.n")).otherwise(F.col("within")).alias("within"),
+        ), "open",
+    )
     rest = open_rows.filter(F.col("group") != F.col("main")).select(
-        "key", F.col("text").alias("one"), F.col("group").alias("one_group"), F.col("bands").alias("one_bands")
+        "key", F.col("text").alias("one"), F.col("group").alias("one_group"), F.col("bands").alias("one_bands"),
+        F.col("within").alias("one_within"),
     )
     more = rest.join(open_rows, "key").filter(
-        (F.col("one_group") != F.col("group")) & _may_link(F.col("one"), F.col("text"), percent)
+        (F.col("one_group") != F.col("group"))
+        & _may_link_beside(F.col("one"), F.col("one_within"), F.col("text"), F.col("within"), percent)
         & ((F.col("group") == F.col("main")) | (F.col("one.text_key") < F.col("text.text_key")))
         & _meet_first(F.col("one_bands"), F.col("bands"), bands, F.col("first"), F.col("second"))
     ).select(F.col("one.text_key").alias("a"), F.col("text.text_key").alias("b")).distinct()
     untested = written(more, "more").join(
         written(star.select(F.col("a").alias("b"), F.col("b").alias("a")), "tested"), ["a", "b"], "left_anti"
     )
-    return first.union(confirmed(written(untested.select("a", "b"), "untested"), sets, percent))
+    late = measured(written(untested.select("a", "b"), "untested"), sets, percent)
+    return first.union(late.filter("linked").select("a", "b"))
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -271,14 +301,17 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     """
     bands = bands_for(percent)
     rows = written(described(docs, size, bands), "described")
-    nodes = rows.filter("doc_id is not null and text_key is not null")
+    nodes = rows.filter("doc_id is not null and digest is not null")
+    # a number of eight bytes stands for a text from here on
     texts = written(
-        nodes.groupBy("text_key").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands")), "texts"
+        nodes.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
+        .withColumn("text_key", F.monotonically_increasing_id()), "texts",
     )
     alike = links_of(docs, texts, size, percent, bands)
     head = texts.select("text_key", F.col("doc_id").alias("head"))
     ends = alike.join(head.toDF("a", "head_a"), "a").join(head.toDF("b", "head_b"), "b").select("head_a", "head_b")
-    copies = nodes.select("text_key", "doc_id").distinct().join(head, "text_key").filter("doc_id != head")
+    heads = texts.select("digest", F.col("doc_id").alias("head"))
+    copies = nodes.select("digest", "doc_id").distinct().join(heads, "digest").filter("doc_id != head")
     found = components(ends.toDF("a", "b").union(copies.select("head", "doc_id")))
     return rows.join(found.toDF("doc_id", "component"), "doc_id", "left").select(
         "doc_id", "n_shingles",
