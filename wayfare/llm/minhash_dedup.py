@@ -194,6 +194,17 @@ def _may_link_beside(a: Column, a_within: Column, b: Column, b_within: Column, p
     return _enough(F.coalesce(closer, F.least(a["shared"], b["shared"])), a, b, percent)
 
 
+def _spread(sets: DataFrame) -> DataFrame:
+    """:func:`_shared_sizes` with spread, the mean number of sets that a shingle of the set is in."""
+    each = sets.select("text_key", F.explode("found").alias("shingle"))
+    held = written(each.groupBy("shingle").agg(F.count("*").alias("n")).filter("n > 1"), "held")
+    shared = each.join(held, "shingle").groupBy("text_key").agg(
+        F.count("*").alias("shared"), F.sum("n").alias("holders")
+    )
+    sizes = sets.select("text_key", F.size("found").cast("long").alias("n"))
+    return sizes.join(shared, "text_key").withColumn("spread", F.col("holders") / F.col("n")).drop("holders")
+
+
 def _enough(common: Column, a: Column, b: Column, percent: int) -> Column:
     return 100 * common >= percent * (a["n"] + b["n"] - common)
 
@@ -229,16 +240,16 @@ def links_of(docs: DataFrame, texts: DataFrame, size: int, percent: int, bands:
     able = 100 * F.col("shared") >= percent * F.col("n")
     bounds = written(_shared_sizes(sets).filter(able), "bounds")
     # once more among those alone, as what they shared with the others does not count
-    bounds = written(_shared_sizes(sets.join(bounds.select("text_key"), "text_key", "left_semi")).filter(able), "bounds")
-    entry = F.struct("text_key", "n", "shared")
+    bounds = written(_spread(sets.join(bounds.select("text_key"), "text_key", "left_semi")).filter(able), "bounds")
+    entry = F.struct("text_key", "n", "shared", "spread")
     members = written(
         _in_company(keys.join(bounds.select("text_key"), "text_key", "left_semi")).join(bounds, "text_key")
         .select("key", "first", "second", entry.alias("text")), "entries",
     )
-    # the text that has least of its own stands in the middle of a group of edited copies
+    # the text whose shingles most others have stands in the middle of a group of edited copies
     centres = written(
         members.groupBy("key").agg(
-            F.min_by("text", F.struct(1 - F.col("text.shared") / F.col("text.n"), "text.text_key")).alias("centre")
+            F.max_by("text", F.struct("text.spread", "text.text_key")).alias("centre")
         ), "centres",
     )
     star = members.join(centres, "key").filter(
