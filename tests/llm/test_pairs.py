@@ -86,6 +86,23 @@ def test_join_over_many_cells_and_blocks(spark, monkeypatch):
     assert result(embedding_join.linked(vectors(spark, rows))) == expected
 
 
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_join_of_scaled_copies_over_many_cells(spark, monkeypatch, kind):
+    """Several pivots are copies of one vector, equal in direction up to rounding and different in length."""
+    monkeypatch.setattr(embedding_join, "CELL_ROWS", 10)
+    monkeypatch.setattr(embedding_join, "BLOCK_ROWS", 16)
+    draw = np.random.default_rng(4)
+    hot = draw.normal(size=8)
+    copies = hot * draw.uniform(1, 9, size=(150, 1))
+    around = hot + draw.normal(size=(60, 8)) * 0.25
+    number = np.float32 if kind == "float" else np.float64
+    rows = [(i, x.tolist()) for i, x in enumerate(
+        np.concatenate([copies, around, draw.normal(size=(40, 8))]).astype(number))]
+    expected = brute_vectors(rows, 0.95)
+    assert sum(r[1] for r in expected) > 150 * 149
+    assert result(embedding_join.linked(spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>"))) == expected
+
+
 def test_components_of_a_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 400)] + [(7, 7), (500, 500)]
     found = spark_components(spark.createDataFrame(links, "a long, b long"))

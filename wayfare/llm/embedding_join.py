@@ -28,7 +28,9 @@ CELL_ROWS = 2_048
 MOST_PIVOTS = 1_024
 BLOCK_ROWS = 4_096
 CHUNK_ROWS = 512
-SLACK = 1e-9
+# how far a product of two units may be off, and what three such errors make of angles near zero
+ROUNDING = 1e-12
+SLACK = 5e-6
 
 
 def usable(embedding: Column) -> Column:
@@ -49,8 +51,8 @@ class _Pivots:
     def __init__(self, numbers: list[int], units: np.ndarray):
         self.numbers = np.array(numbers)
         self.units = units
-        gram = np.clip(units @ units.T, -1, 1)
-        self.apart = np.sqrt(np.maximum(2 - 2 * gram, 0))
+        # from differences, as 2 - 2 * cosine cancels for pivots that point the same way
+        self.apart = np.stack([np.linalg.norm(units - unit, axis=1) for unit in units])
 
 
 def _by_dimension(pivots: list[tuple[int, list[float]]]) -> dict[int, _Pivots]:
@@ -90,7 +92,8 @@ def _visits(x: np.ndarray, cells: np.ndarray, own: _Pivots, radii: dict[int, flo
     beyond = cosines[np.arange(len(x)), at][:, None] - cosines
     radius = np.array([radii.get(int(n), -math.inf) for n in own.numbers])
     near = np.arccos(np.clip(cosines, -1, 1)) <= radius + angle + SLACK
-    return near & (beyond <= (math.sin(angle) + SLACK) * own.apart[at]) & (own.numbers[None, :] < cells[:, None])
+    reach = (math.sin(angle) + SLACK) * own.apart[at] + ROUNDING
+    return near & (beyond <= reach) & (own.numbers[None, :] < cells[:, None])
 
 
 def _visitor_counts(placed: DataFrame, pivots, radii, angle: float) -> DataFrame:
