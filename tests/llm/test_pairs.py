@@ -172,6 +172,24 @@ def test_thinned_documents_keep_their_columns(spark):
     assert ids.count(10) == 1 and ids.count(None) == 2
 
 
+def test_thinning_links_texts_and_not_ids(spark):
+    """Ids with several texts, ids beyond the precision of doubles, and rows without an id."""
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(80)) for x in "abcd")
+    big = 2**53 + 1
+    rows = [
+        (1, a), (2, a + " end"), (2, b), (3, b + " end"), (4, c), (4, c), (4, c + " end"), (big, d), (big + 1, d),
+        (None, a), (None, a), (None, a + " end"), (None, "only here " + c[::-1]), (None, "only here " + c[::-1]),
+        (6, ""), (6, ""), (None, ""), (None, ""),
+    ]
+    kept = [tuple(r) for r in minhash_dedup.deduplicated(documents(spark, rows), 5, 80).select("doc_id", "text").collect()]
+    fourth = [t for i, t in kept if i == 4]
+    assert len(fourth) == 1 and fourth[0] in (c, c + " end")
+    unknown = [t for i, t in kept if i is None]
+    assert len([t for t in unknown if t in (a, a + " end")]) == 1
+    assert unknown.count("only here " + c[::-1]) == 1 and unknown.count("") == 2 and len(unknown) == 4
+    assert sorted((i, t) for i, t in kept if i not in (None, 4)) == [(1, a), (2, b), (6, ""), (big, d)]
+
+
 def test_bands_find_pairs_at_the_limit():
     for percent in (80, 85, 95):
         bands = minhash_dedup.bands_for(percent)

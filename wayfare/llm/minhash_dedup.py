@@ -20,7 +20,7 @@ Nothing is capped. A pair at the limit of similarity shares no table with a chan
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -90,8 +90,11 @@ def _signature(found: np.ndarray, factors: np.ndarray) -> np.ndarray:
     return least
 
 
-def described(docs: DataFrame, size: int, bands: int) -> DataFrame:
-    """(doc_id, digest, n_shingles, bands): a digest of the words and the band hashes of both collections."""
+def described(docs: DataFrame, size: int, bands: int, others: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, digest, n_shingles, bands): a digest of the words and the band hashes of both collections.
+
+    ``others`` are columns without nulls that pass through.
+    """
     factors = np.random.default_rng(SEED).integers(0, 2**63, 2 * ROWS * bands, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -110,10 +113,13 @@ def described(docs: DataFrame, size: int, bands: int) -> DataFrame:
                 else:
                     out.append((doc_id, key, 0, None))
             frame = pd.DataFrame(out, columns=["doc_id", "digest", "n_shingles", "bands"])
-            yield frame.assign(doc_id=pd.array(frame["doc_id"], dtype="Int64"))
+            yield frame.assign(
+                doc_id=pd.array(frame["doc_id"], dtype="Int64"), **{name: batch[name].to_numpy() for name in others}
+            )
 
-    narrow = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return narrow.mapInPandas(describe, "doc_id long, digest binary, n_shingles long, bands array<long>")
+    narrow = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *others)
+    passed = "".join(f", {f.name} {f.dataType.simpleString()}" for f in narrow.schema.fields[2:])
+    return narrow.mapInPandas(describe, f"doc_id long, digest binary, n_shingles long, bands array<long>{passed}")
 
 
 def table_keys(texts: DataFrame, bands: int) -> DataFrame:
@@ -331,18 +337,52 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     )
 
 
+def _row_key() -> Column:
+    """128 bits for doc_id and text of a row; a null is told from any value."""
+    text = F.col("text").cast("string")
+    known = F.concat(
+        F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("")),
+        F.when(text.isNull(), "-").otherwise("="), F.coalesce(text, F.lit("")),
+    )
+    return F.unhex(F.md5(known))
+
+
 def deduplicated(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs``, in all their columns, without those that are copies of a kept document.
+    """The rows of ``docs``, in all their columns, without those whose text is a copy of a kept one.
 
-    Rows that repeat a kept doc_id with an equal text are thinned to one; with another text they stay, as
-    do all rows with a null doc_id.
+    Texts are linked as in :func:`near_duplicates`, but whatever ids they have: an id with two texts links
+    nothing and loses neither. Of the rows with an id the one with the least stays in each group of texts.
+    Rows with a null doc_id give way only to one another, so one of them stays too. Blank texts have no
+    group: rows that repeat an id and such a text are thinned to one, and those with a null doc_id stay.
     """
-    found = written(near_duplicates(docs, size, percent), "duplicates")
-    dropped = found.filter(~F.col("kept")).select("doc_id").distinct()
-    kept = join_by_key(docs, dropped, ["doc_id"], "left_anti", ["text"])
-    repeated = found.filter("kept and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1")
-    repeated = written(repeated.select("doc_id"), "repeated")
+    bands = bands_for(percent)
+    none, number = F.col("doc_id").isNull(), F.col("doc_id").cast("long")
+    # a number from the row stands for its id here; texts that share one are told apart by their digests
+    known = docs.select(
+        F.xxhash64(_row_key()).alias("doc_id"), "text", _row_key().alias("row"),
+        none.alias("none"), F.coalesce(number, F.lit(0).cast("long")).alias("id"),
+    )
+    rows = written(described(known, size, bands, ["row", "none", "id"]), "described")
+    nodes = rows.filter("digest is not null")
+    texts = written(
+        nodes.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
+        .withColumn("text_key", F.monotonically_increasing_id()), "texts",
+    )
+    group = components(links_of(known, texts, size, percent, bands)).toDF("text_key", "component")
+    groups = texts.select("digest", "text_key").join(group, "text_key", "left").select(
+        "digest", F.coalesce("component", "text_key").alias("group")
+    )
+    firsts = nodes.groupBy("digest", "none").agg(F.min(F.struct("id", "row")).alias("first"))
+    stays = firsts.join(groups, "digest").groupBy("group", "none").agg(F.min("first").alias("first"))
+    stays = written(stays.select(F.col("first.row").alias("_row")), "stays")
+    dropped = nodes.select(F.col("row").alias("_row")).distinct().join(stays, "_row", "left_anti")
+    keyed = docs.withColumn("_row", _row_key())
+    kept = join_by_key(keyed, written(dropped, "dropped"), ["_row"], "left_anti", ["text"])
+    repeated = rows.filter("digest is not null or not none").groupBy(F.col("row").alias("_row")).agg(
+        F.count("*").alias("n")
+    ).filter("n > 1")
+    repeated = written(repeated.select("_row"), "repeated")
     if repeated.isEmpty():
-        return kept
-    again = join_by_key(kept, repeated, ["doc_id"], "left_semi", ["text"])
-    return join_by_key(kept, repeated, ["doc_id"], "left_anti", ["text"]).union(again.dropDuplicates(["doc_id", "text"]))
+        return kept.drop("_row")
+    again = join_by_key(kept, repeated, ["_row"], "left_semi", ["text"]).dropDuplicates(["_row"])
+    return join_by_key(kept, repeated, ["_row"], "left_anti", ["text"]).union(again).drop("_row")
