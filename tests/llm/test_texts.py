@@ -449,3 +449,15 @@ def test_perspectives_of_awkward_messages(spark):
             text + r["text"], spans + [(s["start"] + len(text), s["end"] + len(text)) for s in r["spans"]])
     assert dict(found) == expected
     assert chat_rotation.perspectives(messages.limit(0)).collect() == []
+
+
+def test_starts_of_parts_come_from_lengths_alone(spark):
+    """The window by speaker, where a long conversation is one task, holds no text."""
+    messages = spark.createDataFrame(
+        [(1, i, f"p{i % 2}", f"message {i}") for i in range(50)], "conv_id long, turn long, role string, text string")
+    parts = chat_rotation.perspectives(messages, part_messages=10)
+    plan = parts._jdf.queryExecution().sparkPlan().toString().splitlines()
+    windows = [i for i, line in enumerate(plan) if "Window [" in line and "speaker#" in line]
+    assert windows
+    for i in windows:
+        assert "Project [" in plan[i + 1] and "array_join" not in plan[i + 1] and "spans" not in plan[i + 1]

@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wayfare.operators.ordered import running, running_count
+from wayfare.session import written
 
 PART = 256
 SYSTEM = "system"
@@ -65,9 +66,9 @@ def perspectives(messages: DataFrame, part_messages: int = PART) -> DataFrame:
     )
     conversation = ["no_conv", "conv"]
     placed = running(known, conversation, ["turn", "role", "text"], {"place": running_count()})
-    parts = placed.withColumn("part", F.floor((F.col("place") - 1) / part_messages)).groupBy(*conversation, "part").agg(
-        F.sort_array(F.collect_list(F.struct("place", "role", "text"))).alias("messages")
-    )
+    parts = written(placed.withColumn("part", F.floor((F.col("place") - 1) / part_messages)).groupBy(
+        *conversation, "part"
+    ).agg(F.sort_array(F.collect_list(F.struct("place", "role", "text"))).alias("messages")), "parts")
     speakers = known.filter(F.col("role") != SYSTEM).select(*conversation, F.col("role").alias("speaker")).distinct()
 
     def piece(message: Column) -> Column:
@@ -77,16 +78,21 @@ def perspectives(messages: DataFrame, part_messages: int = PART) -> DataFrame:
             ((message["role"] == F.col("speaker")) & (message["role"] != SYSTEM)).alias("learned"),
         )
 
-    written_out = parts.join(speakers, conversation).select(
-        *conversation, "speaker", "part", F.transform("messages", piece).alias("pieces")
+    # the window has lengths only, as all parts of a conversation and speaker are one task there
+    said = parts.select(*conversation, "part", F.transform("messages", lambda m: F.struct(
+        m["role"].alias("role"), (F.length(m["text"]) + len(END)).cast("long").alias("n")
+    )).alias("said"))
+    length = F.aggregate("said", F.lit(0).cast("long"), lambda n, m: (
+        n + F.length(_head(m["role"], F.col("speaker"))) + m["n"]
+    ))
+    before = W.partitionBy(*conversation, "speaker").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    starts = said.join(speakers, conversation).select(*conversation, "speaker", "part", length.alias("n")).select(
+        *conversation, "speaker", "part", F.coalesce(F.sum("n").over(before), F.lit(0).cast("long")).alias("start")
+    )
+    return parts.join(starts, [*conversation, "part"]).select(
+        *conversation, "speaker", "part", "start", F.transform("messages", piece).alias("pieces")
     ).select(
-        *conversation, "speaker", "part",
+        F.when(~F.col("no_conv"), F.col("conv")).alias("conv_id"), "speaker", "part", "start",
         F.array_join(F.transform("pieces", lambda p: F.concat(p["head"], p["body"])), "").alias("text"),
         _spans(F.col("pieces")).alias("spans"),
     )
-    # one row per part here, so a conversation's window has 1 / part_messages of its messages
-    before = W.partitionBy(*conversation, "speaker").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
-    start = F.coalesce(F.sum(F.length("text").cast("long")).over(before), F.lit(0).cast("long"))
-    return written_out.select(
-        F.when(~F.col("no_conv"), F.col("conv")).alias("conv_id"), "speaker", "part", start.alias("start"), "text", "spans"
-    )
