@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfare.llm import (
-    backoff_scoring, chat_rotation, embedding_join, histogram_packing, lattice_sampling, minhash_dedup, packed_ids,
-    quality_model, ring_sharding, rule_cascade,
+    backoff_scoring, chat_rotation, conversation_trie, digest_merge, digest_sql, embedding_join, histogram_packing,
+    lattice_sampling, merkle_manifest, minhash_dedup, packed_ids, quality_model, ring_sharding, rule_cascade,
 )
 from wayfare.session import shared_path, ship_package
 from wayfare.sources.tables import table
@@ -96,6 +96,18 @@ def op10_rule_cascade(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op11_digest_merge(spark: SparkSession, sf: str) -> DataFrame:
+    return digest_merge.exact_duplicates(table(spark, sf, "documents"), keep="largest")
+
+
+def op12_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    return merkle_manifest.manifest(table(spark, sf, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    return conversation_trie.prefix_trie(table(spark, sf, "conversations"))
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         ship_package(spark)
@@ -115,9 +127,13 @@ QUERIES: dict[str, Query] = {
     "op8_quality_model": _shipped(op8_quality_model),
     "op9_lattice_sampling": _shipped(op9_lattice_sampling),
     "op10_rule_cascade": op10_rule_cascade,
+    "op11_digest_merge": _shipped(op11_digest_merge),
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_prefix_trie": _shipped(op13_prefix_trie),
 }
 
 SQL: dict[str, str] = {
+    **digest_sql.SQL,
     "op1_pivot_join": """
         WITH RECURSIVE
         v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
