@@ -7,10 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wayfare.functions.ratios import occupancy_percent
 from wayfare.operators.joins import join_by_key
-from wayfare.operators.ordered import ROWS_PER_TASK, running, running_count, running_last
+from wayfare.operators.ordered import ROWS_PER_TASK, Running, running, running_count, running_last, running_sum
 from wayfare.operators.rollups import ARRIVAL
-from wayfare.operators.tables import latest_per_key
+from wayfare.operators.tables import REMOVED, latest_per_key, versions_only
+
 
 def trip_count_changelog(
     trips: DataFrame, key: str = "route_id", order: Sequence[str] = ARRIVAL, rows_per_task: int = ROWS_PER_TASK
@@ -21,11 +23,58 @@ def trip_count_changelog(
 
 
 def route_table(routes: DataFrame, *fields: str) -> DataFrame:
-    """The latest version of each route: all of it, or the given fields beside the id, which alone are then read."""
+    """The latest version of each route: all of it, or the given fields beside the id, which alone are then read.
+
+    A log with a column ``removed`` has removals among its versions; a route whose last record is one is not
+    in the table.
+    """
+    removed = REMOVED if REMOVED in routes.columns else None
     if not fields:
-        return latest_per_key(routes, ["route_id"], ["seq"])
-    versions = routes.select("route_id", "seq", *fields)
-    return latest_per_key(versions, ["route_id"], ["seq"]).drop("seq")
+        return latest_per_key(routes, ["route_id"], ["seq"], removed)
+    versions = routes.select("route_id", "seq", *fields, *([REMOVED] if removed else []))
+    return latest_per_key(versions, ["route_id"], ["seq"], removed).drop("seq")
+
+
+def seat_and_trip_log(trips: DataFrame, routes: DataFrame) -> DataFrame:
+    """Both logs as one, in which each record adds a trip or seats to its route: (route_id, ts, kind, place, seats).
+
+    At equal times a route version comes before a trip.
+    """
+    added = versions_only(routes).filter(F.col("route_id").isNotNull()).select(
+        "route_id", F.col("effective_ts").alias("ts"), F.lit(0).alias("kind"), F.col("seq").alias("place"),
+        F.coalesce("capacity", F.lit(0)).cast("bigint").alias("seats"),
+    )
+    made = trips.filter(F.col("route_id").isNotNull()).select(
+        "route_id", "ts", F.lit(1).alias("kind"), F.col("event_id").alias("place"), F.lit(0).cast("bigint").alias("seats"),
+    )
+    return added.unionByName(made)
+
+
+# what seat_and_trip_log is ordered by
+JOINED_ORDER = ["ts", "kind", "place"]
+
+
+def joined_totals() -> dict[str, Running]:
+    """The totals of a route that each record of :func:`seat_and_trip_log` goes into."""
+    return {
+        "passengers": running_count(F.col("kind") == 1),
+        "seats_so_far": running_sum(F.col("seats")),
+        "versions": running_count(F.col("kind") == 0),
+    }
+
+
+def refreshed_occupancy(totals: DataFrame) -> DataFrame:
+    """The join of trip and seat totals, a row per record on either side that refreshes it; none before both exist."""
+    joined = totals.filter("passengers > 0 AND versions > 0").select(
+        "route_id", "ts", "kind", "place", "passengers", F.col("seats_so_far").alias("seats")
+    )
+    return joined.withColumn("occupancy_pct", occupancy_percent(F.col("passengers"), F.col("seats")))
+
+
+def occupancy_changelog(trips: DataFrame, routes: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Every update of the occupancy per route, which a trip and a route version alike cause."""
+    log = seat_and_trip_log(trips, routes)
+    return refreshed_occupancy(running(log, ["route_id"], JOINED_ORDER, joined_totals(), rows_per_task))
 
 
 def lookup_current(

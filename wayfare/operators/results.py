@@ -5,7 +5,7 @@ Only the name lists of question 4 have parts beyond 0; id and part together are
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,17 +47,19 @@ _RESULT: dict[int, Callable[[], Column]] = {
 }
 
 
-def result_rows(answer: DataFrame, query: int) -> DataFrame:
-    """(id, part, result) of the typed answer to question ``query``."""
+def result_rows(answer: DataFrame, query: int, keep: Sequence[str] = ()) -> DataFrame:
+    """(id, part, result) of the typed answer to question ``query``; ``keep`` passes columns through."""
     part = F.col("part") if query in IN_PARTS else F.lit(0)
     return answer.select(
         _ID[query]().cast("string").alias("id"), part.cast("bigint").alias("part"),
         _RESULT[query]().cast("string").alias("result"),
+        *keep,
     )
 
 
-def with_result_table(answer: DataFrame, query: int) -> DataFrame:
-    return result_rows(answer, query).select(F.lit(RESULT_TABLES[query]).alias("result_table"), "id", "part", "result")
+def with_result_table(answer: DataFrame, query: int, keep: Sequence[str] = ()) -> DataFrame:
+    name = F.lit(RESULT_TABLES[query]).alias("result_table")
+    return result_rows(answer, query, keep).select(name, "id", "part", "result", *keep)
 
 
 def result_envelope(rows: DataFrame, query: int) -> DataFrame:

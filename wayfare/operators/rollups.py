@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from wayfare.functions.ratios import mean
 from wayfare.operators.joins import join_by_key
+from wayfare.operators.tables import versions_only
 from wayfare.session import written
 
 ARRIVAL = ("event_id",)
@@ -60,7 +61,7 @@ def regrouped(totals: DataFrame, key: str) -> DataFrame:
 
 def seats_per_route(routes: DataFrame) -> DataFrame:
     """Seats summed over every version of a route."""
-    return routes.groupBy("route_id").agg(F.coalesce(F.sum("capacity"), F.lit(0)).cast("bigint").alias("seats"))
+    return versions_only(routes).groupBy("route_id").agg(F.coalesce(F.sum("capacity"), F.lit(0)).cast("bigint").alias("seats"))
 
 
 def total_trips(trips: DataFrame) -> DataFrame:
@@ -70,7 +71,7 @@ def total_trips(trips: DataFrame) -> DataFrame:
 
 def total_seats(routes: DataFrame) -> DataFrame:
     """One row, or none for an empty log."""
-    total = routes.agg(
+    total = versions_only(routes).agg(
         F.count("*").alias("n"), F.coalesce(F.sum("capacity"), F.lit(0)).cast("bigint").alias("total_seats")
     )
     return total.filter("n > 0").drop("n")

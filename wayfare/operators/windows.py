@@ -71,6 +71,7 @@ def hourly_type_occupancy(route_hours: DataFrame, route_table: DataFrame) -> Dat
             F.max(~seated).alias("has_unseated"),
             F.sum("trips").alias("updates"),
             F.min_by(first, "first_at").alias("first_occupancy"),
+            F.min_by("route_id", "first_at").alias("first_route"),
             F.min("first_at").alias("first_at"),
             F.max("last_at").alias("last_at"),
         )
@@ -83,6 +84,7 @@ def hourly_type_occupancy(route_hours: DataFrame, route_table: DataFrame) -> Dat
             .otherwise(F.col("seated_occupancy").cast("double")).alias("occupancy"),
             "updates",
             "first_occupancy",
+            "first_route",
             "first_at",
             "last_at",
         )
@@ -102,6 +104,18 @@ def with_update_time(
     return running(keyed, [key], order, {"update_ts": running_max(F.col("ts"))}, rows_per_task)
 
 
+def by_source_partition(trips: DataFrame, source_partition: Column) -> DataFrame:
+    """Adds the log partition of a trip, and (_none, _partition) as its key; trips without one are a log of their own."""
+    return trips.withColumn("source_partition", source_partition).withColumns({
+        "_none": F.col("source_partition").isNull(), "_partition": F.coalesce("source_partition", F.lit(0)),
+    })
+
+
+def is_late(size: str = HOUR) -> Column:
+    """Whether a trip's window had closed by the stream time of its log partition."""
+    return F.window("ts", size)["end"] <= F.col("stream_time")
+
+
 def late_events(
     trips: DataFrame,
     source_partition: Column,
@@ -110,13 +124,10 @@ def late_events(
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Every trip with the stream time of its log partition on arrival, and whether its window had closed by then."""
-    # trips without a partition are one log of their own, which takes a key that can be compared
-    keyed = trips.withColumn("source_partition", source_partition).withColumns({
-        "_none": F.col("source_partition").isNull(), "_partition": F.coalesce("source_partition", F.lit(0)),
-    })
+    keyed = by_source_partition(trips, source_partition)
     running_time = {"stream_time": running_max(F.col("ts"))}
     timed = running(keyed, ["_none", "_partition"], order, running_time, rows_per_task).drop("_none", "_partition")
-    return timed.withColumn("late", F.window("ts", size)["end"] <= F.col("stream_time"))
+    return timed.withColumn("late", is_late(size))
 
 
 def on_time(trips: DataFrame, source_partition: Column, **options) -> DataFrame:

@@ -25,6 +25,9 @@ CHANGELOG = """u AS (
 TIMELINE = """u AS (
   SELECT *, row_number() OVER (PARTITION BY route_id ORDER BY ts, event_id) AS n FROM trips)"""
 LATEST = "lc AS (SELECT * FROM routes QUALIFY row_number() OVER (PARTITION BY route_id ORDER BY seq DESC) = 1)"
+# the latest version of every route whose last record, which a capacity ending in 0 brings about, is no removal
+LIVE = """lc AS (SELECT * FROM routes QUALIFY row_number() OVER (PARTITION BY route_id ORDER BY seq DESC) = 1
+  AND capacity % 10 <> 0)"""
 UPDATES = """o AS (
   SELECT u.*, lc.type, lc.operator, lc.capacity, CAST(n AS DOUBLE) / capacity AS occ FROM u JOIN lc USING (route_id))"""
 ASOF = """a AS (
@@ -299,8 +302,33 @@ SQL |= {
     "stream_occupancy_per_route_in_batches": SQL["stream_occupancy_per_route"],
     "stream_top_type_in_batches": SQL["stream_top_type"],
     "stream_hourly_type_counts_in_batches": SQL["stream_hourly_type_counts"],
+    "stream_trip_count_changelog": SQL["trip_count_changelog"],
+    "stream_trip_count_changelog_sliced": SQL["trip_count_changelog"],
+    "stream_least_occupied_changelog": Q[12],
+    "stream_hourly_on_time_shipments": SQL["hourly_on_time_shipments"],
 }
 
+SQL |= {
+    "route_table_with_removals": _with(ROUTES, LIVE) + """SELECT 2 * seq AS seq, route_id, origin, destination, type,
+  operator, capacity FROM lc""",
+    "upsert_removals": _with(ROUTES, LIVE) + "SELECT route_id, type, operator, capacity FROM lc",
+    "q12_least_occupied_route_with_removals": SQL["q12_least_occupied_route"].replace(LATEST, LIVE),
+    "q15_top_operator_with_removals": Q[15].replace(LATEST, LIVE),
+    "q06_changelog": _with(TRIPS, ROUTES, """both_logs AS (
+  SELECT route_id, effective_ts AS ts, 0 AS kind, seq AS place, capacity AS seats FROM routes
+  UNION ALL SELECT route_id, ts, 1, event_id, 0 FROM trips)""", """totals AS (
+  SELECT route_id, ts, kind, place, CAST(sum(kind) OVER w AS BIGINT) AS passengers,
+         CAST(sum(seats) OVER w AS BIGINT) AS seats, sum(1 - kind) OVER w AS versions
+  FROM both_logs WINDOW w AS (PARTITION BY route_id ORDER BY ts, kind, place ROWS UNBOUNDED PRECEDING))""")
+    + f"""SELECT route_id, ts, kind, place, passengers, seats, {_percent('passengers', 'seats')} AS occupancy_pct
+FROM totals WHERE passengers > 0 AND versions > 0""",
+    "stream_results_with_removals": "\nUNION ALL\n".join(
+        f"SELECT '{_RESULT_ROWS[q][0]}' AS result_table, {_RESULT_ROWS[q][1]} AS id, CAST(0 AS BIGINT) AS part, "
+        f"{_RESULT_ROWS[q][2]} AS result FROM ({Q[q].replace(LATEST, LIVE)})" for q in (12, 15)
+    ),
+}
+SQL["stream_q06_changelog"] = SQL["q06_changelog"]
+
 # the events are one file and so one batch, in which a route's updates are seen as one
 SQL["stream_least_occupied_updates"] = _with(TRIPS, ROUTES, LATEST) + """SELECT lc.type, CAST(n AS DOUBLE) / lc.capacity
   AS occupancy, "at", route_id

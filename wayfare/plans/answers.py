@@ -125,13 +125,18 @@ def q12_least_occupied_route_changelog(
 
 
 def q12_changelog_from(route_trips: DataFrame, table: DataFrame) -> DataFrame:
+    return least_updates(route_trips, table).drop("first_at")
+
+
+def least_updates(route_trips: DataFrame, table: DataFrame) -> DataFrame:
+    """Per route type the least update, with its place."""
     rows = route_trips.join(table, "route_id").select(
         known_type(F.col("type")).alias("type"),
         "route_id",
         occupancy(F.lit(1), F.col("capacity")).alias("occupancy"),
         "first_at",
     )
-    return least_per(rows, "type", "occupancy", "first_at").drop("first_at")
+    return least_per(rows, "type", "occupancy", "first_at")
 
 
 def q12_least_occupied_route_asof(

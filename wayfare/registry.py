@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from functools import partial
 
@@ -11,7 +12,9 @@ from pyspark.sql import functions as F
 from wayfare.functions.ratios import occupancy
 from wayfare.functions.text import occupancy_text, parse_occupancy_text
 from wayfare.operators import results as R
-from wayfare.operators.changelog import lookup_asof, lookup_current, route_table, trip_count_changelog
+from wayfare.operators.changelog import (
+    JOINED_ORDER, lookup_asof, lookup_current, occupancy_changelog, route_table, seat_and_trip_log, trip_count_changelog,
+)
 from wayfare.operators.folds import keyed_fold
 from wayfare.operators.ordered import running, running_sum
 from wayfare.operators.rollups import avg_per_group, regrouped, trip_counts
@@ -22,10 +25,10 @@ from wayfare.operators.windows import (
 from wayfare.plans import answers as A
 from wayfare.plans.report import all_answers, result_table_rows
 from wayfare.schemas import OPERATORS, TRANSPORT_TYPES
-from wayfare.session import shared_path
+from wayfare.session import shared_path, stream_session
 from wayfare.sources import dimensions, json_log, tables
 from wayfare.sources.results import results_scan, write_result_tables
-from wayfare.streaming import flows
+from wayfare.streaming import carried, flows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -91,6 +94,18 @@ def _route_table(spark: SparkSession, sf: str) -> DataFrame:
     return route_table(decoded)
 
 
+def _with_removals(answer: Callable[..., DataFrame]) -> Query:
+    return lambda spark, sf: answer(tables.trips(spark, sf), tables.routes_with_removals(spark, sf))
+
+
+def _upsert_removals(spark: SparkSession, sf: str) -> DataFrame:
+    """The first half of the route log as the table, and the rest of it, removals too, put over it."""
+    log = tables.routes_with_removals(spark, sf)
+    columns = ["route_id", "type", "operator", "capacity"]
+    half = F.col("seq") % 4 < 2
+    return upsert(route_table(log.filter(half), *columns[1:]), log.filter(~half), ["route_id"], ["seq"])
+
+
 def _avg_per_group(spark: SparkSession, sf: str) -> DataFrame:
     return avg_per_group(tables.table(spark, sf, "lineitem"), "l_returnflag", "l_quantity")
 
@@ -230,6 +245,41 @@ def _q16_shipments(spark: SparkSession, sf: str) -> DataFrame:
     return A.q16_from(regrouped(with_passenger, "passenger_name"))
 
 
+def _trip_count_updates(spark: SparkSession, sf: str, max_files: int, **limits: int) -> DataFrame:
+    return carried.trip_count_updates(flows.flows_over(spark, sf, max_files=max_files), **limits).read(spark).select(
+        "event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "route_id", "trips_so_far"
+    )
+
+
+def _least_occupied_changelog(spark: SparkSession, sf: str, max_files: int) -> DataFrame:
+    """All routes first, then the trips in several batches, each trip an update."""
+    log = flows.flows_over(spark, sf, max_files=max_files)
+    log.run("route_latest")
+    return carried.least_occupied_changelog(log).read(spark).select("type", "route_id", "occupancy")
+
+
+def _stream_on_time_shipments(spark: SparkSession, sf: str) -> DataFrame:
+    """Shipments as a stream in the order of their arrival, in which most come after their hour has closed."""
+    log, arrival = _shipments_by_arrival(spark, sf)
+    path = shared_path(spark, "shipments")
+    files = flows.write_log(log, path, arrival)
+    session = stream_session(spark)
+    stream = flows.file_stream(session, path, max_files=math.ceil(files / flows.BATCHES))
+    table = carried.hourly_on_time_counts(
+        stream, shared_path(spark, "streams"), tables.source_partition(F.col("route_id")), arrival, {"availableNow": True}
+    )
+    return table.read(spark).select("window_start", "transport_type", "trips")
+
+
+def _stream_q06_changelog(spark: SparkSession, sf: str) -> DataFrame:
+    """Both logs merged by time as one stream, in several batches."""
+    log = seat_and_trip_log(tables.trips(spark, sf), tables.routes(spark, sf))
+    path = shared_path(spark, "merged")
+    files = flows.write_log(log, path, JOINED_ORDER)
+    stream = flows.file_stream(stream_session(spark), path, max_files=math.ceil(files / flows.BATCHES))
+    return carried.occupancy_updates(stream, shared_path(spark, "streams"), {"availableNow": True}).read(spark)
+
+
 ANSWERS: dict[str, Query] = {
     "q04_passengers_per_route": _trips(A.q04_passengers_per_route),
     "q05_seats_per_route": _routes(A.q05_seats_per_route),
@@ -280,6 +330,11 @@ OPERATOR_QUERIES: dict[str, Query] = {
         ["passenger_name"], ["event_id"],
     ),
     "route_table": _route_table,
+    "route_table_with_removals": lambda spark, sf: route_table(tables.routes_with_removals(spark, sf)),
+    "upsert_removals": _upsert_removals,
+    "q12_least_occupied_route_with_removals": _with_removals(A.q12_least_occupied_route),
+    "q15_top_operator_with_removals": _with_removals(A.q15_top_operator),
+    "q06_changelog": _both(occupancy_changelog),
     "validate_routes": _validate_routes,
     "validate_suppliers": _validate_suppliers,
     "trip_counts": _trips(trip_counts, "route_id"),
@@ -317,6 +372,7 @@ STREAMS: dict[str, Query] = {
     "stream_least_occupied_route": flows.least_occupied_route_of,
     "stream_least_occupied_updates": flows.least_occupied_updates_of,
     "stream_results": flows.results_of,
+    "stream_results_with_removals": flows.removals_of,
 }
 
 # Streams that take the events in several batches.
@@ -324,6 +380,11 @@ BATCHED_STREAMS: dict[str, Query] = {
     "stream_occupancy_per_route_in_batches": flows.in_batches(flows.occupancy_per_route_of),
     "stream_top_type_in_batches": flows.in_batches(flows.top_type_of),
     "stream_hourly_type_counts_in_batches": flows.in_batches(flows.hourly_type_counts_of),
+    "stream_trip_count_changelog": flows.in_batches(_trip_count_updates),
+    "stream_trip_count_changelog_sliced": flows.in_batches(partial(_trip_count_updates, rows_per_task=FEW)),
+    "stream_least_occupied_changelog": flows.in_batches(_least_occupied_changelog),
+    "stream_hourly_on_time_shipments": _stream_on_time_shipments,
+    "stream_q06_changelog": _stream_q06_changelog,
 }
 
 QUERIES: dict[str, Query] = {**ANSWERS, **OPERATOR_QUERIES, **SMALL_LIMITS, **STREAMS, **BATCHED_STREAMS}

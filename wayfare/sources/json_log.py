@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wayfare.operators.tables import REMOVED
 from wayfare.schemas import ROUTE_FIELDS, ROUTE_PAYLOAD, TRIP_FIELDS, TRIP_PAYLOAD
 
 BAD_RECORD = "bad_record"
+TOMBSTONES = ("skip", "keep", "refuse")
 
 
 def _wire(payload: T.StructType, names: list[str]) -> T.StructType:
@@ -19,18 +21,26 @@ TRIP_WIRE = _wire(TRIP_PAYLOAD, TRIP_FIELDS)
 ROUTE_WIRE = _wire(ROUTE_PAYLOAD, ROUTE_FIELDS)
 
 
-def _decode(df: DataFrame, value: str, payload: T.StructType, wire: T.StructType, mode: str) -> DataFrame:
+def _decode(
+    df: DataFrame, value: str, payload: T.StructType, wire: T.StructType, mode: str, tombstones: str = "skip"
+) -> DataFrame:
     """Columns of ``df`` without ``value``, plus the typed fields. A number missing in a record becomes 0.
 
-    A null value is a tombstone, which a compacted topic holds for a removed key: it is no record and
-    gives no row. ``FAILFAST`` stops at the first bad record. ``PERMISSIVE`` keeps it: the text goes
+    A null value is a tombstone, which a compacted topic holds for a removed key. Log readers ``skip`` it, as
+    it is no record; a table reader must ``keep`` it as a row without fields; ``refuse`` stops the query.
+    ``FAILFAST`` stops at the first bad record. ``PERMISSIVE`` keeps it: the text goes
     to the column ``bad_record``, which is null on every good row.
     """
+    if tombstones not in TOMBSTONES:
+        raise ValueError(f"tombstones is one of {TOMBSTONES}, not {tombstones!r}")
     schema = wire
     if mode == "PERMISSIVE":
         schema = T.StructType(wire.fields + [T.StructField(BAD_RECORD, T.StringType())])
     options = {"mode": mode, "columnNameOfCorruptRecord": BAD_RECORD}
-    rows = df.filter(F.col(value).isNotNull()).withColumn("_row", F.from_json(value, schema, options))
+    records = df.filter(F.col(value).isNotNull()) if tombstones == "skip" else df
+    if tombstones == "refuse":
+        records = df.withColumn(value, F.coalesce(value, F.raise_error(F.lit("a record without a value"))))
+    rows = records.withColumn("_row", F.from_json(value, schema, options))
 
     def typed(field: T.StructField, name: str) -> Column:
         column = F.col("_row")[name]
@@ -51,8 +61,21 @@ def decode_trips(df: DataFrame, value: str = "value", mode: str = "FAILFAST") ->
     return _decode(df, value, TRIP_PAYLOAD, TRIP_WIRE, mode)
 
 
-def decode_routes(df: DataFrame, value: str = "value", mode: str = "FAILFAST") -> DataFrame:
-    return _decode(df, value, ROUTE_PAYLOAD, ROUTE_WIRE, mode)
+def decode_routes(
+    df: DataFrame, value: str = "value", mode: str = "FAILFAST", tombstones: str = "skip"
+) -> DataFrame:
+    return _decode(df, value, ROUTE_PAYLOAD, ROUTE_WIRE, mode, tombstones)
+
+
+def decode_route_changes(df: DataFrame, key: str = "key", value: str = "value", mode: str = "FAILFAST") -> DataFrame:
+    """Route versions and removals: a null value removes the route that the record's key names.
+
+    A removal has that route_id, no other field, and ``removed`` set. A key that is no number stops the query.
+    """
+    marked = df.withColumn(REMOVED, F.col(value).isNull()).withColumn("_key", F.col(key).cast("bigint"))
+    decoded = _decode(marked, value, ROUTE_PAYLOAD, ROUTE_WIRE, mode, "keep")
+    route_id = F.when(F.col(REMOVED), F.col("_key")).otherwise(F.col("route_id"))
+    return decoded.withColumn("route_id", route_id).drop("_key", key)
 
 
 def split_bad(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:

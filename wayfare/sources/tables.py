@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfare.schemas import TRANSPORT_TYPES
-from wayfare.sources.json_log import json_number
+from wayfare.sources.json_log import decode_route_changes, encode_routes, json_number
 
 SOURCE_PARTITIONS = 5
 SHIPMENT_ORDER = ["ts", "order_key", "line_number", "part_key", "supplier_key"]
@@ -58,6 +58,11 @@ def routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts_as_routes(table(spark, sf_dir, "part"))
 
 
+def routes_with_removals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`route_records` decoded: versions, and removals with ``removed`` set."""
+    return decode_route_changes(route_records(spark, sf_dir))
+
+
 def _type_of(number: Column) -> Column:
     return F.element_at(F.array(*map(F.lit, TRANSPORT_TYPES)), (number % 5 + 1).cast("int"))
 
@@ -108,6 +113,15 @@ def route_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nations.unionByName(regions)
 
 
+def route_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The route log as (seq, key, value) records; a capacity that ends in 0 is followed by the route's removal."""
+    versions = encode_routes(routes(spark, sf_dir), keep=["seq", "capacity"])
+    removals = versions.filter(F.col("capacity") % 10 == 0).select(
+        (2 * F.col("seq") + 1).alias("seq"), "key", F.lit(None).cast("string").alias("value")
+    )
+    return versions.select((2 * F.col("seq")).alias("seq"), "key", "value").unionByName(removals)
+
+
 def order_passengers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The passenger of each order's shipments."""
     return table(spark, sf_dir, "orders").select(

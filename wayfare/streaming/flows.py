@@ -8,26 +8,27 @@ one per trip.
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from wayfare.functions.ratios import occupancy
 from wayfare.functions.text import known_type
 from wayfare.operators.extremes import least_per
-from wayfare.operators.results import result_envelope
-from wayfare.operators.windows import hourly_type_occupancy
+from wayfare.operators.results import result_envelope, with_result_table
+from wayfare.operators.tables import REMOVED, versions_only
 from wayfare.plans import answers as A
-from wayfare.plans.report import result_table_rows
 from wayfare.schemas import RESULT_ROW, RESULT_TABLES
 from wayfare.session import scratch, shared_path, stream_session, written
-from wayfare.sources.tables import events_as_trips, parts_as_routes
+from wayfare.sources.json_log import decode_route_changes
+from wayfare.sources.tables import events_as_trips, parts_as_routes, route_records
+from wayfare.streaming.deltas import BUCKETS, INPUTS, Round, changed_answers
 from wayfare.streaming.keyed import KeyedTable
 
 
@@ -44,6 +45,8 @@ class Flow:
     rows: Callable[[DataFrame], DataFrame]
     # update: every change as it comes; append: a row once, when it can no longer change
     mode: str = "update"
+    # the part of the key that readers look rows up by, if not all of it
+    looked_up_by: tuple[str, ...] = ()
 
 
 def _counts(key: str) -> Callable[[DataFrame], DataFrame]:
@@ -75,11 +78,13 @@ def _seat_sum() -> Column:
 
 
 def _seats(routes: DataFrame) -> DataFrame:
-    return routes.groupBy("route_id").agg(_seat_sum().alias("seats"))
+    return versions_only(routes).groupBy("route_id").agg(_seat_sum().alias("seats"))
 
 
 def _latest(routes: DataFrame) -> DataFrame:
-    version = F.max(F.struct("seq", "type", "operator", "capacity")).alias("version")
+    """The latest record of a route; of a log with removals also whether it is one, which readers of the table obey."""
+    removed = [REMOVED] if REMOVED in routes.columns else []
+    version = F.max(F.struct("seq", "type", "operator", "capacity", *removed)).alias("version")
     return routes.groupBy("route_id").agg(version).select("route_id", "version.*")
 
 
@@ -89,11 +94,13 @@ FLOWS = {
     "passenger_trips": Flow("trips", ("passenger_name",), _counts("passenger_name")),
     "type_hours": Flow("trips", ("window_start", "transport_type"), _hourly("transport_type")),
     "closed_type_hours": Flow("trips", ("window_start", "transport_type"), _hourly("transport_type"), "append"),
-    "route_hours": Flow("trips", ("window_start", "route_id"), _hourly("route_id")),
+    "route_hours": Flow(
+        "trips", ("window_start", "route_id"), _hourly("route_id"), looked_up_by=("route_id",)
+    ),
     "trip_total": Flow("trips", ("id",), _total("total_passengers", lambda: F.count("*"))),
     "route_seats": Flow("routes", ("route_id",), _seats),
     "route_latest": Flow("routes", ("route_id",), _latest),
-    "seat_total": Flow("routes", ("id",), _total("total_seats", _seat_sum)),
+    "seat_total": Flow("routes", ("id",), lambda routes: _total("total_seats", _seat_sum)(versions_only(routes))),
     # a list of passengers grows with every trip, so the trips are kept as rows and put together on reading
     "passenger_rows": Flow("trips", (), lambda trips: trips.select("event_id", "route_id", "passenger_name")),
 }
@@ -103,6 +110,10 @@ RESULT_FLOWS = tuple(name for name in FLOWS if name != "closed_type_hours")
 
 Handler = Callable[[DataFrame, int], None]
 
+# Parts that a log is cut into for streams in several batches, and rows of a file of it.
+BATCHES = 4
+ROWS_PER_FILE = 1_000_000
+
 
 @dataclass
 class Flows:
@@ -120,13 +131,17 @@ class Flows:
 
     def table(self, name: str) -> KeyedTable:
         flow = FLOWS[name]
-        return KeyedTable(f"{self.root}/tables/{name}", flow.rows(self._log(name)).schema, flow.keys)
+        schema = flow.rows(self._log(name)).schema
+        return KeyedTable(
+            f"{self.root}/tables/{name}", schema, flow.keys,
+            buckets=BUCKETS if flow.keys else 0, bucket_by=flow.looked_up_by,
+        )
 
     def results(self) -> KeyedTable:
         """The result tables, a folder each."""
-        return KeyedTable(
-            f"{self.root}/tables/results", RESULT_ROW, ("result_table", "id", "part"), partition_by=("result_table",)
-        )
+        schema = StructType([*RESULT_ROW.fields, StructField(REMOVED, BooleanType())])
+        keys = ("result_table", "id", "part")
+        return KeyedTable(f"{self.root}/tables/results", schema, keys, partition_by=keys[:1], buckets=BUCKETS)
 
     def start(self, name: str, then: Handler | None = None) -> StreamingQuery:
         """Start a flow. ``then`` sees each batch after its rows are stored."""
@@ -192,7 +207,25 @@ def file_stream(spark: SparkSession, path: str, max_files: int | None = None) ->
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     # written as a pattern, since a stream source takes a single file only that way
-    return reader.parquet(f"{path[:-1]}[{path[-1]}]")
+    return reader.parquet(path if "*" in path else f"{path[:-1]}[{path[-1]}]")
+
+
+def write_log(rows: DataFrame, path: str, order: Sequence[str], rows_per_file: int = ROWS_PER_FILE) -> int:
+    """``rows`` as files in ``order``, as a log would have left them; returns the number of files.
+
+    There are at least ``BATCHES``, and more where a file would hold more rows than it should. A file stream
+    goes by age, so the files are given times in their order. Rows without a place come first.
+    """
+    spark = rows.sparkSession
+    n = max(BATCHES, math.ceil(rows.count() / rows_per_file))
+    rows.repartitionByRange(n, *order).sortWithinPartitions(*order).write.parquet(path)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = sorted((s.getPath() for s in system.listStatus(folder) if s.getPath().getName().startswith("part-")), key=str)
+    now = int(time.time() * 1000)
+    for place, file in enumerate(files):
+        system.setTimes(file, now - len(files) + place, -1)
+    return len(files)
 
 
 def trip_stream(events: DataFrame) -> DataFrame:
@@ -210,57 +243,52 @@ def flows_over(spark: SparkSession, sf_dir: str, root: str | None = None, max_fi
     )
 
 
-def answers_from(
-    flows: Flows, spark: SparkSession, queries: Sequence[int] = tuple(RESULT_TABLES)
-) -> dict[int, DataFrame]:
-    """The answers from the tables as they are now; each table is looked up once."""
-    @cache
-    def read(name: str) -> DataFrame:
-        return flows.read(name, spark)
-
-    answers = {
-        4: lambda: A.q04_passengers_per_route(read("passenger_rows")),
-        5: lambda: read("route_seats"),
-        6: lambda: A.q06_from(read("route_trips"), read("route_seats")),
-        7: lambda: read("trip_total").select("total_passengers"),
-        8: lambda: read("seat_total").select("total_seats"),
-        9: lambda: A.q09_from(read("trip_total").drop("id"), read("seat_total").drop("id")),
-        10: lambda: A.q10_from(read("type_trips")),
-        11: lambda: A.q11_from(read("type_trips")),
-        12: lambda: A.q12_changelog_from(read("route_trips"), read("route_latest")),
-        13: lambda: A.q13_from(read("type_hours")),
-        14: lambda: A.q14_changelog_from(hourly_type_occupancy(read("route_hours"), read("route_latest"))),
-        15: lambda: A.q15_from(read("route_trips"), read("route_latest")),
-        16: lambda: A.q16_from(read("passenger_trips")),
-    }
-    return {query: answers[query]() for query in queries}
-
-
 Sender = Callable[[DataFrame, str], None]
 
 
 def publish(
     flows: Flows, spark: SparkSession, version: int, queries: Sequence[int] = tuple(RESULT_TABLES),
-    send: Sender | None = None,
+    send: Sender | None = None, **limits: int,
 ) -> DataFrame:
-    """Put the present answers into the result tables, as the state of ``version``, and read them back.
+    """Bring the result tables up to the flows, as the state of ``version``, and read them.
 
-    Versions must rise. Only rows that differ from what the tables hold are written. ``send`` gets these
-    rows before, as envelopes, per result table, with the table's name, such as to put them to a topic; if
+    Versions must rise. Only what changed since the last version is worked out, see ``deltas``, and only rows that
+    differ from what the tables hold are written. ``send`` gets these rows before, as envelopes, per result
+    table, with the table's name, such as to put them to a topic; a row that is removed has no value. If
     a round fails on the way, the next one sends them again.
     """
     table = flows.results()
-    rows = result_table_rows(answers_from(flows, spark, queries))
-    changed = rows.join(table.read(spark, before=version), RESULT_ROW.names, "left_anti")
-    if send:
-        changed = written(changed, "changed")
-        for query in queries:
+    tables = {flow: flows.table(flow) for query in queries for flow in INPUTS[query]}
+    current = Round(spark, flows.root, version, tables, **limits)
+    answers, marks = changed_answers(current, queries)
+    if answers:
+        changed = written(_differing(table, spark, version, answers), "changed")
+        for query in answers if send else ():
             rows = changed.filter(F.col("result_table") == RESULT_TABLES[query])
-            send(result_envelope(rows, query), RESULT_TABLES[query])
-    table.write(changed, version)
+            gone = rows.filter(REMOVED).select(F.col("id").alias("key"), F.lit(None).cast("string").alias("value"))
+            send(result_envelope(rows.filter(~F.col(REMOVED)), query).unionByName(gone), RESULT_TABLES[query])
+        table.write(changed, version)
+        current.finish(marks)
     return table.read(spark)
 
 
+def _differing(table: KeyedTable, spark: SparkSession, version: int, answers: Mapping[int, DataFrame]) -> DataFrame:
+    """Result rows of ``answers`` that the result tables do not hold as they are, and removals of those they hold."""
+    rows = None
+    for query, answer in answers.items():
+        flag = F.col(REMOVED) if REMOVED in answer.columns else F.lit(False)
+        part = with_result_table(answer.withColumn(REMOVED, flag), query, keep=[REMOVED])
+        rows = part if rows is None else rows.unionByName(part)
+    rows = written(rows, "candidates")
+    # lists of names are new by the way they come about, and long: they are not compared
+    names = RESULT_TABLES[4]
+    others = rows.filter(F.col("result_table") != names)
+    held = table.read(spark, before=version, only=others)
+    same = others.filter(~F.col(REMOVED)).join(held, RESULT_ROW.names, "left_anti")
+    gone = others.filter(REMOVED).join(held, table.keys, "left_semi")
+    return rows.filter(F.col("result_table") == names).unionByName(same).unionByName(gone)
+
+
 def keep_publishing(
     flows: Flows, spark: SparkSession, pause: float, rounds: int | None = None, send: Sender | None = None
 ) -> int:
@@ -326,25 +354,34 @@ def least_occupied_updates_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return least_occupied_updates(flows).read(spark)
 
 
+def removals_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Questions 12 and 15 after two rounds, with the second half of a route log that removes routes in between."""
+    folder, root = shared_path(spark, "removals"), shared_path(spark, "streams")
+    session = stream_session(spark)
+    log = route_records(spark, sf_dir)
+    half = log.agg(F.max("seq")).first()[0] // 2
+    for version, part in enumerate((log.filter(F.col("seq") <= half), log.filter(F.col("seq") > half))):
+        write_log(part, f"{folder}/{version}", ["seq"])
+        records = file_stream(session, f"{folder}/*")
+        trips = trip_stream(file_stream(session, f"{sf_dir}/events.parquet"))
+        flows = Flows(session, root, trips, decode_route_changes(records))
+        flows.run("route_trips", "route_latest")
+        answers = publish(flows, spark, version, queries=(12, 15))
+    return answers
+
+
 def results_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     flows = flows_over(spark, sf_dir)
     flows.run(*RESULT_FLOWS)
     return publish(flows, spark, version=0)
 
 
-BATCHES = 4
-
-
 def in_batches(answer: Callable[..., DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    """``answer`` over the same events in ``BATCHES`` files in log order, of which each batch takes one."""
+    """``answer`` over the same events as files in log order, taken in ``BATCHES`` batches."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         folder = shared_path(spark, "batches")
-        events = spark.read.parquet(f"{sf_dir}/events.parquet")
-        last = events.agg(F.max("event_id")).first()[0] or 0
-        for number in range(BATCHES):
-            part = events.filter(F.floor(F.col("event_id") * BATCHES / (last + 1)) == number)
-            part.coalesce(1).write.mode("append").parquet(f"{folder}/events.parquet")
-        spark.read.parquet(f"{sf_dir}/part.parquet").coalesce(1).write.parquet(f"{folder}/part.parquet")
-        return answer(spark, folder, max_files=1)
+        files = write_log(spark.read.parquet(f"{sf_dir}/events.parquet"), f"{folder}/events.parquet", ["event_id"])
+        write_log(spark.read.parquet(f"{sf_dir}/part.parquet"), f"{folder}/part.parquet", ["p_partkey"])
+        return answer(spark, folder, max_files=math.ceil(files / BATCHES))
 
     return run

@@ -9,19 +9,25 @@ and what came since, from which a batch that is run again reads.
 
 Spark marks a folder when all its files are in place. Readers pass over folders without the mark, so a
 batch is seen whole or not at all.
+
+Rows can be put into buckets by key, a folder each, so that a reader that needs a few keys opens their
+buckets only. A key can be taken away: a row with the flag ``removed`` hides it until a later batch brings it
+back, and a snapshot leaves it out.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wayfare.operators.tables import latest_per_key
+from wayfare.operators.tables import REMOVED, latest_per_key, without_removed
 
 SNAPSHOT_EVERY = 100
 BATCH = "batch"
+BUCKET = "bucket"
 # Spark's own mark of a folder that is complete.
 FINISHED = "_SUCCESS"
 
@@ -30,15 +36,20 @@ class KeyedTable:
     """Latest row per key, written by one stream and read by any session.
 
     Without keys it is a plain log, in which every row of every batch counts.
-    ``partition_by`` names key columns that get a folder per value.
+    ``partition_by`` names key columns that get a folder per value, ``buckets`` how many folders there are below,
+    by all key columns or by ``bucket_by``. A schema with the flag ``removed`` lets rows take keys away; readers do not see the flag.
     """
 
     def __init__(
         self, path: str, schema: T.StructType, keys: Sequence[str],
-        partition_by: Sequence[str] = (), snapshot_every: int = SNAPSHOT_EVERY,
+        partition_by: Sequence[str] = (), snapshot_every: int = SNAPSHOT_EVERY, buckets: int = 0,
+        bucket_by: Sequence[str] = (),
     ):
         self.path, self.schema, self.keys = path, schema, list(keys)
-        self.partition_by, self.snapshot_every = list(partition_by), snapshot_every
+        self.partition_by, self.snapshot_every, self.buckets = list(partition_by), snapshot_every, buckets
+        self.bucket_by = list(bucket_by or keys)
+        self.removes = REMOVED in schema.names
+        self.columns = [name for name in schema.names if name != REMOVED]
 
     def _batches(self, spark: SparkSession, name: str) -> list[int]:
         """The finished batches among the folders ``name``, of which there are at most two snapshots' worth."""
@@ -53,26 +64,70 @@ class KeyedTable:
     def _path(self, spark: SparkSession, name: str):
         return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
 
-    def _rows(self, spark: SparkSession, name: str, batches: Sequence[int]) -> DataFrame:
-        schema = T.StructType(self.schema.fields + [T.StructField(BATCH, T.LongType())])
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*self.bucket_by), F.lit(self.buckets)).cast("int")
+
+    def _rows(
+        self, spark: SparkSession, name: str, batches: Sequence[int], buckets: Sequence[int] | None = None
+    ) -> DataFrame:
+        """(schema, batch) rows of finished batches, of some buckets only if given."""
+        extra = [T.StructField(BATCH, T.LongType())] + ([T.StructField(BUCKET, T.IntegerType())] if self.buckets else [])
+        schema = T.StructType(self.schema.fields + extra)
+        columns = [*self.schema.names, BATCH]
         if not batches:
-            return spark.createDataFrame([], schema)
+            return spark.createDataFrame([], schema).select(*columns)
         paths = [f"{self.path}/{name}/{BATCH}={batch}" for batch in batches]
-        return spark.read.schema(schema).option("basePath", f"{self.path}/{name}").parquet(*paths)
+        rows = spark.read.schema(schema).option("basePath", f"{self.path}/{name}").parquet(*paths)
+        return (rows if buckets is None else rows.filter(F.col(BUCKET).isin(*buckets))).select(*columns)
 
-    def read(self, spark: SparkSession, before: int | None = None) -> DataFrame:
-        """The table as it was ``before`` a batch, or as it is now."""
+    def _current(self, spark: SparkSession, before: int | None, buckets: Sequence[int] | None) -> DataFrame:
+        """All rows that count, with their batches: the last snapshot and the changes after it."""
         def earlier(name: str) -> list[int]:
             return [b for b in self._batches(spark, name) if before is None or b < before]
 
         upto = earlier("snapshots")[-1:] if self.keys else []
         changes = [b for b in earlier("changes") if not upto or b > upto[0]]
-        rows = self._rows(spark, "changes", changes)
+        rows = self._rows(spark, "changes", changes, buckets)
+        return self._rows(spark, "snapshots", upto, buckets).unionByName(rows) if upto else rows
+
+    def read(self, spark: SparkSession, before: int | None = None, only: DataFrame | None = None) -> DataFrame:
+        """The table as it was ``before`` a batch, or as it is now; ``only`` the rows of the keys in that table.
+
+        ``only`` has the columns that buckets go by. For a table in buckets the buckets of ``only`` are looked up first, and no others are read. Rows of
+        other keys that share a bucket are left out by a semi join.
+        """
+        buckets = None
+        if only is not None and self.buckets:
+            buckets = [r[0] for r in only.select(self._bucket()).distinct().collect()]
+        rows = self._current(spark, before, buckets)
+        if not self.keys:
+            return rows.select(*self.columns)
+        if only is not None:
+            rows = rows.join(only.select(*self.bucket_by).distinct(), self.bucket_by, "left_semi")
+        return self._latest(rows).select(*self.columns)
+
+    def _latest(self, rows: DataFrame, hide: bool = True) -> DataFrame:
+        latest = latest_per_key(rows, self.keys, [BATCH])
+        return without_removed(latest) if hide and self.removes else latest
+
+    def last_batch(self, spark: SparkSession) -> int | None:
+        """The last finished batch, if there is any."""
+        return max(self._batches(spark, "changes") + self._batches(spark, "snapshots"), default=None)
+
+    def since(self, spark: SparkSession, after: int | None) -> DataFrame:
+        """The latest rows of the keys that changed ``after`` a batch, removals among them with their flag.
+
+        The cost follows the batches since then. Where changes from then on have been given up for a snapshot,
+        every row counts as changed.
+        """
+        oldest = self._batches(spark, "snapshots")[:1] if self.keys else []
+        if after is None or (oldest and after < oldest[0]):
+            rows = self._current(spark, None, None)
+        else:
+            rows = self._rows(spark, "changes", [b for b in self._batches(spark, "changes") if b > after])
         if not self.keys:
             return rows.select(*self.schema.names)
-        if upto:
-            rows = self._rows(spark, "snapshots", upto).unionByName(rows)
-        return latest_per_key(rows, self.keys, [BATCH]).select(*self.schema.names)
+        return self._latest(rows, hide=False).select(*self.schema.names)
 
     def write(self, changes: DataFrame, batch_id: int) -> None:
         """The changed rows of a batch; a key occurs at most once in them."""
@@ -86,14 +141,20 @@ class KeyedTable:
             self.take_snapshot(spark, batch_id)
 
     def _store(self, rows: DataFrame, name: str, batch_id: int) -> None:
+        folders = list(self.partition_by)
+        if self.buckets:
+            rows, folders = rows.withColumn(BUCKET, self._bucket()), [*folders, BUCKET]
         if self.keys:
             # few files of a good size, whatever the number of shuffle partitions
-            rows = rows.hint("rebalance", *self.partition_by)
-        writer = rows.write.mode("overwrite").partitionBy(*self.partition_by)
+            rows = rows.hint("rebalance", *folders)
+        writer = rows.write.mode("overwrite").partitionBy(*folders)
         writer.parquet(f"{self.path}/{name}/{BATCH}={batch_id}")
 
     def take_snapshot(self, spark: SparkSession, batch_id: int) -> None:
-        self._store(self.read(spark, before=batch_id + 1), "snapshots", batch_id)
+        rows = self.read(spark, before=batch_id + 1)
+        if self.removes:
+            rows = rows.withColumn(REMOVED, F.lit(False))
+        self._store(rows.select(*self.schema.names), "snapshots", batch_id)
         kept = [b for b in self._batches(spark, "snapshots") if b < batch_id][-1:]
         for name in ("snapshots", "changes") if kept else ():
             for batch in self._batches(spark, name):
