@@ -171,7 +171,6 @@ def manifest(docs: DataFrame) -> DataFrame:
     crc32 of the decimal doc_id: then the text's A to Z are lower-cased. A row without a doc_id is not
     tampered with.
     """
-    spark = docs.sparkSession
     changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % TAMPER_MODULUS == 0
     lowered = F.translate(F.col("text").cast("string"), UPPER, LOWER)
     digests = docs.select(
@@ -195,9 +194,7 @@ def manifest(docs: DataFrame) -> DataFrame:
     ))
     top = above.roots.first()
     root = F.lit(None).cast("binary") if top is None else F.lit(bytes(top["digest"]))
-    start = spark.range(0 if top is None else 1).select(
-        F.lit(len(above.levels)).alias("height"), root.alias("digest"), F.array().cast(SEGMENTS).alias("path")
-    )
+    start = above.roots.select("height", "digest", F.array().cast(SEGMENTS).alias("path"))
     # the requests reach the subroots and enter the tree of each
     entered = descent(above, start, 0).join(subroots.groupBy("digest").agg(F.max("height").alias("height")), "digest")
     requests = entered.select("height", "digest", "path", F.col("digest").alias("subroot"))
