@@ -1,6 +1,8 @@
 """Sharding, packing, scoring, quality, sampling, rules and chat rotation against plain versions."""
 
 import math
+import random
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 
@@ -12,7 +14,7 @@ from tokenizers import Tokenizer
 
 from wayfare.llm import (
     backoff_scoring, chat_rotation, histogram_packing, lattice_sampling, packed_ids, quality_model, queries,
-    ring_sharding, rule_cascade,
+    ring_sharding, rule_cascade, tokens,
 )
 from wayfare.session import ship_package
 from wayfare.sources.tables import table
@@ -96,6 +98,21 @@ def ids_of(text):
     return tokenizer.encode(text or "", add_special_tokens=False).ids + [0]
 
 
+def test_ids_of_words_are_those_of_the_tokenizer():
+    """Words of letters and marks, among them letters whose small or normal form has a mark in it."""
+    rnd = random.Random(4)
+    letters = [chr(c) for c in range(0x20, 0x3000) if unicodedata.category(chr(c)) not in ("Cn", "Cs")]
+    odd = [*"İßΣςıǰŉΐΰﬁǅग़ཛྷ'’", "\u0301", "\u0307"]
+    plain = [*"abcXYZ 09", *tokens.MARKS]
+    texts = ["GELDİ!", "HALİ.", "İ,", "İstanbul.", "ΟΔΟΣ.", "don't", "ග़:"]
+    for _ in range(20_000):
+        kinds = rnd.choices((letters, odd, plain), (2, 2, 5), k=rnd.randint(1, 12))
+        texts.append("".join(rnd.choice(kind) for kind in kinds))
+    table, tokenizer = tokens.WordIds(WORD_IDS), Tokenizer.from_file(WORD_IDS)
+    for text, found in zip(texts, tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+        assert table.encode(text) == packed_bytes(found.ids), text
+
+
 def packed_bytes(ids):
     return np.array(ids, dtype="<u4").tobytes()
 

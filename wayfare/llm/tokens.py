@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import array
 import os
+import unicodedata
 
 # a run of these after letters is a token of its own; not the apostrophe, which may go with letters
 MARKS = '!"#$%&()*+,-./:;<=>?@[]^_`{|}~'
@@ -41,8 +42,13 @@ class WordIds:
         split = {}
         for word in words:
             stem = word.rstrip(MARKS)
-            if stem.isalpha() and "\u03a3" not in stem:  # a capital sigma has two small letters
-                split[word] = stem.lower(), word[len(stem):]
+            small = stem.lower()
+            # a capital sigma has two small letters; a letter that is normalised to one with a mark in it,
+            # as the dotted capital I, goes with the marks behind
+            if stem.isalpha() and "\u03a3" not in stem and (
+                small.isascii() or unicodedata.normalize("NFC", small).isalpha()
+            ):
+                split[word] = small, word[len(stem):]
             else:
                 split[word] = word, ""
         new = list({p for parts in split.values() for p in parts}.difference(self.parts))
