@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,9 +35,10 @@ from wayfare.operators.tables import REMOVED
 from wayfare.operators.windows import hourly_type_occupancy
 from wayfare.plans import answers as A
 from wayfare.session import written
-from wayfare.streaming.keyed import KeyedTable
+from wayfare.streaming.keyed import Keys, KeyedTable
 
-BUCKETS = 16
+# Folders by key of the state kept here and of the flows' tables; more of them suit larger tables.
+BUCKETS = 8
 
 # the flows that a question reads
 INPUTS = {
@@ -81,7 +83,7 @@ class Round:
     names_per_part: int = NAMES_PER_PART
     rows_per_task: int = ROWS_PER_TASK
     _marks: dict[tuple[int, str], int] | None = None
-    _changes: dict[tuple[str, int | None], DataFrame] = field(default_factory=dict)
+    _keys: dict[tuple, Keys] = field(default_factory=dict)
     _after: list[tuple[KeyedTable, DataFrame]] = field(default_factory=list)
 
     def state(self, name: str) -> KeyedTable:
@@ -93,7 +95,7 @@ class Round:
         }[name]
         return KeyedTable(f"{self.root}/tables/{name}", schema, keys, buckets=buckets)
 
-    def before(self, name: str, only: DataFrame | None = None) -> DataFrame:
+    def before(self, name: str, only: Keys | None = None) -> DataFrame:
         return self.state(name).read(self.spark, before=self.version, only=only)
 
     def mark(self, query: int, flow: str) -> int | None:
@@ -107,13 +109,20 @@ class Round:
         return last is not None and last != self.mark(query, flow)
 
     def changes(self, query: int, flow: str) -> DataFrame:
-        """Rows of ``flow`` that ``query`` has not seen, written so that several questions share one read."""
-        mark = self.mark(query, flow)
-        if (flow, mark) not in self._changes:
-            self._changes[flow, mark] = written(self.tables[flow].since(self.spark, mark), "changes")
-        return self._changes[flow, mark]
-
-    def now(self, flow: str, only: DataFrame | None = None) -> DataFrame:
+        """Rows of ``flow`` that ``query`` has not seen."""
+        return self.tables[flow].since(self.spark, self.mark(query, flow))
+
+    def changed_routes(self, query: int, *flows: str) -> Keys | None:
+        """The routes in the changes of ``flows``, or None at first, when all are new. Questions share them."""
+        seen = tuple((flow, self.mark(query, flow)) for flow in flows)
+        if any(mark is None for _, mark in seen):
+            return None
+        if seen not in self._keys:
+            parts = [self.changes(query, flow).select("route_id").dropna() for flow in flows]
+            self._keys[seen] = Keys(reduce(DataFrame.unionByName, parts))
+        return self._keys[seen]
+
+    def now(self, flow: str, only: Keys | None = None) -> DataFrame:
         return self.tables[flow].read(self.spark, only=only)
 
     def keep(self, name: str, rows: DataFrame) -> None:
@@ -129,7 +138,7 @@ class Round:
 def _names(r: Round) -> DataFrame:
     """Question 4: the parts that new trips fall into. The open part of a route is put in front of its new names."""
     new = r.changes(4, "passenger_rows").filter(F.col("route_id").isNotNull())
-    open_parts = r.before("open_names", only=new.select("route_id")).select(
+    open_parts = r.before("open_names", only=r.changed_routes(4, "passenger_rows")).select(
         "route_id", F.col("part").alias("open"), F.col("n").alias("held"), F.col("names").alias("so_far")
     )
     numbered = running(new, ["route_id"], list(ARRIVAL), {"i": running_count()}, r.rows_per_task)
@@ -157,10 +166,7 @@ def _names(r: Round) -> DataFrame:
 
 def _occupancy(r: Round) -> DataFrame:
     """Question 6: the routes that changed on either side, joined anew."""
-    keys = written(
-        r.changes(6, "route_trips").select("route_id").unionByName(r.changes(6, "route_seats").select("route_id")).distinct(),
-        "routes",
-    )
+    keys = r.changed_routes(6, "route_trips", "route_seats")
     return A.q06_from(r.now("route_trips", only=keys), r.now("route_seats", only=keys))
 
 
@@ -182,7 +188,7 @@ def _candidates(r: Round, query: int, complete: bool) -> DataFrame:
     if query in (11, 16):
         name = {11: "transport_type", 16: "passenger_name"}[query]
         return rows.select(*_best(-F.col("trips"), "last_at", name, query))
-    table = r.now("route_latest", only=None if complete else rows.select("route_id"))
+    table = r.now("route_latest", only=None if complete else r.changed_routes(query, flow))
     if query == 12:
         least = A.least_updates(rows, table)
         return least.select(*_best(F.col("occupancy"), "first_at", "type", 12, F.col("type"), route_id="route_id"))
@@ -222,7 +228,7 @@ def _answer(query: int, best: DataFrame) -> DataFrame:
 def _least_hour(r: Round) -> DataFrame:
     """Question 14: the least of the first occupancies of all hours and types."""
     complete = r.changed(14, "route_latest")
-    routes = None if complete else written(r.changes(14, "route_hours").select("route_id").distinct(), "routes")
+    routes = None if complete else r.changed_routes(14, "route_hours")
     offered = hourly_type_occupancy(r.now("route_hours", only=routes), r.now("route_latest", only=routes)).select(
         "window_start", "type", "first_occupancy", "first_at", "first_route"
     ).withColumnRenamed("first_route", "route_id")
@@ -234,7 +240,7 @@ def _least_hour(r: Round) -> DataFrame:
         firsts = written(firsts.unionByName(gone), "firsts")
         rows = firsts.filter(~F.col(REMOVED))
     else:
-        others = old.join(routes, "route_id", "left_anti")
+        others = old if routes is None else old.join(routes.frame, "route_id", "left_anti")
         first = F.min(F.struct("first_at", "first_occupancy", "route_id")).alias("first")
         rows = written(
             others.unionByName(offered).groupBy(*keys).agg(first).select(*keys, "first.*").select(*offered.columns), "firsts"

@@ -123,6 +123,8 @@ class Flows:
     root: str
     trips: DataFrame
     routes: DataFrame
+    # folders by key of each table; more of them suit larger tables
+    buckets: int = BUCKETS
     # work off what the logs hold by now and stop; {"processingTime": "10 seconds"} goes on
     trigger: Mapping[str, object] = field(default_factory=lambda: {"availableNow": True})
 
@@ -134,14 +136,14 @@ class Flows:
         schema = flow.rows(self._log(name)).schema
         return KeyedTable(
             f"{self.root}/tables/{name}", schema, flow.keys,
-            buckets=BUCKETS if flow.keys else 0, bucket_by=flow.looked_up_by,
+            buckets=self.buckets if flow.keys else 0, bucket_by=flow.looked_up_by,
         )
 
     def results(self) -> KeyedTable:
         """The result tables, a folder each."""
         schema = StructType([*RESULT_ROW.fields, StructField(REMOVED, BooleanType())])
         keys = ("result_table", "id", "part")
-        return KeyedTable(f"{self.root}/tables/results", schema, keys, partition_by=keys[:1], buckets=BUCKETS)
+        return KeyedTable(f"{self.root}/tables/results", schema, keys, partition_by=keys[:1], buckets=self.buckets, bucket_by=keys[1:2])
 
     def start(self, name: str, then: Handler | None = None) -> StreamingQuery:
         """Start a flow. ``then`` sees each batch after its rows are stored."""
@@ -262,7 +264,9 @@ def publish(
     current = Round(spark, flows.root, version, tables, **limits)
     answers, marks = changed_answers(current, queries)
     if answers:
-        changed = written(_differing(table, spark, version, answers), "changed")
+        changed = _differing(table, spark, version, answers)
+        if send:
+            changed = written(changed, "changed")
         for query in answers if send else ():
             rows = changed.filter(F.col("result_table") == RESULT_TABLES[query])
             gone = rows.filter(REMOVED).select(F.col("id").alias("key"), F.lit(None).cast("string").alias("value"))
@@ -279,6 +283,8 @@ def _differing(table: KeyedTable, spark: SparkSession, version: int, answers: Ma
         flag = F.col(REMOVED) if REMOVED in answer.columns else F.lit(False)
         part = with_result_table(answer.withColumn(REMOVED, flag), query, keep=[REMOVED])
         rows = part if rows is None else rows.unionByName(part)
+    if table.last_batch(spark, before=version) is None:
+        return rows.filter(~F.col(REMOVED))
     rows = written(rows, "candidates")
     # lists of names are new by the way they come about, and long: they are not compared
     names = RESULT_TABLES[4]

@@ -18,8 +18,10 @@ back, and a snapshot leaves it out.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +34,43 @@ BUCKET = "bucket"
 FINISHED = "_SUCCESS"
 
 
+# Up to so many keys are looked up by their values, more of them by a join.
+FEW_KEYS = 100
+
+
+class Keys:
+    """Distinct keys to look up; a few of them are known to the driver and become a filter."""
+
+    def __init__(self, frame: DataFrame):
+        self.frame = frame.distinct()
+        rows = self.frame.limit(FEW_KEYS + 1).collect()
+        self.few = rows if len(rows) <= FEW_KEYS else None
+
+    def among(self, rows: DataFrame) -> DataFrame:
+        """The ``rows`` that have one of the keys, none of whose columns is null."""
+        columns = self.frame.columns
+        if self.few is None:
+            return rows.join(self.frame, columns, "left_semi")
+        if len(columns) == 1:
+            return rows.filter(F.col(columns[0]).isin(*[self.value(key, columns[0]) for key in self.few]))
+        equal = [reduce(and_, [F.col(c) == self.value(key, c) for c in columns]) for key in self.few]
+        return rows.filter(reduce(or_, equal, F.lit(False)))
+
+    def value(self, key: Row, column: str) -> Column:
+        return F.lit(key[column]).cast(self.frame.schema[column].dataType)
+
+    def in_buckets(self, columns: Sequence[str], buckets: int) -> Column:
+        """Whether a row's bucket is that of a key; which ones these are is known before anything is read."""
+        if self.few is None:
+            numbers = [r[0] for r in self.frame.select(bucket_of([F.col(c) for c in columns], buckets)).distinct().collect()]
+            return F.col(BUCKET).isin(*numbers)
+        return F.col(BUCKET).isin(*[bucket_of([self.value(key, c) for c in columns], buckets) for key in self.few])
+
+
+def bucket_of(key: Sequence[Column], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")
+
+
 class KeyedTable:
     """Latest row per key, written by one stream and read by any session.
 
@@ -64,13 +103,10 @@ class KeyedTable:
     def _path(self, spark: SparkSession, name: str):
         return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
 
-    def _bucket(self) -> Column:
-        return F.pmod(F.xxhash64(*self.bucket_by), F.lit(self.buckets)).cast("int")
-
     def _rows(
-        self, spark: SparkSession, name: str, batches: Sequence[int], buckets: Sequence[int] | None = None
+        self, spark: SparkSession, name: str, batches: Sequence[int], only: Keys | None = None
     ) -> DataFrame:
-        """(schema, batch) rows of finished batches, of some buckets only if given."""
+        """(schema, batch) rows of finished batches, from the buckets of some keys only if given."""
         extra = [T.StructField(BATCH, T.LongType())] + ([T.StructField(BUCKET, T.IntegerType())] if self.buckets else [])
         schema = T.StructType(self.schema.fields + extra)
         columns = [*self.schema.names, BATCH]
@@ -78,41 +114,45 @@ class KeyedTable:
             return spark.createDataFrame([], schema).select(*columns)
         paths = [f"{self.path}/{name}/{BATCH}={batch}" for batch in batches]
         rows = spark.read.schema(schema).option("basePath", f"{self.path}/{name}").parquet(*paths)
-        return (rows if buckets is None else rows.filter(F.col(BUCKET).isin(*buckets))).select(*columns)
+        if only is not None and self.buckets:
+            rows = rows.filter(only.in_buckets(self.bucket_by, self.buckets))
+        return rows.select(*columns)
 
-    def _current(self, spark: SparkSession, before: int | None, buckets: Sequence[int] | None) -> DataFrame:
+    def _current(self, spark: SparkSession, before: int | None, only: Keys | None = None) -> DataFrame:
         """All rows that count, with their batches: the last snapshot and the changes after it."""
         def earlier(name: str) -> list[int]:
             return [b for b in self._batches(spark, name) if before is None or b < before]
 
         upto = earlier("snapshots")[-1:] if self.keys else []
         changes = [b for b in earlier("changes") if not upto or b > upto[0]]
-        rows = self._rows(spark, "changes", changes, buckets)
-        return self._rows(spark, "snapshots", upto, buckets).unionByName(rows) if upto else rows
+        rows = self._rows(spark, "changes", changes, only)
+        return self._rows(spark, "snapshots", upto, only).unionByName(rows) if upto else rows
 
-    def read(self, spark: SparkSession, before: int | None = None, only: DataFrame | None = None) -> DataFrame:
+    def read(
+        self, spark: SparkSession, before: int | None = None, only: DataFrame | Keys | None = None
+    ) -> DataFrame:
         """The table as it was ``before`` a batch, or as it is now; ``only`` the rows of the keys in that table.
 
-        ``only`` has the columns that buckets go by. For a table in buckets the buckets of ``only`` are looked up first, and no others are read. Rows of
-        other keys that share a bucket are left out by a semi join.
+        ``only`` has the columns that buckets go by, without nulls. For a table in buckets no others than
+        those of the keys are read.
         """
-        buckets = None
-        if only is not None and self.buckets:
-            buckets = [r[0] for r in only.select(self._bucket()).distinct().collect()]
-        rows = self._current(spark, before, buckets)
+        if isinstance(only, DataFrame):
+            only = Keys(only.select(*self.bucket_by))
+        rows = self._current(spark, before, only)
         if not self.keys:
             return rows.select(*self.columns)
         if only is not None:
-            rows = rows.join(only.select(*self.bucket_by).distinct(), self.bucket_by, "left_semi")
+            rows = only.among(rows)
         return self._latest(rows).select(*self.columns)
 
     def _latest(self, rows: DataFrame, hide: bool = True) -> DataFrame:
         latest = latest_per_key(rows, self.keys, [BATCH])
         return without_removed(latest) if hide and self.removes else latest
 
-    def last_batch(self, spark: SparkSession) -> int | None:
-        """The last finished batch, if there is any."""
-        return max(self._batches(spark, "changes") + self._batches(spark, "snapshots"), default=None)
+    def last_batch(self, spark: SparkSession, before: int | None = None) -> int | None:
+        """The last finished batch, of those ``before`` one if given, if there is any."""
+        batches = self._batches(spark, "changes") + self._batches(spark, "snapshots")
+        return max((b for b in batches if before is None or b < before), default=None)
 
     def since(self, spark: SparkSession, after: int | None) -> DataFrame:
         """The latest rows of the keys that changed ``after`` a batch, removals among them with their flag.
@@ -122,7 +162,7 @@ class KeyedTable:
         """
         oldest = self._batches(spark, "snapshots")[:1] if self.keys else []
         if after is None or (oldest and after < oldest[0]):
-            rows = self._current(spark, None, None)
+            rows = self._current(spark, None)
         else:
             rows = self._rows(spark, "changes", [b for b in self._batches(spark, "changes") if b > after])
         if not self.keys:
@@ -143,7 +183,7 @@ class KeyedTable:
     def _store(self, rows: DataFrame, name: str, batch_id: int) -> None:
         folders = list(self.partition_by)
         if self.buckets:
-            rows, folders = rows.withColumn(BUCKET, self._bucket()), [*folders, BUCKET]
+            rows, folders = rows.withColumn(BUCKET, bucket_of([F.col(c) for c in self.bucket_by], self.buckets)), [*folders, BUCKET]
         if self.keys:
             # few files of a good size, whatever the number of shuffle partitions
             rows = rows.hint("rebalance", *folders)
