@@ -329,6 +329,25 @@ FROM totals WHERE passengers > 0 AND versions > 0""",
 }
 SQL["stream_q06_changelog"] = SQL["q06_changelog"]
 
+SQL |= {
+    "keyed_fold_without_merge": _with(TRIPS, CHANGELOG) + """SELECT route_id,
+  CAST(sum(CASE WHEN (last - n) % 2 = 0 THEN event_id ELSE -event_id END) AS BIGINT) AS difference
+FROM (SELECT *, max(n) OVER (PARTITION BY route_id) AS last FROM u) GROUP BY route_id""",
+    "decode_json_strict": _with(TRIPS) + """SELECT event_id, CASE WHEN transport_type <> 'error' THEN route_id END AS route_id,
+  CASE WHEN transport_type <> 'error' THEN transport_type END AS transport_type, transport_type = 'error' AS refused,
+  CASE WHEN transport_type = 'error' THEN 'delay, note' END AS unknown_fields FROM trips""",
+    "poll_suppliers": _with(SUPPLIERS, SUPPLIER_CHANGES, """second AS (
+  SELECT * FROM (SELECT * FROM suppliers WHERE id NOT IN (SELECT id FROM supplier_changes)
+                 UNION ALL SELECT * FROM supplier_changes) WHERE id % 10 <> 0)""") + """SELECT
+  coalesce(b.id, a.id) AS id, b.name, b.type,
+  CASE WHEN a.id IS NULL THEN 'inserted' WHEN b.id IS NULL THEN 'removed' ELSE 'changed' END AS change
+FROM suppliers a FULL JOIN second b ON a.id = b.id
+WHERE a.id IS NULL OR b.id IS NULL OR a.name <> b.name OR a.type <> b.type""",
+    "observe_metrics": """SELECT 'trips' AS name, count(*) AS rows_in, max(event_id) AS last_at FROM events
+UNION ALL SELECT 'type_trips', count(*), NULL FROM events UNION ALL SELECT 'route_trips', count(*), NULL FROM events
+UNION ALL SELECT 'route_latest', count(*), NULL FROM part""",
+}
+
 # the events are one file and so one batch, in which a route's updates are seen as one
 SQL["stream_least_occupied_updates"] = _with(TRIPS, ROUTES, LATEST) + """SELECT lc.type, CAST(n AS DOUBLE) / lc.capacity
   AS occupancy, "at", route_id

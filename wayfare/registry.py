@@ -27,8 +27,10 @@ from wayfare.plans.report import all_answers, result_table_rows
 from wayfare.schemas import OPERATORS, TRANSPORT_TYPES
 from wayfare.session import shared_path, stream_session
 from wayfare.sources import dimensions, json_log, tables
+from wayfare.sources.polls import Polls
 from wayfare.sources.results import results_scan, write_result_tables
 from wayfare.streaming import carried, flows
+from wayfare.streaming.taps import stream_taps, tapped
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -183,6 +185,54 @@ def _keyed_fold(spark: SparkSession, sf: str, **limits: int) -> DataFrame:
     return folded.select("route_id", "state.*")
 
 
+def _keyed_fold_without_merge(spark: SparkSession, sf: str, **limits: int) -> DataFrame:
+    """Per route the difference of each event's number and all before, a step whose order cannot be split up."""
+    folded = keyed_fold(
+        tables.trips(spark, sf).select("route_id", "event_id"), "route_id", ["event_id"], F.col("event_id"),
+        init=F.lit(0).cast("bigint"), step=lambda acc, number: number - acc, **limits,
+    )
+    return folded.select("route_id", F.col("state").alias("difference"))
+
+
+def _decoded_strict(spark: SparkSession, sf: str) -> DataFrame:
+    """A log in which the records of errors have two fields too many; these are set apart with their names."""
+    encoded = json_log.encode_trips(tables.trips(spark, sf), keep=["event_id", "transport_type"]).drop("key")
+    longer = F.concat(F.expr("substring(value, 1, length(value) - 1)"), F.lit(',"delay":1,"note":{"a":2}}'))
+    value = F.when(F.col("transport_type") == "error", longer).otherwise(F.col("value"))
+    decoded = json_log.decode_trips(
+        encoded.select("event_id", value.alias("value")), mode="PERMISSIVE", unknown="refuse"
+    )
+    return decoded.select(
+        "event_id", "route_id", "transport_type", F.col("bad_record").isNotNull().alias("refused"),
+        F.array_join("unknown_fields", ", ").alias("unknown_fields"),
+    )
+
+
+def _polled_suppliers(spark: SparkSession, sf: str) -> DataFrame:
+    """What a second bulk read of the suppliers shows: some renamed, some added, some gone."""
+    first = tables.suppliers(spark, sf)
+    polls = Polls(shared_path(spark, "polls"), first.schema, ["id"])
+    polls.poll(first, 0)
+    changes = with_new_ids(first, tables.supplier_changes(spark, sf), "id", ["position"])
+    second = upsert(first, changes, ["id"], ["position"]).filter(F.col("id") % 10 != 0)
+    return polls.poll(second, 1)
+
+
+def _observed(spark: SparkSession, sf: str) -> DataFrame:
+    """Numbers tapped from a batch job and from three streams while they ran, a row each."""
+    trips, observation = tapped(
+        tables.trips(spark, sf), "trips", {"rows_in": F.count("*"), "last_at": F.max("event_id")}
+    )
+    trips.write.format("noop").mode("overwrite").save()
+    rows = [("trips", observation.get["rows_in"], observation.get["last_at"])]
+    log = flows.flows_over(spark, sf)
+    with stream_taps(log.spark) as taps:
+        for query in [log.start(name) for name in ("type_trips", "route_trips", "route_latest")]:
+            taps.wait_for(query)
+            rows.append((query.name, taps.total(query.name, "rows_in"), None))
+    return spark.createDataFrame(rows, "name STRING, rows_in LONG, last_at LONG")
+
+
 def _parsed(spark: SparkSession, sf: str) -> DataFrame:
     counts = trip_counts(tables.trips(spark, sf), "route_id").select("route_id", "trips")
     rows = counts.join(route_table(tables.routes(spark, sf), "type", "capacity"), "route_id")
@@ -350,6 +400,8 @@ OPERATOR_QUERIES: dict[str, Query] = {
     "update_times": _update_times,
     "keyed_fold": _keyed_fold,
     "parse_occupancy_text": _parsed,
+    "decode_json_strict": _decoded_strict,
+    "poll_suppliers": _polled_suppliers,
 }
 
 # The same operators with limits so low that keys count as hot: sliced, salted, in chunks and in parts.
@@ -361,6 +413,7 @@ SMALL_LIMITS: dict[str, Query] = {
     "lookup_asof_sliced": partial(_lookup_asof, rows_per_task=FEW),
     "late_events_sliced": partial(_late_events, rows_per_task=10 * FEW),
     "keyed_fold_in_chunks": partial(_keyed_fold, rows_per_fold=7, rows_per_task=FEW),
+    "keyed_fold_without_merge": partial(_keyed_fold_without_merge, rows_per_fold=30, rows_per_task=FEW),
     "decode_json_log": _decoded_log,
 }
 
@@ -373,6 +426,7 @@ STREAMS: dict[str, Query] = {
     "stream_least_occupied_updates": flows.least_occupied_updates_of,
     "stream_results": flows.results_of,
     "stream_results_with_removals": flows.removals_of,
+    "observe_metrics": _observed,
 }
 
 # Streams that take the events in several batches.

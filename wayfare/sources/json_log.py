@@ -10,7 +10,9 @@ from wayfare.operators.tables import REMOVED
 from wayfare.schemas import ROUTE_FIELDS, ROUTE_PAYLOAD, TRIP_FIELDS, TRIP_PAYLOAD
 
 BAD_RECORD = "bad_record"
+UNKNOWN_FIELDS = "unknown_fields"
 TOMBSTONES = ("skip", "keep", "refuse")
+UNKNOWN = ("ignore", "refuse")
 
 
 def _wire(payload: T.StructType, names: list[str]) -> T.StructType:
@@ -22,17 +24,21 @@ ROUTE_WIRE = _wire(ROUTE_PAYLOAD, ROUTE_FIELDS)
 
 
 def _decode(
-    df: DataFrame, value: str, payload: T.StructType, wire: T.StructType, mode: str, tombstones: str = "skip"
+    df: DataFrame, value: str, payload: T.StructType, wire: T.StructType, mode: str, tombstones: str = "skip",
+    unknown: str = "ignore",
 ) -> DataFrame:
     """Columns of ``df`` without ``value``, plus the typed fields. A number missing in a record becomes 0.
 
     A null value is a tombstone, which a compacted topic holds for a removed key. Log readers ``skip`` it, as
     it is no record; a table reader must ``keep`` it as a row without fields; ``refuse`` stops the query.
     ``FAILFAST`` stops at the first bad record. ``PERMISSIVE`` keeps it: the text goes
-    to the column ``bad_record``, which is null on every good row.
+    to the column ``bad_record``, which is null on every good row. Fields that the type does not have are
+    ignored, or ``refuse`` makes such a record a bad one; a column ``unknown_fields`` then names them.
     """
     if tombstones not in TOMBSTONES:
         raise ValueError(f"tombstones is one of {TOMBSTONES}, not {tombstones!r}")
+    if unknown not in UNKNOWN:
+        raise ValueError(f"unknown is one of {UNKNOWN}, not {unknown!r}")
     schema = wire
     if mode == "PERMISSIVE":
         schema = T.StructType(wire.fields + [T.StructField(BAD_RECORD, T.StringType())])
@@ -40,7 +46,19 @@ def _decode(
     records = df.filter(F.col(value).isNotNull()) if tombstones == "skip" else df
     if tombstones == "refuse":
         records = df.withColumn(value, F.coalesce(value, F.raise_error(F.lit("a record without a value"))))
+    strange = unknown_fields(F.col(value), wire.names)
+    if unknown == "refuse" and mode == "FAILFAST":
+        names = F.concat(F.lit("unknown fields: "), F.array_join(strange, ", "))
+        records = records.withColumn(value, F.when(F.size(strange) > 0, F.raise_error(names)).otherwise(F.col(value)))
     rows = records.withColumn("_row", F.from_json(value, schema, options))
+    if unknown == "refuse" and mode == "PERMISSIVE":
+        # the same form as a record that cannot be parsed: the text, and no fields
+        none = [F.lit(None).cast(f.dataType).alias(f.name) for f in wire.fields]
+        bad = F.struct(*none, F.col(value).alias(BAD_RECORD))
+        found = F.when(F.size(strange) > 0, strange)
+        rows = rows.withColumn(UNKNOWN_FIELDS, found).withColumn(
+            "_row", F.when(F.col(UNKNOWN_FIELDS).isNotNull(), bad).otherwise(F.col("_row"))
+        )
 
     def typed(field: T.StructField, name: str) -> Column:
         column = F.col("_row")[name]
@@ -54,17 +72,26 @@ def _decode(
     fields = [typed(f, w.name) for f, w in zip(payload.fields, wire.fields)]
     if mode == "PERMISSIVE":
         fields.append(F.col("_row")[BAD_RECORD].alias(BAD_RECORD))
+        if unknown == "refuse":
+            fields.append(F.col(UNKNOWN_FIELDS))
     return rows.select(*[c for c in df.columns if c != value], *fields)
 
 
-def decode_trips(df: DataFrame, value: str = "value", mode: str = "FAILFAST") -> DataFrame:
-    return _decode(df, value, TRIP_PAYLOAD, TRIP_WIRE, mode)
+def unknown_fields(value: Column, known: list[str]) -> Column:
+    """Names in JSON records that are none of ``known``, in their order; null where a value is no JSON object."""
+    return F.array_except(F.json_object_keys(value), F.array(*map(F.lit, known)))
+
+
+def decode_trips(
+    df: DataFrame, value: str = "value", mode: str = "FAILFAST", unknown: str = "ignore"
+) -> DataFrame:
+    return _decode(df, value, TRIP_PAYLOAD, TRIP_WIRE, mode, unknown=unknown)
 
 
 def decode_routes(
-    df: DataFrame, value: str = "value", mode: str = "FAILFAST", tombstones: str = "skip"
+    df: DataFrame, value: str = "value", mode: str = "FAILFAST", tombstones: str = "skip", unknown: str = "ignore"
 ) -> DataFrame:
-    return _decode(df, value, ROUTE_PAYLOAD, ROUTE_WIRE, mode, tombstones)
+    return _decode(df, value, ROUTE_PAYLOAD, ROUTE_WIRE, mode, tombstones, unknown)
 
 
 def decode_route_changes(df: DataFrame, key: str = "key", value: str = "value", mode: str = "FAILFAST") -> DataFrame:
