@@ -128,3 +128,30 @@ def test_empty_logs_give_no_rows(spark):
 def test_scope_is_checked(spark):
     with pytest.raises(ValueError):
         A.q13_top_hourly_type(trips_df(spark, []), "last")
+
+
+def test_ties_of_a_log_ordered_by_several_columns(spark):
+    """Two operators' routes are equally full and two routes of one of them too; who came first wins."""
+    routes = [route(0, 1, 2, operator="OperatorA"), route(1, 2, 2, operator="OperatorB"), route(2, 3, 4)]
+    trips = [trip(0, 1, minute=5), trip(1, 2, minute=1), trip(2, 2, minute=2), trip(3, 1, minute=3), trip(4, 3)]
+    for made in (trips, trips[:3], trips[:1], []):
+        args = trips_df(spark, made), routes_df(spark, routes)
+        got = A.q15_top_operator(*args, order=["ts", "event_id"]).collect()
+        by_time = sorted(made, key=lambda t: (t[5], t[6]))
+        counts, best = {}, None
+        for t in by_time:
+            counts[t[0]] = counts.get(t[0], 0) + 1
+            r = routes[t[0] - 1]
+            if best is None or counts[t[0]] / r[5] > best[2]:
+                best = (r[4], t[0], counts[t[0]] / r[5])
+        assert [tuple(x) for x in got] == ([best] if best else [])
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_versions_are_found_by_halving(spark, seed):
+    t, r = random_logs(seed, n_trips=200, n_versions=60, n_routes=5)
+    r += [route(100 + i, 1, 3 + i, minute=-100 - i) for i in range(20)]
+    args = trips_df(spark, t), routes_df(spark, r)
+    halved = A.q12_least_occupied_route_asof(*args).collect()
+    merged = A.q12_least_occupied_route_asof(*args, broadcast_bytes=0).collect()
+    assert halved and sorted(map(tuple, halved)) == sorted(map(tuple, merged))

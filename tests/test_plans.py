@@ -57,11 +57,17 @@ def test_the_log_is_grouped_by_hash(spark, name):
     assert "HashAggregate" in text and "SortAggregate" not in text and "ObjectHashAggregate" not in text
 
 
-@pytest.mark.parametrize("name", ["q11_shipments", "q13_shipments"])
+@pytest.mark.parametrize("name", ["q11_shipments", "q13_shipments", "q16_shipments"])
 def test_places_of_several_columns_are_looked_for_only_on_a_tie(spark, name):
     assert "SortAggregate" not in plan(entry_module.queries()[name](spark, SF))
 
 
+def test_versions_are_found_without_sorting_trips(spark):
+    text = plan(entry_module.queries()["q12_least_occupied_route_asof"](spark, SF))
+    windows = [line for line in text.splitlines() if "Window [" in line]
+    assert windows and all("version" in line and "event_id" not in line for line in windows)
+
+
 def test_json_is_decoded_once_per_row(spark):
     text = plan(entry_module.queries()["trip_counts"](spark, SF))
     assert sum("from_json" in line for line in text.splitlines()) == 1

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wayfare.functions.ratios import occupancy_percent
-from wayfare.operators.joins import join_by_key
+from wayfare.operators.joins import BROADCAST_BYTES, join_by_key, measured_bytes
 from wayfare.operators.ordered import ROWS_PER_TASK, Running, running, running_count, running_last, running_sum
 from wayfare.operators.rollups import ARRIVAL
 from wayfare.operators.tables import REMOVED, latest_per_key, versions_only
+from wayfare.session import written
 
 
 def trip_count_changelog(
@@ -130,3 +132,53 @@ def lookup_asof(
 ) -> DataFrame:
     """As :func:`with_route_as_of`, without the trips that no route version covers."""
     return with_route_as_of(trips, routes, fields, keep, rows_per_task).filter(F.col("seq").isNotNull())
+
+
+def version_arrays(routes: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """(route_id, versions): the versions of a route in the order in which they become valid, as one array."""
+    version = F.struct("effective_ts", "seq", *fields)
+    return versions_only(routes).filter(F.col("route_id").isNotNull()).groupBy("route_id").agg(
+        F.sort_array(F.collect_list(version)).alias("versions")
+    )
+
+
+def starts_until(starts: Column, ts: Column) -> Column:
+    """How many of the rising ``starts`` are not after ``ts``, by halving: as many steps as their number has bits."""
+    bits = F.ceil(F.log2(F.size(starts) + 1)).cast("int") - 1
+
+    def step(found: Column, bit: Column) -> Column:
+        further = found + F.pow(F.lit(2), bit).cast("int")
+        passes = (further <= F.size(starts)) & (F.get(starts, further - 1) <= ts)
+        return F.when(passes, further).otherwise(found)
+
+    return F.aggregate(F.sequence(bits, F.lit(0), F.lit(-1)), F.lit(0), step)
+
+
+def first_updates_as_of(
+    trips: DataFrame, routes: DataFrame, fields: Sequence[str], broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame | None:
+    """The first trip under each version of a route: (route_id, trips_so_far, place, and ``fields`` of the version).
+
+    ``place`` rises with (ts, event_id). Each trip finds its version in the array of its route, trips are counted
+    by hash per version, and what came before a version is a running sum over versions. So no trip is sorted.
+    None if the arrays measure more than may be broadcast.
+    """
+    arrays = written(version_arrays(routes, fields), "versions")
+    if measured_bytes(arrays) > broadcast_bytes:
+        return None
+    micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
+    # one number for both, as a struct would make the aggregate a sort
+    place = micros.cast("decimal(38,0)") * F.lit(str(10**19)).cast("decimal(20,0)") + F.col("event_id")
+    starts = arrays.select("route_id", F.col("versions.effective_ts").alias("starts"))
+    counts = (
+        trips.join(F.broadcast(starts), "route_id")
+        .select("route_id", starts_until(F.col("starts"), F.col("ts")).alias("version"), place.alias("place"))
+        .groupBy("route_id", "version").agg(F.count("*").alias("trips"), F.min("place").alias("place"))
+    )
+    earlier = W.partitionBy("route_id").orderBy("version").rowsBetween(W.unboundedPreceding, -1)
+    so_far = F.coalesce(F.sum("trips").over(earlier), F.lit(0)) + 1
+    valid = F.element_at("versions", F.col("version"))
+    return (
+        counts.withColumn("trips_so_far", so_far).filter("version > 0").join(F.broadcast(arrays), "route_id")
+        .select("route_id", "trips_so_far", "place", *[valid[f].alias(f) for f in fields])
+    )

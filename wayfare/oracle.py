@@ -295,6 +295,7 @@ SQL |= {
     "q04_passengers_per_route_in_parts": _names(40),
     "trip_count_changelog_sliced": SQL["trip_count_changelog"],
     "lookup_current_salted": SQL["lookup_current"],
+    "q12_least_occupied_route_asof_sliced": SQL["q12_least_occupied_route_asof"],
     "lookup_asof_sliced": SQL["lookup_asof"],
     "late_events_sliced": SQL["late_events"],
     "keyed_fold_in_chunks": SQL["keyed_fold"],

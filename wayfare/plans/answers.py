@@ -19,14 +19,16 @@ from pyspark.sql import functions as F
 
 from wayfare.functions.ratios import mean, occupancy, occupancy_percent
 from wayfare.functions.text import known_type
-from wayfare.operators.changelog import lookup_asof, route_table
+from wayfare.operators.changelog import first_updates_as_of, lookup_asof, route_table
 from wayfare.operators.extremes import best, least_per
 from wayfare.operators.folds import joined_names
+from wayfare.operators.joins import BROADCAST_BYTES, join_by_key
 from wayfare.operators.ordered import ROWS_PER_TASK
 from wayfare.operators.rollups import (
     ARRIVAL, leading_counts, seats_per_route, total_seats, total_trips, trip_counts,
 )
 from wayfare.operators.windows import hourly_route_counts, hourly_type_counts, hourly_type_occupancy, window_start
+from wayfare.session import written
 
 
 def q04_passengers_per_route(trips: DataFrame, order: Sequence[str] = ARRIVAL, **limits: int) -> DataFrame:
@@ -140,24 +142,28 @@ def least_updates(route_trips: DataFrame, table: DataFrame) -> DataFrame:
 
 
 def q12_least_occupied_route_asof(
-    trips: DataFrame, routes: DataFrame, rows_per_task: int = ROWS_PER_TASK
+    trips: DataFrame, routes: DataFrame, rows_per_task: int = ROWS_PER_TASK, broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
-    """As the changelog form, with the capacity and type that were valid at each trip's time."""
-    updates = lookup_asof(trips, routes, ["type", "capacity"], rows_per_task=rows_per_task)
-    # the least update per route version is its first; numbers only, so this stays a hash aggregate
-    firsts = updates.groupBy("route_id", "seq", "type", "capacity").agg(
-        F.min("trips_so_far").alias("n"),
-        F.min_by("ts", "trips_so_far").alias("ts"),
-        F.min_by("event_id", "trips_so_far").alias("event_id"),
-    )
+    """As the changelog form, with the capacity and type that were valid at each trip's time.
+
+    The least update per route version is its first.
+    """
+    firsts = first_updates_as_of(trips, routes, ["type", "capacity"], broadcast_bytes)
+    if firsts is None:
+        updates = lookup_asof(trips, routes, ["type", "capacity"], rows_per_task=rows_per_task)
+        # numbers only, so this stays a hash aggregate
+        firsts = updates.groupBy("route_id", "seq", "type", "capacity").agg(
+            F.min("trips_so_far").alias("trips_so_far"),
+            F.min_by("ts", "trips_so_far").alias("ts"),
+            F.min_by("event_id", "trips_so_far").alias("event_id"),
+        ).withColumn("place", F.struct("ts", "event_id"))
     rows = firsts.select(
         known_type(F.col("type")).alias("type"),
         "route_id",
-        occupancy(F.col("n"), F.col("capacity")).alias("occupancy"),
-        "ts",
-        "event_id",
+        occupancy(F.col("trips_so_far"), F.col("capacity")).alias("occupancy"),
+        "place",
     )
-    return least_per(rows, "type", "occupancy", "ts", "event_id").drop("ts", "event_id")
+    return least_per(rows, "type", "occupancy", "place").drop("place")
 
 
 def q13_top_hourly_type(trips: DataFrame, scope: str = "all", order: Sequence[str] = ARRIVAL) -> DataFrame:
@@ -212,7 +218,22 @@ def _of_scope(scope: str) -> list:
 
 
 def q15_top_operator(trips: DataFrame, routes: DataFrame, order: Sequence[str] = ARRIVAL) -> DataFrame:
-    return q15_from(trip_counts(trips, "route_id", order), route_table(routes, "operator", "capacity"))
+    table = route_table(routes, "operator", "capacity")
+    if len(order) == 1:
+        return q15_from(trip_counts(trips, "route_id", order), table)
+    # places of several columns would make the aggregate a sort of the log: they are looked for only on a tie
+    known = trips.filter(F.col("route_id").isNotNull())
+    counts = known.groupBy("route_id").agg(F.count("*").alias("trips"))
+    full = written(
+        counts.join(table, "route_id").filter(F.col("operator").isNotNull())
+        .withColumn("occupancy", occupancy(F.col("trips"), F.col("capacity"))),
+        "occupancies",
+    )
+    leaders = full.filter(F.col("occupancy") == F.lit(full.agg(F.max("occupancy")).first()[0]))
+    if leaders.count() <= 1:
+        return leaders.select("operator", "route_id", "occupancy")
+    tied = join_by_key(known, leaders.select("route_id"), ["route_id"], "left_semi", order)
+    return q15_from(trip_counts(tied, "route_id", order), leaders.select("route_id", "operator", "capacity"))
 
 
 def operator_peaks(route_trips: DataFrame, table: DataFrame) -> DataFrame:

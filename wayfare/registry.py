@@ -16,6 +16,7 @@ from wayfare.operators.changelog import (
     JOINED_ORDER, lookup_asof, lookup_current, occupancy_changelog, route_table, seat_and_trip_log, trip_count_changelog,
 )
 from wayfare.operators.folds import keyed_fold
+from wayfare.operators.joins import join_by_key
 from wayfare.operators.ordered import running, running_sum
 from wayfare.operators.rollups import avg_per_group, regrouped, trip_counts
 from wayfare.operators.tables import checked, latest_per_key, upsert, with_new_ids
@@ -25,7 +26,7 @@ from wayfare.operators.windows import (
 from wayfare.plans import answers as A
 from wayfare.plans.report import all_answers, result_table_rows
 from wayfare.schemas import OPERATORS, TRANSPORT_TYPES
-from wayfare.session import shared_path, stream_session
+from wayfare.session import shared_path, stream_session, written
 from wayfare.sources import dimensions, json_log, tables
 from wayfare.sources.polls import Polls
 from wayfare.sources.results import results_scan, write_result_tables
@@ -290,9 +291,19 @@ def _q15_shipments(spark: SparkSession, sf: str) -> DataFrame:
 
 def _q16_shipments(spark: SparkSession, sf: str) -> DataFrame:
     # counted per order before the join, so that an order with many shipments joins as one row
-    per_order = trip_counts(tables.shipment_log(spark, sf), "order_key", tables.SHIPMENT_ORDER)
-    with_passenger = per_order.join(tables.order_passengers(spark, sf), "order_key")
-    return A.q16_from(regrouped(with_passenger, "passenger_name"))
+    log, passengers = tables.shipment_log(spark, sf), tables.order_passengers(spark, sf)
+    per_order = log.groupBy("order_key").agg(F.count("*").alias("trips")).join(passengers, "order_key")
+    known = per_order.filter(F.col("passenger_name").isNotNull())
+    counts = written(known.groupBy("passenger_name").agg(F.sum("trips").alias("trips")), "counts")
+    leaders = counts.filter(F.col("trips") == F.lit(counts.agg(F.max("trips")).first()[0]))
+    if leaders.count() <= 1:
+        return leaders
+    # who of several came first to the number; the place of a shipment has several columns
+    orders = passengers.join(leaders.select("passenger_name"), "passenger_name")
+    places = trip_counts(join_by_key(
+        log, orders.select("order_key"), ["order_key"], "left_semi", tables.SHIPMENT_ORDER
+    ), "order_key", tables.SHIPMENT_ORDER)
+    return A.q16_from(regrouped(places.join(orders, "order_key"), "passenger_name"))
 
 
 def _trip_count_updates(spark: SparkSession, sf: str, max_files: int, **limits: int) -> DataFrame:
@@ -410,6 +421,9 @@ SMALL_LIMITS: dict[str, Query] = {
     "q04_passengers_per_route_in_parts": _trips(A.q04_passengers_per_route, names_per_part=40, rows_per_task=FEW),
     "trip_count_changelog_sliced": _trips(_changelog, rows_per_task=FEW),
     "lookup_current_salted": partial(_lookup_current, broadcast_bytes=0, rows_per_salt=FEW),
+    "q12_least_occupied_route_asof_sliced": _both(
+        A.q12_least_occupied_route_asof, rows_per_task=FEW, broadcast_bytes=0
+    ),
     "lookup_asof_sliced": partial(_lookup_asof, rows_per_task=FEW),
     "late_events_sliced": partial(_late_events, rows_per_task=10 * FEW),
     "keyed_fold_in_chunks": partial(_keyed_fold, rows_per_fold=7, rows_per_task=FEW),
