@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from wayfare.llm.worker import kept
+
 MARK = "▁"
 SAMPLES = 3
 # sets of paths that leave the best one from this step on wait as one set, and are told apart if it is opened
@@ -228,13 +230,8 @@ class Lattices:
         return np.array(out, dtype=np.uint32)
 
 
-_kept: dict[str, Lattices] = {}
-
-
 def lattices(path: str) -> Lattices:
-    if path not in _kept:
-        _kept[path] = Lattices(path)
-    return _kept[path]
+    return kept(("lattices", path), lambda: Lattices(path))
 
 
 def units_of(normal: str) -> list[str]:
@@ -432,7 +429,7 @@ def key_of(doc_id) -> int:
 SCHEMA = "doc_id long, sample int, ids binary, logp double, value double, inclusion double, n_chars long, text_crc32 long"
 
 
-def segmentations(docs: DataFrame, model: str, k: int = SAMPLES) -> DataFrame:
+def segmentations(docs: DataFrame, model: str, k: int = SAMPLES, checked: bool = False) -> DataFrame:
     """Up to ``k`` distinct segmentations per row of ``docs`` (doc_id, text), by falling perturbed value.
 
     Rows: doc_id, sample from 0, ids as little-endian unsigned 32-bit numbers, logp of the segmentation,
@@ -440,8 +437,11 @@ def segmentations(docs: DataFrame, model: str, k: int = SAMPLES) -> DataFrame:
     :func:`decoded` gives it back. A null or empty
     text has one segmentation, without pieces; a text with fewer than ``k`` segmentations has all of them.
     Draws depend on doc_id and text alone, so repeated rows repeat their samples, and rows with a null doc_id
-    share a key. An empty table gives no rows. Other columns are not looked at.
+    share a key. An empty table gives no rows. Other columns are not looked at. ``checked`` adds
+    decoded_crc32, that of the text which the ids stand for.
     """
+    schema = f"{SCHEMA}, decoded_crc32 long" if checked else SCHEMA
+
     def run(texts: list[tuple]) -> pd.DataFrame:
         store = lattices(model)
         if store.n_arcs > store.most_arcs:
@@ -457,9 +457,11 @@ def segmentations(docs: DataFrame, model: str, k: int = SAMPLES) -> DataFrame:
         for (doc_id, _), text, (samples, threshold) in zip(texts, normal, _Batch(store, keys, nodes).search(k)):
             crc = zlib.crc32(plain(text).encode())
             for number, (arcs, logp, value) in enumerate(samples):
-                out.append((doc_id, number, store.ids(arcs).astype("<u4").tobytes(), logp, value,
-                            _inclusion(logp, threshold), len(text), crc))
-        frame = pd.DataFrame(out, columns=[f.split()[0] for f in SCHEMA.split(", ")])
+                ids = store.ids(arcs).astype("<u4").tobytes()
+                row = doc_id, number, ids, logp, value, _inclusion(logp, threshold), len(text), crc
+                # decoded here, as a step of its own would be a second Python worker beside this one
+                out.append((*row, zlib.crc32(_decode(ids, _piece_texts(model)))) if checked else row)
+        frame = pd.DataFrame(out, columns=[f.split()[0] for f in schema.split(", ")])
         return frame.assign(doc_id=pd.array(frame["doc_id"], dtype="Int64"))
 
     def sample(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -475,7 +477,7 @@ def segmentations(docs: DataFrame, model: str, k: int = SAMPLES) -> DataFrame:
                 yield run(texts)
 
     narrow = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return narrow.mapInPandas(sample, SCHEMA)
+    return narrow.mapInPandas(sample, schema)
 
 
 _texts: dict[str, list[bytes]] = {}
@@ -503,13 +505,3 @@ def decoded(ids: Column, model: str) -> Column:
         return pd.Series([None if p is None else _decode(p, texts).decode(errors="replace") for p in column], dtype=object)
 
     return decode(ids)
-
-
-def decoded_crc32(ids: Column, model: str) -> Column:
-    """Unsigned crc32 of the UTF-8 bytes of :func:`decoded`, without sending the text."""
-    @pandas_udf("long")
-    def check(column: pd.Series) -> pd.Series:
-        texts = _piece_texts(model)
-        return pd.Series([zlib.crc32(_decode(p, texts)) for p in column], dtype="int64")
-
-    return check(ids)

@@ -69,9 +69,9 @@ def op8_quality_model(spark: SparkSession, sf: str) -> DataFrame:
 def op9_lattice_sampling(spark: SparkSession, sf: str) -> DataFrame:
     """Ids are returned as number and checksum; round_trip says whether they decode to the normalised text."""
     model = public_tokenizer("piece_bpe_32k.model")
-    sampled = lattice_sampling.segmentations(table(spark, sf, "documents"), model)
+    sampled = lattice_sampling.segmentations(table(spark, sf, "documents"), model, checked=True)
     back = F.col("decoded_crc32") == F.col("text_crc32")
-    return sampled.withColumn("decoded_crc32", lattice_sampling.decoded_crc32(F.col("ids"), model)).select(
+    return sampled.select(
         "doc_id", "sample", (F.octet_length("ids") / 4).cast("long").alias("n_ids"), F.crc32("ids").alias("ids_crc32"),
         "logp", "value", "inclusion", back.alias("round_trip"),
     )
