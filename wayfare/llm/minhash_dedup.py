@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayfare.llm.common import components
+from wayfare.llm.worker import kept
 from wayfare.operators.joins import join_by_key
 from wayfare.session import written
 
@@ -57,9 +58,6 @@ class _WordHashes(dict):
         return found
 
 
-_words = _WordHashes()
-
-
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(29))
     x = x * THIRD
@@ -75,7 +73,8 @@ def shingles(words: list[bytes], size: int) -> np.ndarray:
     """Hashes of the distinct runs of ``size`` words, sorted; a shorter text is one run, no words are none."""
     if not words:
         return np.empty(0, dtype=np.uint64)
-    hashes = np.fromiter(map(_words.__getitem__, words), dtype=np.uint64, count=len(words))
+    known = kept("word hashes", _WordHashes)
+    hashes = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
     run = min(size, len(words))
     total = hashes[: len(hashes) - run + 1] + np.uint64(run)
     for k in range(1, run):

@@ -6,6 +6,8 @@ import array
 import os
 import unicodedata
 
+from wayfare.llm.worker import kept
+
 # a run of these after letters is a token of its own; not the apostrophe, which may go with letters
 MARKS = '!"#$%&()*+,-./:;<=>?@[]^_`{|}~'
 
@@ -58,11 +60,6 @@ class WordIds:
             self.words[word] = self.parts[first] + self.parts[second]
 
 
-_kept: dict[str, WordIds] = {}
-
-
 def word_ids(path: str) -> WordIds:
     """The worker's own table for the tokenizer at ``path``."""
-    if path not in _kept:
-        _kept[path] = WordIds(path)
-    return _kept[path]
+    return kept(("words", path), lambda: WordIds(path))
