@@ -143,7 +143,10 @@ class Flows:
         """The result tables, a folder each."""
         schema = StructType([*RESULT_ROW.fields, StructField(REMOVED, BooleanType())])
         keys = ("result_table", "id", "part")
-        return KeyedTable(f"{self.root}/tables/results", schema, keys, partition_by=keys[:1], buckets=self.buckets, bucket_by=keys[1:2])
+        return KeyedTable(
+            f"{self.root}/tables/results", schema, keys,
+            partition_by=keys[:1], buckets=self.buckets, bucket_by=keys[1:2],
+        )
 
     def start(self, name: str, then: Handler | None = None) -> StreamingQuery:
         """Start a flow. ``then`` sees each batch after its rows are stored."""

@@ -62,8 +62,9 @@ class Keys:
     def in_buckets(self, columns: Sequence[str], buckets: int) -> Column:
         """Whether a row's bucket is that of a key; which ones these are is known before anything is read."""
         if self.few is None:
-            numbers = [r[0] for r in self.frame.select(bucket_of([F.col(c) for c in columns], buckets)).distinct().collect()]
-            return F.col(BUCKET).isin(*numbers)
+            # at most as many as there are buckets
+            found = self.frame.select(bucket_of([F.col(c) for c in columns], buckets)).distinct().collect()
+            return F.col(BUCKET).isin(*[r[0] for r in found])
         return F.col(BUCKET).isin(*[bucket_of([self.value(key, c) for c in columns], buckets) for key in self.few])
 
 
@@ -183,7 +184,8 @@ class KeyedTable:
     def _store(self, rows: DataFrame, name: str, batch_id: int) -> None:
         folders = list(self.partition_by)
         if self.buckets:
-            rows, folders = rows.withColumn(BUCKET, bucket_of([F.col(c) for c in self.bucket_by], self.buckets)), [*folders, BUCKET]
+            rows = rows.withColumn(BUCKET, bucket_of([F.col(c) for c in self.bucket_by], self.buckets))
+            folders.append(BUCKET)
         if self.keys:
             # few files of a good size, whatever the number of shuffle partitions
             rows = rows.hint("rebalance", *folders)
