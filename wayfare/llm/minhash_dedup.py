@@ -10,9 +10,9 @@ What keeps the work in proportion to the input:
 - A band hash that no other text has can be in no shared table key; only shared ones are combined.
 - Of the texts in shared buckets the shingles that no other of them has are counted. They bound the
   similarity a pair can reach, exactly, and rule out nearly all pairs that are only somewhat alike.
-- A bucket's members are compared with one centre. Of what remains, only pairs whose texts are not
-  already connected are compared, each in the first table where it meets, so that a large group of
-  copies costs a star, not all pairs.
+- A bucket's members are compared with one centre, so that a large group of copies costs a star, not all
+  pairs. Buckets whose texts are not all connected by that go on by centre, each text once, and what their
+  texts differ in from the middle of all leads to the links left (``difference_sets``).
 
 Nothing is capped. A pair at the limit of similarity shares no table with a chance below ``MISSED``.
 """
@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayfare.llm.common import components
+from wayfare.llm.difference_sets import enough, links_and_pairs
 from wayfare.llm.worker import kept
 from wayfare.operators.joins import join_by_key
 from wayfare.session import written
@@ -122,10 +123,7 @@ def described(docs: DataFrame, size: int, bands: int, others: Sequence[str] = ()
 
 
 def table_keys(texts: DataFrame, bands: int) -> DataFrame:
-    """(text_key, first, second, key) for every table in which a text may meet another.
-
-    ``texts`` has text_key and bands; first and second are the table's bands of either collection.
-    """
+    """(text_key, key) for every table in which a text may meet another. ``texts`` has text_key and bands."""
     each = written(texts.select("text_key", F.posexplode("bands").alias("band", "value")), "bands")
     shared = each.groupBy("band", "value").agg(F.count("*").alias("n")).filter("n > 1").select("band", "value")
     met = each.join(written(shared, "shared_bands"), ["band", "value"], "left_semi")
@@ -135,12 +133,9 @@ def table_keys(texts: DataFrame, bands: int) -> DataFrame:
         return F.filter("met", lambda b: (b["band"] < bands) if first else (b["band"] >= bands))
 
     tables = F.flatten(F.transform(collection(True), lambda a: F.transform(
-        collection(False), lambda b: F.struct(
-            a["band"].alias("first"), b["band"].alias("second"),
-            F.xxhash64(a["band"], a["value"], b["band"], b["value"]).alias("key"),
-        )
+        collection(False), lambda b: F.xxhash64(a["band"], a["value"], b["band"], b["value"])
     )))
-    return of_text.select("text_key", F.inline(tables))
+    return of_text.select("text_key", F.explode(tables).alias("key"))
 
 
 def _in_company(keys: DataFrame) -> DataFrame:
@@ -186,17 +181,7 @@ def _shared_sizes(sets: DataFrame) -> DataFrame:
 
 def _may_link(a: Column, b: Column, percent: int) -> Column:
     """Whether two sets, given (n, shared) of each, can be similar enough: an exact bound."""
-    return _enough(F.least(a["shared"], b["shared"]), a, b, percent)
-
-
-def _may_link_beside(a: Column, a_within: Column, b: Column, b_within: Column, percent: int) -> Column:
-    """:func:`_may_link`, closer where it is known how much of either set is within a third one.
-
-    They have in common at most the lesser of what is within that set, and of what is not.
-    """
-    beside = F.least(a["shared"] - a_within, b["shared"] - b_within)
-    closer = F.least(a_within, b_within) + beside
-    return _enough(F.coalesce(closer, F.least(a["shared"], b["shared"])), a, b, percent)
+    return enough(F.least(a["shared"], b["shared"]), a["n"], b["n"], percent)
 
 
 def _spread(sets: DataFrame) -> DataFrame:
@@ -210,20 +195,6 @@ def _spread(sets: DataFrame) -> DataFrame:
     return sizes.join(shared, "text_key").withColumn("spread", F.col("holders") / F.col("n")).drop("holders")
 
 
-def _enough(common: Column, a: Column, b: Column, percent: int) -> Column:
-    return 100 * common >= percent * (a["n"] + b["n"] - common)
-
-
-def _meet_first(a: Column, b: Column, bands: int, first: Column, second: Column) -> Column:
-    """Whether a table is the first in which two texts, given their bands, meet; so a pair comes up once."""
-    def earliest(start: int) -> Column:
-        return F.array_position(
-            F.zip_with(F.slice(a, start, bands), F.slice(b, start, bands), lambda x, y: x == y), True
-        )
-
-    return (earliest(1) == first + 1) & (earliest(bands + 1) == second - bands + 1)
-
-
 def measured(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The ``pairs`` (a, b) with the size of what their sets have in common, and whether that links them."""
     of = lambda name: sets.select(F.col("text_key").alias(name), F.col("found").alias(f"found_{name}"))
@@ -249,7 +220,7 @@ def links_of(docs: DataFrame, texts: DataFrame, size: int, percent: int, bands:
     entry = F.struct("text_key", "n", "shared", "spread")
     members = written(
         _in_company(keys.join(bounds.select("text_key"), "text_key", "left_semi")).join(bounds, "text_key")
-        .select("key", "first", "second", entry.alias("text")), "entries",
+        .select("key", entry.alias("text")), "entries",
     )
     # the text whose shingles most others have stands in the middle of a group of edited copies
     centres = written(
@@ -265,45 +236,23 @@ def links_of(docs: DataFrame, texts: DataFrame, size: int, percent: int, bands:
 
     group = written(components(first).withColumnRenamed("node", "text_key"), "groups")
     grouped = written(members.join(group, members["text.text_key"] == group["text_key"], "left").select(
-        "key", "first", "second", "text", F.coalesce("component", "text.text_key").alias("group")
+        "key", "text", F.coalesce("component", "text.text_key").alias("component")
     ), "grouped")
     mixed = written(
-        grouped.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter("low < high"),
-        "mixed",
-    )
-    # per bucket: the centre's group against the rest, and the rest among itself
-    centre_groups = centres.join(group, F.col("centre.text_key") == group["text_key"], "left").select(
-        "key", F.coalesce("component", "centre.text_key").alias("main"), F.col("centre.text_key").alias("hub")
-    )
-    open_rows = written(
-        grouped.join(mixed.select("key"), "key", "left_semi")
-        .join(written(centre_groups, "centre_groups"), "key")
-        .join(texts.select(F.col("text_key").alias("_of"), "bands"), F.col("text.text_key") == F.col("_of")).drop("_of"),
-        "open",
-    )
-    within = spokes.select(F.col("a").alias("hub"), F.col("b").alias("_of"), F.col("both").alias("within"))
-    open_rows = written(
-        open_rows.join(within, (open_rows["hub"] == within["hub"]) & (F.col("text.text_key") == F.col("_of")), "left")
-        .select(
-            "key", "first", "second", "text", "group", "main", "bands",
-            F.when(F.col("text.text_key") == open_rows["hub"], F.col("text.n")).otherwise(F.col("within")).alias("within"),
-        ), "open",
-    )
-    rest = open_rows.filter(F.col("group") != F.col("main")).select(
-        "key", F.col("text").alias("one"), F.col("group").alias("one_group"), F.col("bands").alias("one_bands"),
-        F.col("within").alias("one_within"),
+        grouped.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        .filter("low < high").select("key"), "mixed",
     )
-    more = rest.join(open_rows, "key").filter(
-        (F.col("one_group") != F.col("group"))
-        & _may_link_beside(F.col("one"), F.col("one_within"), F.col("text"), F.col("within"), percent)
-        & ((F.col("group") == F.col("main")) | (F.col("one.text_key") < F.col("text.text_key")))
-        & _meet_first(F.col("one_bands"), F.col("bands"), bands, F.col("first"), F.col("second"))
-    ).select(F.col("one.text_key").alias("a"), F.col("text.text_key").alias("b")).distinct()
-    untested = written(more, "more").join(
-        written(star.select(F.col("a").alias("b"), F.col("b").alias("a")), "tested"), ["a", "b"], "left_anti"
+    # buckets with one centre are taken together, so that a text comes up once and not in every table
+    hubs = centres.select("key", F.col("centre.text_key").alias("cluster"))
+    clustered = written(
+        grouped.join(mixed, "key", "left_semi").join(hubs, "key")
+        .select("cluster", "text.text_key", "text.n", "text.shared", "component").distinct(), "clustered",
     )
+    certain, more = links_and_pairs(clustered, sets, percent)
+    tested = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    untested = written(more, "more").join(written(tested, "tested"), ["a", "b"], "left_anti")
     late = measured(written(untested.select("a", "b"), "untested"), sets, percent)
-    return first.union(late.filter("linked").select("a", "b"))
+    return first.union(certain).union(late.filter("linked").select("a", "b"))
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
