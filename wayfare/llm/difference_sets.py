@@ -75,15 +75,18 @@ def _rarest(rows: DataFrame) -> DataFrame:
     """(cluster, element, members of MEMBER) for the elements of differs of which similar sets share one.
 
     ``rows`` has need, the least number of elements that the set shares with any it is linked to. The
-    elements in all but need - 1 of a set, rarest first, are taken; those that no other set has are left out.
+    elements in all but need - 1 of a set, rarest first, are taken. Elements only of sets that are connected
+    already are no part of any link to look for, and are left out before.
     """
     each = rows.select("cluster", *MEMBER, "need", F.size("differs").alias("of"), F.explode("differs").alias("element"))
     common = written(
-        each.groupBy("cluster", "element").agg(F.count("*").alias("holders")).filter("holders > 1"), "common"
+        each.groupBy("cluster", "element").agg(
+            F.count("*").alias("holders"), F.min("component").alias("low"), F.max("component").alias("high")
+        ).filter("low < high").select("cluster", "element", "holders"), "common",
     )
     met = each.join(common, ["cluster", "element"])
     by_rarity = W.partitionBy("cluster", "text_key").orderBy(F.desc("holders"), F.desc("element"))
-    # counted from the most frequent one, so that elements no other set has need not be sorted
+    # counted from the most frequent one, so that elements left out need not be sorted
     return met.withColumn("_from_end", F.row_number().over(by_rarity)).filter("_from_end >= need").select(
         "cluster", "element", *MEMBER
     )
