@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from wayfare.operators.changelog import lookup_asof, lookup_current, route_table, trip_count_changelog
 from wayfare.operators.folds import joined_names, keyed_fold
 from wayfare.operators.ordered import (
-    hot_keys, row_count, running, running_count, running_last, running_max, running_sum, slice_number, split,
+    hot_keys, row_count, running, running_count, running_last, running_max, running_sum, slice_number, sliced, split,
+    task_number,
 )
 from wayfare.operators.tables import upsert, with_new_ids
 from wayfare.operators.windows import late_events, on_time, with_update_time
@@ -97,6 +98,28 @@ def test_slice_number(rows, per_slice, parallel, want):
     assert slice_number(rows, per_slice, parallel) == want
 
 
+@pytest.mark.parametrize("slices, rows, parallel, want", [
+    (100_000, 6_000_000, 24, 24), (600_000, 36_000_000, 24, 144), (3, 25, 2, 2), (2500, 10**10, 400, 2500), (4, 5, 8, 4),
+])
+def test_tasks_follow_the_rows_and_not_the_limit(slices, rows, parallel, want):
+    assert task_number(slices, rows, parallel) == want
+
+
+def test_small_slices_share_tasks(spark):
+    parallel = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    log = spark.range(1_000).select((F.col("id") % 3).alias("key"), F.xxhash64("id").alias("at"), "id")
+    rows = sliced(log, ["key"], ["at"], 1_000, 7)
+    assert len(rows.inputFiles()) <= parallel
+    found = rows.collect()
+    assert sorted(r.id for r in found) == list(range(1_000))
+    slices = {}
+    for r in found:
+        slices.setdefault(r.slice, []).append((r.key, r.at))
+    assert max(map(len, slices.values())) == 7 and len(slices) <= 1_000 / 7 + parallel
+    in_order = [x for _, places in sorted(slices.items()) for x in sorted(places)]
+    assert in_order == sorted(in_order)
+
+
 def test_keyed_fold_in_order(logs):
     trips, _ = logs
     text = dict(

@@ -22,6 +22,10 @@ from wayfare.operators.joins import joiner
 from wayfare.session import written
 
 ROWS_PER_TASK = 4_000_000
+# Slices below this size share a task and its file, so that a low limit does not make a task of every few rows.
+LEAST_ROWS_PER_TASK = 250_000
+# Bits below the partition in a number of monotonically_increasing_id.
+ROW_BITS = 33
 
 
 @dataclass(frozen=True)
@@ -111,16 +115,28 @@ def slice_number(rows: int, rows_per_slice: int, parallel: int) -> int:
     return max(1, needed, useful)
 
 
+def task_number(slices: int, rows: int, parallel: int) -> int:
+    """Tasks that make the slices: one each, unless that leaves a task fewer than ``LEAST_ROWS_PER_TASK`` rows."""
+    return min(slices, max(parallel, math.ceil(rows / LEAST_ROWS_PER_TASK)))
+
+
 def sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: int, rows_per_slice: int) -> DataFrame:
     """``df`` with a column ``slice`` that rises with (keys, order), written to the shared folder.
 
     ``order`` must be unique within a key. Writing fixes the slice of each row: range
     bounds come from a sample, so a second evaluation could draw them differently.
+    Small slices are cut within sorted partitions, so tasks and files follow the rows and not the limit.
     """
     parallel = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     n = slice_number(rows, rows_per_slice, parallel)
-    ranged = df.repartitionByRange(n, *keys, *order).withColumn("slice", F.spark_partition_id())
-    return written(ranged, "slices")
+    tasks = task_number(n, rows, parallel)
+    ranged = df.repartitionByRange(tasks, *keys, *order)
+    if tasks == n:
+        return written(ranged.withColumn("slice", F.spark_partition_id()), "slices")
+    numbered = ranged.sortWithinPartitions(*keys, *order).withColumn("slice", F.monotonically_increasing_id())
+    # a slice is named by its first row
+    place = F.col("slice").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+    return written(numbered.withColumn("slice", F.col("slice") - place % rows_per_slice), "slices")
 
 
 def running(
