@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from test_deltas import flows_on, rows_of
 from test_streaming import write_files
 
+from wayfare.operators import folds
 from wayfare.operators.folds import keyed_fold
 from wayfare.sources.json_log import decode_routes, decode_trips, encode_trips, split_bad
 from wayfare.sources.polls import Polls, snapshot_changes
@@ -93,6 +94,37 @@ def test_a_step_that_cannot_be_merged(spark, per_fold, per_task):
     assert {r.route_id: r.state for r in folded.collect()} == want
 
 
+@pytest.mark.parametrize("per_pass", [1, 6, 20, 1_000])
+def test_passes_go_on_from_the_states_before(spark, monkeypatch, per_pass):
+    monkeypatch.setattr(folds, "ROWS_PER_FOLD", per_pass)
+    t, _ = random_logs(32, n_trips=60)
+    folded = keyed_fold(
+        trips_df(spark, t), "route_id", ["event_id"], F.col("event_id"),
+        # null for a key whose last number is even, so that a state without a value is one too
+        init=F.lit(0).cast("bigint"), step=lambda acc, n: F.when(n % 2 == 1, n - F.coalesce(acc, F.lit(7))),
+        rows_per_fold=3,
+    )
+    want = {}
+    for x in sorted(t, key=lambda x: x[6]):
+        acc = want.get(x[0], 0)
+        want[x[0]] = x[6] - (7 if acc is None else acc) if x[6] % 2 else None
+    assert {r.route_id: r.state for r in folded.collect()} == want
+
+
+def test_few_rows_per_fold_make_no_more_passes(spark):
+    """Small stretches of a key are folded one after the other in a pass, which costs some Spark jobs."""
+    group = "few rows per fold"
+    spark.sparkContext.setJobGroup(group, group)
+    folded = keyed_fold(
+        spark.range(300).select(F.lit(1).alias("key"), "id"), "key", ["id"], F.col("id"),
+        F.lit(0).cast("bigint"), lambda acc, n: n - acc, rows_per_fold=3,
+    )
+    assert folded.collect()[0].state == 150
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs < 30
+
+
 def test_a_fold_over_nothing(spark):
     empty = keyed_fold(trips_df(spark, []), "route_id", ["event_id"], F.col("event_id"), F.lit(0).cast("bigint"),
                        lambda acc, n: n - acc)

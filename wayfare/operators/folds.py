@@ -13,7 +13,7 @@ from wayfare.operators.ordered import (
     ROWS_PER_TASK, hot_keys, row_count, running, running_count, running_sliced, running_with, split,
 )
 from wayfare.operators.rollups import ARRIVAL, at
-from wayfare.session import shared_path, written
+from wayfare.session import shared_path
 
 # A list of names this long is about a megabyte of text; longer lists go on in further parts.
 NAMES_PER_PART = 50_000
@@ -74,7 +74,8 @@ def keyed_fold(
     A key's rows are folded ``rows_per_fold`` at a time, and ``merge`` joins the states of neighbouring
     stretches, so that no array outgrows a task. All keys go this way, whatever their number of rows.
     ``init`` must be neutral for ``merge``, and ``order`` unique within a key. Without a ``merge`` the state of a
-    stretch is carried into the next one: a pass per stretch, over the keys that have that many.
+    stretch is carried into the next one, in passes of ``ROWS_PER_FOLD`` rows of each key, or of ``rows_per_fold``
+    if these are more.
     """
     def folded(groups: GroupedData, columns: Sequence[str], item: str, function) -> DataFrame:
         items = F.array_sort(F.collect_list(F.struct(*columns, item)))
@@ -84,7 +85,7 @@ def keyed_fold(
     placed = running(rows, [key], order, {"n": running_count()}, rows_per_task)
     chunks = placed.withColumn("chunk", F.floor((F.col("n") - 1) / rows_per_fold))
     if merge is None:
-        return _folded_in_passes(chunks, key, order, init, step)
+        return _folded_in_passes(chunks, key, order, init, step, max(1, ROWS_PER_FOLD // rows_per_fold))
     by_chunk = folded(chunks.groupBy(key, "chunk"), order, "value", step)
     stretches = by_chunk.withColumn("stretch", F.floor(F.col("chunk") / rows_per_fold))
     by_stretch = folded(stretches.groupBy(key, "stretch"), ["chunk"], "state", merge)
@@ -92,32 +93,39 @@ def keyed_fold(
 
 
 def _folded_in_passes(
-    chunks: DataFrame, key: str, order: Sequence[str], init: Column, step: Callable[[Column, Column], Column]
+    chunks: DataFrame, key: str, order: Sequence[str], init: Column, step: Callable[[Column, Column], Column],
+    chunks_per_pass: int,
 ) -> DataFrame:
-    """A fold whose states cannot be merged. Chunks lie in a folder per number, so that each is read once.
+    """A fold whose states cannot be merged. Chunks lie in a folder per pass, so that each is read once.
 
-    A pass hands its states on through the shared folder, and a key is in as many passes as it has chunks: the
-    time follows the longest key, the work all rows.
+    A pass goes through some chunks of every key that has as many, and hands its states on through the shared
+    folder: the time follows the longest key, the work all rows. The last state of a key is its result.
     """
     spark = chunks.sparkSession
-    path = shared_path(spark, "chunks")
-    chunks.drop("n").write.partitionBy("chunk").parquet(path)
-    read = spark.read.schema(chunks.drop("n").schema).parquet(path)
-    last = read.agg(F.max("chunk")).first()[0]
-    states, done = None, None
-    for number in range(0 if last is None else last + 1):
-        items = read.filter(F.col("chunk") == number).groupBy(key).agg(
-            F.array_sort(F.collect_list(F.struct(*order, "value"))).alias("items")
+    path, states = shared_path(spark, "chunks"), shared_path(spark, "states")
+    arrays = (
+        chunks.withColumn("pass", F.floor(F.col("chunk") / chunks_per_pass))
+        .repartition(key, "pass").groupBy(key, "pass", "chunk")
+        .agg(F.array_sort(F.collect_list(F.struct(*order, "value"))).alias("items"))
+    )
+    arrays.write.partitionBy("pass").parquet(path)
+    read = spark.read.schema(arrays.schema).parquet(path)
+    last = read.agg(F.max("pass")).first()[0]
+    if last is None:
+        return chunks.select(key, init.alias("state"))
+    schema = None
+    for number in range(last + 1):
+        parts = read.filter(F.col("pass") == number).groupBy(key).agg(
+            F.array_sort(F.collect_list(F.struct("chunk", "items"))).alias("parts")
         )
         start = init
-        if states is not None:
-            # the keys that go on; those that do not are finished
-            going_on = items.select(key)
-            finished = states.join(going_on, key, "left_anti")
-            done = finished if done is None else done.unionByName(finished)
-            items, start = items.join(states, key), F.col("state")
-        folded = F.aggregate("items", start, lambda acc, x: step(acc, x["value"]))
-        states = written(items.select(key, folded.alias("state")), "states")
-    if states is None:
-        return chunks.select(key, init.alias("state"))
-    return states if done is None else done.unionByName(states)
+        if number:
+            before = spark.read.schema(schema).parquet(f"{states}/pass={number - 1}")
+            parts, start = parts.join(before, key), F.col("state")
+        items = F.flatten(F.transform("parts", lambda part: part["items"]))
+        folded = F.aggregate(items, start, lambda acc, x: step(acc, x["value"]))
+        reached = parts.select(key, folded.alias("state"))
+        schema = schema or reached.schema
+        reached.write.parquet(f"{states}/pass={number}")
+    passed = spark.read.schema(schema.add("pass", "long")).parquet(states)
+    return passed.groupBy(key).agg(F.max_by("state", "pass").alias("state"))
