@@ -1,6 +1,7 @@
 """Links within groups of sets, compared with all pairs."""
 
 import random
+from collections import Counter
 
 import pytest
 from cases import components
@@ -8,7 +9,7 @@ from cases import components
 from wayfare.llm import difference_sets
 from wayfare.llm.difference_sets import links_and_pairs
 from wayfare.llm.minhash_dedup import measured
-from wayfare.session import ship_package
+from wayfare.session import ship_package, written
 
 SHAPE = "cluster long, text_key long, n long, shared long, component long"
 
@@ -83,3 +84,35 @@ def test_small_and_equal_groups_and_none(spark):
     clusters = {1: {1: {1, 2, 3}, 2: {1, 2, 3, 4}, 3: {9}}, 2: {1: {1, 2, 3}}, 3: {k: set(range(30)) for k in range(10, 40)}}
     got, expected, _ = connected(spark, clusters, 75)
     assert got == expected
+
+
+@pytest.mark.parametrize("alone", [True, False])
+def test_edits_of_its_own_leave_a_set_few_elements_to_share(spark, monkeypatch, alone):
+    """Sets far from the middle would have to share nearly all that they lack; elements held once may be missing."""
+    draw, new = random.Random(3), iter(range(10_000, 10_000_000))
+    base = set(range(150))
+    sets = {k: edited(draw, base, draw.randrange(2, 24), new) for k in range(300)}
+    sets |= {300 + k: edited(draw, sets[k * 10], draw.randrange(0, 6), new) for k in range(30)}
+    holders = Counter(x for elements in sets.values() for x in elements)
+    found = {k: sorted(x for x in v if alone or holders[x] > 1) for k, v in sets.items()}
+    rows = spark.createDataFrame([(1, k, len(v), sum(holders[x] > 1 for x in v), k) for k, v in sets.items()], SHAPE)
+    went_on = []
+
+    def counted(df, name):
+        df = written(df, name)
+        if name == "rarest":
+            went_on.append(df.count())
+        return df
+
+    monkeypatch.setattr(difference_sets, "written", counted)
+    links, pairs = links_and_pairs(rows, spark.createDataFrame(list(found.items()), "text_key long, found array<long>"), 85)
+    full = spark.createDataFrame([(k, sorted(v)) for k, v in sets.items()], "text_key long, found array<long>")
+    linked = [(r.a, r.b) for r in links.union(measured(pairs, full, 85).filter("linked").select("a", "b")).collect()]
+    alike = [
+        (a, b) for a in sets for b in sets
+        if a < b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])
+    ]
+    assert components(sets, linked) == components(sets, alike)
+    assert {(min(x), max(x)) for x in linked} <= set(alike)
+    # 18,582 by the number of shared elements alone
+    assert sum(went_on) < 10_000

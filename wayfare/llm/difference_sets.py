@@ -10,6 +10,10 @@ are similar enough exactly if
   least excess, the hub, has a link to each set whose excess does not outweigh its own.
 - Any other pair shares elements of D, and at least one among the rarest of either (a prefix filter). Sets
   that share such an element are a smaller group, to which the same is done again.
+- How many must be shared is bounded a second time. Where a set lacks R elements of C, has A others, and
+  shares x of the first and y of the second with a similar set, the two have at most n - A + y elements in
+  common and at least n + R - x in all, so that P x + 100 y >= P R + 100 A - (100 - P) n. Edits of its own
+  thus leave a copy far from the middle next to no choice.
 
 An element of D is one that at most half of the group differ in, so a group of the next level has at most
 half as many sets, and there are at most log2 levels. Groups of up to ``FEW`` sets are compared pair by
@@ -57,28 +61,39 @@ def _all_pairs(few: DataFrame, percent: int) -> DataFrame:
 
 
 def _differences(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``rows`` with differs, the elements in just one of the set and its cluster's middle, and excess.
+    """``rows`` with differs, elements in just one of the set and its cluster's middle, excess, own and weight.
 
-    excess is in units of 1 / (100 + percent). The middle has fewer elements than two mean sets.
+    ``sets`` may lack elements that no other set has, and so does differs then; the numbers count them. The
+    first ``own`` of differs are the set's. weight is what the elements that it shares with a similar set
+    weigh at least: an element of its own 100, one that it lacks ``percent``. excess is in units of
+    1 / (100 + percent). The middle has fewer elements than two mean sets.
     """
     each = rows.join(sets, "text_key").select("cluster", "members", F.explode("found").alias("element"))
     middles = each.groupBy("cluster", "element").agg(
         F.count("*").alias("holders"), F.first("members").alias("members")
     ).filter("2 * holders > members").groupBy("cluster").agg(F.collect_list("element").alias("middle"))
     middle = F.coalesce("middle", F.array().cast("array<long>"))
+    has, lacks = F.array_except("found", middle), F.array_except(middle, "found")
+    n_lacks = F.size(lacks).cast("long")
+    # n counts all elements of the set, those included that found may lack
+    n_has = F.col("n") - (F.size(middle) - n_lacks)
     return rows.join(sets, "text_key").join(written(middles, "middles"), "cluster", "left").select(
-        "cluster", *MEMBER, F.concat(F.array_except("found", middle), F.array_except(middle, "found")).alias("differs"),
-    ).withColumn("excess", (100 + percent) * F.size("differs").cast("long") - (100 - percent) * F.col("n"))
+        "cluster", *MEMBER, F.concat(has, lacks).alias("differs"), F.size(has).alias("own"),
+        ((100 + percent) * (n_has + n_lacks) - (100 - percent) * F.col("n")).alias("excess"),
+        (percent * n_lacks + 100 * n_has - (100 - percent) * F.col("n")).alias("weight"),
+    )
 
 
-def _rarest(rows: DataFrame) -> DataFrame:
+def _rarest(rows: DataFrame, percent: int) -> DataFrame:
     """(cluster, element, members of MEMBER) for the elements of differs of which similar sets share one.
 
-    ``rows`` has need, the least number of elements that the set shares with any it is linked to. The
-    elements in all but need - 1 of a set, rarest first, are taken. Elements only of sets that are connected
-    already are no part of any link to look for, and are left out before.
+    ``rows`` has need, the least number of elements that the set shares with any it is linked to, and weight,
+    the least that these weigh. The most frequent elements that are fewer than need or weigh less are left out.
+    Elements only of sets that are connected already are no part of any link to look for, and are left out before.
     """
-    each = rows.select("cluster", *MEMBER, "need", F.size("differs").alias("of"), F.explode("differs").alias("element"))
+    each = rows.select(
+        "cluster", *MEMBER, "need", "weight", "own", F.posexplode("differs").alias("place", "element")
+    ).withColumn("weighs", F.when(F.col("place") < F.col("own"), 100).otherwise(percent))
     common = written(
         each.groupBy("cluster", "element").agg(
             F.count("*").alias("holders"), F.min("component").alias("low"), F.max("component").alias("high")
@@ -87,9 +102,10 @@ def _rarest(rows: DataFrame) -> DataFrame:
     met = each.join(common, ["cluster", "element"])
     by_rarity = W.partitionBy("cluster", "text_key").orderBy(F.desc("holders"), F.desc("element"))
     # counted from the most frequent one, so that elements left out need not be sorted
-    return met.withColumn("_from_end", F.row_number().over(by_rarity)).filter("_from_end >= need").select(
-        "cluster", "element", *MEMBER
-    )
+    weighed = F.sum("weighs").over(by_rarity.rowsBetween(W.unboundedPreceding, W.currentRow))
+    return met.withColumn("_from_end", F.row_number().over(by_rarity)).withColumn("_weighed", weighed).filter(
+        "_from_end >= need AND _weighed >= weight"
+    ).select("cluster", "element", *MEMBER)
 
 
 def links_and_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -98,7 +114,7 @@ def links_and_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> tuple[Dat
     ``rows`` has cluster and, once for each of its sets, text_key, n (its size), shared (how many of its
     elements another set may have) and component (equal for sets that are connected already). Links and
     linked ones among the pairs connect all sets of a cluster that similar ones connect. ``sets`` has
-    text_key and found, its distinct elements.
+    text_key and found, its distinct elements, of which those that no other set has may be missing.
     """
     links, pairs = [], []
     while True:
@@ -128,7 +144,7 @@ def links_and_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> tuple[Dat
             "component", F.when(F.col("near"), F.col("hub.component")).otherwise(F.col("component"))
         )
         rows = written(
-            _rarest(left.filter(F.col("need") <= F.size("differs"))).select(
+            _rarest(left.filter(F.col("need") <= F.size("differs")), percent).select(
                 F.xxhash64("cluster", "element").alias("cluster"), *MEMBER
             ), "rarest",
         )

@@ -185,11 +185,11 @@ def _may_link(a: Column, b: Column, percent: int) -> Column:
 
 
 def _spread(sets: DataFrame) -> DataFrame:
-    """:func:`_shared_sizes` with spread, the mean number of sets that a shingle of the set is in."""
+    """:func:`_shared_sizes` with found, the shared shingles, and spread, the mean number of sets that a shingle is in."""
     each = sets.select("text_key", F.explode("found").alias("shingle"))
     held = written(each.groupBy("shingle").agg(F.count("*").alias("n")).filter("n > 1"), "held")
     shared = each.join(held, "shingle").groupBy("text_key").agg(
-        F.count("*").alias("shared"), F.sum("n").alias("holders")
+        F.count("*").alias("shared"), F.sum("n").alias("holders"), F.collect_list("shingle").alias("found")
     )
     sizes = sets.select("text_key", F.size("found").cast("long").alias("n"))
     return sizes.join(shared, "text_key").withColumn("spread", F.col("holders") / F.col("n")).drop("holders")
@@ -219,8 +219,8 @@ def links_of(docs: DataFrame, texts: DataFrame, size: int, percent: int, bands:
     bounds = written(_spread(sets.join(bounds.select("text_key"), "text_key", "left_semi")).filter(able), "bounds")
     entry = F.struct("text_key", "n", "shared", "spread")
     members = written(
-        _in_company(keys.join(bounds.select("text_key"), "text_key", "left_semi")).join(bounds, "text_key")
-        .select("key", entry.alias("text")), "entries",
+        _in_company(keys.join(bounds.select("text_key"), "text_key", "left_semi"))
+        .join(bounds.drop("found"), "text_key").select("key", entry.alias("text")), "entries",
     )
     # the text whose shingles most others have stands in the middle of a group of edited copies
     centres = written(
@@ -248,7 +248,7 @@ def links_of(docs: DataFrame, texts: DataFrame, size: int, percent: int, bands:
         grouped.join(mixed, "key", "left_semi").join(hubs, "key")
         .select("cluster", "text.text_key", "text.n", "text.shared", "component").distinct(), "clustered",
     )
-    certain, more = links_and_pairs(clustered, sets, percent)
+    certain, more = links_and_pairs(clustered, bounds.select("text_key", "found"), percent)
     tested = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     untested = written(more, "more").join(written(tested, "tested"), ["a", "b"], "left_anti")
     late = measured(written(untested.select("a", "b"), "untested"), sets, percent)
