@@ -163,6 +163,32 @@ def test_edited_copies_of_all_degrees(spark, size, percent):
     assert len({r["component_id"] for r in got}) < len(rows) - 30
 
 
+def test_texts_of_a_large_group_come_up_about_once(spark, monkeypatch):
+    """Copies with edits of their own meet in many buckets, whose centres are much alike."""
+    draw = random.Random(9)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for doc_id in range(300):
+        words = list(base)
+        for at in draw.sample(range(len(words)), 5):
+            words[at] = f"x{doc_id}_{at}"
+        rows.append((doc_id, " ".join(words)))
+    counts = {}
+
+    def counted(df, name):
+        df = minhash_dedup_written(df, name)
+        if name == "clustered":
+            counts["rows"], counts["texts"] = df.count(), df.select("text_key").distinct().count()
+        return df
+
+    minhash_dedup_written = minhash_dedup.written
+    monkeypatch.setattr(minhash_dedup, "written", counted)
+    check_duplicates(spark, rows, 3, 85)
+    assert counts["texts"] > 200
+    # four times as many where each centre had a cluster of its own
+    assert counts["rows"] < 1.5 * counts["texts"]
+
+
 def test_thinned_documents_keep_their_columns(spark):
     docs = documents(spark, AWKWARD)
     kept = minhash_dedup.deduplicated(docs, 3, 85)

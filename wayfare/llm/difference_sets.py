@@ -16,7 +16,9 @@ are similar enough exactly if
   thus leave a copy far from the middle next to no choice.
 
 An element of D is one that at most half of the group differ in, so a group of the next level has at most
-half as many sets, and there are at most log2 levels. Groups of up to ``FEW`` sets are compared pair by
+half as many sets, and there are at most log2 levels. No middle takes a look at whole sets: at first D is taken
+from any one set of the group, then from the middle of the group before, and elements of D that more than
+half of the group differ in change sides in the middle. Groups of up to ``FEW`` sets are compared pair by
 pair. Copies with edits of their own share next to nothing of D, so that a large group of them, however
 many are just below the limit, comes to a star and a few small groups. Nothing is capped or left out.
 """
@@ -60,30 +62,54 @@ def _all_pairs(few: DataFrame, percent: int) -> DataFrame:
     ).select(F.col("one_text_key").alias("a"), F.col("text_key").alias("b"))
 
 
-def _differences(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``rows`` with differs, elements in just one of the set and its cluster's middle, excess, own and weight.
+def _from_one(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """``rows`` with own and lacks, elements that the set has and lacks beside one set of its cluster, and n_own.
 
-    ``sets`` may lack elements that no other set has, and so does differs then; the numbers count them. The
-    first ``own`` of differs are the set's. weight is what the elements that it shares with a similar set
-    weigh at least: an element of its own 100, one that it lacks ``percent``. excess is in units of
-    1 / (100 + percent). The middle has fewer elements than two mean sets.
+    That is the one with the greatest spread, which lies near the middle. ``sets`` may lack elements that no
+    other set has, and so does own then; n_own counts them.
     """
-    each = rows.join(sets, "text_key").select("cluster", "members", F.explode("found").alias("element"))
-    middles = each.groupBy("cluster", "element").agg(
-        F.count("*").alias("holders"), F.first("members").alias("members")
-    ).filter("2 * holders > members").groupBy("cluster").agg(F.collect_list("element").alias("middle"))
-    middle = F.coalesce("middle", F.array().cast("array<long>"))
-    has, lacks = F.array_except("found", middle), F.array_except(middle, "found")
-    n_lacks = F.size(lacks).cast("long")
+    found = rows.join(sets, "text_key")
+    start = found.groupBy("cluster").agg(F.max_by("text_key", F.struct("spread", "text_key")).alias("text_key"))
+    ones = written(start.join(sets, "text_key").select("cluster", F.col("found").alias("one")), "ones")
+    lacks = F.array_except("one", "found")
     # n counts all elements of the set, those included that found may lack
-    n_has = F.col("n") - (F.size(middle) - n_lacks)
-    return rows.join(sets, "text_key").join(written(middles, "middles"), "cluster", "left").select(
-        "cluster", *MEMBER, F.concat(has, lacks).alias("differs"), F.size(has).alias("own"),
-        ((100 + percent) * (n_has + n_lacks) - (100 - percent) * F.col("n")).alias("excess"),
-        (percent * n_lacks + 100 * n_has - (100 - percent) * F.col("n")).alias("weight"),
+    return found.join(ones, "cluster").select(
+        "cluster", "members", *MEMBER, F.array_except("found", "one").alias("own"), lacks.alias("lacks"),
+        (F.col("n") - F.size("one") + F.size(lacks)).alias("n_own"),
     )
 
 
+def _differences(rows: DataFrame, percent: int) -> DataFrame:
+    """``rows`` with own, lacks and n_own beside the middle of their cluster, differs, excess and weight.
+
+    ``rows`` has own, lacks and n_own beside any one set of elements for each cluster. differs has own, then
+    lacks. weight is what the elements that the set shares with a similar one weigh at least: an element of
+    its own 100, one that it lacks ``percent``. excess is in units of 1 / (100 + percent).
+    """
+    rows = rows.withColumn("differs", F.concat("own", "lacks"))
+    each = rows.select("cluster", "members", F.size("own").alias("owned"), F.posexplode("differs").alias("place", "element"))
+    # an element is in the set that all of a cluster are compared with or is not, so all that differ agree
+    turned = each.groupBy("cluster", "element").agg(
+        F.count("*").alias("differing"), F.first("members").alias("members"),
+        F.first(F.col("place") < F.col("owned")).alias("joins"),
+    ).filter("2 * differing > members").groupBy("cluster").agg(
+        F.collect_list(F.when(F.col("joins"), F.col("element"))).alias("joining"),
+        F.collect_list(F.when(~F.col("joins"), F.col("element"))).alias("leaving"),
+    )
+    none = F.array().cast("array<long>")
+    joining, leaving = F.coalesce("joining", none), F.coalesce("leaving", none)
+    still_own, left = F.array_except("own", joining), F.array_except(leaving, "lacks")
+    n_own = F.col("n_own") - F.size("own") + F.size(still_own) + F.size(left)
+    moved = rows.join(written(turned, "turned"), "cluster", "left").select(
+        "cluster", *MEMBER, F.concat(still_own, left).alias("own"),
+        F.concat(F.array_except("lacks", leaving), F.array_except(joining, "own")).alias("lacks"), n_own.alias("n_own"),
+    )
+    n_lacks = F.size("lacks").cast("long")
+    return moved.withColumn("differs", F.concat("own", "lacks")).withColumn(
+        "excess", (100 + percent) * (F.col("n_own") + n_lacks) - (100 - percent) * F.col("n")
+    ).withColumn("weight", percent * n_lacks + 100 * F.col("n_own") - (100 - percent) * F.col("n"))
+
+
 def _rarest(rows: DataFrame, percent: int) -> DataFrame:
     """(cluster, element, members of MEMBER) for the elements of differs of which similar sets share one.
 
@@ -92,8 +118,8 @@ def _rarest(rows: DataFrame, percent: int) -> DataFrame:
     Elements only of sets that are connected already are no part of any link to look for, and are left out before.
     """
     each = rows.select(
-        "cluster", *MEMBER, "need", "weight", "own", F.posexplode("differs").alias("place", "element")
-    ).withColumn("weighs", F.when(F.col("place") < F.col("own"), 100).otherwise(percent))
+        "cluster", *MEMBER, "need", "weight", F.size("own").alias("owned"), F.posexplode("differs").alias("place", "element")
+    ).withColumn("weighs", F.when(F.col("place") < F.col("owned"), 100).otherwise(percent))
     common = written(
         each.groupBy("cluster", "element").agg(
             F.count("*").alias("holders"), F.min("component").alias("low"), F.max("component").alias("high")
@@ -114,16 +140,24 @@ def links_and_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> tuple[Dat
     ``rows`` has cluster and, once for each of its sets, text_key, n (its size), shared (how many of its
     elements another set may have) and component (equal for sets that are connected already). Links and
     linked ones among the pairs connect all sets of a cluster that similar ones connect. ``sets`` has
-    text_key and found, its distinct elements, of which those that no other set has may be missing.
+    text_key and found, its distinct elements, of which those that no other set has may be missing. ``rows``
+    may have spread, which is greater for sets nearer to the middle.
     """
-    links, pairs = [], []
+    links, pairs, differing = [], [], None
+    if "spread" not in rows.columns:
+        rows = rows.withColumn("spread", F.col("shared") / F.col("n"))
     while True:
         sized = rows.join(written(_several(rows), "clusters"), "cluster")
         pairs.append(written(_all_pairs(sized.filter(F.col("members") <= FEW), percent).distinct(), "pairs"))
         many = written(sized.filter(F.col("members") > FEW), "many")
         if many.isEmpty():
             break
-        differing = written(_differences(many, sets, percent), "differing")
+        if differing is None:
+            beside = written(_from_one(many, sets), "beside")
+        else:
+            before = differing.select(F.col("cluster").alias("parent"), "text_key", "own", "lacks", "n_own")
+            beside = many.join(before, ["parent", "text_key"])
+        differing = written(_differences(beside, percent), "differing")
         hubs = written(
             differing.groupBy("cluster").agg(F.min(F.struct("excess", "text_key", "component")).alias("hub")), "hubs"
         )
@@ -145,7 +179,7 @@ def links_and_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> tuple[Dat
         )
         rows = written(
             _rarest(left.filter(F.col("need") <= F.size("differs")), percent).select(
-                F.xxhash64("cluster", "element").alias("cluster"), *MEMBER
+                F.xxhash64("cluster", "element").alias("cluster"), F.col("cluster").alias("parent"), *MEMBER
             ), "rarest",
         )
     spark = rows.sparkSession

@@ -205,6 +205,23 @@ def measured(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.select("a", "b", "both", (100 * F.col("both") >= percent * union).alias("linked"))
 
 
+def _folded(hubs: DataFrame, members: DataFrame, shared: DataFrame) -> DataFrame:
+    """(hub, into) for centres that have half of what they share with any text in common with another centre.
+
+    ``hubs`` has the buckets and their centres, ``members`` their texts, ``shared`` the elements that a text
+    shares. Into is a centre that goes into no other, so that nothing drifts off over a chain of them.
+    """
+    known = written(hubs.select("centre.text_key", "centre.spread").distinct(), "hubs")
+    met = members.join(known.select("text_key"), members["text.text_key"] == known["text_key"], "left_semi").join(hubs, "key")
+    pairs = met.select(F.col("centre.text_key").alias("a"), F.col("text.text_key").alias("b")).filter("a != b").distinct()
+    close = written(measured(written(pairs, "hub_pairs"), shared, 50).filter("linked").select("a", "b"), "close")
+    final = close.join(close.select(F.col("b").alias("a")).distinct(), "a", "left_anti")
+    into = known.select(F.col("text_key").alias("a"), F.struct("spread", "text_key").alias("into"))
+    return written(
+        final.join(into, "a").groupBy(F.col("b").alias("hub")).agg(F.max("into")["text_key"].alias("into")), "folded"
+    )
+
+
 def links_of(docs: DataFrame, texts: DataFrame, size: int, percent: int, bands: int) -> DataFrame:
     """Links (a, b) of text keys that connect what similar ones of ``texts`` connect.
 
@@ -242,13 +259,19 @@ def links_of(docs: DataFrame, texts: DataFrame, size: int, percent: int, bands:
         grouped.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
         .filter("low < high").select("key"), "mixed",
     )
-    # buckets with one centre are taken together, so that a text comes up once and not in every table
-    hubs = centres.select("key", F.col("centre.text_key").alias("cluster"))
+    # buckets with one centre are taken together, and those with centres that are much alike, so that a text
+    # comes up about once and not in every table
+    hubs = written(centres.join(mixed, "key", "left_semi"), "mixed_hubs")
+    shared = bounds.select("text_key", "found")
+    into = _folded(hubs, members, shared)
+    kept_as = hubs.select("key", F.col("centre.text_key").alias("hub")).join(into, "hub", "left").select(
+        "key", F.coalesce("into", "hub").alias("cluster")
+    )
     clustered = written(
-        grouped.join(mixed, "key", "left_semi").join(hubs, "key")
-        .select("cluster", "text.text_key", "text.n", "text.shared", "component").distinct(), "clustered",
+        grouped.join(written(kept_as, "clusters"), "key")
+        .select("cluster", "text.text_key", "text.n", "text.shared", "text.spread", "component").distinct(), "clustered",
     )
-    certain, more = links_and_pairs(clustered, bounds.select("text_key", "found"), percent)
+    certain, more = links_and_pairs(clustered, shared, percent)
     tested = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     untested = written(more, "more").join(written(tested, "tested"), ["a", "b"], "left_anti")
     late = measured(written(untested.select("a", "b"), "untested"), sets, percent)
