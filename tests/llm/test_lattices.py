@@ -127,9 +127,14 @@ def test_long_units_have_nodes_of_their_own_beyond_the_shared_end(monkeypatch):
 def test_numbers_of_keys():
     numbers, plain, draw = lattice_sampling._Numbers(4), {}, random.Random(3)
     for size in (0, 1, 5, 300, 2_000):
-        new = [k for k in {draw.randrange(2**40) for _ in range(size)} if k not in plain]
-        numbers.add(np.array(new, dtype=np.uint64), np.arange(len(plain), len(plain) + len(new)))
-        plain.update(zip(new, range(len(plain), len(plain) + len(new))))
+        new = [k for k in (draw.randrange(2**40) for _ in range(size)) if k not in plain]
+        new += new[: size // 3]
+        first = len(plain)
+        got, taken = numbers.add(np.array(new, dtype=np.uint64), first)
+        assert sorted(new[i] for i in taken) == sorted(set(new))
+        plain.update((new[i], at) for at, i in enumerate(taken.tolist(), first))
+        assert got.tolist() == [plain[k] for k in new]
+        assert numbers.n == len(plain) and 2 * len(plain) <= max(16, len(numbers.keys))
         asked = list(plain) + [draw.randrange(2**40) for _ in range(100)] + [0]
         assert numbers.get(np.array(asked, dtype=np.uint64)).tolist() == [plain.get(k, -1) for k in asked]
 

@@ -131,8 +131,8 @@ class _Numbers:
             other = other[(there != keys[other]) & (there != self.NONE)]
         return np.where(self.keys[at] == keys, self.numbers[at], -1)
 
-    def add(self, keys: np.ndarray, numbers: np.ndarray) -> None:
-        """Add distinct keys that have no number yet."""
+    def add(self, keys: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]:
+        """Number keys that have no number yet from ``first`` on, equal ones alike: numbers, and which keys got them."""
         bits = 64 - int(self.shift)
         while (self.n + len(keys)) * 2 > 1 << bits:
             bits += 1
@@ -140,16 +140,27 @@ class _Numbers:
             old = self.keys != self.NONE
             old_keys, old_numbers = self.keys[old], self.numbers[old]
             self.__init__(bits)
-            self.add(old_keys, old_numbers)
-        self.n += len(keys)
+            self.numbers[self._places(old_keys)] = old_numbers
+            self.n = len(old_keys)
+        places = self._places(keys)
+        # of equal keys the last one is taken
+        self.numbers[places] = np.arange(len(keys))
+        taken = np.nonzero(self.numbers[places] == np.arange(len(keys)))[0]
+        self.numbers[places[taken]] = first + np.arange(len(taken))
+        self.n += len(taken)
+        return self.numbers[places], taken
+
+    def _places(self, keys: np.ndarray) -> np.ndarray:
+        """Put in keys without a number; where they are then."""
         at = ((keys * FACTOR) >> self.shift).astype(np.int64)
-        while len(keys):
-            free = np.nonzero(self.keys[at] == self.NONE)[0]
-            # of several that come to one place, one is there afterwards
+        left = np.arange(len(keys))
+        while len(left):
+            free = left[self.keys[at[left]] == self.NONE]
+            # of different ones that come to one place, one is there afterwards
             self.keys[at[free]] = keys[free]
-            there = self.keys[at] == keys
-            self.numbers[at[there]] = numbers[there]
-            keys, numbers, at = keys[~there], numbers[~there], self._next(at[~there])
+            left = left[self.keys[at[left]] != keys[left]]
+            at[left] = self._next(at[left])
+        return at
 
 
 class Lattices:
@@ -231,13 +242,12 @@ class Lattices:
         at[self.prefix_hashes[at] != value] = -1
         return at
 
-    def _new_nodes(self, code: np.ndarray, after: np.ndarray) -> np.ndarray:
-        """Numbers of new nodes with these characters and nodes after them."""
-        numbers = np.arange(self.n_nodes, self.n_nodes + len(code))
-        self.n_nodes += len(code)
-        self._room(("code", "after", "mass", "first", "leaving", "stop"), self.n_nodes)
-        self.code[numbers], self.after[numbers] = code, after
-        return numbers
+    def _new_nodes(self, code: np.ndarray, after: np.ndarray) -> None:
+        """Go on with new nodes of these characters, and the nodes after them."""
+        new = slice(self.n_nodes, self.n_nodes + len(code))
+        self._room(("code", "after", "mass", "first", "leaving", "stop"), new.stop)
+        self.code[new], self.after[new] = code, after
+        self.n_nodes = new.stop
 
     def add(self, units: list[str]) -> None:
         """Build the lattices of ``units``, all of them new and not empty."""
@@ -253,10 +263,9 @@ class Lattices:
             here = self.numbers.get(key)
             new = np.nonzero(here < 0)[0]
             if len(new):
-                keys, which = np.unique(key[new], return_inverse=True)
-                numbers = self._new_nodes(keys & CODES, keys >> CODE_BITS)
-                self.numbers.add(keys, numbers)
-                here[new] = numbers[which]
+                here[new], taken = self.numbers.add(key[new], self.n_nodes)
+                keys = key[new[taken]]
+                self._new_nodes(keys & CODES, keys >> CODE_BITS)
             node[:n] = here
             levels.append(self.n_nodes)
         if len(longer := n_longer[SHARED_ENDS:]):
@@ -355,7 +364,7 @@ class Lattices:
 
     def drawn(self, arcs: np.ndarray, uniform: np.ndarray) -> np.ndarray:
         """An arc by weight, of those that leave a node, for each node's first one."""
-        arcs = arcs.copy()
+        arcs = arcs.astype(np.int64)
         beyond = np.nonzero(self.upto[arcs] <= uniform)[0]
         at, limit = arcs[beyond], uniform[beyond]
         while len(beyond):
@@ -370,16 +379,15 @@ class Lattices:
         pieces = self.piece[arcs]
         lone = np.nonzero(pieces < 0)[0]
         if len(lone):
-            many = np.ones(len(pieces), dtype=np.int64)
-            many[lone] = _n_bytes(-pieces[lone])
-            starts = _starts(many)
+            further = _n_bytes(-pieces[lone]) - 1
+            before = _starts(further)
             codes, which = np.unique(-pieces[lone], return_inverse=True)
             encoded = np.array([list(chr(c).encode().ljust(4, b"\0")) for c in codes.tolist()])
-            pieces = np.repeat(pieces, many)
+            pieces = np.insert(pieces, np.repeat(lone + 1, further), 0)
             for k in range(4):
-                has = np.nonzero(many[lone] > k)[0]
-                pieces[starts[lone[has]] + k] = self.bytes_at + encoded[which[has], k]
-            cuts = starts[cuts]
+                has = np.nonzero(further >= k)[0]
+                pieces[lone[has] + before[has] + k] = self.bytes_at + encoded[which[has], k]
+            cuts = cuts + before[np.searchsorted(lone, cuts)]
         return pieces.astype("<u4"), cuts
 
 
@@ -505,16 +513,15 @@ class _Batch:
         now[starts[inside]] = node[inside]
         seed = _seed(np.repeat(_seed(self.keys[texts], sample), n), _runs(begin, n))
         active, steps = np.nonzero(~store.stop[now])[0], []
-        taken = np.zeros(len(now), dtype=np.int64)
         seed, arc = seed[active], store.first[now[active]]
         while len(active):
             arc = store.drawn(arc, _uniform(seed, len(steps)))
             steps.append((active, arc))
             arc = store.onward[arc]
-            taken[active[arc < 0]] = len(steps)
             on = np.nonzero(arc >= 0)[0]
             active, seed, arc = active[on], seed[on], arc[on]
-        at = _starts(taken)
+        taken = np.concatenate([active for active, _ in steps]) if steps else active
+        at = _starts(np.bincount(taken, minlength=len(now)))
         arcs = np.zeros(at[-1], dtype=np.int32)
         for k, (active, arc) in enumerate(steps):
             arcs[at[active] + k] = arc
