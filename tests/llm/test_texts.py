@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from cases import AWKWARD, CLASHING, SF, documents, lower, words
+from pyarrow import parquet
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -113,6 +114,16 @@ def test_ids_of_words_are_those_of_the_tokenizer():
         assert table.encode(text) == packed_bytes(found.ids), text
 
 
+def test_tables_of_long_words_are_emptied():
+    """By number alone they would keep all of these; ids stay those of the tokenizer."""
+    table, tokenizer = tokens.WordIds(WORD_IDS, most_chars=50_000), Tokenizer.from_file(WORD_IDS)
+    rnd = random.Random(7)
+    for _ in range(60):
+        text = "a " + "".join(rnd.choices("abcdef0123+/", k=5_000))
+        assert table.encode(text) == packed_bytes(tokenizer.encode(text, add_special_tokens=False).ids)
+        assert sum(map(len, table.words)) < 60_000 and sum(map(len, table.parts)) < 60_000
+
+
 def packed_bytes(ids):
     return np.array(ids, dtype="<u4").tobytes()
 
@@ -197,6 +208,57 @@ def test_matrices_lose_nothing(spark, tmp_path, which):
         d: {s: sorted(p) for s, p in parts.items()} for d, parts in expected.items()}
 
 
+@pytest.mark.parametrize("rows, length, group_tokens", [(3, 7, 60), (4, 16, 1 << 22)])
+def test_matrices_are_best_fit_decreasing(spark, rows, length, group_tokens):
+    """Every piece and its row against a plain packing; ids beyond 2^53 stay as they are beside null ones."""
+    rnd = random.Random(9)
+    docs = [(None if i % 5 == 2 else 2 ** 60 + i, " ".join(rnd.choices("ab", k=rnd.randint(0, 30)))) for i in range(80)]
+    got = packed_ids.packed(documents(spark, docs).coalesce(1), WORD_IDS, length, rows, group_tokens).collect()
+    groups, size = [[]], 0
+    for doc, text in docs:
+        ids = ids_of(text)
+        for at in range(0, len(ids), length):
+            groups[-1].append((doc, at, ids[at:at + length]))
+            size += len(groups[-1][-1][2])
+            if size >= group_tokens:
+                groups.append([])
+                size = 0
+    expected = []
+    for group in groups:
+        full, room, turn = [], [], []
+        for n, piece in enumerate(sorted(group, key=lambda p: -len(p[2]))):
+            fits = [i for i, r in enumerate(room) if r >= len(piece[2])]
+            if not fits:
+                fits = [len(full)]
+                full.append([]), room.append(length), turn.append(0)
+            row = min(fits, key=lambda i: (room[i], -turn[i]))
+            full[row].append(piece)
+            room[row] -= len(piece[2])
+            turn[row] = n
+        expected += [full[at:at + rows] for at in range(0, len(full), rows)]
+    assert len(got) == len(expected)
+    for number, (r, part) in enumerate(zip(sorted(got, key=lambda r: r["matrix"]), expected)):
+        pieces = [(doc, start, len(ids), i) for i, row in enumerate(part) for doc, start, ids in row]
+        assert (r["matrix"], r["n_rows"], r["row_length"]) == (number, len(part), length)
+        assert list(zip(r["doc_ids"], r["starts"], r["lengths"], r["rows"])) == pieces
+        filled = [[x for _, _, ids in row for x in ids] for row in part]
+        assert r["ids"] == packed_bytes([x for row in filled for x in row + [0] * (length - len(row))])
+    matrix_documents(got)
+
+
+def test_written_matrices_have_small_row_groups(spark, tmp_path):
+    """A task's matrices lie in row groups of some megabytes, and a page has one matrix, however many there are."""
+    draw = np.random.default_rng(6)
+    bodies = [draw.bytes(1 << 20) for _ in range(40)]
+    rows = [(i, 4, 65_536, ids, [0, 262_144], [0], [i], [0], [262_144], [0]) for i, ids in enumerate(bodies)]
+    packed_ids.write_matrices(spark.createDataFrame(rows, packed_ids.SCHEMA).coalesce(1), str(tmp_path / "m"))
+    file, = (tmp_path / "m").glob("*.parquet")
+    groups = parquet.ParquetFile(file).metadata
+    sizes = [groups.row_group(i).total_byte_size for i in range(groups.num_row_groups)]
+    assert max(sizes) < 12 << 20
+    assert [r["ids"] for r in spark.read.parquet(str(tmp_path / "m")).sort("matrix").collect()] == bodies
+
+
 def test_room_tree_finds_the_least_room_that_is_enough():
     draw = np.random.default_rng(4)
     tree, rooms = packed_ids.RoomTree(100), []

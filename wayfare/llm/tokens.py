@@ -17,30 +17,33 @@ class WordIds:
 
     Then a text's ids are those of its words one after another. Words of letters with marks behind are two
     parts, and case does not matter, so each distinct part is encoded once. Ids are little-endian unsigned
-    32-bit bytes. Tables are emptied at ``most_words``, which bounds memory and changes no result.
+    32-bit bytes. Tables are emptied at ``most_words``, or at ``most_chars`` where words are long, which bounds
+    memory and changes no result.
     """
 
-    def __init__(self, path: str, most_words: int = 500_000):
+    def __init__(self, path: str, most_words: int = 500_000, most_chars: int = 8_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.most_words = most_words
+        self.most_chars = most_chars
         self.words: dict[str, bytes] = {"": b""}
         self.parts: dict[str, bytes] = {"": b""}
+        self.word_chars = self.part_chars = 0
 
     def encode(self, text: str | None) -> bytes:
         words = (text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        if len(self.words) > self.most_words:
-            self.words = {"": b""}
+        if len(self.words) > self.most_words or self.word_chars > self.most_chars:
+            self.words, self.word_chars = {"": b""}, 0
         new = set(words).difference(self.words)
         if new:
             self._learn(new)
         return b"".join(map(self.words.__getitem__, words))
 
     def _learn(self, words: set[str]) -> None:
-        if len(self.parts) > self.most_words:
-            self.parts = {"": b""}
+        if len(self.parts) > self.most_words or self.part_chars > self.most_chars:
+            self.parts, self.part_chars = {"": b""}, 0
         split = {}
         for word in words:
             stem = word.rstrip(MARKS)
@@ -56,6 +59,8 @@ class WordIds:
         new = list({p for parts in split.values() for p in parts}.difference(self.parts))
         for part, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
             self.parts[part] = array.array("I", found.ids).tobytes()
+        self.part_chars += sum(map(len, new))
+        self.word_chars += sum(map(len, words))
         for word, (first, second) in split.items():
             self.words[word] = self.parts[first] + self.parts[second]
 
