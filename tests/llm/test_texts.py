@@ -114,6 +114,16 @@ def test_ids_of_words_are_those_of_the_tokenizer():
         assert table.encode(text) == packed_bytes(found.ids), text
 
 
+def test_new_words_are_told_apart():
+    """Also where a text has the separator itself, special tokens, or words without ids."""
+    tokenizer = Tokenizer.from_file(WORD_IDS)
+    for text in ["ab cd \x7f ef", "ab\x7f cd", "\x7fab cd", "\x7f", "ab \x7f\x7f cd.", "ab \u3000 \x85 cd",
+                 "x<|endoftext|>y z <|endoftext|>", "\u0301 \u0301 e \u0301e", "one two, three! don't 12 é"]:
+        table = tokens.WordIds(WORD_IDS)
+        for _ in range(2):
+            assert table.encode(text) == packed_bytes(tokenizer.encode(text, add_special_tokens=False).ids), text
+
+
 def test_tables_of_long_words_are_emptied():
     """By number alone they would keep all of these; ids stay those of the tokenizer."""
     table, tokenizer = tokens.WordIds(WORD_IDS, most_chars=50_000), Tokenizer.from_file(WORD_IDS)

@@ -10,6 +10,8 @@ from wayfare.llm.worker import kept
 
 # a run of these after letters is a token of its own; not the apostrophe, which may go with letters
 MARKS = '!"#$%&()*+,-./:;<=>?@[]^_`{|}~'
+# stands between parts that are encoded in one go: a control character with an id of its own, rare in texts
+BETWEEN = "\x7f"
 
 
 class WordIds:
@@ -26,6 +28,9 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        # its own table of words is of no use beside those here, as it is asked for new parts only
+        self.tokenizer.model._resize_cache(0)
+        self.between = self.tokenizer.encode(BETWEEN, add_special_tokens=False).ids
         self.most_words = most_words
         self.most_chars = most_chars
         self.words: dict[str, bytes] = {"": b""}
@@ -57,13 +62,27 @@ class WordIds:
             else:
                 split[word] = word, ""
         new = list({p for parts in split.values() for p in parts}.difference(self.parts))
-        for part, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.parts[part] = array.array("I", found.ids).tobytes()
+        self.parts.update(zip(new, self._ids_of(new)))
         self.part_chars += sum(map(len, new))
         self.word_chars += sum(map(len, words))
         for word, (first, second) in split.items():
             self.words[word] = self.parts[first] + self.parts[second]
 
+    def _ids_of(self, parts: list[str]) -> list[bytes]:
+        """Ids of each of ``parts``, taken from those of one text of them all if its parts can be told apart."""
+        if len(parts) > 1 and len(self.between) == 1:
+            whole = self.tokenizer.encode_batch_fast([f" {BETWEEN} ".join(parts)], add_special_tokens=False)[0].ids
+            # each separator gives its id once, so at this number no part gives it
+            if whole.count(self.between[0]) == len(parts) - 1:
+                ids, out, at = array.array("I", whole).tobytes(), [], 0
+                for _ in parts[1:]:
+                    end = whole.index(self.between[0], at)
+                    out.append(ids[4 * at:4 * end])
+                    at = end + 1
+                return [*out, ids[4 * at:]]
+        found = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
+        return [array.array("I", f.ids).tobytes() for f in found]
+
 
 def word_ids(path: str) -> WordIds:
     """The worker's own table for the tokenizer at ``path``."""
