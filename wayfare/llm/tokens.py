@@ -19,11 +19,11 @@ class WordIds:
 
     Then a text's ids are those of its words one after another. Words of letters with marks behind are two
     parts, and case does not matter, so each distinct part is encoded once. Ids are little-endian unsigned
-    32-bit bytes. Tables are emptied at ``most_words``, or at ``most_chars`` where words are long, which bounds
-    memory and changes no result.
+    32-bit bytes. The table of words and parts is emptied at ``most_words``, or at ``most_chars`` where words are
+    long, which bounds memory and changes no result.
     """
 
-    def __init__(self, path: str, most_words: int = 500_000, most_chars: int = 8_000_000):
+    def __init__(self, path: str, most_words: int = 1_000_000, most_chars: int = 16_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -34,39 +34,37 @@ class WordIds:
         self.most_words = most_words
         self.most_chars = most_chars
         self.words: dict[str, bytes] = {"": b""}
-        self.parts: dict[str, bytes] = {"": b""}
-        self.word_chars = self.part_chars = 0
+        self.chars = 0
 
     def encode(self, text: str | None) -> bytes:
         words = (text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        if len(self.words) > self.most_words or self.word_chars > self.most_chars:
-            self.words, self.word_chars = {"": b""}, 0
+        if len(self.words) > self.most_words or self.chars > self.most_chars:
+            self.words, self.chars = {"": b""}, 0
         new = set(words).difference(self.words)
         if new:
             self._learn(new)
         return b"".join(map(self.words.__getitem__, words))
 
     def _learn(self, words: set[str]) -> None:
-        if len(self.parts) > self.most_words or self.part_chars > self.most_chars:
-            self.parts, self.part_chars = {"": b""}, 0
-        split = {}
+        table, split, new = self.words, [], set()
         for word in words:
             stem = word.rstrip(MARKS)
             small = stem.lower()
             # a capital sigma has two small letters; a letter that is normalised to one with a mark in it,
             # as the dotted capital I, goes with the marks behind
-            if stem.isalpha() and "\u03a3" not in stem and (
+            if small != word and stem.isalpha() and "\u03a3" not in stem and (
                 small.isascii() or unicodedata.normalize("NFC", small).isalpha()
             ):
-                split[word] = small, word[len(stem):]
+                split.append((word, small, word[len(stem):]))
             else:
-                split[word] = word, ""
-        new = list({p for parts in split.values() for p in parts}.difference(self.parts))
-        self.parts.update(zip(new, self._ids_of(new)))
-        self.part_chars += sum(map(len, new))
-        self.word_chars += sum(map(len, words))
-        for word, (first, second) in split.items():
-            self.words[word] = self.parts[first] + self.parts[second]
+                new.add(word)
+        new.update(p for parts in split for p in parts[1:] if p not in table)
+        new = list(new)
+        table.update(zip(new, self._ids_of(new)))
+        self.chars += sum(map(len, new))
+        for word, first, second in split:
+            table[word] = table[first] + table[second]
+            self.chars += len(word)
 
     def _ids_of(self, parts: list[str]) -> list[bytes]:
         """Ids of each of ``parts``, taken from those of one text of them all if its parts can be told apart."""
